@@ -304,3 +304,242 @@ def q_risk_bands(spark, sf):
     return d.select("doc_id", p.alias("probability"),
                     (p >= S.CLASS_THRESHOLD).cast("int").alias("predicted_class"),
                     bands.risk_band(p).alias("risk_level"))
+
+
+# ---------------------------------------------------------------------------
+# Splits, folds and samples
+# ---------------------------------------------------------------------------
+
+SEED = D.SEED
+
+
+@register("hash_split", f"""
+WITH {SQL_QF}
+SELECT row_id, CASE WHEN {sql_u('row_id', SEED)} < 0.2 THEN 'test' ELSE 'train' END AS split FROM qf
+""")
+def q_hash_split(spark, sf):
+    qf = D.quality_frame(spark, sf)
+    return split.hash_split(qf, F.col("row_id"), SEED, 0.2).select("row_id", "split")
+
+
+SQL_RANKS = f"""rk AS (
+  SELECT row_id, l_returnflag,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY {sql_u('row_id', SEED)}, row_id) AS rk
+  FROM qf)"""
+
+
+@register("exact_stratified_split", f"""
+WITH {SQL_QF},
+c AS (SELECT l_returnflag, count(*) AS n_c FROM qf GROUP BY l_returnflag),
+t AS (SELECT sum(n_c) AS n, ceil(CAST(0.2 AS DOUBLE) * sum(n_c)) AS n_test FROM c),
+ideal AS (SELECT l_returnflag, n_c * n_test / n AS ideal, floor(n_c * n_test / n) AS fl FROM c, t),
+lft AS (SELECT (SELECT n_test FROM t) - (SELECT sum(fl) FROM ideal) AS lft),
+q AS (SELECT l_returnflag, fl + CASE WHEN row_number() OVER (ORDER BY ideal - fl DESC, l_returnflag)
+                                    <= (SELECT lft FROM lft) THEN 1 ELSE 0 END AS quota FROM ideal),
+{SQL_RANKS}
+SELECT row_id, l_returnflag, CASE WHEN rk <= quota THEN 'test' ELSE 'train' END AS split
+FROM rk JOIN q USING (l_returnflag)
+""")
+def q_exact_stratified_split(spark, sf):
+    qf = D.quality_frame(spark, sf).select("row_id", "l_returnflag")
+    return split.exact_stratified_split(qf, F.col("row_id"), "l_returnflag", SEED, 0.2)
+
+
+@register("stratified_folds", f"""
+WITH {SQL_QF}, {SQL_RANKS}
+SELECT row_id, l_returnflag, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM rk
+""")
+def q_stratified_folds(spark, sf):
+    qf = D.quality_frame(spark, sf).select("row_id", "l_returnflag")
+    return split.stratified_folds(qf, F.col("row_id"), "l_returnflag", 5, SEED)
+
+
+@register("hash_sample", f"""
+WITH {SQL_QF}
+SELECT row_id, l_returnflag FROM qf WHERE {sql_u('row_id', SEED, 'sample')} < 0.1
+""")
+def q_hash_sample(spark, sf):
+    qf = D.quality_frame(spark, sf).select("row_id", "l_returnflag")
+    return split.hash_sample(qf, F.col("row_id"), 0.1, SEED)
+
+
+@register("canary_route", f"""
+SELECT event_id, CASE WHEN {sql_u('CAST(event_id AS VARCHAR)', SEED, 'canary')} < 0.1
+                      THEN 'v2' ELSE 'v1' END AS model_version
+FROM events
+""")
+def q_canary_route(spark, sf):
+    ev = D.table(spark, sf, "events").select("event_id")
+    return split.canary_route(ev, F.col("event_id").cast("string"), SEED, S.CANARY_SHARE,
+                              "v2", "v1")
+
+
+# ---------------------------------------------------------------------------
+# Exploration
+# ---------------------------------------------------------------------------
+
+NUM = list(D.LINEITEM_NUMERIC)
+
+
+@register("correlation", " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
+    f"CAST(count_if({a} IS NOT NULL AND {b} IS NOT NULL) AS BIGINT) AS n, "
+    f"round(corr({a}, {b}), {DIGITS}) AS corr FROM lineitem"
+    for i, a in enumerate(NUM) for b in NUM[i + 1:]))
+def q_correlation(spark, sf):
+    c = explore.correlation_pairs(D.table(spark, sf, "lineitem"), NUM)
+    return _rounded(c, ["corr"])
+
+
+def _sql_histogram(bins: int = 40) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM lineitem"
+                              for c in NUM)
+    return f"""
+WITH long AS ({long}),
+rng0 AS (SELECT col, min(value) AS vmin, max(value) AS vmax FROM long
+         WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY col),
+rng AS (SELECT col, CASE WHEN vmin = vmax THEN vmin - 0.5 ELSE vmin END AS lo,
+               CASE WHEN vmin = vmax THEN vmax + 0.5 ELSE vmax END AS hi FROM rng0),
+cnt AS (SELECT l.col, CAST(least(floor((value - lo) / (hi - lo) * {bins}), {bins - 1}) AS INTEGER) AS bin,
+               count(*) AS c
+        FROM long l JOIN rng r ON l.col = r.col
+        WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL),
+grid AS (SELECT col, lo, hi, CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM rng)
+SELECT g.col AS "column", g.bin,
+       round(lo + g.bin * ((hi - lo) / {bins}), {DIGITS}) AS bin_low,
+       round(lo + (g.bin + 1) * ((hi - lo) / {bins}), {DIGITS}) AS bin_high,
+       CAST(coalesce(c, 0) AS BIGINT) AS count
+FROM grid g LEFT JOIN cnt ON g.col = cnt.col AND g.bin = cnt.bin"""
+
+
+@register("histogram", _sql_histogram())
+def q_histogram(spark, sf):
+    h = explore.histogram(D.table(spark, sf, "lineitem"), NUM, 40)
+    return _rounded(h, ["bin_low", "bin_high"])
+
+
+@register("value_counts", """
+SELECT p_type AS value, CAST(count(*) AS BIGINT) AS count FROM part GROUP BY p_type
+""")
+def q_value_counts(spark, sf):
+    return explore.value_counts(D.table(spark, sf, "part"), "p_type")
+
+
+# ---------------------------------------------------------------------------
+# Classification metrics
+# ---------------------------------------------------------------------------
+
+METRIC_DOUBLES = ["accuracy", "precision", "recall", "f1", "expected_cost_per_case",
+                  "capture_rate", "false_alarm_rate", "positives_caught_over_random",
+                  "cost_weight_fn", "cost_weight_fp", "roc_auc", "average_precision"]
+
+
+def sql_rates(src: str, keys: str = "") -> str:
+    """Confusion counts and rates per group from a frame with quality/prediction."""
+    kc = f"{keys}, " if keys else ""
+    gb = f"GROUP BY {keys}" if keys else ""
+    return f"""(SELECT {kc}tp, fp, fn, tn, n,
+        CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END AS accuracy,
+        CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+        CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+        CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1,
+        CASE WHEN n = 0 THEN 0.0 ELSE (5.0 * fn + 1.0 * fp) / n END AS expected_cost_per_case,
+        CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS capture_rate,
+        CASE WHEN fp + tn = 0 THEN 0.0 ELSE fp / (fp + tn) END AS false_alarm_rate,
+        tp - (CASE WHEN n = 0 THEN 0.0 ELSE (tp + fn) / n END) * (tp + fn) AS positives_caught_over_random,
+        5.0 AS cost_weight_fn, 1.0 AS cost_weight_fp
+      FROM (SELECT {kc}CAST(count_if(quality = 1 AND prediction = 1) AS BIGINT) AS tp,
+                   CAST(count_if(quality = 0 AND prediction = 1) AS BIGINT) AS fp,
+                   CAST(count_if(quality = 1 AND prediction = 0) AS BIGINT) AS fn,
+                   CAST(count_if(quality = 0 AND prediction = 0) AS BIGINT) AS tn,
+                   CAST(count(*) AS BIGINT) AS n
+            FROM {src} WHERE quality IS NOT NULL AND prediction IS NOT NULL {gb}))"""
+
+
+def sql_auc_ap(src: str, keys: str = "") -> str:
+    kc = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys} " if keys else ""
+    gb = f"GROUP BY {keys}" if keys else ""
+    return f"""(SELECT {kc}
+        CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+             THEN sum(pos * (cum_neg - neg + neg / 2.0)) / (sum(pos) * sum(neg)) END AS roc_auc,
+        CASE WHEN sum(pos) > 0 THEN sum(pos * cum_pos / cum_all) / sum(pos) END AS average_precision
+      FROM (SELECT *, sum(neg) OVER ({part}ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg,
+                   sum(pos) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+                   sum(pos + neg) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_all
+            FROM (SELECT {kc}score, CAST(count_if(quality = 1) AS BIGINT) AS pos,
+                         CAST(count_if(quality = 0) AS BIGINT) AS neg
+                  FROM {src} WHERE quality IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)
+                  GROUP BY {kc}score))
+      {gb})"""
+
+
+def _round_sql(cols: list[str], keep: list[str]) -> str:
+    return ", ".join(keep + [f"round({c}, {DIGITS}) AS {c}" for c in cols])
+
+
+@register("classification_report", f"""
+WITH {SQL_DOCS}
+SELECT {_round_sql(METRIC_DOUBLES, ['tp', 'fp', 'fn', 'tn', 'n'])}
+FROM {sql_rates('sdp')} m, {sql_auc_ap('sdp')} a
+""")
+def q_classification_report(spark, sf):
+    d = D.scored_documents(spark, sf)
+    return _rounded(metrics.evaluate(d, "quality", "prediction", "score"), METRIC_DOUBLES)
+
+
+@register("metrics_by_lang", f"""
+WITH {SQL_DOCS}
+SELECT {_round_sql(METRIC_DOUBLES, ['m.lang', 'tp', 'fp', 'fn', 'tn', 'n'])}
+FROM {sql_rates('sdp', 'lang')} m JOIN {sql_auc_ap('sdp', 'lang')} a ON m.lang = a.lang
+""")
+def q_metrics_by_lang(spark, sf):
+    d = D.scored_documents(spark, sf)
+    return _rounded(metrics.evaluate(d, "quality", "prediction", "score", ("lang",)),
+                    METRIC_DOUBLES)
+
+
+@register("metrics_long", f"""
+WITH {SQL_DOCS}, m AS (SELECT * FROM {sql_rates('sdp')} x, {sql_auc_ap('sdp')} y)
+SELECT metric, round(value, {DIGITS}) AS value FROM (
+{' UNION ALL '.join(f"SELECT '{p}.{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM m" for p, c in
+                    [('tech', c) for c in ('accuracy', 'precision', 'recall', 'f1', 'roc_auc',
+                                           'average_precision')]
+                    + [('biz', c) for c in ('expected_cost_per_case', 'capture_rate',
+                                            'false_alarm_rate', 'positives_caught_over_random',
+                                            'cost_weight_fn', 'cost_weight_fp')])})
+""")
+def q_metrics_long(spark, sf):
+    d = D.scored_documents(spark, sf)
+    return _rounded(metrics.flatten_metrics(metrics.evaluate(d, "quality", "prediction", "score")),
+                    ["value"])
+
+
+@register("subgroup_audit", f"""
+WITH {SQL_DOCS},
+g AS (SELECT lang, source, grouping(lang) AS g_lang, grouping(source) AS g_source,
+             CAST(count_if(quality = 1 AND prediction = 1) AS BIGINT) AS tp,
+             CAST(count_if(quality = 0 AND prediction = 1) AS BIGINT) AS fp,
+             CAST(count_if(quality = 1 AND prediction = 0) AS BIGINT) AS fn,
+             CAST(count_if(quality = 0 AND prediction = 0) AS BIGINT) AS tn
+      FROM sdp WHERE quality IS NOT NULL AND prediction IS NOT NULL
+      GROUP BY GROUPING SETS ((lang), (source), ())),
+m AS (SELECT CASE WHEN g_lang = 0 THEN 'lang' WHEN g_source = 0 THEN 'source' ELSE 'overall' END AS dimension,
+             CASE WHEN g_lang = 0 THEN coalesce(lang, '<null>') WHEN g_source = 0 THEN coalesce(source, '<null>')
+                  ELSE 'all' END AS level,
+             tp + fp + fn + tn AS n, tp, fp, fn, tn,
+             CASE WHEN tp + fp + fn + tn = 0 THEN 0.0 ELSE (tp + tn) / (tp + fp + fn + tn) END AS accuracy,
+             CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+             CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+             CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1 FROM g),
+o AS (SELECT f1 AS overall_f1 FROM m WHERE dimension = 'overall')
+SELECT dimension, level, n, tp, fp, fn, tn, round(accuracy, {DIGITS}) AS accuracy,
+       round(precision, {DIGITS}) AS precision, round(recall, {DIGITS}) AS recall,
+       round(f1, {DIGITS}) AS f1, round(overall_f1, {DIGITS}) AS overall_f1,
+       round(f1 - overall_f1, {DIGITS}) AS f1_gap, abs(f1 - overall_f1) > 0.05 AS flag
+FROM m, o
+""")
+def q_subgroup_audit(spark, sf):
+    d = D.scored_documents(spark, sf)
+    a = metrics.subgroup_audit(d, "quality", "prediction", ["lang", "source"], 0.05)
+    return _rounded(a, ["accuracy", "precision", "recall", "f1", "overall_f1", "f1_gap"])
