@@ -163,22 +163,27 @@ def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
                     kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
 
 
-def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
-                 prediction: str | None = None, n_bins: int = S.PSI_BINS) -> DataFrame:
-    """PSI + KS + verdict for every numeric feature (A26) and, when given,
-    the prediction column as one more feature named ``prediction`` (A27)."""
+def long_pair(reference: DataFrame, current: DataFrame, features: list[str],
+              prediction: str | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both samples in long form; the prediction column, when given, is one
+    more feature named ``prediction`` (A27)."""
     feats = numeric_features(reference, features)
     ref_long, cur_long = to_long(reference, feats), to_long(current, feats)
     names = list(feats)
     if prediction is not None:
-        pr = (reference.select(F.lit("prediction").alias("feature"),
-                               F.col(prediction).cast("double").alias("value"))
-              .where(F.col("value").isNotNull() & ~F.isnan("value")))
-        pc = (current.select(F.lit("prediction").alias("feature"),
-                             F.col(prediction).cast("double").alias("value"))
-              .where(F.col("value").isNotNull() & ~F.isnan("value")))
-        ref_long, cur_long = ref_long.unionByName(pr), cur_long.unionByName(pc)
+        def pred(df: DataFrame) -> DataFrame:
+            return (df.select(F.lit("prediction").alias("feature"),
+                              F.col(prediction).cast("double").alias("value"))
+                    .where(F.col("value").isNotNull() & ~F.isnan("value")))
+        ref_long, cur_long = ref_long.unionByName(pred(reference)), cur_long.unionByName(pred(current))
         names.append("prediction")
+    return ref_long, cur_long, names
+
+
+def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
+                 prediction: str | None = None, n_bins: int = S.PSI_BINS) -> DataFrame:
+    """PSI + KS + verdict for every numeric feature (A26) and the prediction."""
+    ref_long, cur_long, names = long_pair(reference, current, features, prediction)
     p = psi(ref_long, cur_long, names, n_bins)
     k = ks_test(ref_long, cur_long)
     return (p.join(k, "feature", "left")

@@ -543,3 +543,164 @@ def q_subgroup_audit(spark, sf):
     d = D.scored_documents(spark, sf)
     a = metrics.subgroup_audit(d, "quality", "prediction", ["lang", "source"], 0.05)
     return _rounded(a, ["accuracy", "precision", "recall", "f1", "overall_f1", "f1_gap"])
+
+
+# ---------------------------------------------------------------------------
+# Drift (A21-A28, W3, P12, P9)
+# ---------------------------------------------------------------------------
+
+FRACS = drift.linspace(S.PSI_BINS)
+SQL_FRACS = "[" + ", ".join(repr(q) for q in FRACS) + "]::DOUBLE[]"
+TWO_PI = repr(2.0 * 3.141592653589793)
+
+
+def _sql_z(key: str) -> str:
+    return (f"(sqrt(-2.0 * ln(1.0 - {sql_u(key, SEED, 'n1')})) * "
+            f"cos({TWO_PI} * {sql_u(key, SEED, 'n2')}))")
+
+
+SQL_EV = """ev AS (
+  SELECT event_id, ts, user_id, value,
+         CAST((CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 + 3) % 3 + 1 AS INTEGER) AS level,
+         day(ts) AS dom, least(value / 500.0, 1.0) AS prediction
+  FROM events)"""
+SQL_DRIFT_SAMPLES = f"""{SQL_EV},
+ref AS (SELECT * FROM ev WHERE dom <= 20),
+cur AS (SELECT event_id, ts, value + 3.0 AS value,
+               user_id + (7.0 + 2.0 * {_sql_z('CAST(event_id AS VARCHAR)')}) AS user_id,
+               CASE WHEN level = 1 AND {sql_u('CAST(event_id AS VARCHAR)', SEED, 'lvl')} < 0.2
+                    THEN 2 ELSE level END AS level, prediction
+        FROM ev WHERE dom > 20)"""
+
+
+def _sql_long(src: str, with_prediction: bool = True) -> str:
+    parts = [f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM {src}"
+             for f in D.EVENT_FEATURES]
+    if with_prediction:
+        parts.append(f"SELECT 'prediction' AS feature, prediction AS value FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+SQL_LONG = f"""{SQL_DRIFT_SAMPLES},
+rl AS (SELECT * FROM ({_sql_long('ref')}) WHERE value IS NOT NULL AND NOT isnan(value)),
+cl AS (SELECT * FROM ({_sql_long('cur')}) WHERE value IS NOT NULL AND NOT isnan(value))"""
+
+SQL_PSI = f"""edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
+          FROM rl GROUP BY feature),
+rb AS (SELECT rl.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+              count(*) AS n_ref FROM rl JOIN edges e ON rl.feature = e.feature WHERE len(edges) >= 3
+       GROUP BY ALL),
+cb AS (SELECT cl.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+              count(*) AS n_cur FROM cl JOIN edges e ON cl.feature = e.feature WHERE len(edges) >= 3
+       GROUP BY ALL),
+grid AS (SELECT feature, unnest(range(0, len(edges) - 1)) AS bin FROM edges WHERE len(edges) >= 3),
+tr AS (SELECT feature, count(*) AS total_ref FROM rl GROUP BY feature),
+tc AS (SELECT feature, count(*) AS total_cur FROM cl GROUP BY feature),
+pb AS (SELECT g.feature, coalesce(n_ref, 0) / greatest(total_ref, 1) + 1e-6 AS pr,
+              coalesce(n_cur, 0) / greatest(total_cur, 1) + 1e-6 AS pc
+       FROM grid g LEFT JOIN rb ON g.feature = rb.feature AND g.bin = rb.bin
+                   LEFT JOIN cb ON g.feature = cb.feature AND g.bin = cb.bin
+                   LEFT JOIN tr ON g.feature = tr.feature LEFT JOIN tc ON g.feature = tc.feature),
+ps AS (SELECT feature, sum((pc - pr) * ln(pc / pr)) AS psi_sum FROM pb GROUP BY feature),
+psi AS (SELECT tr.feature, CASE WHEN coalesce(total_ref, 0) = 0 OR coalesce(total_cur, 0) = 0 THEN 'NaN'::DOUBLE
+                                 WHEN len(edges) < 3 THEN 0.0 ELSE psi_sum END AS psi,
+               CAST(coalesce(total_ref, 0) AS BIGINT) AS n_ref, CAST(coalesce(total_cur, 0) AS BIGINT) AS n_cur
+        FROM tr LEFT JOIN tc ON tr.feature = tc.feature LEFT JOIN ps ON tr.feature = ps.feature
+                LEFT JOIN edges e ON tr.feature = e.feature)"""
+
+SQL_KS = """kt AS (SELECT feature, value, 1 AS r, 0 AS c FROM rl UNION ALL SELECT feature, value, 0, 1 FROM cl),
+kc AS (SELECT feature, value, sum(r) AS nr, sum(c) AS nc FROM kt GROUP BY ALL),
+kcum AS (SELECT *, sum(nr) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cr,
+                sum(nc) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cc,
+                sum(nr) OVER (PARTITION BY feature) AS tr, sum(nc) OVER (PARTITION BY feature) AS tc
+         FROM kc),
+kd AS (SELECT feature, max(abs(cr / tr - cc / tc)) AS d, any_value(tr) AS tr, any_value(tc) AS tc
+       FROM kcum GROUP BY feature),
+ks AS (SELECT feature, CASE WHEN tr > 0 AND tc > 0 THEN d END AS ks_statistic,
+              sqrt(tr * tc / (tr + tc)) * d AS lam FROM kd),
+ksp AS (SELECT feature, ks_statistic,
+               CASE WHEN lam IS NULL THEN NULL WHEN lam < 0.2 THEN 1.0
+                    ELSE least(1.0, greatest(0.0, (SELECT sum(2.0 * (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END)
+                                                              * exp(-2.0 * k * k * lam * lam))
+                                                   FROM range(1, 101) t(k)))) END AS ks_pvalue
+        FROM ks)"""
+
+SQL_VERDICT = ("CASE WHEN psi IS NULL OR isnan(psi) THEN 'drift' WHEN psi < 0.1 THEN 'estavel' "
+               "WHEN psi < 0.25 THEN 'moderado' ELSE 'drift' END")
+
+
+def _drift_report(spark, sf):
+    ref, cur = D.drift_samples(spark, sf)
+    return drift.drift_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction")
+
+
+@register("drift_quantiles", f"""
+WITH {SQL_LONG}
+SELECT feature, CAST(unnest(range(0, {len(FRACS)})) AS INTEGER) AS i, unnest({SQL_FRACS}) AS q,
+       round(unnest(quantile_cont(value, {SQL_FRACS})), {DIGITS}) AS quantile
+FROM rl GROUP BY feature
+""")
+def q_drift_quantiles(spark, sf):
+    ref, cur = D.drift_samples(spark, sf)
+    long, _, _ = drift.long_pair(ref, cur, list(D.EVENT_FEATURES), "prediction")
+    return _rounded(drift.exact_quantiles(long, FRACS), ["quantile"])
+
+
+@register("psi_bins", f"""
+WITH {SQL_LONG}, {SQL_PSI}
+SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, CAST(coalesce(n_ref, 0) AS BIGINT) AS n_ref,
+       CAST(coalesce(n_cur, 0) AS BIGINT) AS n_cur
+FROM grid g LEFT JOIN rb ON g.feature = rb.feature AND g.bin = rb.bin
+            LEFT JOIN cb ON g.feature = cb.feature AND g.bin = cb.bin
+""")
+def q_psi_bins(spark, sf):
+    ref, cur = D.drift_samples(spark, sf)
+    rl, cl, _ = drift.long_pair(ref, cur, list(D.EVENT_FEATURES), "prediction")
+    edges = drift.psi_edges(rl).where(F.size("edges") >= 3)
+    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
+
+    def counts(long, name):
+        return (long.join(F.broadcast(edges), "feature")
+                .groupBy("feature", drift.bin_index(F.col("edges"), F.col("value")).alias("bin"))
+                .agg(F.count(F.lit(1)).alias(name)))
+    return (grid.join(counts(rl, "n_ref"), ["feature", "bin"], "left")
+            .join(counts(cl, "n_cur"), ["feature", "bin"], "left")
+            .fillna(0, ["n_ref", "n_cur"]))
+
+
+@register("drift_report", f"""
+WITH {SQL_LONG}, {SQL_PSI}, {SQL_KS}
+SELECT psi.feature, round(psi, {DIGITS}) AS psi, round(ks_statistic, {DIGITS}) AS ks_statistic,
+       round(ks_pvalue, {DIGITS}) AS ks_pvalue, {SQL_VERDICT} AS verdict, n_ref, n_cur
+FROM psi LEFT JOIN ksp ON psi.feature = ksp.feature
+""")
+def q_drift_report(spark, sf):
+    return _rounded(_drift_report(spark, sf), ["psi", "ks_statistic", "ks_pvalue"])
+
+
+@register("any_drift", f"""
+WITH {SQL_LONG}, {SQL_PSI}
+SELECT coalesce(bool_or({SQL_VERDICT} = 'drift'), false) AS has_drift FROM psi
+""")
+def q_any_drift(spark, sf):
+    return drift.any_drift(_drift_report(spark, sf))
+
+
+@register("drift_injection", f"""
+WITH {SQL_DRIFT_SAMPLES}
+SELECT event_id, round(value, {DIGITS}) AS value, round(user_id, {DIGITS}) AS user_id, level FROM cur
+""")
+def q_drift_injection(spark, sf):
+    _, cur = D.drift_samples(spark, sf)
+    return _rounded(cur.select("event_id", "value", "user_id", "level"), ["value", "user_id"])
+
+
+@register("psi_retrain", f"""
+WITH {SQL_LONG}, {SQL_PSI}
+SELECT CAST(count_if(psi > 0.25 AND feature IN ('value', 'user_id', 'level')) AS BIGINT) AS n_features_over,
+       count_if(psi > 0.25 AND feature IN ('value', 'user_id', 'level')) >= 2 AS retrain_psi
+FROM psi
+""")
+def q_psi_retrain(spark, sf):
+    return monitor.psi_retrain(_drift_report(spark, sf), D.EVENT_FEATURES, S.RETRAIN_PSI,
+                               S.RETRAIN_MIN_FEATURES)
