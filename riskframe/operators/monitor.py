@@ -138,7 +138,7 @@ def daily_psi_vs_trailing(long: DataFrame, edges: DataFrame, ts: str = "ts",
               .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"),
                        F.to_date(ts).alias("day"))
               .agg(F.count(F.lit(1)).alias("n")))
-    ref = (binned.select("feature", "bin", "n",
+    ref = (binned.select("feature", "bin", "n", "day",
                          F.explode(F.sequence(F.lit(1), F.lit(window_days))).alias("k"))
            .groupBy("feature", "bin", F.date_add("day", F.col("k")).alias("day"))
            .agg(F.sum("n").alias("ref_n")))

@@ -704,3 +704,253 @@ FROM psi
 def q_psi_retrain(spark, sf):
     return monitor.psi_retrain(_drift_report(spark, sf), D.EVENT_FEATURES, S.RETRAIN_PSI,
                                S.RETRAIN_MIN_FEATURES)
+
+
+# ---------------------------------------------------------------------------
+# Runs: selection, ranking, pivots
+# ---------------------------------------------------------------------------
+
+SQL_RUNS = f"""{SQL_DOCS},
+rm AS {sql_rates('sdp', 'source, lang')},
+ra AS {sql_auc_ap('sdp', 'source, lang')},
+rw AS (SELECT source, lang, sum(n_chars) / 1e5 AS fit_seconds FROM sdp GROUP BY ALL),
+runs0 AS (SELECT rm.*, ra.roc_auc, rw.fit_seconds,
+                 CASE WHEN rm.source = 'src0' THEN 'dummy' ELSE rm.source END AS fam,
+                 CASE WHEN rm.lang = 'fr' THEN 'pca' WHEN rm.lang = 'de' THEN 'lda' ELSE 'none' END AS tech
+          FROM rm LEFT JOIN ra ON rm.source = ra.source AND rm.lang = ra.lang
+                  JOIN rw ON rm.source = rw.source AND rm.lang = rw.lang),
+runs AS (SELECT md5(concat_ws(':', source, lang)) AS run_id,
+                CASE WHEN n >= 5 THEN 'FINISHED' ELSE 'FAILED' END AS status,
+                fam AS model_family, tech AS dim_technique,
+                concat_ws('__', fam, CASE WHEN tech = 'none' THEN 'raw' ELSE tech END, lang) AS run_name,
+                n, f1, roc_auc, precision, recall, expected_cost_per_case AS expected_cost, fit_seconds
+         FROM runs0)"""
+
+SQL_SCORED = f"""{SQL_RUNS},
+cand AS (SELECT * FROM runs WHERE status = 'FINISHED' AND coalesce(model_family, '') <> 'dummy'
+         AND f1 IS NOT NULL AND NOT isnan(f1)),
+fill AS (SELECT max(f1) AS mf FROM cand),
+c2 AS (SELECT cand.*, CASE WHEN expected_cost IS NULL OR isnan(expected_cost) THEN mf ELSE expected_cost END
+                      AS cost_filled,
+              CASE WHEN fit_seconds IS NULL OR isnan(fit_seconds) THEN 0.0 ELSE fit_seconds END AS fit_filled
+       FROM cand, fill),
+st AS (SELECT min(f1) AS a1, max(f1) AS b1, min(cost_filled) AS a2, max(cost_filled) AS b2,
+              min(fit_filled) AS a3, max(fit_filled) AS b3 FROM c2),
+c3 AS (SELECT c2.*, CASE WHEN b1 = a1 THEN 0.5 ELSE (f1 - a1) / (b1 - a1) END AS f1_norm,
+              1.0 - CASE WHEN b2 = a2 THEN 0.5 ELSE (cost_filled - a2) / (b2 - a2) END AS cost_norm,
+              1.0 - CASE WHEN b3 = a3 THEN 0.5 ELSE (fit_filled - a3) / (b3 - a3) END AS fit_norm
+       FROM c2, st),
+scored AS (SELECT *, 0.6 * f1_norm + 0.25 * cost_norm + 0.15 * fit_norm AS score FROM c3)"""
+
+RUN_DOUBLES = ["f1", "roc_auc", "precision", "recall", "expected_cost", "fit_seconds",
+               "cost_filled", "fit_filled", "f1_norm", "cost_norm", "fit_norm", "score"]
+
+
+@register("runs_finished", f"""
+WITH {SQL_RUNS}
+SELECT run_id, run_name, model_family, dim_technique, n, round(f1, {DIGITS}) AS f1
+FROM runs WHERE status = 'FINISHED'
+""")
+def q_runs_finished(spark, sf):
+    return _rounded(runs.finished(D.runs_table(spark, sf))
+                    .select("run_id", "run_name", "model_family", "dim_technique", "n", "f1"), ["f1"])
+
+
+@register("run_ranking", f"""
+WITH {SQL_SCORED}
+SELECT run_id, status, model_family, dim_technique, run_name, n,
+       {', '.join(f'round({c}, {DIGITS}) AS {c}' for c in RUN_DOUBLES)},
+       CAST(row_number() OVER (ORDER BY score DESC, roc_auc DESC NULLS LAST, run_id) AS INTEGER) AS rank
+FROM scored
+""")
+def q_run_ranking(spark, sf):
+    ranked = runs.rank_runs(runs.composite_score(D.runs_table(spark, sf)))
+    return _rounded(ranked, RUN_DOUBLES)
+
+
+@register("run_winner", f"""
+WITH {SQL_SCORED}
+SELECT run_id, run_name, round(score, {DIGITS}) AS score, round(roc_auc, {DIGITS}) AS roc_auc
+FROM scored ORDER BY score DESC, roc_auc DESC NULLS LAST, run_id LIMIT 1
+""")
+def q_run_winner(spark, sf):
+    w = runs.winner(runs.composite_score(D.runs_table(spark, sf)))
+    return _rounded(w.select("run_id", "run_name", "score", "roc_auc"), ["score", "roc_auc"])
+
+
+@register("f1_pivot", f"""
+WITH {SQL_RUNS}
+SELECT model_family,
+       round(max(f1) FILTER (WHERE dim_technique = 'none'), {DIGITS}) AS "none",
+       round(max(f1) FILTER (WHERE dim_technique = 'pca'), {DIGITS}) AS pca,
+       round(max(f1) FILTER (WHERE dim_technique = 'lda'), {DIGITS}) AS lda
+FROM runs WHERE status = 'FINISHED' GROUP BY model_family
+""")
+def q_f1_pivot(spark, sf):
+    p = runs.f1_pivot(runs.finished(D.runs_table(spark, sf)))
+    return _rounded(p, list(S.DIM_TECHNIQUES))
+
+
+@register("mean_by_model", f"""
+WITH {SQL_RUNS}
+SELECT model_family, dim_technique, round(avg(f1), {DIGITS}) AS mean_f1,
+       CAST(count(*) AS BIGINT) AS n_runs
+FROM runs WHERE status = 'FINISHED' GROUP BY model_family, dim_technique
+""")
+def q_mean_by_model(spark, sf):
+    return _rounded(runs.mean_by(runs.finished(D.runs_table(spark, sf))), ["mean_f1"])
+
+
+@register("delta_vs_raw", f"""
+WITH {SQL_RUNS}, f AS (SELECT * FROM runs WHERE status = 'FINISHED'),
+raw AS (SELECT model_family, max(f1) AS f1_raw FROM f WHERE dim_technique = 'none' GROUP BY model_family)
+SELECT f.model_family, run_id, dim_technique, round(f1, {DIGITS}) AS f1,
+       round(f1_raw, {DIGITS}) AS f1_raw, round(f1 - f1_raw, {DIGITS}) AS delta_f1
+FROM f LEFT JOIN raw ON f.model_family = raw.model_family
+""")
+def q_delta_vs_raw(spark, sf):
+    d = runs.delta_vs_raw(runs.finished(D.runs_table(spark, sf)))
+    return _rounded(d.select("model_family", "run_id", "dim_technique", "f1", "f1_raw",
+                             "delta_f1"), ["f1", "f1_raw", "delta_f1"])
+
+
+@register("cv_summary", f"""
+WITH {SQL_DOCS},
+fd AS (SELECT *, CAST(floor({sql_u('CAST(doc_id AS VARCHAR)', SEED, 'fold')} * 5) AS INTEGER) AS fold FROM sdp),
+fm AS {sql_rates('fd', 'source, lang, fold')}
+SELECT md5(concat_ws(':', source, lang)) AS run_id, round(avg(f1), {DIGITS}) AS cv_mean,
+       round(stddev_pop(f1), {DIGITS}) AS cv_std, CAST(count(*) AS BIGINT) AS n_folds
+FROM fm GROUP BY source, lang
+""")
+def q_cv_summary(spark, sf):
+    return _rounded(runs.cv_summary(D.fold_scores(spark, sf)), ["cv_mean", "cv_std"])
+
+
+# ---------------------------------------------------------------------------
+# Monitoring
+# ---------------------------------------------------------------------------
+
+TECH = [m for m, _ in S.METRIC_ALERT_DROPS]
+
+
+def _sql_metric_rows(src: str, keyed: bool) -> str:
+    k = "lang, " if keyed else ""
+    return " UNION ALL ".join(f"SELECT {k}'{m}' AS metric, CAST({m.split('.')[1]} AS DOUBLE) AS value "
+                              f"FROM {src}" for m in TECH)
+
+
+@register("metric_alerts", f"""
+WITH {SQL_DOCS},
+bm AS (SELECT * FROM {sql_rates('sdp')} x, {sql_auc_ap('sdp')} y),
+cm AS (SELECT m.*, a.roc_auc, a.average_precision FROM {sql_rates('sdp', 'lang')} m
+       JOIN {sql_auc_ap('sdp', 'lang')} a ON m.lang = a.lang),
+bl AS ({_sql_metric_rows('bm', False)}),
+cl AS ({_sql_metric_rows('cm', True)}),
+th AS ({' UNION ALL '.join(f"SELECT '{m}' AS metric, {d} AS max_drop" for m, d in S.METRIC_ALERT_DROPS)})
+SELECT lang, cl.metric, round(bl.value, {DIGITS}) AS baseline, round(cl.value, {DIGITS}) AS current,
+       CAST(max_drop AS DOUBLE) AS max_drop, round(bl.value - cl.value, {DIGITS}) AS drop,
+       bl.value - cl.value > max_drop AS alert
+FROM cl JOIN th ON cl.metric = th.metric JOIN bl ON cl.metric = bl.metric
+""")
+def q_metric_alerts(spark, sf):
+    d = D.scored_documents(spark, sf)
+    base = metrics.flatten_metrics(metrics.evaluate(d, "quality", "prediction", "score"))
+    cur = metrics.flatten_metrics(metrics.evaluate(d, "quality", "prediction", "score", ("lang",)),
+                                  ("lang",))
+    a = monitor.metric_alerts(base, cur, S.METRIC_ALERT_DROPS, ("lang",))
+    return _rounded(a, ["baseline", "current", "drop"])
+
+
+SQL_EP = """ep AS (SELECT event_id, ts, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS label,
+                   CAST(value > 50 AS INTEGER) AS prediction FROM events)"""
+ROLL_DOUBLES = ["rolling_recall", "rolling_cost", "baseline_recall"]
+
+
+@register("rolling_retrain", f"""
+WITH {SQL_EP},
+dc AS (SELECT CAST(ts AS DATE) AS day,
+              CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+              CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+              CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn,
+              CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn
+       FROM ep GROUP BY 1),
+w AS (SELECT *, {', '.join(
+    f"CAST(sum({c}) OVER (ORDER BY day - DATE '1970-01-01' RANGE BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS r_{c}"
+    for c in ('tp', 'fp', 'fn', 'tn'))} FROM dc),
+b AS (SELECT CASE WHEN sum(tp) + sum(fn) = 0 THEN 0.0 ELSE sum(tp) / (sum(tp) + sum(fn)) END AS baseline_recall FROM dc),
+m AS (SELECT w.*, b.baseline_recall,
+             CASE WHEN r_tp + r_fn = 0 THEN 0.0 ELSE r_tp / (r_tp + r_fn) END AS rolling_recall,
+             CASE WHEN r_tp + r_fp + r_fn + r_tn = 0 THEN 0.0
+                  ELSE (5.0 * r_fn + 1.0 * r_fp) / (r_tp + r_fp + r_fn + r_tn) END AS rolling_cost,
+             r_tp + r_fp + r_fn + r_tn AS rolling_n FROM w, b)
+SELECT day, tp, fp, fn, tn, r_tp, r_fp, r_fn, r_tn, rolling_n,
+       {', '.join(f'round({c}, {DIGITS}) AS {c}' for c in ROLL_DOUBLES)},
+       baseline_recall - rolling_recall > 0.05 AS trigger_recall, rolling_cost > 2.0 AS trigger_cost,
+       datediff('day', DATE '2023-12-01', day) > 182 AS trigger_age, false AS trigger_manual,
+       (baseline_recall - rolling_recall > 0.05) OR (rolling_cost > 2.0)
+         OR (datediff('day', DATE '2023-12-01', day) > 182) AS retrain
+FROM m
+""")
+def q_rolling_retrain(spark, sf):
+    ep = D.event_predictions(spark, sf)
+    daily = monitor.daily_confusion(ep, "ts", "label", "prediction")
+    base = daily.agg(F.when(F.sum("tp") + F.sum("fn") == 0, F.lit(0.0))
+                     .otherwise(F.sum("tp") / (F.sum("tp") + F.sum("fn"))).alias("baseline_recall"))
+    rolled = monitor.rolling_metrics(daily).withColumn("__one", F.lit(1))
+    rolled = rolled.join(F.broadcast(base.withColumn("__one", F.lit(1))), "__one").drop("__one")
+    t = monitor.retrain_triggers(rolled, F.col("baseline_recall"), cost_ceiling=2.0,
+                                 last_train_day="2023-12-01")
+    return _rounded(t, ROLL_DOUBLES)
+
+
+@register("promotion_gate", f"""
+WITH {SQL_DOCS},
+c AS (SELECT CAST(count_if(candidate = quality AND prediction <> quality) AS BIGINT) AS b,
+             CAST(count_if(candidate <> quality AND prediction = quality) AS BIGINT) AS c,
+             CAST(count(*) AS BIGINT) AS n FROM sdp),
+p AS (SELECT b, c, n, least(b, c) AS m, b + c AS nn FROM c),
+pv AS (SELECT b, c, n,
+              CASE WHEN nn = 0 THEN 1.0
+                   ELSE least(1.0, 2.0 * (SELECT sum(exp(lgamma(nn + 1) - lgamma(k + 1) - lgamma(nn - k + 1)
+                                                         - nn * ln(2.0)))
+                                          FROM range(0, m + 1) t(k))) END AS p_value
+       FROM p)
+SELECT b, c, n, round(p_value, {DIGITS}) AS p_value, b > c AND p_value < 0.05 AS promote FROM pv
+""")
+def q_promotion_gate(spark, sf):
+    d = D.scored_documents(spark, sf)
+    return _rounded(monitor.promotion_gate(d, "quality", "candidate", "prediction"), ["p_value"])
+
+
+@register("daily_psi", f"""
+WITH {SQL_EV},
+lv AS (SELECT 'value' AS feature, value, ts FROM ev UNION ALL
+       SELECT 'user_id', CAST(user_id AS DOUBLE), ts FROM ev),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
+          FROM lv WHERE day(ts) <= 7 GROUP BY feature),
+bd AS (SELECT lv.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+              CAST(ts AS DATE) AS day, count(*) AS n
+       FROM lv JOIN edges e ON lv.feature = e.feature GROUP BY ALL),
+days AS (SELECT DISTINCT day FROM bd),
+rf AS (SELECT b.feature, b.bin, d.day, sum(b.n) AS ref_n FROM bd b JOIN days d
+         ON d.day - b.day BETWEEN 1 AND 28 GROUP BY ALL),
+fj AS (SELECT coalesce(bd.feature, rf.feature) AS feature, coalesce(bd.day, rf.day) AS day,
+                coalesce(n, 0) AS n, coalesce(ref_n, 0) AS ref_n
+         FROM bd FULL JOIN rf ON bd.feature = rf.feature AND bd.bin = rf.bin AND bd.day = rf.day),
+t AS (SELECT *, sum(n) OVER (PARTITION BY feature, day) AS cur_total,
+             sum(ref_n) OVER (PARTITION BY feature, day) AS ref_total FROM fj
+      WHERE day IN (SELECT day FROM days))
+SELECT feature, day,
+       round(sum((n / greatest(cur_total, 1) + 1e-6 - (ref_n / greatest(ref_total, 1) + 1e-6))
+                 * ln((n / greatest(cur_total, 1) + 1e-6) / (ref_n / greatest(ref_total, 1) + 1e-6))),
+             {DIGITS}) AS psi,
+       CAST(max(cur_total) AS BIGINT) AS n_day, CAST(max(ref_total) AS BIGINT) AS n_reference
+FROM t WHERE ref_total > 0 AND cur_total > 0 GROUP BY feature, day
+""")
+def q_daily_psi(spark, sf):
+    ev = D.events_frame(spark, sf)
+    long = (ev.select("ts", F.lit("value").alias("feature"), F.col("value").cast("double").alias("value"))
+            .unionByName(ev.select("ts", F.lit("user_id").alias("feature"),
+                                   F.col("user_id").cast("double").alias("value"))))
+    edges = drift.psi_edges(long.where(F.dayofmonth("ts") <= 7).select("feature", "value"))
+    return _rounded(monitor.daily_psi_vs_trailing(long, edges, "ts"), ["psi"])
