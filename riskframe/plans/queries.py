@@ -954,3 +954,119 @@ def q_daily_psi(spark, sf):
                                    F.col("user_id").cast("double").alias("value"))))
     edges = drift.psi_edges(long.where(F.dayofmonth("ts") <= 7).select("feature", "value"))
     return _rounded(monitor.daily_psi_vs_trailing(long, edges, "ts"), ["psi"])
+
+
+# ---------------------------------------------------------------------------
+# Feature steps (M1-M8)
+# ---------------------------------------------------------------------------
+
+@register("feature_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(quantile_cont({c}, 0.5), {DIGITS}) AS median, "
+    f"round(avg({c}), {DIGITS}) AS mean, round(stddev_pop({c}), {DIGITS}) AS std_pop "
+    f"FROM lineitem WHERE {c} IS NOT NULL AND NOT isnan({c})" for c in NUM))
+def q_feature_stats(spark, sf):
+    li = D.table(spark, sf, "lineitem")
+    long = drift.to_long(li, NUM)
+    med = drift.exact_quantiles(long, [0.5]).select("feature", F.col("quantile").alias("median"))
+    st = long.groupBy("feature").agg(F.avg("value").alias("mean"),
+                                     F.stddev_pop("value").alias("std_pop"))
+    return _rounded(med.join(st, "feature"), ["median", "mean", "std_pop"])
+
+
+MODE_COLS = ["l_returnflag", "l_linestatus", "l_tax", "l_discount"]
+
+
+@register("mode_values", " UNION ALL ".join(
+    f"(SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS mode FROM lineitem WHERE {c} IS NOT NULL "
+    f"GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1)" for c in MODE_COLS))
+def q_mode_values(spark, sf):
+    from riskframe.operators.features import ModeImputer
+    li = D.table(spark, sf, "lineitem")
+    m = ModeImputer(MODE_COLS).fit(li)
+    return spark.createDataFrame(sorted(m.values().items()), "feature string, mode string")
+
+
+@register("one_hot_slots", """
+WITH vocab AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS slot
+               FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 40 AND p_type IS NOT NULL))
+SELECT p_partkey, coalesce(slot, -1) AS slot, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS width
+FROM part LEFT JOIN vocab USING (p_type)
+""")
+def q_one_hot_slots(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import one_hot
+    part = D.table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
+    model = Pipeline(stages=one_hot(["p_type"], ["p_type_ohe"])).fit(part.where("p_size <= 40"))
+    arr = vector_to_array(F.col("p_type_ohe"))
+    return model.transform(part).select(
+        "p_partkey", (F.array_position(arr, 1.0) - 1).cast("int").alias("slot"),
+        F.size(arr).alias("width"))
+
+
+def _embeddings(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+    e = D.table(spark, sf, "embeddings")
+    return e.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>"))
+                    .alias("features"), (F.col("label") < 5).cast("int").alias("label"))
+
+
+@register("pca_reduction")
+def q_pca_reduction(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import VariancePCA
+    e = _embeddings(spark, sf)
+    model = VariancePCA("features", "reduced", k=0, varianceRatio=0.95).fit(e)
+    return model.transform(e).select("vec_id", vector_to_array("reduced").alias("components"))
+
+
+@register("lda_reduction")
+def q_lda_reduction(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import FisherLDA
+    e = _embeddings(spark, sf)
+    model = FisherLDA("features", "reduced", "label").fit(e)
+    return model.transform(e).select("vec_id", "label",
+                                     vector_to_array("reduced")[0].alias("discriminant"))
+
+
+# ---------------------------------------------------------------------------
+# Models, tuning and scoring
+# ---------------------------------------------------------------------------
+
+def _model_frame(spark, sf):
+    return D.labelled_frame(spark, sf).select("row_id", *NUM, "l_linestatus", "label")
+
+
+@register("cv_tuning")
+def q_cv_tuning(spark, sf):
+    from riskframe.operators import models
+    d = split.exact_stratified_split(_model_frame(spark, sf), F.col("row_id"), "label", SEED)
+    train = split.stratified_folds(d.where(F.col("split") == "train"), F.col("row_id"),
+                                   "label", 5, SEED)
+    res = models.tune_with_cv(models.build_model_spec("logistic_regression"), train, NUM,
+                              ["l_linestatus"])
+    rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(res.all_metrics)]
+    return spark.createDataFrame(rows, "grid_point int, cv_mean double, cv_std double")
+
+
+@register("model_scoring")
+def q_model_scoring(spark, sf):
+    from riskframe.operators import models
+    d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
+    pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
+                                    ["l_linestatus"])
+    model = pipe.fit(d.where(F.col("split") == "train"))
+    scored = models.score_table(model, d.where(F.col("split") == "test"), "1")
+    return scored.select("row_id", "predicted_class", r("probability_1", 6).alias("probability"),
+                         "risk_level", "model_version")
+
+
+@register("baseline_scoring")
+def q_baseline_scoring(spark, sf):
+    from riskframe.operators import models
+    d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
+    pipe, _ = models.build_pipeline(models.build_model_spec("dummy"), NUM, ["l_linestatus"])
+    model = pipe.fit(d.where(F.col("split") == "train"))
+    scored = models.score_table(model, d.where(F.col("split") == "test"), "baseline")
+    return scored.select("row_id", "predicted_class", "risk_level")
