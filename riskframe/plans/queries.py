@@ -1070,3 +1070,112 @@ def q_baseline_scoring(spark, sf):
     model = pipe.fit(d.where(F.col("split") == "train"))
     scored = models.score_table(model, d.where(F.col("split") == "test"), "baseline")
     return scored.select("row_id", "predicted_class", "risk_level")
+
+
+# ---------------------------------------------------------------------------
+# Sources (S1-S5)
+# ---------------------------------------------------------------------------
+
+CSV_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+@register("csv_contract_scan", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag,
+       round_even(l_extendedprice / l_quantity * 100.0, 0) / 100.0 AS unit_price
+FROM lineitem
+""")
+def q_csv_contract_scan(spark, sf):
+    """lineitem written as ';'-separated text with a reordered header, then
+    read back by header names against a typed contract."""
+    from pyspark.sql import types as T
+    from riskframe.session import scratch_path
+    from riskframe.sources.readers import read_delimited
+    path = scratch_path(spark, "csv-contract")
+    li = D.table(spark, sf, "lineitem")
+    (li.select("l_returnflag", "l_extendedprice", "l_orderkey", "l_quantity", "l_linenumber",
+               F.lit("x").alias("extra"))
+     .write.option("sep", ";").option("header", True).mode("overwrite").csv(path))
+    types = {"l_orderkey": T.LongType(), "l_linenumber": T.IntegerType(),
+             "l_quantity": T.DoubleType(), "l_extendedprice": T.DoubleType(),
+             "l_returnflag": T.StringType()}
+    df = read_delimited(spark, path, types, tuple(types), ";", with_source=False)
+    return df.select(*CSV_COLS, round_half_even(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+                     .alias("unit_price"))
+
+
+@register("json_records", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def q_json_records(spark, sf):
+    ev = D.table(spark, sf, "events")
+    return ev.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (Z2, Z3, Z5) over the events table as a file stream
+# ---------------------------------------------------------------------------
+
+def _event_stream(spark, sf):
+    schema = D.table(spark, sf, "events").schema
+    base = sf.rstrip("/")
+    # the table is one file: stream it through a glob with its folder as base
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .option("basePath", base).parquet(f"{base}/events.parque[t]"))
+
+
+@register("stream_daily_histogram", f"""
+WITH {SQL_EV},
+lv AS (SELECT 'value' AS feature, value, ts FROM ev UNION ALL SELECT 'user_id', CAST(user_id AS DOUBLE), ts FROM ev),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
+          FROM lv WHERE day(ts) <= 7 GROUP BY feature)
+SELECT CAST(ts AS DATE) AS day, lv.feature,
+       len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+       CAST(count(*) AS BIGINT) AS n
+FROM lv JOIN edges e ON lv.feature = e.feature GROUP BY ALL
+""")
+def q_stream_daily_histogram(spark, sf):
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import daily_histogram, run_to_table
+    ev = D.events_frame(spark, sf)
+    long = (ev.select(F.lit("value").alias("feature"), F.col("value").cast("double").alias("value"),
+                      "dom")
+            .unionByName(ev.select(F.lit("user_id").alias("feature"),
+                                   F.col("user_id").cast("double").alias("value"), "dom")))
+    edges = drift.psi_edges(long.where(F.col("dom") <= 7).select("feature", "value"))
+    agg = daily_histogram(_event_stream(spark, sf), "ts", ["value", "user_id"], edges)
+    out = run_to_table(agg, scratch_path(spark, "stream-hist"), mode="complete")
+    return out.select(F.to_date("day_start").alias("day"), "feature", "bin", "n")
+
+
+@register("stream_sliding_confusion", """
+WITH ep AS (SELECT ts, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS label,
+                   CAST(value > 50 AS INTEGER) AS prediction FROM events),
+x AS (SELECT CAST(ts AS DATE) - CAST(k AS INTEGER) AS window_start, label, prediction
+      FROM ep, range(0, 30) t(k))
+SELECT window_start, window_start + 30 AS window_end,
+       CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+       CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+       CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn,
+       CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn
+FROM x GROUP BY window_start
+""")
+def q_stream_sliding_confusion(spark, sf):
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import run_to_table, sliding_confusion
+    s = _event_stream(spark, sf).select(
+        "ts", F.col("event_type").isin("purchase", "signup").cast("int").alias("label"),
+        (F.col("value") > 50).cast("int").alias("prediction"))
+    out = run_to_table(sliding_confusion(s, "ts", "label", "prediction"),
+                       scratch_path(spark, "stream-slide"), mode="complete")
+    return out.select(F.to_date("window_start").alias("window_start"),
+                      F.to_date("window_end").alias("window_end"), "tp", "fp", "fn", "tn")
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import dedupe_stream, run_to_table
+    s = _event_stream(spark, sf).select("ts", "user_id", "event_type")
+    out = run_to_table(dedupe_stream(s, "ts", ["user_id", "event_type"]),
+                       scratch_path(spark, "stream-dedupe"), mode="append")
+    return out.select("user_id", "event_type")
