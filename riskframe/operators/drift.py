@@ -155,9 +155,10 @@ def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
     cum = running_sums(counts, ["feature"], "value", ["nr", "nc"])
     d = (cum.join(F.broadcast(totals), "feature")  # one row per feature
          .groupBy("feature", "tot_r", "tot_c")
-         .agg(F.max(F.abs(F.col("cum_nr") / F.col("tot_r") - F.col("cum_nc") / F.col("tot_c")))
+         .agg(F.max(F.abs(F.try_divide(F.col("cum_nr"), F.col("tot_r"))
+                         - F.try_divide(F.col("cum_nc"), F.col("tot_c"))))
               .alias("ks_statistic")))
-    en = F.sqrt(F.col("tot_r") * F.col("tot_c") / (F.col("tot_r") + F.col("tot_c")))
+    en = F.sqrt(F.try_divide(F.col("tot_r") * F.col("tot_c"), F.col("tot_r") + F.col("tot_c")))
     return d.select("feature", F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0), F.col("ks_statistic"))
                     .alias("ks_statistic"),
                     kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))

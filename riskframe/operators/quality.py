@@ -55,9 +55,12 @@ def duplicate_count(df: DataFrame, exclude: tuple[str, ...] = ("id",)) -> DataFr
     """A3: rows that repeat an earlier row on every column but ``exclude``.
     ``distinct`` treats null = null and NaN = NaN like pandas; the partial
     aggregate collapses a hot duplicate group before the shuffle."""
+    types = _dtypes(df)
     cols = [c for c in df.columns if c not in exclude]
+    # null and NaN are one "missing" value, as in pandas
+    norm = [F.when(~is_missing(c, types[c]), F.col(c)).alias(c) for c in cols]
     n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    d = df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
+    d = df.select(*norm).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
     one = F.lit(1).alias("__one")
     return (n.select("*", one).join(d.select("*", one), "__one").drop("__one")
             .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct")))
