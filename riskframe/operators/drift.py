@@ -48,19 +48,29 @@ def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
 
     Collapses to distinct values, computes cumulative counts with
     :func:`running_sums`, then picks the values at ranks floor/ceil of
-    ``(n-1)q``. Returns ``(feature, i, q, quantile)``.
+    ``(n-1)q``. Only the row count per feature reaches the driver; it sizes
+    the value buckets and the rank targets. Returns ``(feature, i, q, quantile)``.
     """
+    import math as _m
+
+    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
+
+    spark = long.sparkSession
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = running_sums(counts, ["feature"], "value", ["cnt"])
+    sizes = {r["feature"]: r["n"] for r in
+             long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    largest = max(sizes.values(), default=0)
+    n_buckets = max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET)))
+    cum = running_sums(counts, ["feature"], "value", ["cnt"], n_buckets=n_buckets)
     cum = cum.withColumn("before", F.col("cum_cnt") - F.col("cnt"))
-    sizes = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    fr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"))
-                   for i, q in enumerate(fractions)])
-    targets = (sizes.select("feature", "n", F.inline(fr))
-               .withColumn("h", (F.col("n") - 1) * F.col("q"))
-               .withColumn("lo", F.floor("h"))
-               .withColumn("hi", F.ceil("h"))
-               .withColumn("t", F.col("h") - F.col("lo")))
+    rows = []
+    for feat, n in sizes.items():
+        for i, q in enumerate(fractions):
+            h = (n - 1) * q
+            lo = _m.floor(h)
+            rows.append((feat, i, float(q), int(lo), int(_m.ceil(h)), h - lo))
+    targets = spark.createDataFrame(
+        rows, "feature string, i int, q double, lo long, hi long, t double")
     ranks = targets.select("feature", "i", F.explode(F.array(
         F.struct(F.lit("lo").alias("side"), F.col("lo").alias("r")),
         F.struct(F.lit("hi").alias("side"), F.col("hi").alias("r")))).alias("x")
@@ -71,7 +81,7 @@ def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
            .groupBy("feature", "i")
            .agg(F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("v_lo"),
                 F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("v_hi")))
-    return (targets.join(hit, ["feature", "i"])
+    return (F.broadcast(targets).join(hit, ["feature", "i"])
             .select("feature", "i", "q",
                     (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("t"))
                     .alias("quantile")))
