@@ -43,25 +43,43 @@ def linspace(n_bins: int) -> list[float]:
     return [0.0 if i == 0 else (1.0 if i == n_bins else i * step) for i in range(n_bins + 1)]
 
 
-def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
-    """Linearly interpolated quantiles per feature (A21), exact, distributed.
+def collapse_pair(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
+    """One row per (feature, distinct value) with the count in each sample.
 
-    Collapses to distinct values, computes cumulative counts with
-    :func:`running_sums`, then picks the values at ranks floor/ceil of
-    ``(n-1)q``. Only the row count per feature reaches the driver; it sizes
-    the value buckets and the rank targets. Returns ``(feature, i, q, quantile)``.
+    This is the only aggregation that reads the data: quantile edges, bin
+    counts, totals and the KS statistic are all computed from it, so the
+    samples are scanned and shuffled once (Spark reuses the exchange in
+    every branch of the plan). A hot value collapses map-side to one row.
     """
+    tagged = (ref_long.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("c"))
+              .unionByName(cur_long.select("feature", "value", F.lit(0).alias("r"),
+                                           F.lit(1).alias("c"))))
+    return tagged.groupBy("feature", "value").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+
+
+def quantiles_from_counts(counts: DataFrame, fractions: list[float],
+                          count_col: str = "cnt", stats: list | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles per feature from
+    ``(feature, value, count)`` rows: cumulative counts with
+    :func:`running_sums`, then the values at ranks floor/ceil of ``(n-1)q``.
+    Only the row count per feature reaches the driver (it sizes the value
+    buckets and the rank targets). Returns ``(feature, i, q, quantile)``."""
     import math as _m
 
     from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
 
-    spark = long.sparkSession
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    sizes = {r["feature"]: r["n"] for r in
-             long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    largest = max(sizes.values(), default=0)
+    spark = counts.sparkSession
+    c = (counts.where(F.col(count_col) > 0)
+         .select("feature", "value", F.col(count_col).alias("cnt")))
+    if stats is None:
+        stats = c.groupBy("feature").agg(F.sum("cnt").alias("n"),
+                                         F.count(F.lit(1)).alias("d")).collect()
+    sizes, largest = {}, 0
+    for r in stats:
+        sizes[r["feature"]] = r["n"]
+        largest = max(largest, r["d"])
     n_buckets = max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET)))
-    cum = running_sums(counts, ["feature"], "value", ["cnt"], n_buckets=n_buckets)
+    cum = running_sums(c, ["feature"], "value", ["cnt"], n_buckets=n_buckets)
     cum = cum.withColumn("before", F.col("cum_cnt") - F.col("cnt"))
     rows = []
     for feat, n in sizes.items():
@@ -87,11 +105,20 @@ def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
                     .alias("quantile")))
 
 
+def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
+    """Exact quantiles per feature (A21) of a long ``(feature, value)`` frame."""
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    return quantiles_from_counts(counts, fractions)
+
+
+def _edges(quantiles: DataFrame) -> DataFrame:
+    return quantiles.groupBy("feature").agg(
+        F.array_sort(F.array_distinct(F.collect_list("quantile"))).alias("edges"))
+
+
 def psi_edges(ref_long: DataFrame, n_bins: int = S.PSI_BINS) -> DataFrame:
     """Distinct reference quantile edges per feature: ``(feature, edges array)``."""
-    q = exact_quantiles(ref_long, linspace(n_bins))
-    return q.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(F.collect_list("quantile"))).alias("edges"))
+    return _edges(exact_quantiles(ref_long, linspace(n_bins)))
 
 
 def bin_index(edges: Column, value: Column) -> Column:
@@ -101,46 +128,52 @@ def bin_index(edges: Column, value: Column) -> Column:
     return F.size(F.filter(interior, lambda e: e <= value))
 
 
-def psi(ref_long: DataFrame, cur_long: DataFrame, features: list[str],
-        n_bins: int = S.PSI_BINS, eps: float = S.PSI_EPSILON) -> DataFrame:
-    """Population stability index per feature.
+def collapsed_stats(collapsed: DataFrame) -> list:
+    """Per feature: reference rows ``n``, distinct reference values ``d`` and
+    distinct values overall ``d_all`` (one small collect, one row per feature)."""
+    return collapsed.groupBy("feature").agg(
+        F.sum("nr").alias("n"), F.count_if(F.col("nr") > 0).alias("d"),
+        F.count(F.lit(1)).alias("d_all")).collect()
 
-    Fewer than 3 distinct edges -> 0.0; an empty sample -> NaN; a bin empty
-    in one sample still counts (with epsilon).
-    """
-    spark = ref_long.sparkSession
+
+def psi_from_collapsed(collapsed: DataFrame, features: list[str], n_bins: int = S.PSI_BINS,
+                       eps: float = S.PSI_EPSILON, stats: list | None = None) -> DataFrame:
+    """Population stability index per feature (A23) from
+    :func:`collapse_pair` rows. Fewer than 3 distinct edges -> 0.0; an empty
+    sample -> NaN; a bin empty in one sample still counts (with epsilon)."""
+    spark = collapsed.sparkSession
     names = spark.createDataFrame([(f,) for f in features], "feature string")
-    edges = psi_edges(ref_long, n_bins)
+    ref_stats = None if stats is None else [r for r in stats if r["n"]]
+    edges = _edges(quantiles_from_counts(collapsed, linspace(n_bins), "nr", ref_stats))
+    usable = edges.where(F.size("edges") >= 3)
     nb = F.size("edges") - 1
-
-    def binned(long: DataFrame, tag: str) -> DataFrame:
-        # edges: one row per feature -> broadcast
-        return (long.join(F.broadcast(edges), "feature")
-                .where(F.size("edges") >= 3)
-                .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"))
-                .agg(F.count(F.lit(1)).alias(f"n_{tag}")))
-
-    ref_n = ref_long.groupBy("feature").agg(F.count(F.lit(1)).alias("total_ref"))
-    cur_n = cur_long.groupBy("feature").agg(F.count(F.lit(1)).alias("total_cur"))
-    bins = (edges.where(F.size("edges") >= 3)
-            .select("feature", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin")))
-    per_bin = (bins.join(binned(ref_long, "ref"), ["feature", "bin"], "left")
-               .join(binned(cur_long, "cur"), ["feature", "bin"], "left")
-               .join(ref_n, "feature", "left").join(cur_n, "feature", "left")
-               .fillna(0, ["n_ref", "n_cur"]))
+    totals = collapsed.groupBy("feature").agg(F.sum("nr").alias("total_ref"),
+                                              F.sum("nc").alias("total_cur"))
+    # edges: one row per feature -> broadcast
+    binned = (collapsed.join(F.broadcast(usable), "feature")
+              .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"))
+              .agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur")))
+    grid = usable.select("feature", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    per_bin = (grid.join(binned, ["feature", "bin"], "left").fillna(0, ["n_ref", "n_cur"])
+               .join(F.broadcast(totals), "feature"))
     pr = F.col("n_ref") / F.greatest(F.col("total_ref"), F.lit(1)) + F.lit(eps)
     pc = F.col("n_cur") / F.greatest(F.col("total_cur"), F.lit(1)) + F.lit(eps)
     sums = per_bin.groupBy("feature").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi_sum"))
-    return (names.join(ref_n, "feature", "left").join(cur_n, "feature", "left")
-            .join(sums, "feature", "left")
+    tr = F.coalesce(F.col("total_ref"), F.lit(0))
+    tc = F.coalesce(F.col("total_cur"), F.lit(0))
+    return (names.join(totals, "feature", "left").join(sums, "feature", "left")
             .join(edges, "feature", "left")
             .select("feature",
-                    F.when(F.coalesce(F.col("total_ref"), F.lit(0)) == 0, F.lit(float("nan")))
-                    .when(F.coalesce(F.col("total_cur"), F.lit(0)) == 0, F.lit(float("nan")))
+                    F.when((tr == 0) | (tc == 0), F.lit(float("nan")))
                     .when(F.size("edges") < 3, F.lit(0.0))
                     .otherwise(F.col("psi_sum")).alias("psi"),
-                    F.coalesce(F.col("total_ref"), F.lit(0)).alias("n_ref"),
-                    F.coalesce(F.col("total_cur"), F.lit(0)).alias("n_cur")))
+                    tr.cast("long").alias("n_ref"), tc.cast("long").alias("n_cur")))
+
+
+def psi(ref_long: DataFrame, cur_long: DataFrame, features: list[str],
+        n_bins: int = S.PSI_BINS, eps: float = S.PSI_EPSILON) -> DataFrame:
+    """PSI per feature from the two long-form samples."""
+    return psi_from_collapsed(collapse_pair(ref_long, cur_long), features, n_bins, eps)
 
 
 def kolmogorov_pvalue(lam: Column) -> Column:
@@ -155,48 +188,56 @@ def kolmogorov_pvalue(lam: Column) -> Column:
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))))
 
 
-def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
-    """Two-sample KS statistic (A24, W3) and asymptotic p-value per feature."""
-    tagged = (ref_long.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("c"))
-              .unionByName(cur_long.select("feature", "value", F.lit(0).alias("r"),
-                                           F.lit(1).alias("c"))))
-    counts = tagged.groupBy("feature", "value").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    totals = counts.groupBy("feature").agg(F.sum("nr").alias("tot_r"), F.sum("nc").alias("tot_c"))
-    cum = running_sums(counts, ["feature"], "value", ["nr", "nc"])
+def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """Two-sample KS statistic (A24, W3) and asymptotic p-value per feature:
+    the largest gap between the two empirical CDFs over the distinct values."""
+    totals = collapsed.groupBy("feature").agg(F.sum("nr").alias("tot_r"),
+                                              F.sum("nc").alias("tot_c"))
+    cum = running_sums(collapsed, ["feature"], "value", ["nr", "nc"], n_buckets=n_buckets)
     d = (cum.join(F.broadcast(totals), "feature")  # one row per feature
          .groupBy("feature", "tot_r", "tot_c")
          .agg(F.max(F.abs(F.try_divide(F.col("cum_nr"), F.col("tot_r"))
-                         - F.try_divide(F.col("cum_nc"), F.col("tot_c"))))
+                          - F.try_divide(F.col("cum_nc"), F.col("tot_c"))))
               .alias("ks_statistic")))
     en = F.sqrt(F.try_divide(F.col("tot_r") * F.col("tot_c"), F.col("tot_r") + F.col("tot_c")))
-    return d.select("feature", F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0), F.col("ks_statistic"))
-                    .alias("ks_statistic"),
+    return d.select("feature", F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0),
+                                      F.col("ks_statistic")).alias("ks_statistic"),
                     kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
 
 
+def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
+    return ks_from_collapsed(collapse_pair(ref_long, cur_long))
+
+
 def long_pair(reference: DataFrame, current: DataFrame, features: list[str],
               prediction: str | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both samples in long form; the prediction column, when given, is one
-    more feature named ``prediction`` (A27)."""
+    """Both samples in long form, each from a single unpivot (one scan);
+    the prediction column, when given, is one more feature named
+    ``prediction`` (A27)."""
     feats = numeric_features(reference, features)
-    ref_long, cur_long = to_long(reference, feats), to_long(current, feats)
-    names = list(feats)
-    if prediction is not None:
-        def pred(df: DataFrame) -> DataFrame:
-            return (df.select(F.lit("prediction").alias("feature"),
-                              F.col(prediction).cast("double").alias("value"))
-                    .where(F.col("value").isNotNull() & ~F.isnan("value")))
-        ref_long, cur_long = ref_long.unionByName(pred(reference)), cur_long.unionByName(pred(current))
-        names.append("prediction")
-    return ref_long, cur_long, names
+    names = list(feats) + (["prediction"] if prediction is not None else [])
+
+    def long(df: DataFrame) -> DataFrame:
+        cols = [F.col(c).cast("double").alias(c) for c in feats]
+        if prediction is not None:
+            cols.append(F.col(prediction).cast("double").alias("prediction"))
+        return (df.select(*cols).unpivot([], names, "feature", "value")
+                .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    return long(reference), long(current), names
 
 
 def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
                  prediction: str | None = None, n_bins: int = S.PSI_BINS) -> DataFrame:
     """PSI + KS + verdict for every numeric feature (A26) and the prediction."""
     ref_long, cur_long, names = long_pair(reference, current, features, prediction)
-    p = psi(ref_long, cur_long, names, n_bins)
-    k = ks_test(ref_long, cur_long)
+    import math as _m
+
+    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
+    collapsed = collapse_pair(ref_long, cur_long)
+    stats = collapsed_stats(collapsed)
+    largest = max((r["d_all"] for r in stats), default=0)
+    p = psi_from_collapsed(collapsed, names, n_bins, stats=stats)
+    k = ks_from_collapsed(collapsed, max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET))))
     return (p.join(k, "feature", "left")
             .withColumn("verdict", psi_verdict("psi"))
             .select("feature", "psi", "ks_statistic", "ks_pvalue", "verdict", "n_ref", "n_cur"))

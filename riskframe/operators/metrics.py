@@ -63,20 +63,22 @@ def _score_counts(df: DataFrame, label: str, score: str,
     map-side partial aggregation keeps a hot score value to one row."""
     y = _truth(label)
     return (df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
-            .groupBy(*group_cols, score)
+            .groupBy(*group_cols, F.col(score).alias("score"))
             .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
-def roc_auc(df: DataFrame, label: str, score: str,
-            group_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Tie-aware ROC AUC (W1): sum over scores of pos * (neg below + neg/2),
-    divided by P*N. Null when a class is absent."""
-    counts = _score_counts(df, label, score, group_cols)
-    key = list(group_cols) or None
-    if key is None:
-        counts = counts.withColumn("__g", F.lit(0))
-        key = ["__g"]
-    cum = running_sums(counts, key, score, ["neg"])
+def _keyed(counts: DataFrame, group_cols: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    if group_cols:
+        return counts, list(group_cols)
+    return counts.withColumn("__g", F.lit(0)), ["__g"]
+
+
+def auc_from_counts(counts: DataFrame, group_cols: tuple[str, ...] = (),
+                    n_buckets: int | None = None) -> DataFrame:
+    """W1 on ``(group, score, pos, neg)``: sum over scores of
+    pos * (negatives below + ties/2), divided by P*N; null without both classes."""
+    counts, key = _keyed(counts, group_cols)
+    cum = running_sums(counts, key, "score", ["neg"], n_buckets=n_buckets)
     out = cum.groupBy(*key).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("__a"),
         F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
@@ -85,17 +87,13 @@ def roc_auc(df: DataFrame, label: str, score: str,
     return out.drop("__g") if key == ["__g"] else out
 
 
-def average_precision(df: DataFrame, label: str, score: str,
-                      group_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Step-wise average precision (W2): sum over descending distinct scores
-    of (pos/P) * precision at that score. Null without positives."""
-    counts = _score_counts(df, label, score, group_cols).withColumn(
-        "all", F.col("pos") + F.col("neg"))
-    key = list(group_cols) or None
-    if key is None:
-        counts = counts.withColumn("__g", F.lit(0))
-        key = ["__g"]
-    cum = running_sums(counts, key, score, ["pos", "all"], descending=True)
+def ap_from_counts(counts: DataFrame, group_cols: tuple[str, ...] = (),
+                   n_buckets: int | None = None) -> DataFrame:
+    """W2 on ``(group, score, pos, neg)``: over descending distinct scores,
+    sum of (pos/P) * precision at that score; null without positives."""
+    counts, key = _keyed(counts.withColumn("all", F.col("pos") + F.col("neg")), group_cols)
+    cum = running_sums(counts, key, "score", ["pos", "all"], descending=True,
+                       n_buckets=n_buckets)
     out = cum.groupBy(*key).agg(
         F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_all")).alias("__s"),
         F.sum("pos").alias("__p"))
@@ -104,19 +102,55 @@ def average_precision(df: DataFrame, label: str, score: str,
     return out.drop("__g") if key == ["__g"] else out
 
 
+def roc_auc(df: DataFrame, label: str, score: str,
+            group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Tie-aware ROC AUC per group."""
+    return auc_from_counts(_score_counts(df, label, score, group_cols), group_cols)
+
+
+def average_precision(df: DataFrame, label: str, score: str,
+                      group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Step-wise average precision per group."""
+    return ap_from_counts(_score_counts(df, label, score, group_cols), group_cols)
+
+
 def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = None,
              group_cols: tuple[str, ...] = (), cost_fn: float = S.COST_FALSE_NEGATIVE,
              cost_fp: float = S.COST_FALSE_POSITIVE) -> DataFrame:
-    """All technical and business metrics per group, one row each."""
-    out = rates_from_confusion(confusion_counts(df, label, prediction, group_cols),
-                               cost_fn, cost_fp)
+    """All technical and business metrics per group, one row each.
+
+    The rows are read once: they collapse to ``(group, score, prediction)``
+    with positive / negative counts, and the confusion matrix, AUC and AP
+    are all computed from that collapsed frame.
+    """
+    import math
+
+    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
+    keys = list(group_cols)
     if score is None:
+        out = rates_from_confusion(confusion_counts(df, label, prediction, group_cols),
+                                   cost_fn, cost_fp)
         return (out.withColumn("roc_auc", F.lit(None).cast("double"))
                 .withColumn("average_precision", F.lit(None).cast("double")))
-    auc = roc_auc(df, label, score, group_cols)
-    ap = average_precision(df, label, score, group_cols)
+    y, p = _truth(label), F.col(prediction).cast("int") == 1
+    valid = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    base = df.groupBy(*keys, F.col(score).alias("score"), p.alias("__p"), valid.alias("__v")).agg(
+        F.count_if(y).alias("pos"), F.count_if(~y & F.col(label).isNotNull()).alias("neg"))
+    conf = base.where("__v").groupBy(*keys).agg(
+        F.sum(F.when(F.col("__p"), F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("__p"), F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~F.col("__p"), F.col("pos")).otherwise(0)).alias("fn"),
+        F.sum(F.when(~F.col("__p"), F.col("neg")).otherwise(0)).alias("tn"))
+    conf = conf.withColumn("n", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
+    out = rates_from_confusion(conf, cost_fn, cost_fp)
+    counts = (base.where(F.col("score").isNotNull() & ~F.isnan("score"))
+              .groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    largest = (counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+    nb = max(1, min(MAX_BUCKETS, math.ceil(largest / ROWS_PER_BUCKET)))
+    auc = auc_from_counts(counts, group_cols, nb)
+    ap = ap_from_counts(counts, group_cols, nb)
     if group_cols:
-        return out.join(auc, list(group_cols), "left").join(ap, list(group_cols), "left")
+        return out.join(auc, keys, "left").join(ap, keys, "left")
     one = F.lit(1).alias("__one")
     return (out.select("*", one).join(auc.select("*", one), "__one")
             .join(ap.select("*", one), "__one").drop("__one"))  # one-row frames
