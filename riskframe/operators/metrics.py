@@ -175,7 +175,8 @@ def subgroup_audit(df: DataFrame, label: str, prediction: str, subgroups: list[s
     src = (df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
            .select(*[F.col(c).cast("string").alias(c) for c in subgroups],
                    y.alias("__y"), p.alias("__p")))
-    view = "__audit_src"
+    import uuid
+    view = f"__audit_src_{uuid.uuid4().hex[:8]}"
     src.createOrReplaceTempView(view)
     sets = ", ".join(f"({c})" for c in subgroups) + ", ()"
     body = df.sparkSession.sql(

@@ -1179,3 +1179,135 @@ def q_stream_dedupe(spark, sf):
     out = run_to_table(dedupe_stream(s, "ts", ["user_id", "event_type"]),
                        scratch_path(spark, "stream-dedupe"), mode="append")
     return out.select("user_id", "event_type")
+
+
+# ---------------------------------------------------------------------------
+# More reports: summary, scaled features, ordered listings, CSV quarantine
+# ---------------------------------------------------------------------------
+
+@register("quality_summary", f"""
+WITH {SQL_QF}
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST({' + '.join(f"count_if({sql_missing(c, fl)})" for c, fl in QF_COLS)} AS BIGINT) AS n_missing_total,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_quantity, l_extendedprice, l_discount,
+            l_tax, l_returnflag, l_linestatus, disc_per_tax FROM qf)) AS BIGINT) AS n_duplicates
+FROM qf
+""")
+def q_quality_summary(spark, sf):
+    s = quality.quality_summary(D.quality_frame(spark, sf), exclude_from_duplicates=("row_id",))
+    return s.select("n_rows", "n_missing_total", "n_duplicates")
+
+
+@register("scaled_features", f"""
+WITH st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in NUM)} FROM lineitem)
+SELECT {SQL_KEY} AS row_id,
+       {', '.join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END, 8) AS z_{c}"
+                  for c in NUM)}
+FROM lineitem, st
+""")
+def q_scaled_features(spark, sf):
+    from riskframe.operators.features import PopulationStandardScaler
+    li = D.table(spark, sf, "lineitem").select(D.lineitem_key().alias("row_id"), *NUM)
+    m = PopulationStandardScaler(NUM, [f"z_{c}" for c in NUM]).fit(li)
+    return m.transform(li).select("row_id", *[r(f"z_{c}", 8).alias(f"z_{c}") for c in NUM])
+
+
+@register("top_runs_by_f1", f"""
+WITH {SQL_RUNS}
+SELECT run_id, run_name, round(f1, {DIGITS}) AS f1,
+       CAST(row_number() OVER (ORDER BY f1 DESC, run_id) AS INTEGER) AS position
+FROM runs WHERE status = 'FINISHED' ORDER BY f1 DESC, run_id LIMIT 5
+""")
+def q_top_runs_by_f1(spark, sf):
+    """T1 + T4: the five best finished runs by F1 (a top-k report)."""
+    from pyspark.sql import Window
+    f = runs.finished(D.runs_table(spark, sf))
+    top = f.orderBy(F.col("f1").desc(), "run_id").limit(5)
+    # five rows after the limit: a total order over them is cheap
+    w = Window.orderBy(F.col("f1").desc(), "run_id")
+    return _rounded(top.select("run_id", "run_name", "f1",
+                               F.row_number().over(w).alias("position")), ["f1"])
+
+
+@register("sample_rows", f"""
+SELECT {SQL_KEY} AS row_id, l_quantity, l_extendedprice FROM lineitem
+ORDER BY row_id LIMIT 5
+""")
+def q_sample_rows(spark, sf):
+    """T4: the first rows in key order (the input-example feature)."""
+    li = D.table(spark, sf, "lineitem")
+    return (li.select(D.lineitem_key().alias("row_id"), "l_quantity", "l_extendedprice")
+            .orderBy("row_id").limit(5))
+
+
+def _scoring_csv(spark, sf) -> str:
+    """lineitem written as a comma-separated batch; returned rows (flag R)
+    carry one extra field, as a malformed upload would."""
+    from riskframe.session import scratch_path
+    path = scratch_path(spark, "scoring-csv")
+    li = D.table(spark, sf, "lineitem")
+    header = spark.createDataFrame([("l_orderkey,l_linenumber,l_quantity,l_discount",)], "value string")
+    body = li.select(F.concat_ws(",", "l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+                                 F.when(F.col("l_returnflag") == "R", F.lit("extra")))
+                     .alias("value"))
+    header.unionByName(body).coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+SCORING_TYPES_SQL = "l_orderkey, l_linenumber, l_quantity, l_discount"
+
+
+@register("scoring_csv_valid", f"""
+SELECT {SCORING_TYPES_SQL} FROM lineitem WHERE l_returnflag <> 'R'
+""")
+def q_scoring_csv_valid(spark, sf):
+    from pyspark.sql import types as T
+    from riskframe.sources.readers import read_scoring_csv
+    types = {"l_orderkey": T.LongType(), "l_linenumber": T.IntegerType(),
+             "l_quantity": T.DoubleType(), "l_discount": T.DoubleType()}
+    good, _ = read_scoring_csv(spark, _scoring_csv(spark, sf), types, ",")
+    return good
+
+
+@register("scoring_csv_quarantine", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, 5 AS n_fields FROM lineitem WHERE l_returnflag = 'R'
+""")
+def q_scoring_csv_quarantine(spark, sf):
+    from pyspark.sql import types as T
+    from riskframe.sources.readers import read_scoring_csv
+    types = {"l_orderkey": T.LongType()}
+    _, bad = read_scoring_csv(spark, _scoring_csv(spark, sf), types, ",")
+    return bad.groupBy("n_fields").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("baseline_training_run")
+def q_baseline_training_run(spark, sf):
+    """K11 for the prior baseline: split, CV, test metrics as a long table."""
+    from riskframe.operators import models
+    run = models.train_model("dummy", _model_frame(spark, sf), F.col("row_id"), NUM,
+                             ["l_linestatus"], "none")
+    rows = [(run["run_name"], k, float(v) if v is not None else None)
+            for k, v in sorted(run["metrics"].items()) if k != "train.fit_seconds"]
+    return spark.createDataFrame(rows, "run_name string, metric string, value double")
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf):
+    """A model fitted on the lineitem training split scores lineitem read
+    as a file stream; invalid rows are flagged for the quarantine sink."""
+    from riskframe.operators import models
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import run_to_table, score_stream
+    d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
+    pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
+                                    ["l_linestatus"])
+    model = pipe.fit(d.where(F.col("split") == "train"))
+    base = sf.rstrip("/")
+    schema = D.table(spark, sf, "lineitem").schema
+    stream = (spark.readStream.schema(schema).option("basePath", base)
+              .parquet(f"{base}/lineitem.parque[t]")
+              .select(D.lineitem_key().alias("row_id"), *NUM, "l_linestatus"))
+    scored = score_stream(stream, model, D.LINEITEM_RULES_NUMERIC, "1")
+    out = run_to_table(scored.select("row_id", "is_valid", "predicted_class", "risk_level"),
+                       scratch_path(spark, "stream-score"), mode="append")
+    return out

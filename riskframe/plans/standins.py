@@ -31,6 +31,10 @@ LINEITEM_RULES = S.ValidationRules(
             S.RangeRule("l_extendedprice", 1000.0, 100000.0)),
     enums=(("l_returnflag", ("A", "N")), ("l_linestatus", ("O", "F"))),
 )
+LINEITEM_RULES_NUMERIC = S.ValidationRules(
+    ranges=(S.RangeRule("l_quantity", 1.0, 45.0), S.RangeRule("l_discount", 0.0, 0.08)),
+    enums=(("l_linestatus", ("O", "F")),),
+)
 LINEITEM_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINEITEM_CATEGORICAL = ("l_returnflag", "l_linestatus")
 EVENT_FEATURES = ("value", "user_id", "level")
