@@ -41,8 +41,9 @@ def bisect_right(bounds, value, n_bounds: int):
 
 
 def plan_buckets(df: DataFrame, group_cols: list[str],
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[int, int]:
+                 rows_per_bucket: int | None = None) -> tuple[int, int]:
     """(buckets per group, number of groups) from one small aggregate."""
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     stats = (df.groupBy(*group_cols).count()
              .agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g"))
              .first())
@@ -54,7 +55,7 @@ def running_sums(df: DataFrame, group_cols: list[str], order_col: str,
                  value_cols: list[str], *, descending: bool = False,
                  tie_cols: tuple[str, ...] = (), prefix: str = "cum_",
                  n_buckets: int | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``{prefix}{v}``: inclusive running sum of ``v`` ordered by
     ``order_col`` (then ``tie_cols``) within ``group_cols``.
 

@@ -1056,7 +1056,7 @@ def q_model_scoring(spark, sf):
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
     pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
                                     ["l_linestatus"])
-    model = pipe.fit(d.where(F.col("split") == "train"))
+    model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     scored = models.score_table(model, d.where(F.col("split") == "test"), "1")
     return scored.select("row_id", "predicted_class", r("probability_1", 6).alias("probability"),
                          "risk_level", "model_version")
@@ -1067,7 +1067,7 @@ def q_baseline_scoring(spark, sf):
     from riskframe.operators import models
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
     pipe, _ = models.build_pipeline(models.build_model_spec("dummy"), NUM, ["l_linestatus"])
-    model = pipe.fit(d.where(F.col("split") == "train"))
+    model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     scored = models.score_table(model, d.where(F.col("split") == "test"), "baseline")
     return scored.select("row_id", "predicted_class", "risk_level")
 
@@ -1301,7 +1301,7 @@ def q_stream_scoring(spark, sf):
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
     pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
                                     ["l_linestatus"])
-    model = pipe.fit(d.where(F.col("split") == "train"))
+    model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     base = sf.rstrip("/")
     schema = D.table(spark, sf, "lineitem").schema
     stream = (spark.readStream.schema(schema).option("basePath", base)
