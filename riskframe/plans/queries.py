@@ -1311,3 +1311,13 @@ def q_stream_scoring(spark, sf):
     out = run_to_table(scored.select("row_id", "is_valid", "predicted_class", "risk_level"),
                        scratch_path(spark, "stream-score"), mode="append")
     return out
+
+
+@register("drift_report_kll")
+def q_drift_report_kll(spark, sf):
+    """A26 with reference deciles from KLL sketches (approximate edges, so
+    no exact oracle; KS is unchanged)."""
+    ref, cur = D.drift_samples(spark, sf)
+    rep = drift.drift_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction",
+                             method="kll")
+    return _rounded(rep, ["psi", "ks_statistic", "ks_pvalue"])

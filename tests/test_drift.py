@@ -92,3 +92,13 @@ def test_injection_is_deterministic(spark):
     assert sorted(a.collect()) == sorted(b.collect())
     r = a.agg(F.avg("age"), F.avg("bp"), F.avg("chol")).first()
     assert r[0] == 53.0 and 125 < r[1] < 129 and 1.05 < r[2] < 1.4
+
+
+def test_kll_edges_close_to_exact(spark):
+    rng = np.random.default_rng(8)
+    r, c = rng.normal(0, 1, 20000), rng.normal(0.5, 1, 20000)
+    ref, cur = _sample(spark, {"x": r}), _sample(spark, {"x": c})
+    exact = drift.drift_report(ref, cur, ["x"]).first()
+    kll = drift.drift_report(ref, cur, ["x"], method="kll").first()
+    assert abs(exact["psi"] - kll["psi"]) < 0.02 and exact["verdict"] == kll["verdict"]
+    assert exact["ks_statistic"] == kll["ks_statistic"]
