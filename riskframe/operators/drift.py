@@ -241,7 +241,9 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
     import math as _m
 
     from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
-    collapsed = collapse_pair(ref_long, cur_long)
+    from riskframe.session import cut_lineage
+    # every branch below reads this table: write it once to the shared folder
+    collapsed = cut_lineage(collapse_pair(ref_long, cur_long))
     stats = collapsed_stats(collapsed)
     largest = max((r["d_all"] for r in stats), default=0)
     edges = _edges(kll_quantiles(ref_long, linspace(n_bins))) if method == "kll" else None

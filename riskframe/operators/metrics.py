@@ -136,6 +136,9 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     valid = F.col(label).isNotNull() & F.col(prediction).isNotNull()
     base = df.groupBy(*keys, F.col(score).alias("score"), p.alias("__p"), valid.alias("__v")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y & F.col(label).isNotNull()).alias("neg"))
+    # the collapsed rows feed confusion, AUC and AP: materialise them once
+    from riskframe.session import cut_lineage
+    base = cut_lineage(base)
     conf = base.where("__v").groupBy(*keys).agg(
         F.sum(F.when(F.col("__p"), F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(F.col("__p"), F.col("neg")).otherwise(0)).alias("fp"),
@@ -152,8 +155,8 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     if group_cols:
         return out.join(auc, keys, "left").join(ap, keys, "left")
     one = F.lit(1).alias("__one")
-    return (out.select("*", one).join(auc.select("*", one), "__one")
-            .join(ap.select("*", one), "__one").drop("__one"))  # one-row frames
+    return (out.select("*", one).join(F.broadcast(auc.select("*", one)), "__one")
+            .join(F.broadcast(ap.select("*", one)), "__one").drop("__one"))  # one-row frames
 
 
 def flatten_metrics(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

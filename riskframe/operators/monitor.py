@@ -123,21 +123,31 @@ def promotion_gate(paired: DataFrame, label: str, candidate: str, production: st
             .withColumn("promote", (F.col("b") > F.col("c")) & (F.col("p_value") < alpha)))
 
 
+def daily_counts(long: DataFrame, ts: str = "ts") -> DataFrame:
+    """``(feature, value, day, n)``: the long rows collapsed per day; a
+    continuous feature keeps its size, a coded one shrinks to levels x days."""
+    return (long.groupBy("feature", "value", F.to_date(ts).alias("day"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def daily_psi_vs_trailing(long: DataFrame, edges: DataFrame, ts: str = "ts",
                           window_days: int = S.REFERENCE_WINDOW_DAYS,
-                          eps: float = S.PSI_EPSILON) -> DataFrame:
+                          eps: float = S.PSI_EPSILON, counted: bool = False) -> DataFrame:
     """Each day's distribution vs the previous ``window_days`` days, on
-    frozen bin edges ``(feature, edges)``.
+    frozen bin edges ``(feature, edges)``. ``counted=True`` takes the output
+    of :func:`daily_counts` instead of raw long rows.
 
     Rows are first counted per (feature, bin, day). Each daily count is then
     credited to the ``window_days`` following days (a fixed fan-out of the
     small daily table, not of the rows), so the reference side of day d is
     the sum of days d-window..d-1. A bin seen on only one side still counts.
     """
+    day = F.col("day") if counted else F.to_date(ts)
+    weight = F.col("n") if counted else F.lit(1)
     binned = (long.join(F.broadcast(edges), "feature")  # one row per feature
               .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"),
-                       F.to_date(ts).alias("day"))
-              .agg(F.count(F.lit(1)).alias("n")))
+                       day.alias("day"))
+              .agg(F.sum(weight).alias("n")))
     ref = (binned.select("feature", "bin", "n", "day",
                          F.explode(F.sequence(F.lit(1), F.lit(window_days))).alias("k"))
            .groupBy("feature", "bin", F.date_add("day", F.col("k")).alias("day"))

@@ -59,10 +59,11 @@ def duplicate_count(df: DataFrame, exclude: tuple[str, ...] = ("id",)) -> DataFr
     cols = [c for c in df.columns if c not in exclude]
     # null and NaN are one "missing" value, as in pandas
     norm = [F.when(~is_missing(c, types[c]), F.col(c)).alias(c) for c in cols]
-    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    d = df.select(*norm).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
-    one = F.lit(1).alias("__one")
-    return (n.select("*", one).join(d.select("*", one), "__one").drop("__one")
+    # one scan: distinct rows with their multiplicity give both counts
+    groups = df.select(*norm).groupBy(*cols).agg(F.count(F.lit(1)).alias("__m"))
+    return (groups.agg(F.sum("__m").cast("long").alias("n_rows"),
+                       F.count(F.lit(1)).alias("n_distinct"))
+            .withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0).cast("long")))
             .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct")))
 
 
@@ -96,7 +97,7 @@ def quality_report(df: DataFrame, ranges: tuple[S.RangeRule, ...] = S.CLINICAL_B
     c = counters(df, ranges, inversion)
     dup = duplicate_count(df, exclude_from_duplicates).select("n_duplicates")
     one = F.lit(1).alias("__one")
-    c = c.select("*", one).join(dup.select("*", one), "__one")
+    c = c.select("*", one).join(F.broadcast(dup.select("*", one)), "__one")  # one row each
 
     def issue(col: str, desc: str, count: Column, severity: Column) -> Column:
         return F.struct(F.lit(col).alias("column"), F.lit(desc).alias("description"),
@@ -130,14 +131,14 @@ def quality_summary(df: DataFrame, label: str | None = None,
     c = counters(df)
     total = sum((F.col(f"miss__{n}") for n in df.columns), F.lit(0))
     out = c.select("n_rows", total.cast("long").alias("n_missing_total"), F.lit(1).alias("__one"))
-    out = out.join(duplicate_count(df, exclude_from_duplicates)
-                   .select("n_duplicates", F.lit(1).alias("__one")), "__one")
+    out = out.join(F.broadcast(duplicate_count(df, exclude_from_duplicates)
+                               .select("n_duplicates", F.lit(1).alias("__one"))), "__one")
     for name, col in (("class_balance", label), ("subgroup_balance", subgroup)):
         if col is None:
             continue
         p = proportions(df, col).agg(F.map_from_entries(F.collect_list(
             F.struct(F.col("value"), F.col("proportion")))).alias(name))
-        out = out.join(p.select("*", F.lit(1).alias("__one")), "__one")
+        out = out.join(F.broadcast(p.select("*", F.lit(1).alias("__one"))), "__one")
     return out.drop("__one")
 
 
@@ -147,7 +148,7 @@ def proportions(df: DataFrame, col: str) -> DataFrame:
     present = df.where(~is_missing(col, types[col]))
     counts = present.groupBy(F.col(col).cast("string").alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    total = present.agg(F.count(F.lit(1)).alias("total"))
+    total = counts.agg(F.sum("n").alias("total"))   # from the level counts, no second scan
     one = F.lit(1).alias("__one")
     return (counts.select("*", one).join(F.broadcast(total.select("*", one)), "__one")
             .select("value", "n", (F.col("n") / F.col("total")).alias("proportion")))

@@ -654,17 +654,17 @@ FROM grid g LEFT JOIN rb ON g.feature = rb.feature AND g.bin = rb.bin
             LEFT JOIN cb ON g.feature = cb.feature AND g.bin = cb.bin
 """)
 def q_psi_bins(spark, sf):
+    from riskframe.session import cut_lineage
     ref, cur = D.drift_samples(spark, sf)
     rl, cl, _ = drift.long_pair(ref, cur, list(D.EVENT_FEATURES), "prediction")
-    edges = drift.psi_edges(rl).where(F.size("edges") >= 3)
+    collapsed = cut_lineage(drift.collapse_pair(rl, cl))
+    edges = (drift._edges(drift.quantiles_from_counts(collapsed, FRACS, "nr"))
+             .where(F.size("edges") >= 3))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
-
-    def counts(long, name):
-        return (long.join(F.broadcast(edges), "feature")
-                .groupBy("feature", drift.bin_index(F.col("edges"), F.col("value")).alias("bin"))
-                .agg(F.count(F.lit(1)).alias(name)))
-    return (grid.join(counts(rl, "n_ref"), ["feature", "bin"], "left")
-            .join(counts(cl, "n_cur"), ["feature", "bin"], "left")
+    counts = (collapsed.join(F.broadcast(edges), "feature")   # one row per feature
+              .groupBy("feature", drift.bin_index(F.col("edges"), F.col("value")).alias("bin"))
+              .agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur")))
+    return (grid.join(counts, ["feature", "bin"], "left")
             .fillna(0, ["n_ref", "n_cur"]))
 
 
@@ -948,12 +948,16 @@ SELECT feature, day,
 FROM t WHERE ref_total > 0 AND cur_total > 0 GROUP BY feature, day
 """)
 def q_daily_psi(spark, sf):
+    from riskframe.session import cut_lineage
     ev = D.events_frame(spark, sf)
     long = (ev.select("ts", F.lit("value").alias("feature"), F.col("value").cast("double").alias("value"))
             .unionByName(ev.select("ts", F.lit("user_id").alias("feature"),
                                    F.col("user_id").cast("double").alias("value"))))
-    edges = drift.psi_edges(long.where(F.dayofmonth("ts") <= 7).select("feature", "value"))
-    return _rounded(monitor.daily_psi_vs_trailing(long, edges, "ts"), ["psi"])
+    counts = cut_lineage(monitor.daily_counts(long, "ts"))   # read the events once
+    first_week = (counts.where(F.dayofmonth("day") <= 7)
+                  .groupBy("feature", "value").agg(F.sum("n").alias("cnt")))
+    edges = drift._edges(drift.quantiles_from_counts(first_week, FRACS))
+    return _rounded(monitor.daily_psi_vs_trailing(counts, edges, counted=True), ["psi"])
 
 
 # ---------------------------------------------------------------------------

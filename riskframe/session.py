@@ -18,6 +18,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # a broadcast is only ever requested explicitly for sides with a size bound
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
