@@ -1,5 +1,3 @@
-import pytest
-from pyspark.sql import functions as F
 
 from riskframe.operators import runs
 

@@ -2,7 +2,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.operators import drift, quality, runs
