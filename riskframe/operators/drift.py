@@ -59,6 +59,17 @@ def collapse_pair(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
 
 def quantiles_from_counts(counts: DataFrame, fractions: list[float],
                           count_col: str = "cnt", stats: list | None = None) -> DataFrame:
+    """Exact quantiles per feature from ``(feature, value, count)`` rows by
+    distributed selection (scans and small aggregates, no sort); see
+    :mod:`riskframe.operators.selection`. ``stats`` is accepted for
+    signature compatibility with :func:`quantiles_by_ranks`."""
+    from riskframe.operators.selection import select_quantiles
+    return select_quantiles(counts.select("feature", "value", count_col), fractions,
+                            weight=count_col)
+
+
+def quantiles_by_ranks(counts: DataFrame, fractions: list[float],
+                       count_col: str = "cnt", stats: list | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles per feature from
     ``(feature, value, count)`` rows: cumulative counts with
     :func:`running_sums`, then the values at ranks floor/ceil of ``(n-1)q``.
@@ -106,9 +117,10 @@ def quantiles_from_counts(counts: DataFrame, fractions: list[float],
 
 
 def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
-    """Exact quantiles per feature (A21) of a long ``(feature, value)`` frame."""
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return quantiles_from_counts(counts, fractions)
+    """Exact quantiles per feature (A21) of a long ``(feature, value)`` frame,
+    by distributed selection (no sort of the values)."""
+    from riskframe.operators.selection import select_quantiles
+    return select_quantiles(long.select("feature", "value"), fractions)
 
 
 def _edges(quantiles: DataFrame) -> DataFrame:

@@ -78,3 +78,20 @@ def test_descending_running_sums_with_buckets(spark):
     a = ordered.running_sums(df, ["g"], "v", ["w"], descending=True, n_buckets=6)
     got = {r["v"]: r["cum_w"] for r in a.collect()}
     assert all(got[float(v)] == 500 - v for v in range(500))
+
+
+def test_selection_matches_rank_quantiles(spark):
+    from riskframe.operators import selection
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(0, 1, 5000), np.full(3000, 1.25), rng.integers(0, 4, 2000)])
+    long = spark.createDataFrame([("x", float(v)) for v in x] + [("y", float(v) * 3) for v in x[:700]],
+                                 "feature string, value double")
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    fr = drift.linspace(10) + [0.5, 0.01]
+    by_rank = _collect(drift.quantiles_by_ranks(counts, fr), ["feature", "i", "quantile"],
+                       ["feature", "i"])
+    for band in (100_000, 37):        # one pass, and forced multi-round narrowing
+        sel = _collect(selection.select_quantiles(long, fr, max_band=band),
+                       ["feature", "i", "quantile"], ["feature", "i"])
+        assert sel == by_rank
+    assert [v for f, i, v in by_rank if f == "x"] == list(np.quantile(x, fr))
