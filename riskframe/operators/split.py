@@ -71,6 +71,30 @@ def exact_stratified_split(df: DataFrame, key: Column, label: str, seed: int,
             .drop("__u", "__key", "__rank", "__quota"))
 
 
+def split_with_folds(df: DataFrame, key: Column, label: str, seed: int,
+                     test_size: float = 0.2, k: int = 5, split_col: str = "split",
+                     fold_col: str = "fold") -> tuple[DataFrame, dict]:
+    """W4 + W5 from one ranking pass. The test rows of a class are its first
+    ``quota`` rows in (u, key) order, so a training row's rank among the
+    training rows is ``rank - quota``: folds come out exactly as
+    :func:`stratified_folds` on the training rows would give them, without
+    ranking twice. Returns the frame and the training rows per class."""
+    counts = [(r[label], r["count"]) for r in df.groupBy(label).count().collect()]
+    quotas = class_quotas(counts, test_size)
+    q = df.sparkSession.createDataFrame(
+        [(c, int(v)) for c, v in quotas.items()],
+        df.select(label).schema.add("__quota", "long"))
+    ranked = _class_ranks(df, key, label, seed, max((c for _, c in counts), default=0))
+    test = F.col("__rank") <= F.col("__quota")
+    out = (ranked.join(F.broadcast(q), label, "left")   # one row per class
+           .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+           .withColumn(fold_col, F.when(~test, F.pmod(F.col("__rank") - F.col("__quota") - 1,
+                                                      F.lit(k)).cast("int")))
+           .drop("__u", "__key", "__rank", "__quota"))
+    train_counts = {c: n - quotas[c] for c, n in counts}
+    return out, train_counts
+
+
 def stratified_folds(df: DataFrame, key: Column, label: str, k: int, seed: int,
                      out_col: str = "fold") -> DataFrame:
     """fold = (rank-1) mod k inside each class, so fold sizes differ

@@ -1045,9 +1045,9 @@ def _model_frame(spark, sf):
 @register("cv_tuning")
 def q_cv_tuning(spark, sf):
     from riskframe.operators import models
-    d = split.exact_stratified_split(_model_frame(spark, sf), F.col("row_id"), "label", SEED)
-    train = split.stratified_folds(d.where(F.col("split") == "train"), F.col("row_id"),
-                                   "label", 5, SEED)
+    d, train_counts = split.split_with_folds(_model_frame(spark, sf), F.col("row_id"), "label",
+                                             SEED, 0.2, 5)
+    train = models.with_balanced_weights(d.where(F.col("split") == "train"), counts=train_counts)
     res = models.tune_with_cv(models.build_model_spec("logistic_regression"), train, NUM,
                               ["l_linestatus"])
     rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(res.all_metrics)]

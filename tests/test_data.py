@@ -122,3 +122,15 @@ def test_derived_bands(spark):
     assert [r["bmi_class"] for r in out] == ["abaixo", "normal", "obeso"]
     assert [r["bp_category"] for r in out] == ["crise", "normal", "hipertensao_1"]
     assert out[0]["age_decade"] == 40 and out[0]["pulse_pressure"] == 90.0
+
+
+def test_split_with_folds_equals_two_passes(clinical):
+    key = F.col("id").cast("string")
+    one, train_counts = split.split_with_folds(clinical, key, "label", 42, 0.2, 5)
+    two = split.exact_stratified_split(clinical, key, "label", 42, 0.2)
+    folds = split.stratified_folds(two.where("split = 'train'"), key, "label", 5, 42)
+    a = sorted((r["id"], r["split"], r["fold"]) for r in one.collect())
+    b = sorted([(r["id"], "train", r["fold"]) for r in folds.collect()]
+               + [(r["id"], "test", None) for r in two.where("split = 'test'").collect()])
+    assert a == b
+    assert sum(train_counts.values()) == one.where("split = 'train'").count()
