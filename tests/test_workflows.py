@@ -14,9 +14,9 @@ def test_experiment_select_load_score(spark, clinical):
                                    f"{d}/runs", f"{d}/models", ["dummy", "logistic_regression"],
                                    ("none",), folds=2)
     assert len(ids) == 2
-    ranking = workflows.select_and_register(spark, f"{d}/runs", f"{d}/registry", "cardio")
+    ranking = workflows.select_and_register(spark, f"{d}/runs", f"{d}/registry", "risk_model")
     assert ranking.count() == 1                       # the baseline is not a candidate
-    model, version = workflows.load_production(spark, f"{d}/registry", f"{d}/models", "cardio")
+    model, version = workflows.load_production(spark, f"{d}/registry", f"{d}/models", "risk_model")
     assert version == "1"
     req = clinical.select(*[c for c in NUMERIC + CATEGORICAL]).withColumn(
         "bmi", F.when(F.col("gender") == 1, F.lit(None)).otherwise(F.col("bmi")))
@@ -24,8 +24,8 @@ def test_experiment_select_load_score(spark, clinical):
     assert scored.count() + bad.count() == clinical.count()
     assert scored.where("risk_level IS NULL").count() == 0
     # a second selection archives version 1
-    workflows.select_and_register(spark, f"{d}/runs", f"{d}/registry", "cardio")
-    _, v2 = workflows.load_production(spark, f"{d}/registry", f"{d}/models", "cardio")
+    workflows.select_and_register(spark, f"{d}/runs", f"{d}/registry", "risk_model")
+    _, v2 = workflows.load_production(spark, f"{d}/registry", f"{d}/models", "risk_model")
     assert v2 == "2"
 
 
