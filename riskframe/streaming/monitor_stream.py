@@ -85,14 +85,22 @@ def dedupe_stream(stream: DataFrame, ts: str, cols: list[str], watermark: str =
 
 def run_to_table(df: DataFrame, checkpoint: str, mode: str = "update") -> DataFrame:
     """Run a streaming query over what is available and return the result
-    as a batch DataFrame written under the checkpoint folder."""
+    as a batch DataFrame written under the checkpoint folder.
+
+    ``complete`` re-emits the whole result each micro-batch, so the sink
+    overwrites; ``append`` and ``update`` append (for ``update`` the newest
+    row per key is the current value)."""
     spark = df.sparkSession
     out = f"{checkpoint}/out"
+    overwrite = mode == "complete"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(out)
+        batch.write.mode("overwrite" if overwrite else "append").parquet(out)
 
     q = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/state")
          .foreachBatch(sink).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    try:
+        return spark.read.parquet(out)
+    except Exception:  # no micro-batch produced rows: empty result, same schema
+        return spark.createDataFrame([], df.schema)

@@ -20,3 +20,20 @@ def test_feedback_join_is_time_bounded(spark):
     j = feedback_join(ps, os_, "rid", "ts", "ots", "7 days")
     got = run_to_table(j.select("p.rid", "prediction", "outcome"), f"{d}/ck", mode="append").collect()
     assert [(r["rid"], r["prediction"], r["outcome"]) for r in got] == [(1, 1, 1)]
+
+
+def test_complete_mode_over_several_batches_has_no_duplicates(spark):
+    from riskframe.streaming.monitor_stream import sliding_confusion
+    d = tempfile.mkdtemp(prefix="riskframe-stream2-")
+    for i, day in enumerate(["2024-01-01 10:00:00", "2024-01-02 10:00:00", "2024-01-03 10:00:00"]):
+        spark.createDataFrame([(day, 1, 1)], "ts string, label int, prediction int") \
+            .withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{d}/in/part{i}")
+    schema = "ts timestamp, label int, prediction int"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{d}/in")
+    out = run_to_table(sliding_confusion(s, "ts", "label", "prediction", "2 days", "1 day"),
+                       f"{d}/ck", mode="complete")
+    rows = out.collect()
+    starts = [r["window_start"] for r in rows]
+    assert len(starts) == len(set(starts)) == 4
+    assert sum(r["tp"] for r in rows) == 6          # each event in two 2-day windows
