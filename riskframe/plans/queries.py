@@ -1175,8 +1175,12 @@ def q_stream_sliding_confusion(spark, sf):
                       F.to_date("window_end").alias("window_end"), "tp", "fp", "fn", "tn")
 
 
-@register("stream_dedupe")
+@register("stream_dedupe", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
 def q_stream_dedupe(spark, sf):
+    """The table arrives as one file, so one micro-batch: every repeat of
+    a (user, type) inside the watermark delay is dropped, one row per key."""
     from riskframe.session import scratch_path
     from riskframe.streaming.monitor_stream import dedupe_stream, run_to_table
     s = _event_stream(spark, sf).select("ts", "user_id", "event_type")
