@@ -9,7 +9,7 @@ turns the map form ``tags/params/metrics`` into it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe import schema as S
@@ -80,10 +80,16 @@ def composite_score(runs: DataFrame, missing_cost: str = "max_f1") -> DataFrame:
 
 
 def rank_runs(scored: DataFrame) -> DataFrame:
-    """Ranking, best first; ``rank`` is 1-based and deterministic."""
-    order = [F.col("score").desc(), F.col("roc_auc").desc_nulls_last(), F.col("run_id")]
-    # the candidate table is one row per run; ranking it needs a total order
-    return scored.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    """Ranking, best first, ties by AUC (missing last) then run id;
+    ``rank`` is 1-based. Uses the bounded running-sum operator rather than a
+    window over the whole table."""
+    from riskframe.operators.ordered import running_sums
+    x = (scored.withColumn("__g", F.lit(0)).withColumn("__one", F.lit(1))
+         .withColumn("__auc", F.coalesce(-F.col("roc_auc"), F.lit(float("inf")))))
+    r = running_sums(x, ["__g"], "score", ["__one"], descending=True,
+                     tie_cols=("__auc", "run_id"), prefix="__rank")
+    return (r.withColumn("rank", F.col("__rank__one").cast("int"))
+            .drop("__g", "__one", "__auc", "__rank__one"))
 
 
 def winner(scored: DataFrame) -> DataFrame:
