@@ -81,19 +81,25 @@ class ModeImputer(Estimator, HasInputCols, HasOutputCols,
         self._set(inputCols=inputCols or [], outputCols=outputCols or inputCols or [])
 
     def _fit(self, df: DataFrame) -> FillValuesModel:
+        from pyspark.sql import types as T
         cols = self.getInputCols()
         types = {f.name: f.dataType for f in df.schema.fields}
-        parts = []
-        for c in cols:
-            # one row per level after the (map-side combined) count
-            counts = df.where(~is_missing(c, types[c])).groupBy(c).count()
-            parts.append(counts.agg(F.min_by(F.col(c), F.struct(-F.col("count"), F.col(c)))
-                                    .cast("string").alias("mode"))
-                         .select(F.lit(c).alias("feature"), "mode"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        vals = {r["feature"]: r["mode"] for r in out.collect()}
+
+        def level(c):
+            num = (F.col(c).cast("double") if isinstance(types[c], T.NumericType)
+                   else F.lit(None).cast("double"))
+            return F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"),
+                            num.alias("num"), is_missing(c, types[c]).alias("missing"))
+
+        # one scan for all columns; counts per level are combined map-side
+        counts = (df.select(F.explode(F.array(*[level(c) for c in cols])).alias("x"))
+                  .select("x.*").where(~F.col("missing"))
+                  .groupBy("feature", "value", "num").count())
+        # most frequent first; ties to the smallest value (numeric order for numbers)
+        modes = counts.groupBy("feature").agg(
+            F.min_by("value", F.struct(-F.col("count"), F.col("num"), F.col("value")))
+            .alias("mode"))
+        vals = {r["feature"]: r["mode"] for r in modes.collect()}
         return FillValuesModel(cols, self.getOutputCols(), json.dumps(vals))
 
 

@@ -73,3 +73,9 @@ def test_lda_requires_label(clinical):
         FisherLDA("features", "reduced", "label").fit(pre.drop("label"))
     with pytest.raises(ValueError):
         DimReducer("tsne")
+
+
+def test_mode_ties_use_numeric_order(spark):
+    df = spark.createDataFrame([(10, "b"), (10, "b"), (2, "a"), (2, "a")], "n int, s string")
+    vals = ModeImputer(["n", "s"]).fit(df).values()
+    assert vals == {"n": "2", "s": "a"}
