@@ -83,13 +83,14 @@ def running_sums(df: DataFrame, group_cols: list[str], order_col: str,
     # the plan sees the same bounds.
     fractions = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 8 * n_buckets)
+    from pyspark.sql import types as T
     bounds_rows = (x.groupBy(*group_cols)
                    .agg(F.percentile_approx("__o", fractions, accuracy).alias("__b"))
                    .collect())
-    spark = df.sparkSession
-    bounds = spark.createDataFrame(bounds_rows, x.groupBy(*group_cols)
-                                   .agg(F.percentile_approx("__o", fractions, accuracy)
-                                        .alias("__b")).schema)
+    fields = {f.name: f for f in x.schema.fields}
+    schema = T.StructType([fields[c] for c in group_cols]
+                          + [T.StructField("__b", T.ArrayType(T.DoubleType()), True)])
+    bounds = df.sparkSession.createDataFrame(bounds_rows, schema)
     small = (n_groups or len(bounds_rows)) * n_buckets <= MAX_BROADCAST_ROWS
     bounds = F.broadcast(bounds) if small else bounds
     x = (x.join(bounds, group_cols, "left")
