@@ -1165,14 +1165,17 @@ FROM x GROUP BY window_start
 """)
 def q_stream_sliding_confusion(spark, sf):
     from riskframe.session import scratch_path
-    from riskframe.streaming.monitor_stream import run_to_table, sliding_confusion
+    from riskframe.streaming.monitor_stream import (daily_confusion_stream,
+                                                    rolling_windows_from_daily, run_to_table)
     s = _event_stream(spark, sf).select(
         "ts", F.col("event_type").isin("purchase", "signup").cast("int").alias("label"),
         (F.col("value") > 50).cast("int").alias("prediction"))
-    out = run_to_table(sliding_confusion(s, "ts", "label", "prediction"),
-                       scratch_path(spark, "stream-slide"), mode="complete")
-    return out.select(F.to_date("window_start").alias("window_start"),
-                      F.to_date("window_end").alias("window_end"), "tp", "fp", "fn", "tn")
+    # the stream keeps one row per day; the 30-day windows are rolled from those rows
+    daily = run_to_table(daily_confusion_stream(s, "ts", "label", "prediction"),
+                         scratch_path(spark, "stream-daily"), mode="complete")
+    out = rolling_windows_from_daily(daily, S.ROLLING_DAYS)
+    return out.select("window_start", "window_end",
+                      *[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")])
 
 
 @register("stream_dedupe", """

@@ -65,6 +65,32 @@ def sliding_confusion(stream: DataFrame, ts: str, label: str, prediction: str,
                     "tp", "fp", "fn", "tn"))
 
 
+def daily_confusion_stream(stream: DataFrame, ts: str, label: str, prediction: str,
+                           watermark: str = "1 day") -> DataFrame:
+    """Z3, first half: tumbling daily tp/fp/fn/tn. Each event updates one
+    day; the state is one row per open day."""
+    y, p = F.col(label) == 1, F.col(prediction) == 1
+    return (as_event_time(stream, ts).withWatermark(ts, watermark)
+            .groupBy(F.window(ts, "1 day").alias("w"))
+            .agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
+                 F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
+            .select(F.to_date(F.col("w.start")).alias("day"), "tp", "fp", "fn", "tn"))
+
+
+def rolling_windows_from_daily(daily: DataFrame, days: int = S.ROLLING_DAYS) -> DataFrame:
+    """Z3, second half (batch step): the ``days``-long windows sliding by one
+    day, as sums of daily rows. Each daily row is credited to the ``days``
+    windows that contain it: a fixed fan-out of the daily table, not of the
+    events. Equals ``window(ts, '<days> days', '1 day')`` on the events."""
+    starts = daily.select(
+        "tp", "fp", "fn", "tn",
+        F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("k"), "day")
+    return (starts.groupBy(F.date_sub("day", F.col("k")).alias("window_start"))
+            .agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])
+            .withColumn("window_end", F.date_add("window_start", days))
+            .select("window_start", "window_end", "tp", "fp", "fn", "tn"))
+
+
 def feedback_join(predictions: DataFrame, outcomes: DataFrame, key: str,
                   pred_ts: str, outcome_ts: str, max_delay: str = "7 days",
                   watermark: str = "1 day") -> DataFrame:

@@ -37,3 +37,24 @@ def test_complete_mode_over_several_batches_has_no_duplicates(spark):
     starts = [r["window_start"] for r in rows]
     assert len(starts) == len(set(starts)) == 4
     assert sum(r["tp"] for r in rows) == 6          # each event in two 2-day windows
+
+
+def test_daily_then_rolling_equals_sliding_windows(spark):
+    from riskframe.streaming.monitor_stream import (daily_confusion_stream,
+                                                    rolling_windows_from_daily, sliding_confusion)
+    d = tempfile.mkdtemp(prefix="riskframe-stream3-")
+    rows = [(f"2024-01-{1 + i % 9:02d} {i % 24:02d}:00:00", i % 2, (i // 2) % 2) for i in range(60)]
+    spark.createDataFrame(rows, "ts string, label int, prediction int") \
+        .withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{d}/in")
+    schema = "ts timestamp, label int, prediction int"
+
+    def stream():
+        return spark.readStream.schema(schema).parquet(f"{d}/in")
+    direct = run_to_table(sliding_confusion(stream(), "ts", "label", "prediction", "3 days", "1 day"),
+                          f"{d}/ck1", mode="complete")
+    daily = run_to_table(daily_confusion_stream(stream(), "ts", "label", "prediction"),
+                         f"{d}/ck2", mode="complete")
+    rolled = rolling_windows_from_daily(daily, 3)
+    a = sorted((str(r["window_start"])[:10], r["tp"], r["fp"], r["fn"], r["tn"]) for r in direct.collect())
+    b = sorted((str(r["window_start"]), r["tp"], r["fp"], r["fn"], r["tn"]) for r in rolled.collect())
+    assert a == b
