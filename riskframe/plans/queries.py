@@ -447,7 +447,7 @@ def sql_rates(src: str, keys: str = "") -> str:
         CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS capture_rate,
         CASE WHEN fp + tn = 0 THEN 0.0 ELSE fp / (fp + tn) END AS false_alarm_rate,
         tp - (CASE WHEN n = 0 THEN 0.0 ELSE (tp + fn) / n END) * (tp + fn) AS positives_caught_over_random,
-        5.0 AS cost_weight_fn, 1.0 AS cost_weight_fp
+        CAST(5.0 AS DOUBLE) AS cost_weight_fn, CAST(1.0 AS DOUBLE) AS cost_weight_fp
       FROM (SELECT {kc}CAST(count_if(quality = 1 AND prediction = 1) AS BIGINT) AS tp,
                    CAST(count_if(quality = 0 AND prediction = 1) AS BIGINT) AS fp,
                    CAST(count_if(quality = 1 AND prediction = 0) AS BIGINT) AS fn,
@@ -1133,7 +1133,7 @@ lv AS (SELECT 'value' AS feature, value, ts FROM ev UNION ALL SELECT 'user_id',
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
           FROM lv WHERE day(ts) <= 7 GROUP BY feature)
 SELECT CAST(ts AS DATE) AS day, lv.feature,
-       len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+       CAST(len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS INTEGER) AS bin,
        CAST(count(*) AS BIGINT) AS n
 FROM lv JOIN edges e ON lv.feature = e.feature GROUP BY ALL
 """)

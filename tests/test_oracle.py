@@ -10,6 +10,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 SLOW = {"cv_tuning"}
+SPARK_TO_DUCKDB = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                   "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
 
 
 def _norm(v):
@@ -30,6 +32,11 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows, cols = df.collect(), df.columns
+    rel = con.sql(entry.oracle_sql()[name])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: SPARK_TO_DUCKDB.get(repr(f.dataType), repr(f.dataType))
+              for f in df.schema.fields}
+    assert stypes == dtypes
     cur = con.execute(entry.oracle_sql()[name])
     drows, dcols = cur.fetchall(), [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
