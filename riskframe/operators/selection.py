@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 GRID = 4096
 MAX_BAND = 100_000
+# upper bound on the (value, count) rows the final step brings to the driver
+MAX_COLLECT = 1_000_000
 MAX_ROUNDS = 12
 
 
@@ -49,6 +51,9 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
                 state[(f, r)] = {"a": lo, "b": hi, "below": 0, "cnt": n,
                                  "value": lo if lo == hi else None}
 
+    # many wanted ranks share the collect budget: narrow each band further
+    max_band = min(max_band, max(1_000, MAX_COLLECT // max(1, len(state))))
+
     def bands(pred) -> dict:
         out: dict[tuple, int] = {}
         for (f, r), s in state.items():
