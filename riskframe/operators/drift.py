@@ -202,7 +202,44 @@ def kolmogorov_pvalue(lam: Column) -> Column:
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))))
 
 
-def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None) -> DataFrame:
+EXACT_KS_MAX_N = 10_000
+
+
+def ks_exact_pvalue(m: int, n: int, d: float) -> float:
+    """Exact two-sided P(D >= d) for samples of sizes m and n without ties:
+    one minus the probability that a uniformly random monotone lattice path
+    from (0, 0) to (m, n) stays strictly inside |i/m - j/n| < d. Computed
+    on the driver from three numbers, anti-diagonal by anti-diagonal."""
+    import numpy as np
+    if m <= 0 or n <= 0:
+        return float("nan")
+    # compare in integers: |i*n - j*m| >= h is outside
+    h = round(d * m * n)
+    if h <= 0:
+        return 1.0
+    prob = np.zeros(1)                    # cells (i, j) with i + j = 0
+    prob[0] = 1.0
+    for s_ in range(1, m + n + 1):
+        i_lo, i_hi = max(0, s_ - n), min(m, s_)
+        i = np.arange(i_lo, i_hi + 1)
+        j = s_ - i
+        nxt = np.zeros(len(i))
+        prev_lo = max(0, s_ - 1 - n)
+        # step in i from (i-1, j): probability (m - (i-1)) / (m + n - (s-1))
+        src = i - 1 - prev_lo
+        ok = (i >= 1) & (src >= 0) & (src < len(prob))
+        nxt[ok] += prob[src[ok]] * (m - (i[ok] - 1)) / (m + n - (s_ - 1))
+        # step in j from (i, j-1)
+        src = i - prev_lo
+        ok = (j >= 1) & (src >= 0) & (src < len(prob))
+        nxt[ok] += prob[src[ok]] * (n - (j[ok] - 1)) / (m + n - (s_ - 1))
+        nxt[np.abs(i * n - j * m) >= h] = 0.0
+        prob = nxt
+    return float(min(1.0, max(0.0, 1.0 - prob[-1])))
+
+
+def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None,
+                      pvalue: str = "asymptotic") -> DataFrame:
     """Two-sample KS statistic (A24, W3) and asymptotic p-value per feature:
     the largest gap between the two empirical CDFs over the distinct values."""
     totals = collapsed.groupBy("feature").agg(F.sum("nr").alias("tot_r"),
@@ -214,9 +251,24 @@ def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None) -> Dat
                           - F.try_divide(F.col("cum_nc"), F.col("tot_c"))))
               .alias("ks_statistic")))
     en = F.sqrt(F.try_divide(F.col("tot_r") * F.col("tot_c"), F.col("tot_r") + F.col("tot_c")))
-    return d.select("feature", F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0),
-                                      F.col("ks_statistic")).alias("ks_statistic"),
-                    kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
+    out = d.select("feature", "tot_r", "tot_c",
+                   F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0),
+                          F.col("ks_statistic")).alias("ks_statistic"),
+                   kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
+    if pvalue == "asymptotic":
+        return out.drop("tot_r", "tot_c")
+    # "auto"/"exact": exact path count where both samples are small enough
+    # (one row per feature reaches the driver: sizes and statistic)
+    rows = out.collect()
+    fixed = []
+    for r in rows:
+        p = r["ks_pvalue"]
+        m, n, stat = int(r["tot_r"] or 0), int(r["tot_c"] or 0), r["ks_statistic"]
+        if stat is not None and (pvalue == "exact" or max(m, n) <= EXACT_KS_MAX_N):
+            p = ks_exact_pvalue(m, n, stat)
+        fixed.append((r["feature"], stat, p))
+    return collapsed.sparkSession.createDataFrame(
+        fixed, "feature string, ks_statistic double, ks_pvalue double")
 
 
 def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
@@ -242,11 +294,13 @@ def long_pair(reference: DataFrame, current: DataFrame, features: list[str],
 
 def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
                  prediction: str | None = None, n_bins: int = S.PSI_BINS,
-                 method: str = "exact") -> DataFrame:
+                 method: str = "exact", pvalue: str = "asymptotic") -> DataFrame:
     """PSI + KS + verdict for every numeric feature (A26) and the prediction.
 
     ``method="exact"`` takes the reference deciles from exact ranks;
-    ``method="kll"`` from KLL sketches (approximate edges, one pass)."""
+    ``method="kll"`` from KLL sketches (approximate edges, one pass).
+    ``pvalue="asymptotic"`` uses the Kolmogorov series; ``"auto"`` the exact
+    lattice-path probability when both samples have at most 10,000 rows."""
     if method not in ("exact", "kll"):
         raise ValueError(f"unknown method {method!r}")
     ref_long, cur_long, names = long_pair(reference, current, features, prediction)
@@ -260,7 +314,8 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
     largest = max((r["d_all"] for r in stats), default=0)
     edges = _edges(kll_quantiles(ref_long, linspace(n_bins))) if method == "kll" else None
     p = psi_from_collapsed(collapsed, names, n_bins, stats=stats, edges=edges)
-    k = ks_from_collapsed(collapsed, max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET))))
+    k = ks_from_collapsed(collapsed, max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET))),
+                          pvalue)
     return (p.join(k, "feature", "left")
             .withColumn("verdict", psi_verdict("psi"))
             .select("feature", "psi", "ks_statistic", "ks_pvalue", "verdict", "n_ref", "n_cur"))

@@ -102,3 +102,34 @@ def test_kll_edges_close_to_exact(spark):
     kll = drift.drift_report(ref, cur, ["x"], method="kll").first()
     assert abs(exact["psi"] - kll["psi"]) < 0.02 and exact["verdict"] == kll["verdict"]
     assert exact["ks_statistic"] == kll["ks_statistic"]
+
+
+def test_exact_ks_pvalue_matches_enumeration():
+    from itertools import combinations
+    for m, n in [(5, 4), (6, 6), (3, 7)]:
+        total = math.comb(m + n, m)
+        stats = []
+        for pos in combinations(range(m + n), m):       # positions of the first sample
+            a = set(pos)
+            i = j = 0
+            dmax = 0.0
+            for k in range(m + n):
+                if k in a:
+                    i += 1
+                else:
+                    j += 1
+                dmax = max(dmax, abs(i / m - j / n))
+            stats.append(dmax)
+        for d in sorted(set(stats))[1:]:
+            want = sum(1 for x in stats if x >= d - 1e-12) / total
+            assert abs(drift.ks_exact_pvalue(m, n, d) - want) < 1e-12
+
+
+def test_auto_pvalue_in_report(spark):
+    rng = np.random.default_rng(2)
+    r, c = rng.normal(0, 1, 300), rng.normal(0.3, 1, 200)
+    rep = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"],
+                             pvalue="auto").first()
+    assert abs(rep["ks_pvalue"] - drift.ks_exact_pvalue(300, 200, rep["ks_statistic"])) < 1e-15
+    asym = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"]).first()
+    assert abs(asym["ks_pvalue"] - rep["ks_pvalue"]) < 0.05
