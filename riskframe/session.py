@@ -24,13 +24,43 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                 partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (so a
+    task's sort/aggregate buffer fits in executor memory and spills rarely),
+    and never fewer than 2 waves of the cluster's cores. AQE then coalesces
+    small partitions and splits skewed ones at run time.
+    """
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(master: str = "local[8]", app: str = "riskframe",
                   shuffle_partitions: int = 8, driver_memory: str = "16g",
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
+    """A session with our defaults; on a cluster pass ``input_bytes`` to size
+    partitions with :func:`cluster_conf`."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = driver_memory
+    if input_bytes:
+        conf.update(cluster_conf(input_bytes))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

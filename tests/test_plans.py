@@ -49,3 +49,11 @@ def test_large_groups_are_windowed_by_value_bucket(spark, monkeypatch):
     plan = _plan(ordered.running_sums(df, ["grp"], "v", ["w"]))
     windows = [l for l in plan.splitlines() if l.startswith("Arguments:") and "specifiedwindowframe" in l]
     assert windows and all("__k" in l or "grp" not in l for l in windows)
+
+
+def test_cluster_sizing():
+    from riskframe.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)                  # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600   # 256 MB partitions
+    small = cluster_conf(10 * 1024 ** 3, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80       # two waves of 40 cores
