@@ -19,6 +19,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # let AQE coalesce / split the partitions of cached plans too
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # a broadcast is only ever requested explicitly for sides with a size bound
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
