@@ -144,7 +144,8 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
         F.sum(F.when(F.col("__p"), F.col("neg")).otherwise(0)).alias("fp"),
         F.sum(F.when(~F.col("__p"), F.col("pos")).otherwise(0)).alias("fn"),
         F.sum(F.when(~F.col("__p"), F.col("neg")).otherwise(0)).alias("tn"))
-    conf = conf.withColumn("n", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
+    conf = (conf.fillna(0, ["tp", "fp", "fn", "tn"])   # an empty input still gives one row
+            .withColumn("n", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")))
     out = rates_from_confusion(conf, cost_fn, cost_fp)
     counts = (base.where(F.col("score").isNotNull() & ~F.isnan("score"))
               .groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
@@ -155,8 +156,9 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     if group_cols:
         return out.join(auc, keys, "left").join(ap, keys, "left")
     one = F.lit(1).alias("__one")
-    return (out.select("*", one).join(F.broadcast(auc.select("*", one)), "__one")
-            .join(F.broadcast(ap.select("*", one)), "__one").drop("__one"))  # one-row frames
+    # one-row frames; AUC / AP rows are absent when no row has a score
+    return (out.select("*", one).join(F.broadcast(auc.select("*", one)), "__one", "left")
+            .join(F.broadcast(ap.select("*", one)), "__one", "left").drop("__one"))
 
 
 def flatten_metrics(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -93,3 +93,12 @@ def test_sign_test_exact(spark):
         return 1.0 if n == 0 else min(1.0, 2 * sum(math.comb(n, k) for k in range(m + 1)) / 2 ** n)
     for g, (b, c) in zip(got, [(3, 12), (0, 0), (10, 10)]):
         assert abs(g - exact(b, c)) < 1e-12
+
+
+def test_metrics_without_scores_or_rows(spark):
+    rows = [(1, 1, None), (0, 0, None)]
+    df = spark.createDataFrame(rows, "label int, prediction int, score double")
+    m = metrics.evaluate(df, "label", "prediction", "score").collect()
+    assert len(m) == 1 and m[0]["accuracy"] == 1.0 and m[0]["roc_auc"] is None
+    empty = metrics.evaluate(df.limit(0), "label", "prediction", "score").collect()
+    assert len(empty) == 1 and empty[0]["n"] == 0 and empty[0]["f1"] == 0.0
