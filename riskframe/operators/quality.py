@@ -67,6 +67,48 @@ def duplicate_count(df: DataFrame, exclude: tuple[str, ...] = ("id",)) -> DataFr
             .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct")))
 
 
+def duplicate_count_hashed(df: DataFrame, exclude: tuple[str, ...] = ("id",),
+                           broadcast_limit: int = 1_000_000) -> DataFrame:
+    """A3 with a smaller shuffle, same exact answer.
+
+    Phase 1 shuffles only a 96-bit hash of each row (xxhash64 + murmur3)
+    and counts rows per hash. Hash groups of one row are distinct rows.
+    Phase 2 re-reads only the rows whose hash repeats (a semi-join with the
+    repeated hashes, broadcast when they are few) and counts their exact
+    distinct rows, so hash collisions cannot change the result. Worth it for
+    wide rows with few duplicates; :func:`duplicate_count` is one pass.
+    """
+    from pyspark.sql import types as T
+    types = _dtypes(df)
+    cols = [c for c in df.columns if c not in exclude]
+    if not cols:
+        return duplicate_count(df, exclude)
+
+    def norm(c):
+        present = F.when(~is_missing(c, types[c]), F.col(c))
+        if isinstance(types[c], (T.FloatType, T.DoubleType)):
+            present = F.when(present == 0, F.lit(0.0).cast(types[c])).otherwise(present)  # -0.0
+        return present.alias(c)
+
+    x = df.select(*[norm(c) for c in cols])
+    h1, h2 = F.xxhash64(*cols), F.hash(*cols)
+    g = x.groupBy(h1.alias("__h1"), h2.alias("__h2")).agg(F.count(F.lit(1)).alias("__m"))
+    st = g.agg(F.coalesce(F.sum("__m"), F.lit(0)).alias("n_rows"),
+               F.count_if(F.col("__m") == 1).alias("singles"),
+               F.count_if(F.col("__m") > 1).alias("repeated")).first()
+    n_distinct = st["singles"]
+    if st["repeated"]:
+        keys = g.where(F.col("__m") > 1).select("__h1", "__h2")
+        keys = F.broadcast(keys) if st["repeated"] <= broadcast_limit else keys
+        cand = (x.select("*", h1.alias("__h1"), h2.alias("__h2"))
+                .join(keys, ["__h1", "__h2"], "left_semi").drop("__h1", "__h2"))
+        n_distinct += cand.distinct().count()
+    n_rows = int(st["n_rows"])
+    return df.sparkSession.createDataFrame(
+        [(n_rows, int(n_distinct), n_rows - int(n_distinct))],
+        "n_rows long, n_distinct long, n_duplicates long")
+
+
 def range_issues(df: DataFrame, ranges: tuple[S.RangeRule, ...]) -> DataFrame:
     """A4: ``(column, low, high, affected_rows, severity)`` per rule, all rules."""
     c = counters(df, ranges)

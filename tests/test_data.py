@@ -134,3 +134,16 @@ def test_split_with_folds_equals_two_passes(clinical):
                + [(r["id"], "test", None) for r in two.where("split = 'test'").collect()])
     assert a == b
     assert sum(train_counts.values()) == one.where("split = 'train'").count()
+
+
+def test_hashed_duplicate_count_equals_exact(spark):
+    import random
+    rnd = random.Random(3)
+    base = [(rnd.choice([None, float("nan"), 0.0, -0.0, 1.5, 2.5]), rnd.randint(0, 3),
+             rnd.choice(["a", "b", None])) for _ in range(400)]
+    rows = [(i, *r) for i, r in enumerate(base)]
+    df = spark.createDataFrame(rows, "id long, x double, k int, s string")
+    exact = quality.duplicate_count(df).first()
+    hashed = quality.duplicate_count_hashed(df, broadcast_limit=2).first()
+    assert (hashed["n_rows"], hashed["n_duplicates"]) == (exact["n_rows"], exact["n_duplicates"])
+    assert exact["n_duplicates"] > 0
