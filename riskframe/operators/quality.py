@@ -132,12 +132,16 @@ def _fmt(x: float) -> str:
 def quality_report(df: DataFrame, ranges: tuple[S.RangeRule, ...] = S.CLINICAL_BOUNDS,
                    inversion: S.InversionRule | None = S.CLINICAL_INVERSION,
                    exclude_from_duplicates: tuple[str, ...] = ("id",),
-                   inversion_description: str = S.DESC_INVERSION) -> DataFrame:
+                   inversion_description: str = S.DESC_INVERSION,
+                   duplicates: str = "exact") -> DataFrame:
     """Issues ``(issue_order, column, description, affected_rows, severity)``
-    in the fixed order missing, duplicates, ranges, inversion."""
+    in the fixed order missing, duplicates, ranges, inversion.
+    ``duplicates="hashed"`` counts duplicates with the two-phase hashed
+    method (same answer, smaller shuffle for wide rows)."""
     types = _dtypes(df)
     c = counters(df, ranges, inversion)
-    dup = duplicate_count(df, exclude_from_duplicates).select("n_duplicates")
+    counter = duplicate_count_hashed if duplicates == "hashed" else duplicate_count
+    dup = counter(df, exclude_from_duplicates).select("n_duplicates")
     one = F.lit(1).alias("__one")
     c = c.select("*", one).join(F.broadcast(dup.select("*", one)), "__one")  # one row each
 

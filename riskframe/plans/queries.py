@@ -98,6 +98,12 @@ def q_quality_duplicates(spark, sf):
     return quality.duplicate_count(D.quality_frame(spark, sf), exclude=("row_id",))
 
 
+@register("quality_duplicates_hashed", ORACLE["quality_duplicates"])
+def q_quality_duplicates_hashed(spark, sf):
+    """A3 by the two-phase hashed method: must equal the exact count."""
+    return quality.duplicate_count_hashed(D.quality_frame(spark, sf), exclude=("row_id",))
+
+
 def _sql_range_rows() -> list[tuple]:
     return [(rr.column, rr.low, rr.high) for rr in D.LINEITEM_RANGES]
 
