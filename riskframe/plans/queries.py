@@ -1341,3 +1341,34 @@ def q_drift_report_kll(spark, sf):
     rep = drift.drift_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction",
                              method="kll")
     return _rounded(rep, ["psi", "ks_statistic", "ks_pvalue"])
+
+
+@register("stream_feedback_join", """
+SELECT o.o_orderkey AS order_key, l.l_linenumber AS line,
+       CAST(o.o_totalprice > 150000 AS INTEGER) AS prediction,
+       CAST(l.l_returnflag = 'R' AS INTEGER) AS outcome
+FROM orders o JOIN lineitem l
+  ON l.l_orderkey = o.o_orderkey
+ AND l.l_shipdate >= o.o_orderdate AND l.l_shipdate <= o.o_orderdate + INTERVAL 120 DAY
+""")
+def q_stream_feedback_join(spark, sf):
+    """Predictions (one per order, at the order date) joined with
+    outcomes (line items, at their ship date) that arrive within 120 days;
+    both streams watermarked, so join state is bounded by the delay."""
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import feedback_join, run_to_table
+    base = sf.rstrip("/")
+
+    def stream(name):
+        return (spark.readStream.schema(D.table(spark, sf, name).schema)
+                .option("basePath", base).parquet(f"{base}/{name}.parque[t]"))
+    preds = stream("orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("pts"),
+                                    (F.col("o_totalprice") > 150000).cast("int").alias("prediction"))
+    outs = stream("lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("ots"),
+                                     "l_linenumber",
+                                     (F.col("l_returnflag") == "R").cast("int").alias("outcome"))
+    j = feedback_join(preds, outs, "key", "pts", "ots", "120 days", watermark="130 days")
+    out = run_to_table(j.select(F.col("p.key").alias("order_key"), F.col("o.l_linenumber").alias("line"),
+                                "prediction", "outcome"),
+                       scratch_path(spark, "stream-feedback"), mode="append")
+    return out
