@@ -133,11 +133,15 @@ def psi_edges(ref_long: DataFrame, n_bins: int = S.PSI_BINS) -> DataFrame:
     return _edges(exact_quantiles(ref_long, linspace(n_bins)))
 
 
-def bin_index(edges: Column, value: Column) -> Column:
-    """Bin of ``value`` for [a, b) bins with open outer edges (A22):
-    the number of interior edges <= value."""
-    interior = F.slice(edges, 2, F.size(edges) - 2)
-    return F.size(F.filter(interior, lambda e: e <= value))
+def bin_index(edges: Column, value: Column, n_bins: int = S.PSI_BINS) -> Column:
+    """Bin of ``value`` for [a, b) bins with open outer edges (A22): the
+    number of interior edges <= value. Unrolled over the at most
+    ``n_bins - 1`` interior edges so it stays in generated code."""
+    count = F.lit(0)
+    for k in range(2, n_bins + 1):               # interior edges: 1-based 2 .. size-1
+        hit = (F.lit(k) < F.size(edges)) & (F.try_element_at(edges, F.lit(k)) <= value)
+        count = count + F.when(F.coalesce(hit, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+    return count
 
 
 def collapsed_stats(collapsed: DataFrame) -> list:
@@ -165,7 +169,7 @@ def psi_from_collapsed(collapsed: DataFrame, features: list[str], n_bins: int =
                                               F.sum("nc").alias("total_cur"))
     # edges: one row per feature -> broadcast
     binned = (collapsed.join(F.broadcast(usable), "feature")
-              .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"))
+              .groupBy("feature", bin_index(F.col("edges"), F.col("value"), n_bins).alias("bin"))
               .agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur")))
     grid = usable.select("feature", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
     per_bin = (grid.join(binned, ["feature", "bin"], "left").fillna(0, ["n_ref", "n_cur"])

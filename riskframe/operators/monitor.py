@@ -132,7 +132,8 @@ def daily_counts(long: DataFrame, ts: str = "ts") -> DataFrame:
 
 def daily_psi_vs_trailing(long: DataFrame, edges: DataFrame, ts: str = "ts",
                           window_days: int = S.REFERENCE_WINDOW_DAYS,
-                          eps: float = S.PSI_EPSILON, counted: bool = False) -> DataFrame:
+                          eps: float = S.PSI_EPSILON, counted: bool = False,
+                          n_bins: int = S.PSI_BINS) -> DataFrame:
     """Each day's distribution vs the previous ``window_days`` days, on
     frozen bin edges ``(feature, edges)``. ``counted=True`` takes the output
     of :func:`daily_counts` instead of raw long rows.
@@ -145,7 +146,7 @@ def daily_psi_vs_trailing(long: DataFrame, edges: DataFrame, ts: str = "ts",
     day = F.col("day") if counted else F.to_date(ts)
     weight = F.col("n") if counted else F.lit(1)
     binned = (long.join(F.broadcast(edges), "feature")  # one row per feature
-              .groupBy("feature", bin_index(F.col("edges"), F.col("value")).alias("bin"),
+              .groupBy("feature", bin_index(F.col("edges"), F.col("value"), n_bins).alias("bin"),
                        day.alias("day"))
               .agg(F.sum(weight).alias("n")))
     ref = (binned.select("feature", "bin", "n", "day",

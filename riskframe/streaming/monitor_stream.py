@@ -37,7 +37,7 @@ def write_scored(batch: DataFrame, batch_id: int, out: str, quarantine: str) ->
 
 
 def daily_histogram(stream: DataFrame, ts: str, feature_cols: list[str], edges: DataFrame,
-                    watermark: str = "1 day") -> DataFrame:
+                    watermark: str = "1 day", n_bins: int = S.PSI_BINS) -> DataFrame:
     """Tumbling daily counts per (feature, bin) on frozen edges."""
     long = (as_event_time(stream, ts)
             .withWatermark(ts, watermark)
@@ -47,7 +47,7 @@ def daily_histogram(stream: DataFrame, ts: str, feature_cols: list[str], edges:
             .select(ts, "x.*").where(F.col("value").isNotNull() & ~F.isnan("value")))
     return (long.join(F.broadcast(edges), "feature")  # one row per feature
             .groupBy(F.window(ts, "1 day").alias("w"), "feature",
-                     bin_index(F.col("edges"), F.col("value")).alias("bin"))
+                     bin_index(F.col("edges"), F.col("value"), n_bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("day_start"), "feature", "bin", "n"))
 
