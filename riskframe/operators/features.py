@@ -216,16 +216,31 @@ class FisherLDAModel(Model, HasInputCol, HasOutputCol, _Surrogates,
     def output_dim(self) -> int:
         return len(json.loads(self.getOrDefault(self.surrogates))["scalings"])
 
+    UNROLL_MAX_DIM = 256
+
     def _transform(self, df: DataFrame) -> DataFrame:
         fit = json.loads(self.getOrDefault(self.surrogates))
-        mean = F.array(*[F.lit(float(v)) for v in fit["mean"]])
-        x = F.zip_with(vector_to_array(F.col(self.getInputCol())), mean, lambda a, b: a - b)
+        arr = "__lda_x"
+        out = df.withColumn(arr, vector_to_array(F.col(self.getInputCol())))
+        d = len(fit["mean"])
         comps = []
         for w in fit["scalings"]:
-            wv = F.array(*[F.lit(float(v)) for v in w])
-            comps.append(F.aggregate(F.zip_with(x, wv, lambda a, b: a * b), F.lit(0.0),
-                                     lambda acc, v: acc + v))
-        return df.withColumn(self.getOutputCol(), array_to_vector(F.array(*comps)))
+            if d <= self.UNROLL_MAX_DIM:
+                # sum_i (x_i - mean_i) * w_i, written out: stays in generated code
+                terms = [(F.col(arr)[i] - F.lit(float(m))) * F.lit(float(wi))
+                         for i, (m, wi) in enumerate(zip(fit["mean"], w))]
+                total = terms[0]
+                for t in terms[1:]:
+                    total = total + t
+                comps.append(total)
+            else:
+                mean = F.array(*[F.lit(float(v)) for v in fit["mean"]])
+                x = F.zip_with(F.col(arr), mean, lambda a, b: a - b)
+                wv = F.array(*[F.lit(float(v)) for v in w])
+                comps.append(F.aggregate(F.zip_with(x, wv, lambda a, b: a * b), F.lit(0.0),
+                                         lambda acc, v: acc + v))
+        return (out.withColumn(self.getOutputCol(), array_to_vector(F.array(*comps)))
+                .drop(arr))
 
 
 class FisherLDA(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
