@@ -81,6 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(HDFS / object store) for checkpoints and intermediate tables")
+        # local runs and tests only: a machine-local folder is fine on one machine
         current = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
