@@ -32,16 +32,19 @@ from riskframe.operators.drift import exact_quantiles
 class _Surrogates(Params):
     surrogates = Param(Params._dummy(), "surrogates", "json map column -> fill value",
                        typeConverter=TypeConverters.toString)
+    asDouble = Param(Params._dummy(), "asDouble", "output doubles (statistics need not be "
+                     "values of the column's type, e.g. the median of integers)",
+                     typeConverter=TypeConverters.toBoolean)
 
 
 class FillValuesModel(Model, HasInputCols, HasOutputCols, _Surrogates,
                       DefaultParamsReadable, DefaultParamsWritable):
     """Replaces missing values (null / NaN) with fitted per-column values."""
 
-    def __init__(self, inputCols=None, outputCols=None, surrogates="{}"):
+    def __init__(self, inputCols=None, outputCols=None, surrogates="{}", asDouble=False):
         super().__init__()
         self._set(inputCols=inputCols or [], outputCols=outputCols or inputCols or [],
-                  surrogates=surrogates)
+                  surrogates=surrogates, asDouble=asDouble)
 
     def values(self) -> dict:
         return json.loads(self.getOrDefault(self.surrogates))
@@ -49,9 +52,12 @@ class FillValuesModel(Model, HasInputCols, HasOutputCols, _Surrogates,
     def _transform(self, df: DataFrame) -> DataFrame:
         vals = self.values()
         types = {f.name: f.dataType for f in df.schema.fields}
+        as_double = self.getOrDefault(self.asDouble)
         for c, o in zip(self.getInputCols(), self.getOutputCols()):
-            fill = F.lit(vals[c]).cast(types[c]) if vals.get(c) is not None else F.lit(None)
-            df = df.withColumn(o, F.when(is_missing(c, types[c]), fill).otherwise(F.col(c)))
+            out_type = "double" if as_double else types[c]
+            fill = F.lit(vals[c]).cast(out_type) if vals.get(c) is not None else F.lit(None)
+            df = df.withColumn(o, F.when(is_missing(c, types[c]), fill)
+                               .otherwise(F.col(c).cast(out_type)))
         return df
 
 
@@ -69,7 +75,7 @@ class ExactMedianImputer(Estimator, HasInputCols, HasOutputCols,
                 .unpivot([], cols, "feature", "value")
                 .where(F.col("value").isNotNull() & ~F.isnan("value")))
         med = {r["feature"]: r["quantile"] for r in exact_quantiles(long, [0.5]).collect()}
-        return FillValuesModel(cols, self.getOutputCols(), json.dumps(med))
+        return FillValuesModel(cols, self.getOutputCols(), json.dumps(med), asDouble=True)
 
 
 class ModeImputer(Estimator, HasInputCols, HasOutputCols,

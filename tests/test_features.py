@@ -79,3 +79,9 @@ def test_mode_ties_use_numeric_order(spark):
     df = spark.createDataFrame([(10, "b"), (10, "b"), (2, "a"), (2, "a")], "n int, s string")
     vals = ModeImputer(["n", "s"]).fit(df).values()
     assert vals == {"n": "2", "s": "a"}
+
+
+def test_median_of_integers_is_not_truncated(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "k int")
+    out = ExactMedianImputer(["k"], ["k_imp"]).fit(df).transform(df).collect()
+    assert out[4]["k_imp"] == 2.5 and out[0]["k_imp"] == 1.0
