@@ -112,7 +112,8 @@ def quantiles_by_ranks(counts: DataFrame, fractions: list[float],
                 F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("v_hi")))
     return (F.broadcast(targets).join(hit, ["feature", "i"])
             .select("feature", "i", "q",
-                    (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("t"))
+                    F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo"))
+                    .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("t"))
                     .alias("quantile")))
 
 

@@ -42,6 +42,11 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
     stats = {r["feature"]: (int(r["n"]), r["lo"], r["hi"]) for r in
              rows.groupBy("feature").agg(F.sum(w).alias("n"), F.min("value").alias("lo"),
                                          F.max("value").alias("hi")).collect()}
+    if any(math.isinf(lo) or math.isinf(hi) for _, lo, hi in stats.values()):
+        # infinite values have no place on an equal-width grid: use exact ranks
+        from riskframe.operators.drift import quantiles_by_ranks
+        counts = rows.groupBy("feature", "value").agg(F.sum(w).alias("cnt"))
+        return quantiles_by_ranks(counts, fractions)
     # state per wanted (feature, rank): band [a, b], rows below a, rows in band, answer
     state: dict[tuple, dict] = {}
     for f, (n, lo, hi) in stats.items():
@@ -72,8 +77,11 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
         bmap = bands(lambda s: s["cnt"] > max_band)
         if not bmap:
             break
+        # halves keep b - a finite for any finite a, b; the index is monotonic in value
+        half = F.lit(0.5)
+        span = F.col("b") * half - F.col("a") * half
         cell = F.when(F.col("b") == F.col("a"), F.lit(0)).otherwise(
-            F.least(F.floor((F.col("value") - F.col("a")) / (F.col("b") - F.col("a")) * grid),
+            F.least(F.floor((F.col("value") * half - F.col("a") * half) / span * grid),
                     F.lit(grid - 1)))
         cells: dict[int, list] = {}
         for r in (band_rows(bmap).groupBy("band", cell.alias("cell"))
@@ -113,5 +121,7 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
             h = (n - 1) * q
             lo, hi = math.floor(h), math.ceil(h)
             v_lo, v_hi = state[(f, lo)]["value"], state[(f, hi)]["value"]
-            out.append((f, i, float(q), v_lo + (v_hi - v_lo) * (h - lo)))
+            # equal neighbours (also infinities) are the answer as they are
+            val = v_lo if v_lo == v_hi else v_lo + (v_hi - v_lo) * (h - lo)
+            out.append((f, i, float(q), val))
     return spark.createDataFrame(out, "feature string, i int, q double, quantile double")

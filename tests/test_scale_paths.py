@@ -95,3 +95,16 @@ def test_selection_matches_rank_quantiles(spark):
                        ["feature", "i", "quantile"], ["feature", "i"])
         assert sel == by_rank
     assert [v for f, i, v in by_rank if f == "x"] == list(np.quantile(x, fr))
+
+
+def test_selection_extreme_values(spark):
+    from riskframe.operators import selection
+    vals = [-1.7e308, -1.0, 0.0, 2.0, 1.7e308, 5.0, 5.0]
+    long = spark.createDataFrame([("x", v) for v in vals], "feature string, value double")
+    fr = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = [r["quantile"] for r in selection.select_quantiles(long, fr, max_band=2).orderBy("i").collect()]
+    assert got == list(np.quantile(np.array(vals), fr))
+    inf = spark.createDataFrame([("x", v) for v in [float("-inf"), 1.0, 2.0, float("inf")]],
+                                "feature string, value double")
+    got = [r["quantile"] for r in selection.select_quantiles(inf, [0.0, 0.5, 1.0]).orderBy("i").collect()]
+    assert got == [float("-inf"), 1.5, float("inf")]
