@@ -957,16 +957,20 @@ SELECT feature, day,
 FROM t WHERE ref_total > 0 AND cur_total > 0 GROUP BY feature, day
 """)
 def q_daily_psi(spark, sf):
-    from riskframe.session import cut_lineage
     ev = D.events_frame(spark, sf)
-    long = (ev.select("ts", F.lit("value").alias("feature"), F.col("value").cast("double").alias("value"))
-            .unionByName(ev.select("ts", F.lit("user_id").alias("feature"),
+    long = (ev.select("ts", "dom", F.lit("value").alias("feature"),
+                      F.col("value").cast("double").alias("value"))
+            .unionByName(ev.select("ts", "dom", F.lit("user_id").alias("feature"),
                                    F.col("user_id").cast("double").alias("value"))))
-    counts = cut_lineage(monitor.daily_counts(long, "ts"))   # read the events once
-    first_week = (counts.where(F.dayofmonth("day") <= 7)
-                  .groupBy("feature", "value").agg(F.sum("n").alias("cnt")))
-    edges = drift._edges(drift.quantiles_from_counts(first_week, FRACS))
-    return _rounded(monitor.daily_psi_vs_trailing(counts, edges, counted=True), ["psi"])
+    # frozen edges from the first week (selection: a few passes over the
+    # persisted first-week values; the edges come back as driver rows, so the
+    # cache is released right after) ...
+    first_week = long.where(F.col("dom") <= 7).select("feature", "value").persist()
+    edges = drift.psi_edges(first_week)
+    edges = spark.createDataFrame(edges.collect(), edges.schema)   # one row per feature
+    first_week.unpersist()
+    # ... then every row is binned straight into (feature, bin, day) counts
+    return _rounded(monitor.daily_psi_vs_trailing(long, edges, "ts"), ["psi"])
 
 
 # ---------------------------------------------------------------------------
