@@ -57,3 +57,24 @@ def test_cluster_sizing():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600   # 256 MB partitions
     small = cluster_conf(10 * 1024 ** 3, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 80       # two waves of 40 cores
+
+
+def test_no_machine_local_checkpoint_on_a_cluster():
+    from riskframe.session import checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        checkpoint_dir(_Session())
