@@ -1376,3 +1376,14 @@ def q_stream_feedback_join(spark, sf):
                                 "prediction", "outcome"),
                        scratch_path(spark, "stream-feedback"), mode="append")
     return out
+
+
+@register("drift_report_exact_pvalue")
+def q_drift_report_exact_pvalue(spark, sf):
+    """A25 as the reference's library does by default: exact two-sample KS
+    p-values while both samples have at most 10,000 rows, asymptotic beyond
+    (no SQL oracle: the lattice-path probability is computed per feature)."""
+    ref, cur = D.drift_samples(spark, sf)
+    rep = drift.drift_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction",
+                             pvalue="auto")
+    return _rounded(rep, ["psi", "ks_statistic", "ks_pvalue"])
