@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, packing, repair_store, token_counts
+from riskframe.llm import (byte_bpe, chat_format, cotrain, exact_dedup, line_dedup, packing,
+                           quality_rules, repair_store, token_counts)
 from riskframe.llm.common import prepare, read_table
 
 QUERIES: dict = {}
@@ -27,6 +28,27 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+LINE_KEYS_SQL = """
+WITH d AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, line, pos, trim({lower}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM d),
+r AS (SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.line, k.pos, r.key IS NOT NULL AND r.last_doc <> k.doc_id AS gone FROM k LEFT JOIN r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""".format(lower=LOWER_SQL.format("line"))
+
+
+@query("op1_line_dedup", LINE_KEYS_SQL)
+def op1(spark, sf_dir):
+    return line_dedup.digests(read_table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_rules")
+def op2(spark, sf_dir):
+    return quality_rules.verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op3_byte_bpe")
 def op3(spark, sf_dir):
     return byte_bpe.round_trip(spark, read_table(spark, sf_dir, "documents"),
@@ -44,7 +66,26 @@ def op5(spark, sf_dir):
     return repair_store.read_documents(shards)
 
 
+@query("op6_chat_format")
+def op6(spark, sf_dir):
+    turns = chat_format.with_probe(read_table(spark, sf_dir, "conversations"))
+    return chat_format.read_back(chat_format.formatted_table(turns))
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf_dir):
+    return cotrain.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op8_token_counts")
 def op8(spark, sf_dir):
     counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query("op9_exact_dedup", """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256({t}) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY {t})""".format(t=LOWER_SQL.format("coalesce(text, '')")))
+def op9(spark, sf_dir):
+    return exact_dedup.groups(read_table(spark, sf_dir, "documents"))
