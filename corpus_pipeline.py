@@ -1,11 +1,61 @@
-"""A training-corpus pipeline over ``documents``."""
+"""A training-corpus pipeline over ``documents``.
+
+Stages in order: drop what the quality classifier rejects, drop what the certified quality rules
+reject, remove lines that recur over documents, keep one document of each group of near copies,
+pack what is left into token sequences. Each stage takes the Parquet that the one before wrote.
+All but the last return the columns of ``documents``; ``n_chars`` follows the text.
+
+ORACLE_SQL is None: a trained classifier and a tokenizer are beyond SQL, so the tests hold the
+stages against plain Python instead.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskframe.llm import cotrain, jaccard_join, line_dedup, packing, quality_rules
+from riskframe.llm.common import materialize, prepare, read_table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return cotrain.keep_good(docs.select(COLUMNS), read_table(spark, sf_dir, "labels"))
+
+
+def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality_rules.keep_good(docs.select(COLUMNS), read_table(spark, sf_dir, "labels"))
+
+
+def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document that loses every line stays, with empty text."""
+    prepare(spark)
+    out = line_dedup.deduplicate(docs.select(COLUMNS))
+    changed = F.when(F.col("__n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", changed).select(COLUMNS)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_join.keep_one(docs.select(COLUMNS))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(docs.select(COLUMNS), public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality classifier", classified), ("quality rules", ruled), ("line dedup", lines_once),
+          ("n-gram Jaccard join", one_of_near_copies), ("packing", packed)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

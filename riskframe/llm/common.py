@@ -76,6 +76,10 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total, dtype=np.int64)
 
 
+def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
 def hash_bitmap(df: DataFrame, key: str, count: int, max_bits: int = 26) -> np.ndarray:
     """A one-hash membership bitmap of a long column, for pruning before a shuffle.
 
@@ -85,9 +89,15 @@ def hash_bitmap(df: DataFrame, key: str, count: int, max_bits: int = 26) -> np.n
     bits = 16
     while bits < max_bits and (1 << bits) < 16 * count:
         bits += 1
-    pos = F.shiftrightunsigned(F.col(key) * F.lit(-7046029254386353131), 64 - bits)
-    words = (df.select(F.shiftrightunsigned(pos, 6).alias("w"), pos.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v")).toPandas())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pos = np.unique(_place(batch.column(0).to_numpy(), bits))
+            word, start = np.unique(pos >> np.uint64(6), return_index=True)
+            if len(word):
+                value = np.bitwise_or.reduceat(np.uint64(1) << (pos & np.uint64(63)), start)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["w", "v"])
+
+    words = df.select(key).mapInArrow(run, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
     out = np.zeros(1 << (bits - 6), np.int64)
     out[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
     return out.view(np.uint64)
@@ -96,5 +106,5 @@ def hash_bitmap(df: DataFrame, key: str, count: int, max_bits: int = 26) -> np.n
 def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of ``keys`` (64-bit) may be in a :func:`hash_bitmap`."""
     bits = int(len(bitmap)).bit_length() - 1 + 6
-    pos = (keys.astype(np.uint64) * np.uint64(-7046029254386353131 % 2**64)) >> np.uint64(64 - bits)
+    pos = _place(keys, bits)
     return (bitmap[(pos >> np.uint64(6)).astype(np.int64)] >> (pos & np.uint64(63))) & np.uint64(1) == 1

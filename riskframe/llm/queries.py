@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (byte_bpe, chat_format, cotrain, exact_dedup, line_dedup, packing,
+from riskframe.llm import (byte_bpe, chat_format, cotrain, exact_dedup, jaccard_join, line_dedup, packing,
                            quality_rules, repair_store, token_counts)
 from riskframe.llm.common import prepare, read_table
 
@@ -89,3 +89,8 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY {t})""".format(t=LOWER_SQL.format("coalesce(text, '')")))
 def op9(spark, sf_dir):
     return exact_dedup.groups(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_jaccard_join")
+def op10(spark, sf_dir):
+    return jaccard_join.link_components(read_table(spark, sf_dir, "documents"))
