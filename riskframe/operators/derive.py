@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe import schema as S
 from riskframe.functions import bands
-from riskframe.functions.columns import round_half_even, safe_div
+from riskframe.functions.columns import is_missing, round_half_even, safe_div
 
 
 def age_years(age_days: str) -> Column:
@@ -28,8 +28,9 @@ def augment(df: DataFrame, age_days: str = "age", weight: str = "weight",
 
 def fill_bmi(df: DataFrame, bmi_col: str = "bmi", weight: str = "weight",
              height: str = "height") -> DataFrame:
-    """Keep a given BMI, compute it where missing."""
-    return df.withColumn(bmi_col, F.coalesce(F.col(bmi_col), bmi(weight, height)))
+    """Keep a given BMI, compute it where missing (null or NaN)."""
+    given = F.when(~is_missing(F.col(bmi_col)), F.col(bmi_col))
+    return df.withColumn(bmi_col, F.coalesce(given, bmi(weight, height)))
 
 
 def pulse_pressure(high: str, low: str) -> Column:

@@ -207,9 +207,6 @@ def kolmogorov_pvalue(lam: Column) -> Column:
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))))
 
 
-EXACT_KS_MAX_N = 10_000
-
-
 def ks_exact_pvalue(m: int, n: int, d: float) -> float:
     """Exact two-sided P(D >= d) for samples of sizes m and n without ties:
     one minus the probability that a uniformly random monotone lattice path
@@ -222,24 +219,19 @@ def ks_exact_pvalue(m: int, n: int, d: float) -> float:
     h = round(d * m * n)
     if h <= 0:
         return 1.0
-    prob = np.zeros(1)                    # cells (i, j) with i + j = 0
-    prob[0] = 1.0
-    for s_ in range(1, m + n + 1):
-        i_lo, i_hi = max(0, s_ - n), min(m, s_)
-        i = np.arange(i_lo, i_hi + 1)
-        j = s_ - i
-        nxt = np.zeros(len(i))
-        prev_lo = max(0, s_ - 1 - n)
-        # step in i from (i-1, j): probability (m - (i-1)) / (m + n - (s-1))
-        src = i - 1 - prev_lo
-        ok = (i >= 1) & (src >= 0) & (src < len(prob))
-        nxt[ok] += prob[src[ok]] * (m - (i[ok] - 1)) / (m + n - (s_ - 1))
-        # step in j from (i, j-1)
-        src = i - prev_lo
-        ok = (j >= 1) & (src >= 0) & (src < len(prob))
-        nxt[ok] += prob[src[ok]] * (n - (j[ok] - 1)) / (m + n - (s_ - 1))
-        nxt[np.abs(i * n - j * m) >= h] = 0.0
-        prob = nxt
+    # diagonal by diagonal, only the cells with |i*(m + n) - t*m| < h (i + j = t) are kept
+    prob, prev = np.ones(1), 0
+    for t in range(1, m + n + 1):
+        lo = max(0, t - n, (t * m - h) // (m + n) + 1)
+        hi = min(m, t, -((-t * m - h) // (m + n)) - 1)
+        i = np.arange(lo, hi + 1)
+        padded = np.concatenate([[0.0], prob, [0.0]])
+        at = lambda k: padded[np.clip(k - prev + 1, 0, len(padded) - 1)]
+        # from (i-1, j): probability (m - i + 1) / (m + n - t + 1); from (i, j-1): (n - j + 1) / same
+        prob = (at(i - 1) * (m - i + 1) + at(i) * (n - (t - i) + 1)) / (m + n - t + 1)
+        prev = lo
+    if not len(prob):
+        return 1.0
     return float(min(1.0, max(0.0, 1.0 - prob[-1])))
 
 
@@ -262,14 +254,15 @@ def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None,
                    kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
     if pvalue == "asymptotic":
         return out.drop("tot_r", "tot_c")
-    # "auto"/"exact": exact path count where both samples are small enough
-    # (one row per feature reaches the driver: sizes and statistic)
+    if pvalue != "exact":
+        raise ValueError(f"unknown p-value method {pvalue!r}")
+    # one row per feature reaches the driver: sizes and statistic
     rows = out.collect()
     fixed = []
     for r in rows:
         p = r["ks_pvalue"]
         m, n, stat = int(r["tot_r"] or 0), int(r["tot_c"] or 0), r["ks_statistic"]
-        if stat is not None and (pvalue == "exact" or max(m, n) <= EXACT_KS_MAX_N):
+        if stat is not None:
             p = ks_exact_pvalue(m, n, stat)
         fixed.append((r["feature"], stat, p))
     return collapsed.sparkSession.createDataFrame(
@@ -285,7 +278,7 @@ def long_pair(reference: DataFrame, current: DataFrame, features: list[str],
     """Both samples in long form, each from a single unpivot (one scan);
     the prediction column, when given, is one more feature named
     ``prediction`` (A27)."""
-    feats = numeric_features(reference, features)
+    feats = [c for c in numeric_features(reference, features) if c in numeric_features(current, features)]
     names = list(feats) + (["prediction"] if prediction is not None else [])
 
     def long(df: DataFrame) -> DataFrame:
@@ -304,8 +297,9 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
 
     ``method="exact"`` takes the reference deciles from exact ranks;
     ``method="kll"`` from KLL sketches (approximate edges, one pass).
-    ``pvalue="asymptotic"`` uses the Kolmogorov series; ``"auto"`` the exact
-    lattice-path probability when both samples have at most 10,000 rows."""
+    ``pvalue="asymptotic"`` uses the Kolmogorov series; ``"exact"`` the exact
+    lattice-path probability at every size (its cost grows with the sizes). A
+    feature that the current sample lacks is skipped."""
     if method not in ("exact", "kll"):
         raise ValueError(f"unknown method {method!r}")
     ref_long, cur_long, names = long_pair(reference, current, features, prediction)

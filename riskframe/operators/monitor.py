@@ -3,6 +3,9 @@ promotion gate (L1-L5, W7, W8, J6, J7)."""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,30 +86,45 @@ def retrain_triggers(rolling: DataFrame, baseline_recall: Column | float,
                         | F.col("trigger_age") | F.col("trigger_manual")))
 
 
-def sign_test_pvalue(b: Column, c: Column, exact_limit: int = 100_000) -> Column:
+def _stirling_rest(x: Column) -> Column:
+    """log(x!) less Stirling's formula, for x >= 1: a table up to 15, the series beyond."""
+    table = F.array(*(F.lit(math.lgamma(i + 1) - (0.5 * math.log(2 * math.pi * i) + i * math.log(i) - i))
+                      for i in range(1, 16)))
+    r = F.lit(1.0) / (x * x)
+    series = (F.lit(1 / 12) - (F.lit(1 / 360) - (F.lit(1 / 1260) - F.lit(1 / 1680) * r) * r) * r) / x
+    return F.when(x <= 15, F.get(table, F.least(x, F.lit(15.0)).cast("int") - 1)).otherwise(series)
+
+
+def binomial_half_tail(m: Column, n: Column) -> Column:
+    """P[X <= m], X ~ Bin(n, 1/2), for 0 <= m <= n/2 and n >= 1, by one formula for all sizes:
+    (n - m) * P[X = m] * integral over v in (0, 1) of (1 - v)^(n-m-1) * (1 + v)^m.
+
+    P[X = m] comes from the deviance (no difference of large factorials); the integral is taken
+    by Gauss-Legendre nodes over the part where the integrand exceeds exp(-45) of its start.
+    """
+    n, m = n.cast("double"), m.cast("double")
+    k = n - m
+    u = (k - m) / n
+    deviance = n / 2 * ((1 - u) * F.log1p(-u) + (1 + u) * F.log1p(u))
+    rest = _stirling_rest(n) - _stirling_rest(m) - _stirling_rest(k)
+    point = F.when(m <= 0, F.exp(-n * F.lit(math.log(2.0)))).otherwise(
+        F.exp(rest - deviance) * F.sqrt(n / (F.lit(2 * math.pi) * m * k)))
+    slope = k - m - 1
+    reach = F.least(F.lit(1.0), (F.sqrt(slope * slope + 90 * n) - slope) / n)
+    nodes, weights = np.polynomial.legendre.leggauss(64)
+    total = F.lit(0.0)
+    for x, w in zip((nodes + 1) / 2, weights / 2):
+        v = reach * F.lit(float(x))
+        total = total + F.lit(float(w)) * F.exp((k - 1) * F.log1p(-v) + m * F.log1p(v))
+    return F.least(F.lit(1.0), k * point * reach * total)
+
+
+def sign_test_pvalue(b: Column, c: Column) -> Column:
     """Two-sided exact sign test on discordant counts b, c:
-    min(1, 2*P[X <= min(b,c)]), X ~ Bin(b+c, 1/2). The binomial tail is
-    summed in log space; above ``exact_limit`` discordant pairs the normal
-    approximation with continuity correction is used."""
-    n = (b + c).cast("double")
-    m = F.least(b, c)
-
-    def step(acc, k):
-        # log pmf(k+1) = log pmf(k) + log(n-k) - log(k+1)
-        nxt = acc["lp"] + F.log(n - k) - F.log(k + F.lit(1.0))
-        return F.struct(nxt.alias("lp"), (acc["s"] + F.exp(nxt)).alias("s"))
-
-    lp0 = -n * F.log(F.lit(2.0))
-    tail = F.aggregate(F.sequence(F.lit(0), (m - 1).cast("int")),
-                       F.struct(lp0.alias("lp"), F.exp(lp0).alias("s")), step)["s"]
-    exact = F.when(m <= 0, F.exp(lp0)).otherwise(tail)
-    z = (m.cast("double") + F.lit(0.5) - n / 2) / F.sqrt(n / 4)
-    # standard normal CDF through a closed-form erf approximation (|err| < 2e-4)
-    normal_cdf = F.lit(0.5) * (F.lit(1.0) + F.signum(z) * F.sqrt(
-        F.lit(1.0) - F.exp(-z * z * (F.lit(4.0 / 3.141592653589793) + F.lit(0.147) * z * z)
-                           / (F.lit(1.0) + F.lit(0.147) * z * z))))
-    p = F.when(n == 0, F.lit(1.0)).when(n <= exact_limit, exact).otherwise(normal_cdf)
-    return F.least(F.lit(1.0), F.lit(2.0) * p)
+    min(1, 2*P[X <= min(b,c)]), X ~ Bin(b+c, 1/2)."""
+    n = b + c
+    return F.when(n == 0, F.lit(1.0)).when(b == c, F.lit(1.0)).otherwise(
+        F.least(F.lit(1.0), F.lit(2.0) * binomial_half_tail(F.least(b, c), n)))
 
 
 def promotion_gate(paired: DataFrame, label: str, candidate: str, production: str,
@@ -123,32 +141,21 @@ def promotion_gate(paired: DataFrame, label: str, candidate: str, production: st
             .withColumn("promote", (F.col("b") > F.col("c")) & (F.col("p_value") < alpha)))
 
 
-def daily_counts(long: DataFrame, ts: str = "ts") -> DataFrame:
-    """``(feature, value, day, n)``: the long rows collapsed per day; a
-    continuous feature keeps its size, a coded one shrinks to levels x days."""
-    return (long.groupBy("feature", "value", F.to_date(ts).alias("day"))
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
 def daily_psi_vs_trailing(long: DataFrame, edges: DataFrame, ts: str = "ts",
                           window_days: int = S.REFERENCE_WINDOW_DAYS,
-                          eps: float = S.PSI_EPSILON, counted: bool = False,
-                          n_bins: int = S.PSI_BINS) -> DataFrame:
+                          eps: float = S.PSI_EPSILON, n_bins: int = S.PSI_BINS) -> DataFrame:
     """Each day's distribution vs the previous ``window_days`` days, on
-    frozen bin edges ``(feature, edges)``. ``counted=True`` takes the output
-    of :func:`daily_counts` instead of raw long rows.
+    frozen bin edges ``(feature, edges)``.
 
     Rows are first counted per (feature, bin, day). Each daily count is then
     credited to the ``window_days`` following days (a fixed fan-out of the
     small daily table, not of the rows), so the reference side of day d is
     the sum of days d-window..d-1. A bin seen on only one side still counts.
     """
-    day = F.col("day") if counted else F.to_date(ts)
-    weight = F.col("n") if counted else F.lit(1)
     binned = (long.join(F.broadcast(edges), "feature")  # one row per feature
               .groupBy("feature", bin_index(F.col("edges"), F.col("value"), n_bins).alias("bin"),
-                       day.alias("day"))
-              .agg(F.sum(weight).alias("n")))
+                       F.to_date(ts).alias("day"))
+              .agg(F.count(F.lit(1)).alias("n")))
     ref = (binned.select("feature", "bin", "n", "day",
                          F.explode(F.sequence(F.lit(1), F.lit(window_days))).alias("k"))
            .groupBy("feature", "bin", F.date_add("day", F.col("k")).alias("day"))

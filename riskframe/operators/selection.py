@@ -26,7 +26,11 @@ GRID = 4096
 MAX_BAND = 100_000
 # upper bound on the (value, count) rows the final step brings to the driver
 MAX_COLLECT = 1_000_000
-MAX_ROUNDS = 12
+
+
+def _log_scale(v):
+    """Monotonic in v: the signed number of e-foldings above the smallest double."""
+    return F.signum(v) * (F.ln(F.greatest(F.abs(v), F.lit(2.3e-308))) + F.lit(709.0))
 
 
 def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None = None,
@@ -73,16 +77,16 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
         return (rows.join(F.broadcast(bdf), "feature")
                 .where((F.col("value") >= F.col("a")) & (F.col("value") <= F.col("b"))))
 
-    for _ in range(MAX_ROUNDS):
-        bmap = bands(lambda s: s["cnt"] > max_band)
-        if not bmap:
-            break
-        # halves keep b - a finite for any finite a, b; the index is monotonic in value
-        half = F.lit(0.5)
-        span = F.col("b") * half - F.col("a") * half
-        cell = F.when(F.col("b") == F.col("a"), F.lit(0)).otherwise(
-            F.least(F.floor((F.col("value") * half - F.col("a") * half) / span * grid),
-                    F.lit(grid - 1)))
+    # Cells of equal width and cells of equal ratio take turns: the first settle values that are
+    # spread evenly, the second values spread over many decades. Every round parts a band's
+    # smallest value from its largest, so each band shrinks until it is small enough or one value.
+    turn = 0
+    while bmap := bands(lambda s: s["cnt"] > max_band):
+        scale = _log_scale if turn % 2 else (lambda v: v * F.lit(0.5))  # halves keep b - a finite
+        span = scale(F.col("b")) - scale(F.col("a"))
+        part = F.when(span > 0, (scale(F.col("value")) - scale(F.col("a"))) / span).otherwise(F.lit(0.0))
+        cell = F.least(F.floor(part * grid), F.lit(grid - 1))
+        turn += 1
         cells: dict[int, list] = {}
         for r in (band_rows(bmap).groupBy("band", cell.alias("cell"))
                   .agg(F.sum(w).alias("c"), F.min("value").alias("mn"),

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -95,6 +97,21 @@ def test_sign_test_exact(spark):
         assert abs(g - exact(b, c)) < 1e-12
 
 
+@pytest.mark.parametrize("b,c", [(9, 11), (20, 0), (1, 0), (7, 8), (15, 18), (0, 1000), (400, 600), (49_500, 50_400), (49_600, 50_500),
+                                 (4_990_000, 5_010_000), (4_998_000, 5_002_000)])
+def test_sign_test_is_exact_at_every_size(spark, b, c):
+    """Against a sum from the largest term down, in plain floats."""
+    n, m = b + c, min(b, c)
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(m + 1) - math.lgamma(n - m + 1) - n * math.log(2))
+    terms, k = [term], m
+    while k and terms[-1] > term * 1e-20:
+        terms.append(terms[-1] * k / (n - k + 1))
+        k -= 1
+    want = min(1.0, 2 * math.fsum(terms))
+    got = spark.range(1).select(monitor.sign_test_pvalue(F.lit(b).cast("long"), F.lit(c).cast("long"))).first()[0]
+    assert got == pytest.approx(want, rel=1e-6 if n > 10**6 else 1e-9)
+
+
 def test_metrics_without_scores_or_rows(spark):
     rows = [(1, 1, None), (0, 0, None)]
     df = spark.createDataFrame(rows, "label int, prediction int, score double")
