@@ -7,7 +7,7 @@ duplicate count. Zero-count issues are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import schema as S
@@ -249,14 +249,25 @@ def require_columns(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
     return df
 
 
-def render_markdown(issues: list, n_rows: int, n_duplicates: int, n_missing: int) -> str:
-    """The handful of collected issue rows as a markdown list."""
-    lines = ["## Data quality", "", f"- rows: **{n_rows:,}**",
-             f"- duplicates: **{n_duplicates}**", f"- missing values: **{n_missing}**",
-             "", "### Issues", ""]
-    if not issues:
-        lines.append("- none")
-    for i in issues:
-        lines.append(f"- **[{i['severity']}]** `{i['column']}` — {i['description']} "
-                     f"({i['affected_rows']:,} rows)")
-    return "\n".join(lines)
+def quality_text(summary: DataFrame, issues: DataFrame) -> DataFrame:
+    """``(line_no, line)`` of a readable report, built from the one-row summary (with the
+    balance maps it has) and the issue table."""
+    def section(number: int, title: str, lines: Column) -> DataFrame:
+        body = F.concat(F.array(F.lit(f"== {title} ==")), lines)
+        return summary.select(F.lit(number).alias("part"), F.posexplode(body).alias("pos", "line"))
+
+    counts = [F.concat(F.lit(f"{name}: "), F.col(c).cast("string")) for name, c in
+              (("rows", "n_rows"), ("repeated rows", "n_duplicates"), ("missing cells", "n_missing_total"))]
+    parts = [section(0, "table", F.array(*counts))]
+    for number, c in ((1, "class_balance"), (2, "subgroup_balance")):
+        if c in summary.columns:
+            shares = F.transform(F.array_sort(F.map_entries(c)), lambda e: F.format_string("%s: %.2f %%", e["key"], e["value"] * 100))
+            parts.append(section(number, c.replace("_", " "), shares))
+    parts.append(section(3, "findings", F.array().cast("array<string>")))
+    found = issues.select(F.lit(4).alias("part"), F.col("issue_order").cast("int").alias("pos"), F.concat_ws(
+        " | ", "severity", "column", F.format_string("%d rows", "affected_rows"), "description").alias("line"))
+    text = found
+    for part in parts:
+        text = text.unionByName(part)
+    # a report has a few dozen lines: one window orders them
+    return text.select(F.row_number().over(Window.orderBy("part", "pos")).alias("line_no"), "line")

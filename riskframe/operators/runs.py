@@ -153,9 +153,11 @@ REGISTRY_SCHEMA = ("model_name string, version int, event string, stage string,
 
 
 def registry_state(events: DataFrame) -> DataFrame:
-    """Current stage per (model, version): the stage of its latest event."""
+    """Current stage per (model, version): the stage of its latest event (W6). The run is that of
+    the registration, whatever later events carry."""
+    registered = F.when(F.col("event") == "registered", F.col("run_id"))
     return events.groupBy("model_name", "version").agg(
-        F.max_by("stage", "seq").alias("stage"), F.max_by("run_id", "seq").alias("run_id"))
+        F.max_by("stage", "seq").alias("stage"), F.max(registered).alias("run_id"))
 
 
 def resolve_version(events: DataFrame, model_name: str, stage: str = "Production") -> DataFrame:
@@ -176,10 +178,10 @@ def register_winner(spark, events: DataFrame | None, model_name: str, run_id: st
     top = mine.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v"),
                    F.coalesce(F.max("seq"), F.lit(0)).alias("s")).first()
     v, s = int(top["v"]) + 1, int(top["s"])
-    current = [r["version"] for r in registry_state(mine)
-               .where(F.col("stage") == promote_to).select("version").collect()]
+    current = [(r["version"], r["run_id"]) for r in registry_state(mine)
+               .where(F.col("stage") == promote_to).select("version", "run_id").collect()]
     rows = [(model_name, v, "registered", "None", run_id, s + 1),
             (model_name, v, "stage_changed", promote_to, run_id, s + 2)]
-    rows += [(model_name, int(old), "stage_changed", "Archived", None, s + 3 + i)
-             for i, old in enumerate(sorted(current))]
+    rows += [(model_name, int(old), "stage_changed", "Archived", run, s + 3 + i)
+             for i, (old, run) in enumerate(sorted(current))]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)

@@ -1083,7 +1083,7 @@ def q_cv_tuning(spark, sf):
     d, train_counts = split.split_with_folds(_model_frame(spark, sf), F.col("row_id"), "label",
                                              SEED, 0.2, 5)
     train = models.with_balanced_weights(d.where(F.col("split") == "train"), counts=train_counts)
-    res = models.tune_with_cv(models.build_model_spec("logistic_regression"), train, NUM,
+    res = models.tune_with_cv(models.learner("logistic_regression"), train, NUM,
                               ["l_linestatus"])
     rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(res.all_metrics)]
     return spark.createDataFrame(rows, "grid_point int, cv_mean double, cv_std double")
@@ -1093,7 +1093,7 @@ def q_cv_tuning(spark, sf):
 def q_model_scoring(spark, sf):
     from riskframe.operators import models
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
-    pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
+    pipe, _ = models.build_pipeline(models.learner("logistic_regression"), NUM,
                                     ["l_linestatus"])
     model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     scored = models.score_table(model, d.where(F.col("split") == "test"), "1")
@@ -1105,7 +1105,7 @@ def q_model_scoring(spark, sf):
 def q_baseline_scoring(spark, sf):
     from riskframe.operators import models
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
-    pipe, _ = models.build_pipeline(models.build_model_spec("dummy"), NUM, ["l_linestatus"])
+    pipe, _ = models.build_pipeline(models.learner("dummy"), NUM, ["l_linestatus"])
     model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     scored = models.score_table(model, d.where(F.col("split") == "test"), "baseline")
     return scored.select("row_id", "predicted_class", "risk_level")
@@ -1182,7 +1182,8 @@ def q_stream_daily_histogram(spark, sf):
                                    F.col("user_id").cast("double").alias("value"), "dom")))
     edges = drift.psi_edges(long.where(F.col("dom") <= 7).select("feature", "value"))
     agg = daily_histogram(_event_stream(spark, sf), "ts", ["value", "user_id"], edges)
-    out = run_to_table(agg, scratch_path(spark, "stream-hist"), mode="complete")
+    out = run_to_table(agg, scratch_path(spark, "stream-hist"), mode="update",
+                       keys=("day_start", "feature", "bin"))
     return out.select(F.to_date("day_start").alias("day"), "feature", "bin", "n")
 
 
@@ -1207,24 +1208,23 @@ def q_stream_sliding_confusion(spark, sf):
         (F.col("value") > 50).cast("int").alias("prediction"))
     # the stream keeps one row per day; the 30-day windows are rolled from those rows
     daily = run_to_table(daily_confusion_stream(s, "ts", "label", "prediction"),
-                         scratch_path(spark, "stream-daily"), mode="complete")
+                         scratch_path(spark, "stream-daily"), mode="update", keys=("day",))
     out = rolling_windows_from_daily(daily, S.ROLLING_DAYS)
     return out.select("window_start", "window_end",
                       *[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")])
 
 
 @register("stream_dedupe", """
-SELECT DISTINCT user_id, event_type FROM events
+SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events
 """)
 def q_stream_dedupe(spark, sf):
-    """The table arrives as one file, so one micro-batch: every repeat of
-    a (user, type) inside the watermark delay is dropped, one row per key."""
+    """One row per user, type and day; repeats within the day are dropped."""
     from riskframe.session import scratch_path
     from riskframe.streaming.monitor_stream import dedupe_stream, run_to_table
     s = _event_stream(spark, sf).select("ts", "user_id", "event_type")
     out = run_to_table(dedupe_stream(s, "ts", ["user_id", "event_type"]),
                        scratch_path(spark, "stream-dedupe"), mode="append")
-    return out.select("user_id", "event_type")
+    return out.select("user_id", "event_type", F.to_date("period").alias("day"))
 
 
 # ---------------------------------------------------------------------------
@@ -1344,7 +1344,7 @@ def q_stream_scoring(spark, sf):
     from riskframe.session import scratch_path
     from riskframe.streaming.monitor_stream import run_to_table, score_stream
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
-    pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"), NUM,
+    pipe, _ = models.build_pipeline(models.learner("logistic_regression"), NUM,
                                     ["l_linestatus"])
     model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
     base = sf.rstrip("/")

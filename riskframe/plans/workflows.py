@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskframe import schema as S
 from riskframe.operators import derive, drift, models, quality, runs, split
+from riskframe.session import path_exists
 from riskframe.sources import readers
 
 
@@ -44,10 +45,8 @@ def select_and_register(spark: SparkSession, runs_path: str, registry_path: str,
     best = runs.winner(scored).first()
     if best is None:
         raise ValueError("no finished run with an F1 to select from")
-    try:
-        events = spark.read.parquet(registry_path)
-    except Exception:  # first registration: no table yet
-        events = None
+    # no table before the first registration; any other read error is raised
+    events = spark.read.parquet(registry_path) if path_exists(spark, registry_path) else None
     new = runs.register_winner(spark, events, model_name, best["run_id"])
     new.write.mode("append").parquet(registry_path)
     return ranked

@@ -157,3 +157,6 @@ CLEANING_RULES = {
     "height": (100.0, 220.0),
     "weight": (30.0, 200.0),
 }
+
+# fixed values: points tried by the random searches
+SEARCH_BUDGETS = {"random_forest": 12, "xgboost": 15}

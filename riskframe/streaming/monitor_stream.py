@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.drift import bin_index
 from riskframe.operators.quality import validate
 from riskframe import schema as S
+from riskframe.session import path_exists
 
 
 def as_event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -29,10 +30,11 @@ def score_stream(stream: DataFrame, model, rules: S.ValidationRules, version: st
 
 
 def write_scored(batch: DataFrame, batch_id: int, out: str, quarantine: str) -> None:
-    """foreachBatch sink: both outputs from one cached micro-batch."""
+    """foreachBatch sink: both outputs from one cached micro-batch. Each batch has a folder of its
+    own, written over when the batch is tried again, so a retry repeats nothing."""
     batch.persist()
-    batch.where("is_valid").drop("violations").write.mode("append").parquet(out)
-    batch.where("NOT is_valid").write.mode("append").parquet(quarantine)
+    batch.where("is_valid").drop("violations").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    batch.where("NOT is_valid").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
     batch.unpersist()
 
 
@@ -104,29 +106,37 @@ def feedback_join(predictions: DataFrame, outcomes: DataFrame, key: str,
     return p.join(o, cond, "inner")
 
 
-def dedupe_stream(stream: DataFrame, ts: str, cols: list[str], watermark: str = "1 hour") -> DataFrame:
-    """Drop repeats of the same record within the watermark delay."""
-    return as_event_time(stream, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(cols)
+def dedupe_stream(stream: DataFrame, ts: str, cols: list[str], watermark: str = "1 hour",
+                  period: str = "1 day") -> DataFrame:
+    """One row per record and period of event time, whatever files or batches the rows come
+    in. Rows later than ``watermark`` are dropped; state of closed periods is dropped too. The
+    period's start replaces ``ts``, which would depend on the row that came first."""
+    timed = as_event_time(stream, ts).withWatermark(ts, watermark)
+    return (timed.withColumn("period", F.window(ts, period)).drop(ts).dropDuplicates([*cols, "period"])
+            .withColumn("period", F.col("period.start")))
 
 
-def run_to_table(df: DataFrame, checkpoint: str, mode: str = "update") -> DataFrame:
-    """Run a streaming query over what is available and return the result
-    as a batch DataFrame written under the checkpoint folder.
-
-    ``complete`` re-emits the whole result each micro-batch, so the sink
-    overwrites; ``append`` and ``update`` append (for ``update`` the newest
-    row per key is the current value)."""
+def run_to_table(df: DataFrame, checkpoint: str, mode: str = "append",
+                 keys: tuple[str, ...] = ()) -> DataFrame:
+    """Run a streaming query over what is available and return the result as a batch DataFrame
+    written under the checkpoint folder. Each micro-batch has a folder of its own, so a batch that
+    is tried again replaces its rows. With ``update`` the newest row per ``keys`` is returned."""
     spark = df.sparkSession
     out = f"{checkpoint}/out"
-    overwrite = mode == "complete"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if overwrite else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys of its rows")
     q = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/state")
          .foreachBatch(sink).trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        return spark.read.parquet(out)
-    except Exception:  # no micro-batch produced rows: empty result, same schema
+    if not path_exists(spark, out):  # no micro-batch ran
         return spark.createDataFrame([], df.schema)
+    rows = spark.read.schema(df.schema.add("batch_id", "long")).parquet(out)
+    if mode == "update":
+        others = [c for c in df.columns if c not in keys]
+        rows = (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("x"))
+                .select(*keys, "x.*"))
+    return rows.select(*df.columns)

@@ -27,36 +27,27 @@ def spark():
     yield s
 
 
-def _u(salt):
-    return hash_uniform(F.col("id").cast("string"), 42, salt)
-
-
-def _normal(mean, std, salt):
-    z = F.sqrt(-2.0 * F.log(1.0 - _u(salt + "a"))) * F.cos(2 * math.pi * _u(salt + "b"))
-    return F.lit(mean) + F.lit(std) * z
+def _spread(salt, low, high):
+    """Evenly spread values of one column, from a hash of the row key."""
+    return F.lit(float(low)) + hash_uniform(F.col("id").cast("string"), 7, salt) * float(high - low)
 
 
 @pytest.fixture(scope="session")
 def clinical(spark):
-    """200 rows shaped like the reference's synthetic feature frame."""
-    df = spark.range(200).select(
-        "id",
-        F.round(F.lit(30.0) + _u("age") * 40, 1).alias("age_years"),
-        F.round(_normal(170, 8, "h")).alias("height"),
-        F.round(_normal(75, 15, "w")).alias("weight"),
-        F.round(_normal(125, 15, "hi")).alias("ap_hi"),
-        F.round(_normal(82, 10, "lo")).alias("ap_lo"),
-        F.round(_normal(26, 4, "bmi"), 2).alias("bmi"),
-        (F.floor(_u("g") * 2) + 1).cast("int").alias("gender"),
-        F.when(_u("c") < 0.7, 1).when(_u("c") < 0.9, 2).otherwise(3).alias("cholesterol"),
-        F.when(_u("gl") < 0.8, 1).when(_u("gl") < 0.95, 2).otherwise(3).alias("gluc"),
-        (_u("s") < 0.1).cast("int").alias("smoke"),
-        (_u("a") < 0.05).cast("int").alias("alco"),
-        (_u("ac") < 0.8).cast("int").alias("active"),
-    )
-    logit = (F.lit(0.04) * (F.col("age_years") - 50) + F.lit(0.03) * (F.col("ap_hi") - 120)
-             + F.lit(0.5) * (F.col("cholesterol") - 1) + _normal(0, 0.5, "noise"))
-    return df.withColumn("label", (logit > 0).cast("int")).cache()
+    """240 rows that satisfy the request contract. Measures are spread evenly over their ranges
+    and categories go round by key; a row is positive when its pulse pressure and weight are
+    large together, with one row in sixteen turned around."""
+    measures = {"age_years": (31, 69), "height": (151, 194), "weight": (47, 118),
+                "ap_lo": (61, 94), "bmi": (17, 41)}
+    df = spark.range(240).select("id", *(F.round(_spread(c, *r), 1).alias(c) for c, r in measures.items()))
+    df = df.withColumn("ap_hi", F.round(F.col("ap_lo") + _spread("gap", 24, 88), 0))
+    rounds = {"gender": 2, "cholesterol": 3, "gluc": 3}
+    flags = {"smoke": 5, "alco": 7, "active": 3}
+    df = df.select("*", *((F.pmod(F.col("id") * (i + 3), F.lit(n)) + 1).cast("int").alias(c) for i, (c, n) in enumerate(rounds.items())),
+                   *((F.col("id") % n == 0).cast("int").alias(c) for c, n in flags.items()))
+    heavy = (F.col("ap_hi") - F.col("ap_lo")) / 56 + F.col("weight") / 82 > 2
+    turned = F.pmod(F.xxhash64("id"), F.lit(16)) == 0
+    return df.withColumn("label", (heavy != turned).cast("int")).cache()
 
 
 NUMERIC = ["age_years", "height", "weight", "ap_hi", "ap_lo", "bmi"]

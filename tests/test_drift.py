@@ -13,16 +13,14 @@ def _sample(spark, arrays: dict):
     return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
 
 
-def _np_psi(r, c, n_bins=10):
-    e = np.unique(np.quantile(r, np.linspace(0, 1, n_bins + 1)))
-    if e.size < 3:
-        return 0.0
-    e[0], e[-1] = -np.inf, np.inf
-    a, _ = np.histogram(r, e)
-    b, _ = np.histogram(c, e)
-    a = a / max(a.sum(), 1) + 1e-6
-    b = b / max(b.sum(), 1) + 1e-6
-    return float(np.sum((b - a) * np.log(b / a)))
+def _counted_psi(r, c, parts=10):
+    """By counting each interval between neighbouring deciles of the reference, one by one."""
+    cuts = sorted({float(np.quantile(r, k / parts)) for k in range(1, parts)})
+    total = 0.0
+    for low, high in zip([-math.inf, *cuts], [*cuts, math.inf]):
+        was, now = (sum(low <= x < high for x in v) / len(v) + 1e-6 for v in (r, c))
+        total += (now - was) * math.log(now / was)
+    return total
 
 
 def _np_ks(x, y):
@@ -44,7 +42,7 @@ def test_psi_shift_and_ks_match_numpy(spark):
     r, c = rng.normal(0, 1, 5000), rng.normal(1.5, 1, 5000)
     rep = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"]).first()
     assert rep["psi"] > 0.25 and rep["verdict"] == "drift"
-    assert abs(rep["psi"] - _np_psi(r, c)) < 1e-9
+    assert abs(rep["psi"] - _counted_psi(r, c)) < 1e-9
     assert abs(rep["ks_statistic"] - _np_ks(r, c)) < 1e-12
     assert rep["ks_pvalue"] < 1e-6
 

@@ -58,3 +58,13 @@ def test_registry_register_and_resolve(spark):
 def test_stringify_params():
     assert runs.stringify_params({"a": 1, "b": None, "c": [1, 2]}) == {"a": "1", "b": "None",
                                                                         "c": "[1, 2]"}
+
+
+def test_archived_version_keeps_its_run(spark):
+    events = None
+    for run in ("r1", "r2", "r3"):
+        new = runs.register_winner(spark, events, "m", run)
+        events = new if events is None else events.union(new)
+    state = {r["version"]: (r["stage"], r["run_id"]) for r in runs.registry_state(events).collect()}
+    assert state == {1: ("Archived", "r1"), 2: ("Archived", "r2"), 3: ("Production", "r3")}
+    assert runs.resolve_version(events, "m", "Archived").first()["run_id"] == "r2"

@@ -41,17 +41,18 @@ def test_drift_json_sink(spark):
     assert doc["prediction_drift"]["feature"] == "prediction"
 
 
-def test_markdown_rendering(spark):
-    df = spark.createDataFrame([(1, 300.0), (2, None)], "id long, ap_hi double")
-    issues = [r.asDict() for r in quality.quality_report(df, inversion=None).collect()]
-    text = quality.render_markdown(issues, 2, 0, 1)
-    assert "**[media]** `ap_hi`" in text and "(1 rows)" in text
+def test_quality_text(spark):
+    df = spark.createDataFrame([(1, 300.0, "a"), (2, None, "a"), (3, 90.0, "b"), (4, 90.0, "a")], "id long, ap_hi double, g string")
+    text = quality.quality_text(quality.quality_summary(df, "g"), quality.quality_report(df, inversion=None))
+    lines = [r["line"] for r in text.orderBy("line_no").collect()]
+    assert lines[:7] == ["== table ==", "rows: 4", "repeated rows: 0", "missing cells: 1", "== class balance ==", "a: 75.00 %", "b: 25.00 %"]
+    assert lines[7] == "== findings ==" and any("ap_hi | 1 rows" in x for x in lines[8:])
 
 
 def test_model_save_and_load(spark, clinical):
     from riskframe.operators import models
     from tests.conftest import CATEGORICAL, NUMERIC
-    pipe, _ = models.build_pipeline(models.build_model_spec("logistic_regression"),
+    pipe, _ = models.build_pipeline(models.learner("logistic_regression"),
                                     NUMERIC, CATEGORICAL)
     model = pipe.fit(clinical)
     path = os.path.join(_dir(), "model")

@@ -22,7 +22,7 @@ def test_feedback_join_is_time_bounded(spark):
     assert [(r["rid"], r["prediction"], r["outcome"]) for r in got] == [(1, 1, 1)]
 
 
-def test_complete_mode_over_several_batches_has_no_duplicates(spark):
+def test_update_mode_over_several_batches_has_no_duplicates(spark):
     from riskframe.streaming.monitor_stream import sliding_confusion
     d = tempfile.mkdtemp(prefix="riskframe-stream2-")
     for i, day in enumerate(["2024-01-01 10:00:00", "2024-01-02 10:00:00", "2024-01-03 10:00:00"]):
@@ -32,7 +32,7 @@ def test_complete_mode_over_several_batches_has_no_duplicates(spark):
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
         .option("recursiveFileLookup", True).parquet(f"{d}/in")
     out = run_to_table(sliding_confusion(s, "ts", "label", "prediction", "2 days", "1 day"),
-                       f"{d}/ck", mode="complete")
+                       f"{d}/ck", mode="update", keys=("window_start", "window_end"))
     rows = out.collect()
     starts = [r["window_start"] for r in rows]
     assert len(starts) == len(set(starts)) == 4
@@ -51,10 +51,36 @@ def test_daily_then_rolling_equals_sliding_windows(spark):
     def stream():
         return spark.readStream.schema(schema).parquet(f"{d}/in")
     direct = run_to_table(sliding_confusion(stream(), "ts", "label", "prediction", "3 days", "1 day"),
-                          f"{d}/ck1", mode="complete")
+                          f"{d}/ck1", mode="update", keys=("window_start", "window_end"))
     daily = run_to_table(daily_confusion_stream(stream(), "ts", "label", "prediction"),
-                         f"{d}/ck2", mode="complete")
+                         f"{d}/ck2", mode="update", keys=("day",))
     rolled = rolling_windows_from_daily(daily, 3)
     a = sorted((str(r["window_start"])[:10], r["tp"], r["fp"], r["fn"], r["tn"]) for r in direct.collect())
     b = sorted((str(r["window_start"]), r["tp"], r["fp"], r["fn"], r["tn"]) for r in rolled.collect())
     assert a == b
+
+
+def test_dedupe_is_the_same_for_any_files(spark):
+    from riskframe.streaming.monitor_stream import dedupe_stream
+    rows = [(f"2024-01-{1 + i // 40:02d} {i * 7 % 24:02d}:00:00", i % 5, "ab"[i % 2]) for i in range(240)]
+    table = spark.createDataFrame(rows, "ts string, u int, k string").withColumn("ts", F.to_timestamp("ts"))
+    want = {(str(t)[:10], u, k) for t, u, k in rows}
+    for files in (1, 6):
+        d = tempfile.mkdtemp(prefix="riskframe-stream4-")
+        for i in range(files):
+            part = table.where((F.dayofmonth("ts") - 1) % files == i) if files > 1 else table
+            part.coalesce(1).write.parquet(f"{d}/in/part{i}")
+        s = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+             .option("recursiveFileLookup", True).parquet(f"{d}/in"))
+        out = run_to_table(dedupe_stream(s, "ts", ["u", "k"], "40 days"), f"{d}/ck").collect()
+        got = [(str(r["period"])[:10], r["u"], r["k"]) for r in out]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_replayed_batch_is_written_once(spark):
+    from riskframe.streaming.monitor_stream import write_scored
+    d = tempfile.mkdtemp(prefix="riskframe-sink-")
+    batch = spark.createDataFrame([(1, True, []), (2, False, ["x"])], "id int, is_valid boolean, violations array<string>")
+    for number in (0, 1, 1):
+        write_scored(batch, number, f"{d}/out", f"{d}/bad")
+    assert spark.read.parquet(f"{d}/out").count() == 2 and spark.read.parquet(f"{d}/bad").count() == 2
