@@ -1124,16 +1124,17 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag,
 FROM lineitem
 """)
 def q_csv_contract_scan(spark, sf):
-    """lineitem written as ';'-separated text with a reordered header, then
+    """lineitem written as ';'-separated files with two different headers, then
     read back by header names against a typed contract."""
     from pyspark.sql import types as T
     from riskframe.session import scratch_path
     from riskframe.sources.readers import read_delimited
     path = scratch_path(spark, "csv-contract")
     li = D.table(spark, sf, "lineitem")
-    (li.select("l_returnflag", "l_extendedprice", "l_orderkey", "l_quantity", "l_linenumber",
-               F.lit("x").alias("extra"))
-     .write.option("sep", ";").option("header", True).mode("overwrite").csv(path))
+    for part, cols in (("L_LINENUMBER % 2 = 0", ["l_returnflag", "l_extendedprice", "l_orderkey", "l_quantity", "l_linenumber", "extra"]),
+                       ("L_LINENUMBER % 2 = 1", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"])):
+        (li.where(part).withColumn("extra", F.lit("x")).select(*cols)
+         .write.option("sep", ";").option("header", True).mode("append").csv(path))
     types = {"l_orderkey": T.LongType(), "l_linenumber": T.IntegerType(),
              "l_quantity": T.DoubleType(), "l_extendedprice": T.DoubleType(),
              "l_returnflag": T.StringType()}
@@ -1291,11 +1292,11 @@ def _scoring_csv(spark, sf) -> str:
     from riskframe.session import scratch_path
     path = scratch_path(spark, "scoring-csv")
     li = D.table(spark, sf, "lineitem")
-    header = spark.createDataFrame([("l_orderkey,l_linenumber,l_quantity,l_discount",)], "value string")
     body = li.select(F.concat_ws(",", "l_orderkey", "l_linenumber", "l_quantity", "l_discount",
                                  F.when(F.col("l_returnflag") == "R", F.lit("extra")))
-                     .alias("value"))
-    header.unionByName(body).coalesce(1).write.mode("overwrite").text(path)
+                     .alias("l_orderkey,l_linenumber,l_quantity,l_discount"))
+    # one column of finished lines, so each file gets the header line as its first
+    body.write.option("header", True).option("sep", "\x01").option("quote", "\x02").mode("overwrite").csv(path)
     return path
 
 

@@ -7,8 +7,6 @@ would otherwise swap values silently).
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,28 +30,57 @@ def read_header(spark: SparkSession, path: str, sep: str) -> list[str]:
     return [h.strip() for h in first[0][0].split(sep)]
 
 
+def headers_by_file(spark: SparkSession, path: str, sep: str, required: tuple[str, ...]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: the first line of a file that names every required column. A file
+    without one fails. What is collected is one line a file."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), "value")
+    names = F.transform(F.split("value", F.lit(_literal(sep)), -1), lambda x: F.trim(x))
+    named = F.size(F.array_intersect(names, F.array(*(F.lit(c) for c in required)))) == len(required)
+    found: dict[tuple[str, ...], list[str]] = {}
+    bare = []
+    for r in lines.groupBy("file").agg(F.min(F.when(named, F.col("value"))).alias("header")).collect():
+        if r["header"] is None:
+            bare.append(r["file"])
+        else:
+            found.setdefault(tuple(h.strip() for h in r["header"].split(sep)), []).append(r["file"])
+    if bare:
+        missing = sorted(set(required) - set(read_header(spark, bare[0], sep)))
+        raise ValueError(f"missing columns: {missing}; expected: {list(required)}; in {sorted(bare)[:3]}")
+    return found
+
+
+def _literal(sep: str) -> str:
+    """``sep`` as a pattern that means itself."""
+    return "\\Q" + sep + "\\E"
+
+
 def read_delimited(spark: SparkSession, path: str, types: dict[str, T.DataType],
                    required: tuple[str, ...] | None = None, sep: str = ";",
                    with_source: bool = True) -> DataFrame:
     """Header + separator scan against a contract.
 
-    Fails with the sorted missing names when a required column is absent;
-    extra columns are read as strings and dropped; ``source_path`` records
-    the file each row came from.
+    Every file is read by its own header, one scan for the files of each
+    distinct header. Fails with the sorted missing names when a required
+    column is absent; extra columns are read as strings and dropped;
+    ``source_path`` records the file each row came from.
     """
-    header = read_header(spark, path, sep)
     required = tuple(required or types)
-    missing = sorted(set(required) - set(header))
-    if missing:
-        raise ValueError(f"missing columns: {missing}; expected: {list(required)}")
-    schema = T.StructType([T.StructField(h, types.get(h, T.StringType()), True) for h in header])
-    df = (spark.read.schema(schema).option("sep", sep).option("header", True)
-          .option("mode", "PERMISSIVE").csv(path))
-    keep = [h for h in header if h in types]
-    cols = [F.col(c) for c in keep]
-    if with_source:
-        cols.append(F.col("_metadata.file_path").alias("source_path"))
-    return df.select(*cols)
+    groups = headers_by_file(spark, path, sep, required)
+    if not groups:
+        raise ValueError(f"empty input: {path}")
+    kept = [c for c in types if any(c in header for header in groups)]
+    out = None
+    for header, files in sorted(groups.items()):
+        schema = T.StructType([T.StructField(h, types.get(h, T.StringType()), True) for h in header])
+        df = (spark.read.schema(schema).option("sep", sep).option("header", True)
+              .option("mode", "PERMISSIVE").csv(files))
+        cols = [F.col(c) if c in header else F.lit(None).cast(types[c]).alias(c) for c in kept]
+        if with_source:
+            cols.append(F.col("_metadata.file_path").alias("source_path"))
+        part = df.select(*cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_clinical(spark: SparkSession, path: str) -> DataFrame:
@@ -65,19 +92,23 @@ def read_clinical(spark: SparkSession, path: str) -> DataFrame:
 def read_scoring_csv(spark: SparkSession, path: str, types: dict[str, T.DataType],
                      sep: str = ",") -> tuple[DataFrame, DataFrame]:
     """Batch of records to score. Rows whose field count differs from the
-    header go to quarantine with the raw line; the rest are typed."""
+    header, or with a cell that its type can't hold, go to quarantine with the
+    raw line and the reason; the rest are typed. An empty cell is null."""
     header = read_header(spark, path, sep)
     missing = sorted(set(types) - set(header))
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    raw = spark.read.text(path).withColumn("__n", F.size(F.split("value", sep)))
-    first = F.col("value") == F.lit(sep.join(header))
-    good_lines = raw.where((F.col("__n") == len(header)) & ~first)
-    bad = (raw.where((F.col("__n") != len(header)) & ~first)
-           .select(F.col("value").alias("raw_line"), F.col("__n").alias("n_fields")))
-    parts = F.split("value", sep)
-    typed = good_lines.select(*[F.trim(parts[i]).cast(types.get(h, T.StringType())).alias(h)
-                                for i, h in enumerate(header) if h in types])
+    fields = F.transform(F.split("value", F.lit(_literal(sep)), -1), lambda x: F.trim(x))
+    raw = spark.read.text(path).withColumn("__f", fields)
+    raw = raw.where(F.col("__f") != F.array(*(F.lit(h) for h in header)))
+    right = F.size("__f") == len(header)
+    cells = [(h, types[h], F.get("__f", F.lit(i))) for i, h in enumerate(header) if h in types]
+    wrong = F.array_compact(F.array(*(F.when((x != "") & x.try_cast(t).isNull(), F.lit(h)) for h, t, x in cells)))
+    reason = F.when(~right, F.lit("field count")).when(F.size(wrong) > 0, F.concat(F.lit("bad value: "), F.array_join(wrong, ", ")))
+    judged = raw.withColumn("__reason", reason)
+    bad = (judged.where(F.col("__reason").isNotNull())
+           .select(F.col("value").alias("raw_line"), F.size("__f").alias("n_fields"), F.col("__reason").alias("reason")))
+    typed = judged.where(F.col("__reason").isNull()).select(*(F.when(x != "", x.try_cast(t)).alias(h) for h, t, x in cells))
     return typed, bad
 
 
@@ -123,6 +154,3 @@ def load_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(f"{path}/model")
 
-
-def to_json_params(params: dict) -> str:
-    return json.dumps(params, sort_keys=True, default=str)

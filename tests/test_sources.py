@@ -1,5 +1,7 @@
 import json
 import os
+
+import pytest
 import tempfile
 
 from pyspark.sql import types as T
@@ -81,3 +83,29 @@ def test_scoring_csv_quarantines_bad_rows(spark):
     good, bad = readers.read_scoring_csv(spark, path, {"a": T.IntegerType(), "b": T.IntegerType()})
     assert sorted(r["a"] for r in good.collect()) == [1, 6]
     assert [r["raw_line"] for r in bad.collect()] == ["3,4,5"]
+
+
+def test_files_with_other_headers_are_read_by_name(spark):
+    from pyspark.sql import types as T
+    d = _dir()
+    for i, text in enumerate(("x;y\n1;2\n", "y ; x;z\n40;30;q\n")):
+        with open(os.path.join(d, f"{i}.csv"), "w") as f:
+            f.write(text)
+    types = {"x": T.IntegerType(), "y": T.IntegerType()}
+    got = {(r["x"], r["y"]) for r in readers.read_delimited(spark, d, types).collect()}
+    assert got == {(1, 2), (30, 40)}
+    with open(os.path.join(d, "2.csv"), "w") as f:
+        f.write("x;other\n1;2\n")
+    with pytest.raises(ValueError, match="y"):
+        readers.read_delimited(spark, d, types)
+
+
+def test_scoring_csv_quarantines_with_a_reason(spark):
+    from pyspark.sql import types as T
+    d = _dir()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("x | y|z\n1|2.5|a\nabc|1|b\n4||c\n5|6\n")
+    good, bad = readers.read_scoring_csv(spark, d, {"x": T.IntegerType(), "y": T.DoubleType()}, "|")
+    assert {tuple(r) for r in good.collect()} == {(1, 2.5), (4, None)}
+    assert {(r["raw_line"], r["n_fields"], r["reason"]) for r in bad.collect()} == {
+        ("abc|1|b", 3, "bad value: x"), ("5|6", 2, "field count")}
