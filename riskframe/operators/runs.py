@@ -9,7 +9,7 @@ turns the map form ``tags/params/metrics`` into it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import schema as S
@@ -152,6 +152,25 @@ REGISTRY_SCHEMA = ("model_name string, version int, event string, stage string,
                    "run_id string, seq long")
 
 
+def registry_events(registrations: DataFrame) -> DataFrame:
+    """K7 for a whole history at once: ``(model_name, position, run_id)`` in order of position
+    become versions 1, 2, ...; each is registered and promoted to Production, and the version
+    before it is archived. Events keep the run of their version. One window per model, over its
+    registrations only."""
+    order = Window.partitionBy("model_name").orderBy("position")
+    rows = registrations.select("model_name", "run_id", F.row_number().over(order).alias("version"),
+                                F.lead("position").over(order).isNotNull().alias("followed"))
+    v = F.col("version").cast("long") * 3
+
+    def event(name: str, stage: str, seq: Column) -> Column:
+        return F.struct(F.lit(name).alias("event"), F.lit(stage).alias("stage"), seq.alias("seq"))
+
+    made = [event("registered", "None", v - 2), event("stage_changed", "Production", v - 1)]
+    gone = F.when(F.col("followed"), event("stage_changed", "Archived", v + 3))
+    return (rows.select("model_name", "version", "run_id", F.explode(F.array_compact(F.array(*made, gone))).alias("e"))
+            .select("model_name", "version", "e.event", "e.stage", "run_id", "e.seq"))
+
+
 def registry_state(events: DataFrame) -> DataFrame:
     """Current stage per (model, version): the stage of its latest event (W6). The run is that of
     the registration, whatever later events carry."""

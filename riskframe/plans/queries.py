@@ -1144,11 +1144,76 @@ def q_csv_contract_scan(spark, sf):
 
 
 @register("json_records", """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+SELECT event_id, n <= 2 AS request_ok, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM (SELECT event_id, props, 1 + event_id % 3 AS n FROM events), range(0, 3) t(i) WHERE i < n
 """)
 def q_json_records(spark, sf):
-    ev = D.table(spark, sf, "events")
-    return ev.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    """Every event is a request of one to three records, of which two are allowed."""
+    from riskframe.sources.readers import parse_records
+    n = (F.col("event_id") % 3 + 1).cast("int")
+    body = F.concat(F.lit('{"patients":['), F.array_join(F.array_repeat(F.col("props"), n), ","), F.lit("]}"))
+    requests = D.table(spark, sf, "events").select("event_id", body.alias("body"))
+    return parse_records(requests, "body", "k bigint", max_records=2).select("event_id", "request_ok", "k")
+
+
+SQL_REGISTRY = f"""{SQL_RUNS},
+reg AS (SELECT model_family AS model_name, run_id, CAST(row_number() OVER w AS INTEGER) AS version,
+               lead(run_id) OVER w IS NOT NULL AS followed
+        FROM runs WINDOW w AS (PARTITION BY model_family ORDER BY run_id)),
+reg_events AS (
+  SELECT model_name, version, 'registered' AS event, 'None' AS stage, run_id, CAST(3 * version - 2 AS BIGINT) AS seq FROM reg
+  UNION ALL SELECT model_name, version, 'stage_changed', 'Production', run_id, CAST(3 * version - 1 AS BIGINT) FROM reg
+  UNION ALL SELECT model_name, version, 'stage_changed', 'Archived', run_id, CAST(3 * version + 3 AS BIGINT) FROM reg WHERE followed)"""
+
+
+def _registry(spark, sf):
+    history = D.runs_table(spark, sf).select(F.col("model_family").alias("model_name"), F.col("run_id").alias("position"), "run_id")
+    return runs.registry_events(history)
+
+
+@register("registry_events", f"WITH {SQL_REGISTRY} SELECT * FROM reg_events")
+def q_registry_events(spark, sf):
+    """K7: the runs of each family registered one after another."""
+    return _registry(spark, sf)
+
+
+@register("registry_state", f"""WITH {SQL_REGISTRY}
+SELECT model_name, version, CASE WHEN followed THEN 'Archived' ELSE 'Production' END AS stage, run_id FROM reg""")
+def q_registry_state(spark, sf):
+    """The stage of every version; archived versions keep their run."""
+    return runs.registry_state(_registry(spark, sf))
+
+
+@register("registry_resolve", f"""WITH {SQL_REGISTRY}, f AS (SELECT min(model_name) AS m FROM reg)
+SELECT model_name, version, 'Production' AS stage, run_id FROM reg, f WHERE NOT followed AND model_name = m""")
+def q_registry_resolve(spark, sf):
+    """K6: the version to load of the first family."""
+    events = _registry(spark, sf)
+    first = events.agg(F.min("model_name")).first()[0]
+    return runs.resolve_version(events, first)
+
+
+SQL_GAPS = f"""gaps AS (SELECT {SQL_KEY} AS row_id,
+    CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_discount END AS l_discount,
+    CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_quantity END AS l_quantity,
+    CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem)"""
+
+
+@register("imputed_rows", f"""WITH {SQL_GAPS},
+fit AS (SELECT quantile_cont(l_discount, 0.5) AS d, quantile_cont(l_quantity, 0.5) AS q FROM gaps),
+mode AS (SELECT l_returnflag AS f FROM gaps WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT row_id, coalesce(l_discount, d) AS l_discount, coalesce(l_quantity, q) AS l_quantity,
+       coalesce(l_returnflag, f) AS l_returnflag FROM gaps, fit, mode""")
+def q_imputed_rows(spark, sf):
+    """M1 + M2: nulls and NaN put into lineitem, then filled with the exact median and the mode."""
+    from riskframe.operators.features import ExactMedianImputer, ModeImputer
+    order = F.col("l_orderkey")
+    gaps = D.table(spark, sf, "lineitem").select(
+        D.lineitem_key().alias("row_id"), F.when(order % 7 != 0, F.col("l_discount")).alias("l_discount"),
+        F.when(order % 11 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity")).alias("l_quantity"),
+        F.when(order % 5 != 0, F.col("l_returnflag")).alias("l_returnflag"))
+    filled = ExactMedianImputer(["l_discount", "l_quantity"]).fit(gaps).transform(gaps)
+    return ModeImputer(["l_returnflag"]).fit(gaps).transform(filled)
 
 
 # ---------------------------------------------------------------------------
