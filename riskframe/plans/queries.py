@@ -1101,8 +1101,17 @@ def q_model_scoring(spark, sf):
                          "risk_level", "model_version")
 
 
-@register("baseline_scoring")
+@register("baseline_scoring", f"""
+WITH {SQL_QF},
+x AS (SELECT row_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+             {sql_u('row_id', SEED)} AS s, {sql_u('row_id', SEED, 'prior')} AS u FROM qf),
+p AS (SELECT count_if(label = 0) / count(*) AS p0 FROM x WHERE s >= 0.2)
+SELECT row_id, CASE WHEN u < p0 THEN 0 ELSE 1 END AS predicted_class,
+       CASE WHEN u < p0 THEN '{S.RISK_LOW}' ELSE '{S.RISK_HIGH}' END AS risk_level
+FROM x, p WHERE s < 0.2
+""")
 def q_baseline_scoring(spark, sf):
+    """Classes drawn with the training priors by the row's key."""
     from riskframe.operators import models
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
     pipe, _ = models.build_pipeline(models.learner("dummy"), NUM, ["l_linestatus"])
