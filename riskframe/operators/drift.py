@@ -320,6 +320,17 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
             .select("feature", "psi", "ks_statistic", "ks_pvalue", "verdict", "n_ref", "n_cur"))
 
 
+def psi_report(reference: DataFrame, current: DataFrame, features: list[str],
+               prediction: str | None = None, n_bins: int = S.PSI_BINS) -> DataFrame:
+    """PSI and verdict alone, for decisions that need no KS (A28, L2): edges by selection, then one
+    map-side count per feature and bin. No value is shuffled or written."""
+    ref_long, cur_long, names = long_pair(reference, current, features, prediction)
+    counted = (ref_long.select("feature", "value", F.lit(1).alias("nr"), F.lit(0).alias("nc"))
+               .unionByName(cur_long.select("feature", "value", F.lit(0).alias("nr"), F.lit(1).alias("nc"))))
+    p = psi_from_collapsed(counted, names, n_bins, edges=psi_edges(ref_long, n_bins))
+    return p.withColumn("verdict", psi_verdict("psi"))
+
+
 def any_drift(report: DataFrame) -> DataFrame:
     """One row: does any feature (or the prediction) show drift."""
     return report.agg(F.coalesce(F.bool_or(F.col("verdict") == S.VERDICT_DRIFT),

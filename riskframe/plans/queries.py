@@ -689,7 +689,8 @@ WITH {SQL_LONG}, {SQL_PSI}
 SELECT coalesce(bool_or({SQL_VERDICT} = 'drift'), false) AS has_drift FROM psi
 """)
 def q_any_drift(spark, sf):
-    return drift.any_drift(_drift_report(spark, sf))
+    ref, cur = D.drift_samples(spark, sf)
+    return drift.any_drift(drift.psi_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction"))
 
 
 @register("drift_injection", f"""
@@ -711,7 +712,9 @@ SELECT CAST(count_if(psi > 0.25 AND feature IN ('value', 'user_id', 'level')) AS
 FROM psi
 """)
 def q_psi_retrain(spark, sf):
-    return monitor.psi_retrain(_drift_report(spark, sf), D.EVENT_FEATURES, S.RETRAIN_PSI,
+    ref, cur = D.drift_samples(spark, sf)
+    report = drift.psi_report(ref, cur, list(D.EVENT_FEATURES), prediction="prediction")
+    return monitor.psi_retrain(report, D.EVENT_FEATURES, S.RETRAIN_PSI,
                                S.RETRAIN_MIN_FEATURES)
 
 

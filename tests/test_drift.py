@@ -131,3 +131,21 @@ def test_auto_pvalue_in_report(spark):
     assert abs(rep["ks_pvalue"] - drift.ks_exact_pvalue(300, 200, rep["ks_statistic"])) < 1e-15
     asym = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"]).first()
     assert abs(asym["ks_pvalue"] - rep["ks_pvalue"]) < 0.05
+
+
+def test_psi_report_equals_the_full_report_without_a_value_shuffle(spark):
+    rng = np.random.default_rng(3)
+    ref = _sample(spark, {"a": rng.normal(0, 1, 3000), "b": np.repeat(2.0, 3000)})
+    cur = _sample(spark, {"a": rng.normal(0.4, 1, 2000), "b": np.repeat(2.0, 2000)})
+    full = {r["feature"]: (r["psi"], r["verdict"]) for r in drift.drift_report(ref, cur, ["a", "b"]).collect()}
+    out = drift.psi_report(ref, cur, ["a", "b"])
+    got = {r["feature"]: (r["psi"], r["verdict"]) for r in out.collect()}
+    assert got.keys() == full.keys()
+    for f in got:
+        assert abs(got[f][0] - full[f][0]) < 1e-12 and got[f][1] == full[f][1]
+    assert "hashpartitioning(feature, value" not in out._jdf.queryExecution().toString()
+
+
+def test_a_column_that_the_current_sample_lacks_is_skipped(spark):
+    ref = _sample(spark, {"a": np.arange(50.0), "b": np.arange(50.0)})
+    assert [r["feature"] for r in drift.drift_report(ref, ref.drop("b"), ["a", "b"]).collect()] == ["a"]
