@@ -7,7 +7,7 @@ is confident of, and these join the other's training rows. Then each view is cal
 labelled documents that took no part in training, a last regression over the two calibrated views
 combines them, and its cutoff is put where few labelled good documents fall below it.
 
-Fitting uses bounded samples, chosen by a hash of the id: at most ``Settings.labelled`` labelled
+Fitting happens on the driver on bounded samples, chosen by a hash of the id: at most ``Settings.labelled`` labelled
 rows and ``Settings.pseudo`` pseudo-labels per class, view and round. Pseudo-labels are looked for
 among all unlabelled documents, and all documents are scored.
 
@@ -26,9 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,11 +137,29 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _fit(rows: DataFrame, column: str, settings: Settings) -> np.ndarray:
-    """Weights and intercept of a logistic regression of ``y`` on an array column."""
-    learner = LogisticRegression(featuresCol="v", labelCol="y", weightCol="weight", maxIter=40, regParam=settings.regularization, tol=1e-5)
-    model = learner.fit(rows.select(array_to_vector(F.col(column).cast("array<double>")).alias("v"), F.col("y").cast("double").alias("y"), "weight"))
-    return np.append(model.coefficients.toArray(), model.intercept)
+@dataclass
+class Rows:
+    """Training rows on the driver: both views, labels and weights. Bounded by Settings."""
+
+    content: np.ndarray
+    meta: np.ndarray
+    y: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def of(df: DataFrame) -> "Rows":
+        t = df.select("content", "meta", F.col("y").cast("double").alias("y"), F.col("weight").cast("double").alias("weight")).toArrow()
+        view = lambda c, d: pc.list_flatten(t.column(c)).to_numpy().astype(np.float64).reshape(t.num_rows, d)
+        return Rows(view("content", TEXT_DIM), view("meta", META_DIM), t.column("y").to_numpy(), t.column("weight").to_numpy())
+
+    def __add__(self, other: "Rows") -> "Rows":
+        return Rows(*(np.concatenate(x) for x in zip(self.parts(), other.parts())))
+
+    def parts(self) -> tuple[np.ndarray, ...]:
+        return self.content, self.meta, self.y, self.weight
+
+    def fit(self, view: str, settings: Settings) -> np.ndarray:
+        return fit_small(getattr(self, view), self.y, settings.regularization * self.weight.sum(), weight=self.weight)
 
 
 def _scored(table: DataFrame, column: str, weights: np.ndarray, out: str) -> DataFrame:
@@ -153,11 +169,9 @@ def _scored(table: DataFrame, column: str, weights: np.ndarray, out: str) -> Dat
     return table.withColumn(out, 1 / (1 + F.exp(-odds)))
 
 
-def _few(rows: DataFrame, n: int, most: int, salt: int) -> DataFrame:
-    """About ``most`` of ``n`` rows, chosen by a hash of the id."""
-    if n <= most:
-        return rows
-    return rows.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+def _one_in(n: int, most: int, salt: int) -> Column:
+    """True for about ``most`` of ``n`` rows, by a hash of the id."""
+    return F.lit(True) if n <= most else F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / n)
 
 
 def train(table: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
@@ -171,61 +185,65 @@ def train(table: DataFrame, labels: DataFrame, settings: Settings = Settings())
         return Model(none, none, none, none, none, 0.0, share.get(1, 0) / n if n else 1.0)
     part = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1000)) < int(1000 * settings.holdout)
     # the labelled sample and all unlabelled rows, in one table
-    base = materialize(_few(marked.where("y is not null"), n, settings.labelled, 3).withColumn("held", part)
+    base = materialize(marked.where("y is not null").where(_one_in(n, settings.labelled, 3)).withColumn("held", part)
                        .withColumn("weight", F.when(F.col("y") == 1, F.lit(n / 2 / share[1])).otherwise(F.lit(n / 2 / share[0]))), "labelled")
     open_rows = table.join(known, "doc_id", "left_anti")
-    start = base.where(~F.col("held")).select("content", "meta", "y", "weight")
-    if start.select("y").distinct().count() < 2 or base.where("held").select("y").distinct().count() < 2:
-        start, base = base.select("content", "meta", "y", "weight"), base.withColumn("held", F.lit(True))
-    extra: dict[str, DataFrame | None] = {"content": None, "meta": None}
-    weights = {v: _fit(start, v, settings) for v in extra}
+    views = ("content", "meta")
+    sample = base.select("content", "meta", "y", "weight", "held")
+    if min(sample.where("held").agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()) == 0 or \
+            min(sample.where("not held").agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()) == 0:
+        start = held = Rows.of(sample)  # too few labels to hold any out
+    else:
+        start, held = Rows.of(sample.where("not held")), Rows.of(sample.where("held"))
+    rows = {v: start for v in views}
+    weights = {v: rows[v].fit(v, settings) for v in views}
+    other = {"content": "meta", "meta": "content"}
     for k in range(settings.rounds):
         pool = _scored(_scored(open_rows, "content", weights["content"], "p_content"), "meta", weights["meta"], "p_meta")
-        sure, other = settings.confident, {"content": "meta", "meta": "content"}
-        by = {v: (F.col(f"p_{v}") >= sure, F.col(f"p_{v}") <= 1 - sure) for v in extra}
-        found = pool.agg(*(F.count_if(by[v][c]).alias(f"{v}{c}") for v in extra for c in (0, 1))).first()
-        for v in extra:
-            picks = [_few(pool.where(by[v][c]), found[f"{v}{c}"], settings.pseudo, 11 + k).select(
-                "content", "meta", F.lit(1 - c).alias("y"), F.lit(0.5).alias("weight")) for c in (0, 1)]
-            new = materialize(picks[0].unionByName(picks[1]), f"pseudo-{v}-{k}")
-            extra[other[v]] = new if extra[other[v]] is None else extra[other[v]].unionByName(new)
-        weights = {v: _fit(start.unionByName(extra[v].withColumn("y", F.col("y").cast("int")), allowMissingColumns=False), v, settings) for v in extra}
-    held = base.where("held")
-    for v in extra:
-        held = _scored(held, v, weights[v], f"p_{v}")
-    # log odds and labels of the holdout: at most settings.labelled rows of three numbers
-    rows = held.select("p_content", "p_meta", "y").toPandas()
-    odds = {v: np.log(np.clip(rows[f"p_{v}"].to_numpy(float), 1e-15, 1 - 1e-15) / np.clip(1 - rows[f"p_{v}"].to_numpy(float), 1e-15, 1)) for v in extra}
-    y = rows["y"].to_numpy(float)
-    scale = {v: fit_small(odds[v][:, None], y) for v in extra}
-    views = np.column_stack([Model._line(odds[v][:, None], scale[v]) for v in ("content", "meta")])
-    model = Model(weights["content"], weights["meta"], scale["content"], scale["meta"], fit_small(views, y), 0.0)
-    p = _sigmoid(Model._line(views, model.combined))
+        by = {v: (F.col(f"p_{v}") >= settings.confident, F.col(f"p_{v}") <= 1 - settings.confident) for v in views}
+        found = pool.agg(*(F.count_if(by[v][c]).alias(f"{v}{c}") for v in views for c in (0, 1))).first()
+        for v in views:
+            picked = F.lit(False)
+            for c in (0, 1):
+                picked = picked | (by[v][c] & _one_in(found[f"{v}{c}"], settings.pseudo, 11 + k))
+            new = pool.where(picked).select("content", "meta", by[v][0].cast("int").alias("y"), F.lit(0.5).alias("weight"))
+            rows[other[v]] = rows[other[v]] + Rows.of(new)
+        weights = {v: rows[v].fit(v, settings) for v in views}
+    odds = {v: Model._line(getattr(held, v), weights[v]) for v in views}
+    y = held.y
+    scale = {v: fit_small(odds[v][:, None], y) for v in views}
+    both = np.column_stack([Model._line(odds[v][:, None], scale[v]) for v in views])
+    model = Model(weights["content"], weights["meta"], scale["content"], scale["meta"], fit_small(both, y), 0.0)
+    p = _sigmoid(Model._line(both, model.combined))
     good = np.sort(p[y == 1])
     model.cutoff = float(min(0.5, good[int(settings.lost_good * len(good))]))
     return model
 
 
-def fit_small(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Logistic regression of a few columns by damped Newton steps: calibration and combination."""
-    a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
+def fit_small(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60, weight: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression on standardized columns, by damped Newton steps: weights and intercept."""
+    weight = np.ones(len(x)) if weight is None else weight
+    middle, spread = x.mean(axis=0), x.std(axis=0)
+    spread[spread < 1e-12] = np.inf  # a constant column gets no weight
+    a = np.column_stack([(x - middle) / spread, np.ones(len(x))])
+    w, pen = np.zeros(a.shape[1]), np.append(np.full(x.shape[1], ridge), 0)
 
     def loss(w: np.ndarray) -> float:
         z = a @ w
-        return float(np.sum(np.logaddexp(0, z) - y * z) + ridge / 2 * w[:-1] @ w[:-1])
+        return float(weight @ (np.logaddexp(0, z) - y * z) + pen @ (w * w) / 2)
 
     for _ in range(steps):
         p = _sigmoid(a @ w)
-        pen = np.append(np.full(len(w) - 1, ridge), 0)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(pen + 1e-9), a.T @ (p - y) + pen * w)
+        slope = a.T @ (weight * (p - y)) + pen * w
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(pen + 1e-9), slope)
         size, now = 1.0, loss(w)
         while size > 1e-6 and loss(w - size * step) > now:
             size /= 2
         w = w - size * step
-        if np.abs(size * step).max() < 1e-8:
+        if np.abs(size * step).max() < 1e-7:
             break
-    return w
+    out = w[:-1] / spread
+    return np.append(out, w[-1] - out @ middle)
 
 
 def score_table(table: DataFrame, model: Model) -> DataFrame:
