@@ -158,5 +158,13 @@ CLEANING_RULES = {
     "weight": (30.0, 200.0),
 }
 
-# fixed values: points tried by the random searches
+# fixed values: points of the learners' searches, and how many of them a random search tries
+SEARCH_C = (0.01, 0.1, 1.0, 10.0)
+SEARCH_POINTS = {
+    "decision_tree": {"maxDepth": (3, 5, 7, 10, 30), "minInstancesPerNode": (1, 2, 5, 10), "impurity": ("gini", "entropy")},
+    "random_forest": {"numTrees": (100, 200, 400), "maxDepth": (5, 10, 20, 30), "minInstancesPerNode": (1, 2, 5),
+                      "featureSubsetStrategy": ("sqrt", "log2")},
+    "xgboost": {"maxIter": (200, 400, 600), "maxDepth": (3, 5, 7), "stepSize": (0.05, 0.1, 0.2),
+                "subsamplingRate": (0.7, 0.85, 1.0), "featureSubsetStrategy": ("0.7", "0.85", "1.0")},
+}
 SEARCH_BUDGETS = {"random_forest": 12, "xgboost": 15}
