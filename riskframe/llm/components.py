@@ -2,8 +2,8 @@
 
 Each round points every vertex's larger neighbours at its smallest one, then does the same among
 smaller neighbours (large star, small star). Rounds are grouped aggregations and joins on vertices,
-with the link table written to shared storage between them; nothing is gathered on the driver but
-one checksum a round. A vertex with very many links is one row per task before each shuffle.
+with the link table written to shared storage between them; the driver only learns whether a
+vertex is left that is not settled. A vertex with very many links is one row per task before each shuffle.
 """
 
 from __future__ import annotations
@@ -31,15 +31,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every vertex points at one vertex that points at none: nothing would move any more."""
+    ends = edges.select(F.greatest("u", "v").alias("x"), F.lit(1).alias("points"), F.lit(0).alias("aimed")).union(
+        edges.select(F.least("u", "v").alias("x"), F.lit(0).alias("points"), F.lit(1).alias("aimed")))
+    seen = ends.groupBy("x").agg(F.sum("points").alias("points"), F.max("aimed").alias("aimed"))
+    return seen.where("points > 1 or (points = 1 and aimed = 1)").isEmpty()
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(vertex, label) of all vertices that have a link; label is the smallest vertex reached."""
-    edges = materialize(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links")
-    before = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if now == before or now["n"] == 0:
-            break
-        before = now
-        edges = materialize(_small_star(_large_star(edges).distinct()).distinct(), "links")
+    edges = materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
+    while not _settled(edges):
+        edges = materialize(_small_star(_large_star(edges)).distinct(), "links")
     return edges.select(F.col("u").alias("vertex"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("vertex"), F.col("v").alias("label")).distinct())

@@ -45,6 +45,7 @@ WORDS, NUM, DEN = 4, 85, 100
 LOSS = DEN - NUM
 BAND_RATIO, SPARE = 1.5, 2
 BLOCK_SETS = 2048
+SKETCH_BITS = 4
 BUCKETS_PER_PARTITION = 4
 SLICE = 2 << 20
 U = np.uint64
@@ -110,9 +111,9 @@ def set_id(tokens: np.ndarray, seed: int) -> int:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens that fall on each of 64, 128, ... bits: at least as many as tokens."""
+    """Parity of the tokens that fall on each of 64, 128, ... bits: at least SKETCH_BITS a token."""
     bits = 64
-    while bits < len(tokens):
+    while bits < SKETCH_BITS * len(tokens):
         bits *= 2
     odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
