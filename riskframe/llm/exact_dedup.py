@@ -124,6 +124,7 @@ def verified_recipes(docs: DataFrame, bits: int = FINGERPRINT_BITS, id_col: str
 def groups(docs: DataFrame, bits: int = FINGERPRINT_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with the id that stays of its equals, their number, and its verdict."""
     rows = verified_recipes(docs, bits, id_col, text_col)
-    sums = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written first: a join of two plain shuffles lets adaptive execution split a very large group
+    sums = materialize(rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     return rows.join(sums, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

@@ -61,7 +61,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     """(doc, version, n_dropped, words) of the documents that lose lines. ``words`` maps the number
     of a 64-line word to its keep bits (bit i: line 64 * word + i stays); absent words keep all."""
     found = materialize(occurrences(docs, min_chars, id_col, text_col), "lines")
-    lost = (found.join(repeated_keys(found, min_docs), "hash")
+    # written first: a join of two plain shuffles lets adaptive execution split a very frequent hash
+    repeated = materialize(repeated_keys(found, min_docs), "repeated")
+    lost = (found.join(repeated, "hash")
             .where(~F.col("doc").eqNullSafe(F.col("last_doc"))))
     words = (lost.groupBy("doc", "version", F.shiftright("pos", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("bits")))
