@@ -35,28 +35,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm.common import expand, materialize, text_slices
-from riskframe.llm.units import encode_spaced, library_encoder, worker_memo
+from riskframe.llm.units import byte_level_joiner, encode_spaced, library_encoder, worker_memo
 
 MAGIC = b"RPR1"
 #: ids after which a shard is closed, rounds of replacement, rules added by a round, least uses of a pair
 SHARD_IDS, ROUNDS, ROUND_RULES, LEAST_USES = 1 << 19, 6, 2048, 8
+#: units a worker remembers
+MEMO_UNITS = 1_200_000
 SHARD_SCHEMA = "part int, seq int, first_doc long, n_docs long, n_ids long, ids_before long, payload binary"
 
 
-def _frequent_pairs(left: np.ndarray, right: np.ndarray, ok: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Keys (left << 32 | right) of the most frequent pairs. Hashed counts rule most pairs out;
-    the rest is counted exactly."""
+def _frequent_pairs(left: np.ndarray, right: np.ndarray, ok: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (left << 32 | right) of the most frequent pairs, where they are, and which of them is
+    there. Hashed counts rule most places out; the rest is counted exactly."""
     slot = ((left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(12)).astype(np.int32)
     slot = slot[ok]
     heavy = (np.bincount(slot, minlength=1 << 20) >= least)[slot]
     at = np.flatnonzero(ok)[heavy]
-    keys, uses = np.unique(left[at].astype(np.uint64) << np.uint64(32) | right[at], return_counts=True)
-    keep = uses >= least
-    keys, uses = keys[keep], uses[keep]
-    if len(keys) > most:
-        best = np.argsort(-uses, kind="stable")[:most]
-        keys = np.sort(keys[best])
-    return keys
+    coded = pa.array(left[at].astype(np.uint64) << np.uint64(32) | right[at]).dictionary_encode()
+    keys, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    uses = np.bincount(which, minlength=len(keys))
+    chosen = np.flatnonzero(uses >= least)
+    if len(chosen) > most:
+        chosen = np.sort(chosen[np.argsort(-uses[chosen], kind="stable")[:most]])
+    number = np.full(len(keys), -1)
+    number[chosen] = np.arange(len(chosen))
+    which = number[which]
+    return keys[chosen], at[which >= 0], which[which >= 0]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = ROUNDS,
@@ -71,21 +76,19 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = R
             break
         left, right = symbols[:-1], symbols[1:]
         ok = ~last[:-1]
-        keys = _frequent_pairs(left, right, ok, min(round_rules, (1 << 16) - first_rule - len(rules)) if first_rule < 1 << 16 else round_rules, least)
+        room = min(round_rules, (1 << 16) - first_rule - len(rules)) if first_rule < 1 << 16 else round_rules
+        keys, hits, which = _frequent_pairs(left, right, ok, room, least)
         if not len(keys):
             break
-        pair = left.astype(np.uint64) << np.uint64(32) | right
-        at = np.searchsorted(keys, pair)
-        at[at == len(keys)] = 0
-        hits = np.flatnonzero((keys[at] == pair) & ok)
         # of overlapping pairs in a row, the first, third, ... are replaced
         run = np.concatenate([[True], np.diff(hits) > 1])
         begin = np.maximum.accumulate(np.where(run, np.arange(len(hits)), 0))
-        hits = hits[(np.arange(len(hits)) - begin) % 2 == 0]
+        odd = (np.arange(len(hits)) - begin) % 2 == 0
+        hits, which = hits[odd], which[odd]
         new = np.column_stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
         old = lambda s: np.where(s < first_rule, 1, lengths[np.maximum(s.astype(np.int64) - first_rule, 0)] if len(lengths) else 1)
         lengths_new = old(new[:, 0]) + old(new[:, 1])
-        symbols[hits] = first_rule + len(rules) + at[hits]
+        symbols[hits] = first_rule + len(rules) + which
         last[hits] |= last[hits + 1]
         keep = np.ones(len(symbols), bool)
         keep[hits + 1] = False
@@ -181,7 +184,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_id
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo("bytes" + hashlib.md5(shared.value.encode()).hexdigest(), lambda: library_encoder(shared.value))
+        memo = worker_memo("bytes" + hashlib.md5(shared.value.encode()).hexdigest(), lambda: library_encoder(shared.value), lambda: byte_level_joiner(shared.value), MEMO_UNITS)
         part = TaskContext.get().partitionId()
         seq, before, held, doc_ids, lengths = 0, 0, [], [], []
 
@@ -195,7 +198,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_id
             seq, before, held, doc_ids, lengths = seq + 1, before + len(ids), [], [], []
             return out
 
-        for batch in text_slices(batches, limit=1 << 20):
+        for batch in text_slices(batches, limit=2 << 20):
             ids, ends = encode_spaced(memo, batch.column("text"))
             n = np.diff(ends)
             held.append(np.insert(ids, ends[1:], end_id))

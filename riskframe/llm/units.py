@@ -7,6 +7,7 @@ in which a plain split at single spaces would not give such pieces are cut by a
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable
@@ -32,8 +33,10 @@ CALL_BYTES, MEMO_UNITS = 256 << 10, 700_000
 class UnitMemo:
     """Ids of the units seen so far. Bounded: it starts anew when it holds ``limit`` units."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = MEMO_UNITS):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = MEMO_UNITS, joined: Callable | None = None):
+        """``joined``, where the tokenizer allows it, encodes units that begin with a space as one
+        text and tells them apart again: (ids, ids of each unit)."""
+        self.encode, self.limit, self.joined = encode, limit, joined
         self.clear()
 
     def clear(self) -> None:
@@ -45,8 +48,16 @@ class UnitMemo:
     def lookup(self, units: list[str]) -> np.ndarray:
         """Row of every unit; new ones are encoded in calls of about CALL_BYTES."""
         rows = self.rows
-        new = list(dict.fromkeys(u for u in units if u not in rows))
+        new = list(dict.fromkeys([u for u in units if u not in rows]))
         at, flats, lengths = 0, [self.flat], [self.lengths]
+        if self.joined and new:
+            whole = [u[:1] == " " and not u[-1].isspace() for u in new]
+            runs = [u for u, ok in zip(new, whole) if ok]
+            new = runs + [u for u, ok in zip(new, whole) if not ok]
+            got, n = self.joined(runs)
+            flats.append(got)
+            lengths.append(n)
+            at = len(runs)
         while at < len(new):
             end, size = at, 0
             while end < len(new) and (end == at or size < CALL_BYTES):
@@ -133,12 +144,41 @@ def library_encoder(json_text: str) -> Callable[[list[str]], list[list[int]]]:
     return lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)]
 
 
+def byte_level_joiner(json_text: str, piece_bytes: int = 8 << 10) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Encodes units as joined texts, for byte-level models: a token's name has a character for each
+    of its bytes, so the bytes before each token say which unit it belongs to."""
+    parsed, encode = json.loads(json_text), library_encoder(json_text)
+    vocab = parsed["model"]["vocab"]
+    size = np.zeros(1 + max([*vocab.values(), *(t["id"] for t in parsed["added_tokens"])], default=0), np.int64)
+    size[np.fromiter(vocab.values(), np.int64, len(vocab))] = np.fromiter(map(len, vocab), np.int64, len(vocab))
+    for t in parsed["added_tokens"]:
+        size[t["id"]] = len(t["content"].encode())
+
+    def joined(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not units:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // piece_bytes)) + 1).tolist(), len(units)]
+        texts, flats = ["".join(units[a:b]) for a, b in zip(cuts, cuts[1:])], []
+        for at in range(0, len(texts), 16):
+            flats += [np.array(x, np.int32) for x in encode(texts[at:at + 16])]
+        ids = np.concatenate(flats)
+        behind = np.cumsum(size[ids])
+        last = np.searchsorted(behind, ends)
+        if len(ids) != last[-1] + 1 or (behind[last] != ends).any():
+            raise ValueError("a token crosses the boundary of a unit")
+        return ids, np.diff(last, prepend=-1)
+
+    return joined
+
+
 _MEMOS: dict[str, UnitMemo] = {}
 
 
-def worker_memo(key: str, make: Callable[[], Callable[[list[str]], list[list[int]]]]) -> UnitMemo:
+def worker_memo(key: str, make: Callable[[], Callable[[list[str]], list[list[int]]]], make_joined: Callable[[], Callable] | None = None,
+                limit: int = MEMO_UNITS) -> UnitMemo:
     """One memo per tokenizer and Python worker; workers are reused from task to task."""
     if key not in _MEMOS:
         _MEMOS.clear()
-        _MEMOS[key] = UnitMemo(make())
+        _MEMOS[key] = UnitMemo(make(), limit, make_joined and make_joined())
     return _MEMOS[key]
