@@ -19,6 +19,8 @@ from riskframe.llm import cotrain, jaccard_join, line_dedup, packing, quality_ru
 from riskframe.llm.common import materialize, prepare, read_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: near copies share at least 0.8 of their runs of five words (op10's contract has 4 words and 0.85)
+NEAR = jaccard_join.Rule(5, 80, 100)
 
 
 def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return jaccard_join.keep_one(docs.select(COLUMNS))
+    return jaccard_join.keep_one(docs.select(COLUMNS), NEAR)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

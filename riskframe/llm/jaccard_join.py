@@ -21,6 +21,8 @@ it may link with lie there.
 So no pair that links can be missed, and pairs inside a group are not enumerated. Sets are named by
 64-bit hashes that are checked against a second hash (other hashes are taken if two sets share one).
 
+Words of a shingle and threshold are a :class:`Rule`; op10 takes CONTRACT, the pipeline its own.
+
 Results: words as the contract says; null or wordless text has an empty set, no links, and is its own
 component. Repeated rows have equal sets and link. A null id is below all others. An empty table
 gives no rows; other columns are not read.
@@ -29,6 +31,8 @@ gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +44,6 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import hash_bitmap, in_bitmap, materialize, text_slices
 from riskframe.llm.components import components
 
-#: words of a shingle; Jaccard similarity of at least NUM / DEN
-WORDS, NUM, DEN = 4, 85, 100
-LOSS = DEN - NUM
 BAND_RATIO, SPARE = 1.5, 2
 BLOCK_SETS = 2048
 SKETCH_BITS = 4
@@ -58,12 +59,41 @@ def _band_starts() -> np.ndarray:
     return np.array(starts, np.int64)
 
 
-#: smallest size of every band; largest difference of a linked pair whose smaller set is in the band
+#: smallest and largest size of every band
 STARTS = _band_starts()
 LARGEST = np.append(STARTS[1:] - 1, STARTS[-1] * 2)
-DIFFER = LOSS * LARGEST // NUM
-#: segments but the wide one, which counts as two
-PLAIN = DIFFER + 1 + SPARE + DIFFER // 16 - 2
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Sets of shingles of ``words`` words link at a Jaccard similarity of at least num / den. Sets look
+    no further than the next lower band, so num / den is at least 1 / BAND_RATIO."""
+
+    words: int
+    num: int
+    den: int
+
+    def __post_init__(self) -> None:
+        if self.words < 1 or not self.den <= BAND_RATIO * self.num <= BAND_RATIO * self.den:
+            raise ValueError("a shingle has at least one word, and the similarity is from 1 / BAND_RATIO to 1")
+
+    @property
+    def loss(self) -> int:
+        return self.den - self.num
+
+    @cached_property
+    def differ(self) -> np.ndarray:
+        """Largest difference of a linked pair whose smaller set is in the band."""
+        return self.loss * LARGEST // self.num
+
+    @cached_property
+    def plain(self) -> np.ndarray:
+        """Segments but the wide one, which counts as two."""
+        return self.differ + 1 + SPARE + self.differ // 16 - 2
+
+
+#: the rule of op10's contract
+CONTRACT = Rule(4, 85, 100)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,7 +105,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
-def shingle_sets(texts: pa.Array, salt: int) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, salt: int, rule: Rule = CONTRACT) -> list[np.ndarray]:
     """The distinct shingles of each text, as sorted 64-bit hashes."""
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
     counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -95,12 +125,12 @@ def shingle_sets(texts: pa.Array, salt: int) -> list[np.ndarray]:
             out = mix(out + p)
         return out
 
-    n = len(hashes) - WORDS + 1
-    full = join([hashes[k:k + n] for k in range(WORDS)]) if n > 0 else hashes[:0]
+    n = len(hashes) - rule.words + 1
+    full = join([hashes[k:k + n] for k in range(rule.words)]) if n > 0 else hashes[:0]
     out = []
     for a, b in zip(ends[:-1], ends[1:]):
-        if b - a >= WORDS:
-            out.append(np.unique(full[a:b - WORDS + 1]))
+        if b - a >= rule.words:
+            out.append(np.unique(full[a:b - rule.words + 1]))
         else:
             out.append(join([hashes[i:i + 1] for i in range(a, b)]) if b > a else hashes[:0])
     return out
@@ -127,14 +157,14 @@ def sketch_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def may_link(n: int, m: int, a: bytes, b: bytes) -> bool:
+def may_link(n: int, m: int, a: bytes, b: bytes, rule: Rule = CONTRACT) -> bool:
     """False only for pairs that can't link. A difference d leaves (n + m - d) / 2 common tokens."""
-    if NUM * max(n, m) > DEN * min(n, m):
+    if rule.num * max(n, m) > rule.den * min(n, m):
         return False
-    return sketch_distance(a, b) * (DEN + NUM) <= LOSS * (n + m)
+    return sketch_distance(a, b) * (rule.den + rule.num) <= rule.loss * (n + m)
 
 
-def keys_of(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
+def keys_of(sets: list[np.ndarray], rule: Rule = CONTRACT) -> dict[str, np.ndarray]:
     """Index and probe keys of many sets: key, row of the set, own (its own band, so indexed),
     item (what may be left out as one: a plain segment, or the deletions; -1: nothing),
     spare (weight that may be left out in this band)."""
@@ -142,16 +172,16 @@ def keys_of(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
     tokens = np.concatenate(sets) if sets else np.empty(0, U)
     owner = np.repeat(np.arange(len(sets)), sizes)
     band = np.searchsorted(STARTS, sizes, side="right") - 1
-    least = -(-NUM * sizes // DEN)
+    least = -(-rule.num * sizes // rule.den)
     found: list[tuple[np.ndarray, ...]] = []
     for lower in (0, 1):
         target = band - lower
         use = (sizes > 0) & (target >= 0) & ((least < STARTS[np.maximum(band, 0)]) if lower else True)
-        use &= DIFFER[np.maximum(target, 0)] > 0  # else only equal sets link
+        use &= rule.differ[np.maximum(target, 0)] > 0  # else only equal sets link
         rows = np.flatnonzero(use)
         if not len(rows):
             continue
-        t, plain = target[rows], PLAIN[target[rows]]
+        t, plain = target[rows], rule.plain[target[rows]]
         first = np.concatenate([[0], np.cumsum(plain + 1)])
         place = np.full(len(sets), -1)
         place[rows] = np.arange(len(rows))
@@ -167,7 +197,7 @@ def keys_of(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
         wide = part == plain[at]
         gone = (first[at] + part)[wide]
         size = sizes[rows]
-        spare = plain + 2 - (LOSS * (size + np.minimum(size, LARGEST[t])) // (DEN + NUM) + 1)
+        spare = plain + 2 - (rule.loss * (size + np.minimum(size, LARGEST[t])) // (rule.den + rule.num) + 1)
         whole_item = np.where(segment == np.repeat(plain, plain + 1), -1, segment)
         row_of = np.concatenate([np.repeat(rows, plain + 1), rows[at[wide]]])
         found.append((np.concatenate([mix(sums + tag), mix(sums[gone] - value[wide] + tag[gone])]), row_of,
@@ -182,11 +212,11 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def set_table(source: DataFrame, salt: int) -> DataFrame:
+def set_table(source: DataFrame, salt: int, rule: Rule) -> DataFrame:
     """(doc_id, n_shingles, sid, proof, sketch) of every row; sid is null for the empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, limit=SLICE):
-            sets = shingle_sets(batch.column("text"), salt)
+            sets = shingle_sets(batch.column("text"), salt, rule)
             full = [len(s) > 0 for s in sets]
             pick = lambda f: [f(s) if k else None for s, k in zip(sets, full)]
             yield pa.RecordBatch.from_arrays([
@@ -196,9 +226,9 @@ def set_table(source: DataFrame, salt: int) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, n_shingles long, sid long, proof long, sketch binary")
 
 
-def _distinct(batch: pa.RecordBatch, salt: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _distinct(batch: pa.RecordBatch, salt: int, rule: Rule) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct non-empty sets of a slice, and their ids."""
-    seen = {set_id(s, 1): s for s in shingle_sets(batch.column("text"), salt) if len(s)}
+    seen = {set_id(s, 1): s for s in shingle_sets(batch.column("text"), salt, rule) if len(s)}
     return list(seen.values()), np.fromiter(seen, np.int64, len(seen))
 
 
@@ -214,7 +244,7 @@ def _stars(keys: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[other], sids[other], head[other], keys[new], sids[new]
 
 
-def star_table(source: DataFrame, salt: int) -> DataFrame:
+def star_table(source: DataFrame, salt: int, rule: Rule) -> DataFrame:
     """(key, sid, pivot): every set that shares a key, with the key's smallest set."""
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts * BUCKETS_PER_PARTITION
@@ -223,8 +253,8 @@ def star_table(source: DataFrame, salt: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for batch in text_slices(batches, limit=SLICE):
-            sets, ids = _distinct(batch, salt)
-            found = keys_of(sets)
+            sets, ids = _distinct(batch, salt, rule)
+            found = keys_of(sets, rule)
             key, sid, pivot, lone_key, lone_sid = _stars(found["key"], ids[found["row"]])
             turn += 1
             rows = []
@@ -260,21 +290,21 @@ def star_table(source: DataFrame, salt: int) -> DataFrame:
     return packed.mapInArrow(meet, "key long, sid long, pivot long")
 
 
-def filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def filtered(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that sizes and sketches do not rule out."""
     side = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        f"{NUM} * greatest(n_a, n_b) <= {DEN} * least(n_a, n_b)").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+        f"{rule.num} * greatest(n_a, n_b) <= {rule.den} * least(n_a, n_b)").select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [may_link(*x) for x in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+            keep = [may_link(*x, rule) for x in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return near.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int, rule: Rule) -> DataFrame:
     """The pairs whose whole sets link. Only sets that a pair names are sent."""
     named = materialize(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
                         .join(sets.select("sid", "rep"), "sid"), "named")
@@ -287,7 +317,7 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int) ->
             ids = pc.fill_null(whole.column("doc_id"), lowest).to_numpy()
             batch = whole.filter(pa.array(in_bitmap(bitmap.value, ids)))
             if batch.num_rows:
-                found, ids = _distinct(batch, salt)
+                found, ids = _distinct(batch, salt, rule)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "tokens"])
 
     tokens = materialize(source.mapInArrow(run, "sid long, tokens binary").join(named.select("sid"), "sid").dropDuplicates(["sid"]), "tokens")
@@ -299,20 +329,20 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int) ->
             for x, y in zip(batch.column(2), batch.column(3)):
                 a, b = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
                 common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-                keep.append(DEN * common >= NUM * (len(a) + len(b) - common))
+                keep.append(rule.den * common >= rule.num * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b").mapInArrow(compare, "a long, b long")
 
 
-def live_keys(source: DataFrame, open_keys: DataFrame, salt: int) -> DataFrame:
+def live_keys(source: DataFrame, open_keys: DataFrame, salt: int, rule: Rule) -> DataFrame:
     """(key, sid, own, item, spare) of all sets, for the given keys only."""
     bitmap = source.sparkSession.sparkContext.broadcast(hash_bitmap(open_keys, "key", open_keys.count()))  # 8 MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, limit=SLICE):
-            sets, ids = _distinct(batch, salt)
-            found = keys_of(sets)
+            sets, ids = _distinct(batch, salt, rule)
+            found = keys_of(sets, rule)
             hit = in_bitmap(bitmap.value, found["key"])
             if hit.any():
                 x = {k: v[hit] for k, v in found.items()}
@@ -323,7 +353,7 @@ def live_keys(source: DataFrame, open_keys: DataFrame, salt: int) -> DataFrame:
     return rows.join(open_keys, "key").distinct()
 
 
-def across(live: DataFrame, sets: DataFrame) -> DataFrame:
+def across(live: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Candidates (a, b) of different components over unsettled keys, after cost-based allocation.
     ``live`` has the component of every set as label."""
     counts = live.where("own").groupBy("key", "label").agg(F.count(F.lit(1)).alias("inside"))
@@ -360,10 +390,10 @@ def across(live: DataFrame, sets: DataFrame) -> DataFrame:
                     stacked = _stack(held)
                 if not len(sizes):
                     continue
-                fits = (labels != label) & (NUM * n <= DEN * sizes) & ((sizes < n) | ((sizes == n) & (ids < sid)))
+                fits = (labels != label) & (rule.num * n <= rule.den * sizes) & ((sizes < n) | ((sizes == n) & (ids < sid)))
                 near = np.flatnonzero(fits)
                 if len(near):
-                    near = near[_distances(stacked, near, bits) * (DEN + NUM) <= LOSS * (n + sizes[near])]
+                    near = near[_distances(stacked, near, bits) * (rule.den + rule.num) <= rule.loss * (n + sizes[near])]
                 for i in near:
                     pair = (min(sid, int(ids[i])), max(sid, int(ids[i])))
                     if pair not in seen:
@@ -404,27 +434,27 @@ def _labelled(rows: DataFrame, found: DataFrame, sid: str, label: str) -> DataFr
     return rows.join(names, sid, "left").withColumn(label, F.coalesce("__label", F.col(sid))).drop("__label")
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = CONTRACT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     source = _source(docs, id_col, text_col)
     for salt in range(8):
-        rows = materialize(set_table(source, salt), "sets")
+        rows = materialize(set_table(source, salt, rule), "sets")
         if rows.where("sid is not null").groupBy("sid").agg(F.min("proof").alias("p"), F.max("proof").alias("q")).where("p <> q").isEmpty():
             break
     else:
         raise RuntimeError("two sets share their hashes under every salt")
     sets = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("x"))
                        .select("sid", F.col("x.doc_id").alias("rep"), F.col("x.n_shingles").alias("n"), F.col("x.sketch").alias("sketch")), "distinct-sets")
-    stars = materialize(star_table(source, salt), "stars")
+    stars = materialize(star_table(source, salt, rule), "stars")
     pairs = materialize(stars.select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
-    links = materialize(verified(materialize(filtered(pairs, sets), "near"), sets, source, salt), "first-links")
+    links = materialize(verified(materialize(filtered(pairs, sets, rule), "near"), sets, source, salt, rule), "first-links")
     found = materialize(components(links, "a", "b"), "components")
 
     unsettled = _labelled(_labelled(pairs, found, "a", "x"), found, "b", "y").where("x <> y").select("a", "b")
     open_keys = materialize(stars.join(unsettled, (F.col("pivot") == F.col("a")) & (F.col("sid") == F.col("b"))).select("key").distinct(), "open")
     if not open_keys.isEmpty():
-        live = materialize(_labelled(live_keys(source, open_keys, salt), found, "sid", "label"), "live")
-        more = verified(materialize(across(live, sets), "near"), sets, source, salt)
+        live = materialize(_labelled(live_keys(source, open_keys, salt, rule), found, "sid", "label"), "live")
+        more = verified(materialize(across(live, sets, rule), "near"), sets, source, salt, rule)
         found = materialize(components(links.union(more), "a", "b"), "components")
 
     named = _labelled(sets.select("sid", "rep"), found, "sid", "label")
@@ -434,7 +464,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """``docs`` with the smallest id of each component only; rows that repeat an id all stay."""
-    kept = link_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    kept = link_components(docs, rule=rule).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")

@@ -1,6 +1,6 @@
 """The pipeline, stage by stage, against what plain Python makes of each stage's input."""
 import pytest
-from test_dedup import brute_components, expected_lines
+from test_dedup import brute_components, expected_lines, near_copies
 
 import __spark_entry__
 import corpus_pipeline
@@ -63,3 +63,28 @@ def test_registered(spark):
     assert "pipeline" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.oracle_sql()
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_near_copies_by_five_words(spark, make_docs):
+    """Copies of 46 to 60 distinct words with one inner word replaced, and texts of many sizes, against
+    all pairs at five words and 0.8; copies of 49 to 52 words link there only."""
+    texts = [" ".join("changed" if k and i == n // 2 else f"t{n}w{i}" for i in range(n)) for n in range(46, 61) for k in (0, 1)]
+    docs = make_docs(texts + near_copies(5) + ["one two three four", "one two three four", "a b c d e", "", None])
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    sets = [brute_shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            k = len(a & sets[j])
+            if k and 100 * k >= 80 * (len(a) + len(sets[j]) - k):
+                root = [root[j] if x == root[i] else x for x in root]
+    want = {min(j for j in range(len(rows)) if root[j] == root[i]) for i in range(len(rows))}
+    got = {r["doc_id"] for r in corpus_pipeline.one_of_near_copies(spark, docs, SF).collect()}
+    assert got == want
+    contract = {i for i, (_, c) in brute_components(rows).items() if i == c}
+    assert {2 * (n - 46) + 1 for n in range(49, 53)} <= contract - got
+
+
+def brute_shingles(text, words=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} - {()}
