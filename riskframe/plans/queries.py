@@ -983,14 +983,14 @@ FROM t WHERE ref_total > 0 AND cur_total > 0 GROUP BY feature, day
 """)
 def q_daily_psi(spark, sf):
     ev = D.events_frame(spark, sf)
-    long = (ev.select("ts", "dom", F.lit("value").alias("feature"),
+    long = (ev.select("ts", "day_no", F.lit("value").alias("feature"),
                       F.col("value").cast("double").alias("value"))
-            .unionByName(ev.select("ts", "dom", F.lit("user_id").alias("feature"),
+            .unionByName(ev.select("ts", "day_no", F.lit("user_id").alias("feature"),
                                    F.col("user_id").cast("double").alias("value"))))
     # frozen edges from the first week (selection: a few passes over the
     # persisted first-week values; the edges come back as driver rows, so the
     # cache is released right after) ...
-    first_week = long.where(F.col("dom") <= 7).select("feature", "value").persist()
+    first_week = long.where(F.col("day_no") < D.EDGE_DAYS).select("feature", "value").persist()
     edges = drift.psi_edges(first_week)
     edges = spark.createDataFrame(edges.collect(), edges.schema)   # one row per feature
     first_week.unpersist()
@@ -1255,10 +1255,10 @@ def q_stream_daily_histogram(spark, sf):
     from riskframe.streaming.monitor_stream import daily_histogram, run_to_table
     ev = D.events_frame(spark, sf)
     long = (ev.select(F.lit("value").alias("feature"), F.col("value").cast("double").alias("value"),
-                      "dom")
+                      "day_no")
             .unionByName(ev.select(F.lit("user_id").alias("feature"),
-                                   F.col("user_id").cast("double").alias("value"), "dom")))
-    edges = drift.psi_edges(long.where(F.col("dom") <= 7).select("feature", "value"))
+                                   F.col("user_id").cast("double").alias("value"), "day_no")))
+    edges = drift.psi_edges(long.where(F.col("day_no") < D.EDGE_DAYS).select("feature", "value"))
     agg = daily_histogram(_event_stream(spark, sf), "ts", ["value", "user_id"], edges)
     out = run_to_table(agg, scratch_path(spark, "stream-hist"), mode="update",
                        keys=("day_start", "feature", "bin"))

@@ -15,6 +15,8 @@ from riskframe import schema as S
 from riskframe.functions.columns import hash_uniform, row_key, safe_div
 
 SEED = 42
+# windows over events, in days from the first event
+EDGE_DAYS, REFERENCE_DAYS = 7, 20
 
 # lineitem rules for the quality report (stand-ins for the clinical bounds)
 LINEITEM_RANGES = (
@@ -95,22 +97,23 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with an integer-coded 3-level column and the day of month."""
+    """events with an integer-coded 3-level column and the number of days since the first event."""
     ev = table(spark, sf_dir, "events")
+    first_day = ev.agg(F.min(F.to_date("ts"))).first()[0]
     k = F.get_json_object("props", "$.k").cast("long")
     return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
                      "event_type", "value", (F.pmod(k, F.lit(3)) + 1).cast("int").alias("level"),
-                     F.dayofmonth("ts").alias("dom"))
+                     F.datediff(F.to_date("ts"), F.lit(first_day).cast("date")).alias("day_no"))
 
 
 def drift_samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Reference = events of days 1-20; current = days 21-30 with injected
+    """Reference = events of the first 20 days; current = all later ones with injected
     drift (value +3, user_id +7+N(0,2), 20 % of level 1 -> 2) and a score."""
     from riskframe.operators.drift import inject_drift
     ev = events_frame(spark, sf_dir).withColumn(
         "prediction", F.least(F.col("value") / 500.0, F.lit(1.0)))
-    ref = ev.where(F.col("dom") <= 20)
-    cur = ev.where(F.col("dom") > 20)
+    ref = ev.where(F.col("day_no") < REFERENCE_DAYS)
+    cur = ev.where(F.col("day_no") >= REFERENCE_DAYS)
     cur = inject_drift(cur, F.col("event_id").cast("string"), SEED, "value", 3.0,
                        "user_id", 7.0, 2.0, "level", 1, 2, 0.20)
     return ref, cur
@@ -118,8 +121,8 @@ def drift_samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def event_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a prediction log: truth = purchase/signup, prediction = value > 50."""
-    ev = events_frame(spark, sf_dir)
-    return ev.select("event_id", "ts",
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"),
                      F.col("event_type").isin("purchase", "signup").cast("int").alias("label"),
                      (F.col("value") > 50).cast("int").alias("prediction"))
 
