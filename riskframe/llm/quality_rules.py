@@ -1,13 +1,16 @@
 """Operator 2: quality rules whose cutoffs are certified on labelled documents.
 
-Fixed base rules come first. The other rules share a path of strictness steps: at step t every rule
-has a cutoff, from loose to strict, fixed before any data is seen. A document's step is the first
-at which some rule rejects it. In each stratum (language) the labelled good documents that pass
-the base rules are a holdout: if k of n of them would go at step t, the exact binomial tail
-P(X <= k | n, alpha) is the p-value of "more than alpha of the good documents are rejected". Steps
-are tested in order and the walk stops at the first that fails, so a stratum is one test, and the
-strata share the error by Bonferroni. With probability 1 - delta no stratum loses more than alpha
-of its good documents. A stratum without enough labels to certify anything keeps everything.
+Fixed base rules come first. Each of the other rules walks its own strictness steps, whose cutoffs,
+from loose to strict, are fixed before any data is seen. In each stratum (language) the labelled good
+documents that pass the base rules are split by a hash of the id. One in CHOOSE of them only choose
+the order in which the steps of all rules are tried: the next step of whichever rule costs the fewest
+good documents, so a rule that is wrong for the language comes last and holds up no other. The rest
+are a holdout: if k of n of them would go by any rule after j steps of that order, the exact binomial
+tail P(X <= k | n, alpha) is the p-value of "more than alpha of the good documents are rejected".
+The order does not depend on the holdout and the walk stops at the first j that fails, so a stratum is
+one test of all its rules together, and the strata share the error by Bonferroni. With probability
+1 - delta no stratum loses more than alpha of its good documents. A stratum without enough labels to
+certify anything keeps everything.
 
 Results: null or empty text has no words and fails the base rules; a null language is a stratum of
 its own; a label without a document, or a null label, counts for nothing; repeated rows are judged
@@ -45,6 +48,9 @@ STEPS = {
     "repeated_share": (0.28, 0.25, 0.22, 0.2, 0.18, 0.15, 0.12, 0.1),
 }
 N_STEPS = 8
+RULES = list(STEPS)
+#: one in so many labelled good documents chooses the order of the steps, the others certify
+CHOOSE = 4
 
 
 def _per_doc(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -114,20 +120,18 @@ def base_failed() -> Column:
     return (F.col("__n_words") < LEAST_WORDS) | (100 * F.col("__n_repeat_words") > MOST_REPEATED * F.col("__n_words"))
 
 
-def first_step() -> Column:
-    """The first step at which a rule rejects the row; N_STEPS if none does."""
+def rule_steps() -> list[Column]:
+    """For each of RULES, the first step at which it rejects the row; N_STEPS if none does."""
     words, share = F.greatest(F.col("__n_words"), F.lit(1)), lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     value = {"symbols_per_word": F.col("__n_symbols") / words, "bangs_per_word": F.col("__n_bangs") / words,
              "upper_share": share("__n_upper", "__n_chars"), "word_length": F.col("__word_chars") / words,
              "short_words": words / F.greatest(F.col("__word_chars"), F.lit(1)),
              "dup_line_share": share("__n_dup_lines", "__n_lines"), "repeated_share": F.col("__n_repeat_words") / words}
-    out = F.lit(N_STEPS)
-    for t in reversed(range(N_STEPS)):
-        hit = F.lit(False)
-        for rule, cutoffs in STEPS.items():
-            hit = hit | (value[rule] > F.lit(cutoffs[t]))
-        out = F.when(hit, F.lit(t)).otherwise(out)
-    return out
+    out = dict.fromkeys(RULES, F.lit(N_STEPS))
+    for rule, cutoffs in STEPS.items():
+        for t in reversed(range(N_STEPS)):
+            out[rule] = F.when(value[rule] > F.lit(cutoffs[t]), F.lit(t)).otherwise(out[rule])
+    return list(out.values())
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
@@ -151,49 +155,86 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 def certified_steps(counts: list[int], n: int, alpha: float, level: float) -> int:
     """Number of steps certified in order; ``counts``: good documents first rejected at each step."""
     gone = 0
-    for t in range(N_STEPS):
-        gone += counts[t]
+    for t, count in enumerate(counts):
+        gone += count
         if n == 0 or binomial_tail(gone, n, alpha) > level:
             return t
-    return N_STEPS
+    return len(counts)
+
+
+def step_order(costs: list[list[int]]) -> list[int]:
+    """The place in the order of each step of each rule, flat. ``costs``: by rule, choosing documents
+    first rejected at each step. The cheapest next step comes first, of equals the loosest."""
+    at, place = [0] * len(costs), [0] * (len(costs) * N_STEPS)
+    for j in range(len(place)):
+        _, t, i = min((costs[i][t], t, i) for i, t in enumerate(at) if t < N_STEPS)
+        place[i * N_STEPS + t] = j
+        at[i] += 1
+    return place
 
 
 def certify(annotated: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id",
-            alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, holdout, steps) of the strata that have labelled good documents."""
+            alpha: float = ALPHA, delta: float = DELTA, small: int = 10_000) -> DataFrame:
+    """(stratum, holdout, steps) of the strata that have labelled good documents; ``steps`` has the
+    number certified for each of RULES."""
     good = labels.where(F.col("quality") == 1).select(F.col(id_col).alias("__id")).distinct()
-    held = (annotated.where(~base_failed()).select(id_col, F.col(stratum_col).alias("stratum"), first_step().alias("step"))
-            .join(good, F.col(id_col) == F.col("__id")))
-    at = [F.count_if(F.col("step") == t).alias(f"s{t}") for t in range(N_STEPS)]
-    sums = materialize(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("holdout"), *at), "strata")
-    level = delta / max(1, sums.count())
+    held = (annotated.where(~base_failed()).select(id_col, F.col(stratum_col).alias("stratum"), F.array(*rule_steps()).alias("step"))
+            .join(good, F.col(id_col) == F.col("__id"))
+            .select("stratum", "step", (F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(CHOOSE)) == 0).alias("chooses")))
+    held = materialize(held, "holdout")
+    rules, places = range(len(RULES)), range(len(RULES) * N_STEPS)
+    cost = [F.count_if(F.col("chooses") & (F.col("step")[i] == t)).alias(f"c{i * N_STEPS + t}") for i in rules for t in range(N_STEPS)]
+    costs = held.groupBy("stratum").agg(*cost)
+    stratum, ints = costs.schema["stratum"], T.ArrayType(T.IntegerType())
+
+    def order(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"stratum": f["stratum"], "place": [
+                step_order([[int(r[f"c{i * N_STEPS + t}"]) for t in range(N_STEPS)] for i in rules]) for r in f.to_dict("records")]})
+
+    orders = materialize(costs.mapInPandas(order, T.StructType([stratum, T.StructField("place", ints)])), "orders")
+    n_strata = orders.count()
+    level = delta / max(1, n_strata)
+    side = orders.select(F.col("stratum").alias("__stratum"), "place")
+    met = held.join(F.broadcast(side) if n_strata <= small else side, F.col("stratum").eqNullSafe(F.col("__stratum")))
+    step = lambda i: F.col("step")[i]
+    first = F.least(*(F.when(step(i) < N_STEPS, F.col("place")[step(i) + i * N_STEPS]).otherwise(len(places)) for i in rules))
+    gone = [F.count_if(~F.col("chooses") & (F.col("first") == j)).alias(f"g{j}") for j in places]
+    sums = materialize(met.select("stratum", "place", "chooses", first.alias("first")).groupBy("stratum")
+                       .agg(F.count_if(~F.col("chooses")).alias("holdout"), F.first("place").alias("place"), *gone), "strata")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"stratum": f["stratum"], "holdout": f["holdout"], "steps": [
-                certified_steps([int(r[f"s{t}"]) for t in range(N_STEPS)], int(r["holdout"]), alpha, level) for r in f.to_dict("records")]})
+            steps = []
+            for r in f.to_dict("records"):
+                n = certified_steps([int(r[f"g{j}"]) for j in places], int(r["holdout"]), alpha, level)
+                steps.append((np.asarray(r["place"]).reshape(len(RULES), N_STEPS) < n).sum(axis=1).tolist())
+            yield pd.DataFrame({"stratum": f["stratum"], "holdout": f["holdout"], "steps": steps})
 
-    return sums.mapInPandas(run, T.StructType([sums.schema["stratum"], T.StructField("holdout", T.LongType()), T.StructField("steps", T.IntegerType())]))
+    return sums.mapInPandas(run, T.StructType([stratum, T.StructField("holdout", T.LongType()), T.StructField("steps", ints)]))
 
 
 def judge(annotated: DataFrame, strata: DataFrame, stratum_col: str = "lang", small: int = 10_000) -> DataFrame:
-    """``annotated`` with __base_failed, __steps and __kept. A few strata are broadcast; many are
+    """``annotated`` with __base_failed, __steps (by rule) and __kept. A few strata are broadcast; many are
     joined by shuffle, where adaptive execution splits the large ones."""
-    known = strata.where("steps > 0").select(F.col("stratum").alias("__stratum"), F.col("steps").alias("__steps"))
+    known = strata.where(F.array_max("steps") > 0).select(F.col("stratum").alias("__stratum"), F.col("steps").alias("__steps"))
     if known.count() <= small:
         known = F.broadcast(known)
     out = annotated.join(known, F.col(stratum_col).eqNullSafe(F.col("__stratum")), "left").drop("__stratum")
-    out = out.withColumn("__steps", F.coalesce("__steps", F.lit(0))).withColumn("__base_failed", base_failed())
-    return out.withColumn("__kept", ~F.col("__base_failed") & (first_step() >= F.col("__steps")))
+    out = out.withColumn("__steps", F.coalesce("__steps", F.array(*[F.lit(0)] * len(RULES)))).withColumn("__base_failed", base_failed())
+    kept = ~F.col("__base_failed")
+    for i, step in enumerate(rule_steps()):
+        kept = kept & (step >= F.col("__steps")[i])
+    return out.withColumn("__kept", kept)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The columns of operator 2."""
+    """The columns of operator 2; certified_steps is the largest number certified for a rule."""
     counted = materialize(annotate(docs.select("doc_id", "text", "lang")).drop("text"), "counts")
     out = judge(counted, certify(counted, labels))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return out.select("doc_id", *(F.col(f"__{c}").alias(c) for c in base), F.col("__base_failed").alias("base_failed"),
-                      F.col("__kept").alias("kept"), F.col("__steps").alias("certified_steps"))
+                      F.col("__kept").alias("kept"), F.array_max("__steps").alias("certified_steps"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -133,3 +133,22 @@ def test_classifier_with_odd_rows(spark, make_docs, odd_texts):
     kept = cotrain.keep_good(docs, few)
     assert kept.columns == docs.columns and kept.count() <= len(odd_texts)
     assert cotrain.classify(make_docs([]), few).count() == 0
+
+
+def test_a_rule_that_is_wrong_for_a_language_holds_up_no_other(spark, make_docs):
+    """Good documents whose words are all long (phrases without spaces): symbol junk still goes."""
+    phrases = ["".join(chr(0x4E00 + (i * 31 + j * 7) % 2000) for j in range(30)) for i in range(300)]
+    good = [" ".join(phrases[(i * 7 + j) % 300] for j in range(25)) for i in range(400)]
+    junk = [" ".join(f"{phrases[i]}$$$###" for i in range(k, k + 30)) for k in range(20)]
+    docs = make_docs(good + junk, lang="zh")
+    out = {r["doc_id"]: r for r in quality_rules.verdicts(docs, labels_of(spark, [(i, 1, 0) for i in range(400)])).collect()}
+    assert all(out[i]["kept"] for i in range(400))
+    assert not any(out[i]["base_failed"] or out[i]["kept"] for i in range(400, 420))
+
+
+def test_order_puts_costly_steps_last_and_keeps_each_rule_in_order():
+    costs = [[0] * 8 for _ in quality_rules.RULES]
+    costs[3], costs[5] = [90] + [0] * 7, [0, 0, 0, 2, 0, 0, 0, 0]
+    place = np.array(quality_rules.step_order(costs)).reshape(len(costs), 8)
+    assert sorted(place.ravel()) == list(range(56)) and (np.diff(place, axis=1) > 0).all()
+    assert place[3].min() == 48 and place[5][3] == 43
