@@ -32,6 +32,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Drop the table of a :func:`materialize` result that is no longer read."""
+    spark = written.sparkSession
+    for file in written.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        base = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark)).toUri().getPath().rstrip("/")
+        if folder.toUri().getPath().startswith(base + "/"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def prepare(spark: SparkSession) -> None:
     """Checkpoint folder, and the repository's path for Python workers that lack it."""
     import os

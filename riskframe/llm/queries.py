@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (byte_bpe, chat_format, cotrain, exact_dedup, jaccard_join, line_dedup, packing,
-                           quality_rules, repair_store, token_counts)
+from riskframe.llm import (byte_bpe, centroid_clustering, chat_format, cotrain, exact_dedup, jaccard_join, line_dedup, packing,
+                           quality_rules, repair_store, simhash_dedup, spelling_variants, token_counts)
 from riskframe.llm.common import prepare, read_table
 
 QUERIES: dict = {}
@@ -94,3 +94,37 @@ def op9(spark, sf_dir):
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
     return jaccard_join.link_components(read_table(spark, sf_dir, "documents"))
+
+
+def _lloyd_sql(clusters: int = 40, rounds: int = 5, dims: int = 64, seed: int = 2) -> str:
+    """Rounds of assignment and integer means, each centroid compared with each vector."""
+    parts = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+             f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS j, v AS c FROM
+  (SELECT sha256('{seed}:' || vec_id) AS h, v FROM v ORDER BY h LIMIT {clusters}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, arg_min(j, d * {clusters} + j) AS j, min(d) AS d FROM
+  (SELECT vec_id, v, j, CAST(list_sum(list_transform(generate_series(1, {dims}), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS d FROM v, c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT j, coalesce(m, c) AS c FROM c{r} LEFT JOIN
+  (SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM
+    (SELECT j, i, sum(x) AS s, count(*) AS n FROM (SELECT j, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY j, i) GROUP BY j) USING (j))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (j)"""
+
+
+@query("op11_centroid_clustering", _lloyd_sql())
+def op11(spark, sf_dir):
+    return centroid_clustering.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_simhash_near_dedup")
+def op12(spark, sf_dir):
+    return simhash_dedup.link_components(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
