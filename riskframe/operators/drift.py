@@ -6,6 +6,10 @@ plan, a fixed number of jobs however many features there are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +18,7 @@ from riskframe import schema as S
 from riskframe.functions.bands import psi_verdict
 from riskframe.functions.columns import hash_normal, hash_uniform
 from riskframe.operators.ordered import running_sums
+from riskframe.session import write_once
 
 KS_SERIES_TERMS = 100
 KS_SMALL_LAMBDA = 0.2
@@ -43,78 +48,41 @@ def linspace(n_bins: int) -> list[float]:
     return [0.0 if i == 0 else (1.0 if i == n_bins else i * step) for i in range(n_bins + 1)]
 
 
-def collapse_pair(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
-    """One row per (feature, distinct value) with the count in each sample.
+def tagged_pair(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
+    """(feature, value, nr, nc) of every value, with the sample it is of."""
+    return (ref_long.select("feature", "value", F.lit(1).alias("nr"), F.lit(0).alias("nc"))
+            .unionByName(cur_long.select("feature", "value", F.lit(0).alias("nr"), F.lit(1).alias("nc"))))
 
-    This is the only aggregation that reads the data: quantile edges, bin
-    counts, totals and the KS statistic are all computed from it, so the
-    samples are scanned and shuffled once (Spark reuses the exchange in
-    every branch of the plan). A hot value collapses map-side to one row.
-    """
-    tagged = (ref_long.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("c"))
-              .unionByName(cur_long.select("feature", "value", F.lit(0).alias("r"),
-                                           F.lit(1).alias("c"))))
-    return tagged.groupBy("feature", "value").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+
+def collapse_pair(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
+    """One row per (feature, distinct value) with the count in each sample. A hot value collapses
+    map-side to one row."""
+    return tagged_pair(ref_long, cur_long).groupBy("feature", "value").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc"))
 
 
 def quantiles_from_counts(counts: DataFrame, fractions: list[float],
-                          count_col: str = "cnt", stats: list | None = None) -> DataFrame:
-    """Exact quantiles per feature from ``(feature, value, count)`` rows by
-    distributed selection (scans and small aggregates, no sort); see
-    :mod:`riskframe.operators.selection`. ``stats`` is accepted for
-    signature compatibility with :func:`quantiles_by_ranks`."""
+                          count_col: str = "cnt") -> DataFrame:
+    """Exact quantiles per feature from ``(feature, value, count)`` rows, without a sort of the
+    rows; see :mod:`riskframe.operators.selection`."""
     from riskframe.operators.selection import select_quantiles
     return select_quantiles(counts.select("feature", "value", count_col), fractions,
                             weight=count_col)
 
 
 def quantiles_by_ranks(counts: DataFrame, fractions: list[float],
-                       count_col: str = "cnt", stats: list | None = None) -> DataFrame:
+                       count_col: str = "cnt") -> DataFrame:
     """Exact, linearly interpolated quantiles per feature from
     ``(feature, value, count)`` rows: cumulative counts with
-    :func:`running_sums`, then the values at ranks floor/ceil of ``(n-1)q``.
-    Only the row count per feature reaches the driver (it sizes the value
-    buckets and the rank targets). Returns ``(feature, i, q, quantile)``."""
-    import math as _m
-
-    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
-
-    spark = counts.sparkSession
+    :func:`running_sums`, then the values at ranks floor/ceil of ``(n-1)q``, by a join.
+    Returns ``(feature, i, q, quantile)``."""
+    from riskframe.operators.selection import interpolated, wanted_ranks
     c = (counts.where(F.col(count_col) > 0)
          .select("feature", "value", F.col(count_col).alias("cnt")))
-    if stats is None:
-        stats = c.groupBy("feature").agg(F.sum("cnt").alias("n"),
-                                         F.count(F.lit(1)).alias("d")).collect()
-    sizes, largest = {}, 0
-    for r in stats:
-        sizes[r["feature"]] = r["n"]
-        largest = max(largest, r["d"])
-    n_buckets = max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET)))
-    cum = running_sums(c, ["feature"], "value", ["cnt"], n_buckets=n_buckets)
-    cum = cum.withColumn("before", F.col("cum_cnt") - F.col("cnt"))
-    rows = []
-    for feat, n in sizes.items():
-        for i, q in enumerate(fractions):
-            h = (n - 1) * q
-            lo = _m.floor(h)
-            rows.append((feat, i, float(q), int(lo), int(_m.ceil(h)), h - lo))
-    targets = spark.createDataFrame(
-        rows, "feature string, i int, q double, lo long, hi long, t double")
-    ranks = targets.select("feature", "i", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("lo").alias("r")),
-        F.struct(F.lit("hi").alias("side"), F.col("hi").alias("r")))).alias("x")
-    ).select("feature", "i", "x.side", "x.r")
+    cum = running_sums(c, ["feature"], "value", ["cnt"])
     # features x fractions x 2 rows: bounded by the spec, safe to broadcast
-    hit = (cum.join(F.broadcast(ranks), "feature")
-           .where((F.col("before") <= F.col("r")) & (F.col("r") < F.col("cum_cnt")))
-           .groupBy("feature", "i")
-           .agg(F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("v_lo"),
-                F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("v_hi")))
-    return (F.broadcast(targets).join(hit, ["feature", "i"])
-            .select("feature", "i", "q",
-                    F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo"))
-                    .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("t"))
-                    .alias("quantile")))
+    ranks = F.broadcast(wanted_ranks(cum.groupBy("feature").agg(F.sum("cnt").alias("n")), fractions))
+    return interpolated(cum.join(ranks, "feature").where(
+        (F.col("cum_cnt") - F.col("cnt") <= F.col("rank")) & (F.col("rank") < F.col("cum_cnt"))))
 
 
 def exact_quantiles(long: DataFrame, fractions: list[float]) -> DataFrame:
@@ -145,25 +113,15 @@ def bin_index(edges: Column, value: Column, n_bins: int = S.PSI_BINS) -> Column:
     return count
 
 
-def collapsed_stats(collapsed: DataFrame) -> list:
-    """Per feature: reference rows ``n``, distinct reference values ``d`` and
-    distinct values overall ``d_all`` (one small collect, one row per feature)."""
-    return collapsed.groupBy("feature").agg(
-        F.sum("nr").alias("n"), F.count_if(F.col("nr") > 0).alias("d"),
-        F.count(F.lit(1)).alias("d_all")).collect()
-
-
 def psi_from_collapsed(collapsed: DataFrame, features: list[str], n_bins: int = S.PSI_BINS,
-                       eps: float = S.PSI_EPSILON, stats: list | None = None,
-                       edges: DataFrame | None = None) -> DataFrame:
+                       eps: float = S.PSI_EPSILON, edges: DataFrame | None = None) -> DataFrame:
     """Population stability index per feature (A23) from
     :func:`collapse_pair` rows. Fewer than 3 distinct edges -> 0.0; an empty
     sample -> NaN; a bin empty in one sample still counts (with epsilon)."""
     spark = collapsed.sparkSession
     names = spark.createDataFrame([(f,) for f in features], "feature string")
     if edges is None:
-        ref_stats = None if stats is None else [r for r in stats if r["n"]]
-        edges = _edges(quantiles_from_counts(collapsed, linspace(n_bins), "nr", ref_stats))
+        edges = _edges(quantiles_from_counts(collapsed, linspace(n_bins), "nr"))
     usable = edges.where(F.size("edges") >= 3)
     nb = F.size("edges") - 1
     totals = collapsed.groupBy("feature").agg(F.sum("nr").alias("total_ref"),
@@ -207,41 +165,59 @@ def kolmogorov_pvalue(lam: Column) -> Column:
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))))
 
 
+#: cells of the recurrence up to which an exact p-value is meant: some minutes of one task
+KS_EXACT_CELLS = 2_000_000_000
+
+
 def ks_exact_pvalue(m: int, n: int, d: float) -> float:
-    """Exact two-sided P(D >= d) for samples of sizes m and n without ties:
-    one minus the probability that a uniformly random monotone lattice path
-    from (0, 0) to (m, n) stays strictly inside |i/m - j/n| < d. Computed
-    on the driver from three numbers, anti-diagonal by anti-diagonal."""
-    import numpy as np
+    """Exact two-sided P(D >= d) for samples of sizes m and n without ties: the probability that a
+    uniformly random monotone lattice path from (0, 0) to (m, n) leaves the band |i/m - j/n| < d.
+
+    The paths are followed diagonal by diagonal, with the probability of every point inside the
+    band that the path has not left; what steps out is added up, so a small p-value keeps its
+    digits. The sizes count up to a band of KS_EXACT_CELLS cells in all; beyond that the
+    asymptotic form is the one to name."""
     if m <= 0 or n <= 0:
         return float("nan")
     # compare in integers: |i*n - j*m| >= h is outside
     h = round(d * m * n)
     if h <= 0:
         return 1.0
-    # diagonal by diagonal, only the cells with |i*(m + n) - t*m| < h (i + j = t) are kept
-    prob, prev = np.ones(1), 0
-    for t in range(1, m + n + 1):
+    if (m + n) * min(m, n, 2 * h // (m + n) + 1) > KS_EXACT_CELLS:
+        raise ValueError(f"samples of {m} and {n} rows are too large for the exact p-value; use 'asymptotic'")
+    out, prob, first = 0.0, np.ones(1), 0
+    for t in range(1, m + n + 1):  # i + j = t; the points inside have |i*(m + n) - t*m| < h
         lo = max(0, t - n, (t * m - h) // (m + n) + 1)
         hi = min(m, t, -((-t * m - h) // (m + n)) - 1)
-        i = np.arange(lo, hi + 1)
-        padded = np.concatenate([[0.0], prob, [0.0]])
-        at = lambda k: padded[np.clip(k - prev + 1, 0, len(padded) - 1)]
-        # from (i-1, j): probability (m - i + 1) / (m + n - t + 1); from (i, j-1): (n - j + 1) / same
-        prob = (at(i - 1) * (m - i + 1) + at(i) * (n - (t - i) + 1)) / (m + n - t + 1)
-        prev = lo
-    if not len(prob):
-        return 1.0
-    return float(min(1.0, max(0.0, 1.0 - prob[-1])))
-
-
-def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None,
-                      pvalue: str = "asymptotic") -> DataFrame:
-    """Two-sample KS statistic (A24, W3) and asymptotic p-value per feature:
-    the largest gap between the two empirical CDFs over the distinct values."""
-    totals = collapsed.groupBy("feature").agg(F.sum("nr").alias("tot_r"),
-                                              F.sum("nc").alias("tot_c"))
-    cum = running_sums(collapsed, ["feature"], "value", ["nr", "nc"], n_buckets=n_buckets)
+        i = np.arange(first, first + len(prob))
+        left = m + n - t + 1
+        grown = np.zeros(len(prob) + 1)  # at first, first + 1, ...
+        grown[1:] += prob * (m - i) / left
+        grown[:-1] += prob * (n - (t - 1 - i)) / left
+        a, b = lo - first, hi - first + 1
+        out += grown[:max(a, 0)].sum() + grown[max(b, 0):].sum()
+        prob, first = grown[max(a, 0):max(b, 0)], max(lo, first)
+        if not len(prob):
+            break
+    return float(min(1.0, max(0.0, out)))
+
+
+def _exact_pvalues(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("tot_r", "tot_c", "ks_statistic")))
+        p = [None if d is None else ks_exact_pvalue(int(m or 0), int(n or 0), d) for m, n, d in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("feature"), batch.column("ks_statistic"), pa.array(p, pa.float64())],
+                                         ["feature", "ks_statistic", "ks_pvalue"])
+
+
+def ks_from_collapsed(collapsed: DataFrame, pvalue: str = "asymptotic") -> DataFrame:
+    """Two-sample KS statistic (A24, W3) and p-value per feature:
+    the largest gap between the two empirical CDFs over the distinct values.
+    ``pvalue="exact"`` works out one feature a task."""
+    if pvalue not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown p-value method {pvalue!r}")
+    cum = running_sums(collapsed, ["feature"], "value", ["nr", "nc"])
+    totals = cum.groupBy("feature").agg(F.sum("nr").alias("tot_r"), F.sum("nc").alias("tot_c"))
     d = (cum.join(F.broadcast(totals), "feature")  # one row per feature
          .groupBy("feature", "tot_r", "tot_c")
          .agg(F.max(F.abs(F.try_divide(F.col("cum_nr"), F.col("tot_r"))
@@ -250,23 +226,12 @@ def ks_from_collapsed(collapsed: DataFrame, n_buckets: int | None = None,
     en = F.sqrt(F.try_divide(F.col("tot_r") * F.col("tot_c"), F.col("tot_r") + F.col("tot_c")))
     out = d.select("feature", "tot_r", "tot_c",
                    F.when((F.col("tot_r") > 0) & (F.col("tot_c") > 0),
-                          F.col("ks_statistic")).alias("ks_statistic"),
-                   kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
-    if pvalue == "asymptotic":
-        return out.drop("tot_r", "tot_c")
-    if pvalue != "exact":
-        raise ValueError(f"unknown p-value method {pvalue!r}")
-    # one row per feature reaches the driver: sizes and statistic
-    rows = out.collect()
-    fixed = []
-    for r in rows:
-        p = r["ks_pvalue"]
-        m, n, stat = int(r["tot_r"] or 0), int(r["tot_c"] or 0), r["ks_statistic"]
-        if stat is not None:
-            p = ks_exact_pvalue(m, n, stat)
-        fixed.append((r["feature"], stat, p))
-    return collapsed.sparkSession.createDataFrame(
-        fixed, "feature string, ks_statistic double, ks_pvalue double")
+                          F.col("ks_statistic")).alias("ks_statistic"))
+    if pvalue == "exact":
+        # few rows, each of them long work: dealt out by feature before the work begins
+        return (write_once(out, "ks").repartition("feature")
+                .mapInArrow(_exact_pvalues, "feature string, ks_statistic double, ks_pvalue double"))
+    return out.select("feature", "ks_statistic", kolmogorov_pvalue(en * F.col("ks_statistic")).alias("ks_pvalue"))
 
 
 def ks_test(ref_long: DataFrame, cur_long: DataFrame) -> DataFrame:
@@ -303,18 +268,10 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
     if method not in ("exact", "kll"):
         raise ValueError(f"unknown method {method!r}")
     ref_long, cur_long, names = long_pair(reference, current, features, prediction)
-    import math as _m
-
-    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
-    from riskframe.session import cut_lineage
-    # every branch below reads this table: write it once to the shared folder
-    collapsed = cut_lineage(collapse_pair(ref_long, cur_long))
-    stats = collapsed_stats(collapsed)
-    largest = max((r["d_all"] for r in stats), default=0)
-    edges = _edges(kll_quantiles(ref_long, linspace(n_bins))) if method == "kll" else None
-    p = psi_from_collapsed(collapsed, names, n_bins, stats=stats, edges=edges)
-    k = ks_from_collapsed(collapsed, max(1, min(MAX_BUCKETS, _m.ceil(largest / ROWS_PER_BUCKET))),
-                          pvalue)
+    # PSI from edges and bin counts (no value is moved for it); the values are moved once, for KS
+    edges = _edges(kll_quantiles(ref_long, linspace(n_bins))) if method == "kll" else psi_edges(ref_long, n_bins)
+    p = psi_from_collapsed(tagged_pair(ref_long, cur_long), names, n_bins, edges=edges)
+    k = ks_from_collapsed(collapse_pair(ref_long, cur_long), pvalue)
     return (p.join(k, "feature", "left")
             .withColumn("verdict", psi_verdict("psi"))
             .select("feature", "psi", "ks_statistic", "ks_pvalue", "verdict", "n_ref", "n_cur"))
@@ -325,8 +282,7 @@ def psi_report(reference: DataFrame, current: DataFrame, features: list[str],
     """PSI and verdict alone, for decisions that need no KS (A28, L2): edges by selection, then one
     map-side count per feature and bin. No value is shuffled or written."""
     ref_long, cur_long, names = long_pair(reference, current, features, prediction)
-    counted = (ref_long.select("feature", "value", F.lit(1).alias("nr"), F.lit(0).alias("nc"))
-               .unionByName(cur_long.select("feature", "value", F.lit(0).alias("nr"), F.lit(1).alias("nc"))))
+    counted = tagged_pair(ref_long, cur_long)
     p = psi_from_collapsed(counted, names, n_bins, edges=psi_edges(ref_long, n_bins))
     return p.withColumn("verdict", psi_verdict("psi"))
 

@@ -73,45 +73,39 @@ def _keyed(counts: DataFrame, group_cols: tuple[str, ...]) -> tuple[DataFrame, l
     return counts.withColumn("__g", F.lit(0)), ["__g"]
 
 
-def auc_from_counts(counts: DataFrame, group_cols: tuple[str, ...] = (),
-                    n_buckets: int | None = None) -> DataFrame:
-    """W1 on ``(group, score, pos, neg)``: sum over scores of
-    pos * (negatives below + ties/2), divided by P*N; null without both classes."""
+def ranking_from_counts(counts: DataFrame, group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """W1 and W2 on ``(group, score, pos, neg)`` from one ordered pass.
+
+    ``roc_auc``: sum over scores of pos * (negatives below + ties/2), divided by P*N; null without
+    both classes. ``average_precision``: over descending distinct scores, sum of (pos/P) * precision
+    at that score; null without positives."""
     counts, key = _keyed(counts, group_cols)
-    cum = running_sums(counts, key, "score", ["neg"], n_buckets=n_buckets)
-    out = cum.groupBy(*key).agg(
+    cum = running_sums(counts, key, "score", ["pos", "neg"])
+    totals = counts.groupBy(*key).agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    same = None
+    for i, c in enumerate(key):
+        totals = totals.withColumnRenamed(c, f"__k_{i}")
+        same = F.col(c).eqNullSafe(F.col(f"__k_{i}")) if same is None else same & F.col(c).eqNullSafe(F.col(f"__k_{i}"))
+    above_pos = F.col("__p") - F.col("cum_pos") + F.col("pos")  # positives at this score or above
+    above_all = above_pos + F.col("__n") - F.col("cum_neg") + F.col("neg")
+    out = cum.join(totals, same).groupBy(*key, "__p", "__n").agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("__a"),
-        F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
-    out = out.select(*key, F.when((F.col("__p") > 0) & (F.col("__n") > 0),
-                                  F.col("__a") / (F.col("__p") * F.col("__n"))).alias("roc_auc"))
-    return out.drop("__g") if key == ["__g"] else out
-
-
-def ap_from_counts(counts: DataFrame, group_cols: tuple[str, ...] = (),
-                   n_buckets: int | None = None) -> DataFrame:
-    """W2 on ``(group, score, pos, neg)``: over descending distinct scores,
-    sum of (pos/P) * precision at that score; null without positives."""
-    counts, key = _keyed(counts.withColumn("all", F.col("pos") + F.col("neg")), group_cols)
-    cum = running_sums(counts, key, "score", ["pos", "all"], descending=True,
-                       n_buckets=n_buckets)
-    out = cum.groupBy(*key).agg(
-        F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_all")).alias("__s"),
-        F.sum("pos").alias("__p"))
-    out = out.select(*key, F.when(F.col("__p") > 0, F.col("__s") / F.col("__p"))
-                     .alias("average_precision"))
+        F.sum(F.col("pos") * above_pos / above_all).alias("__s"))
+    out = out.select(*key, F.when((F.col("__p") > 0) & (F.col("__n") > 0), F.col("__a") / (F.col("__p") * F.col("__n"))).alias("roc_auc"),
+                     F.when(F.col("__p") > 0, F.col("__s") / F.col("__p")).alias("average_precision"))
     return out.drop("__g") if key == ["__g"] else out
 
 
 def roc_auc(df: DataFrame, label: str, score: str,
             group_cols: tuple[str, ...] = ()) -> DataFrame:
     """Tie-aware ROC AUC per group."""
-    return auc_from_counts(_score_counts(df, label, score, group_cols), group_cols)
+    return ranking_from_counts(_score_counts(df, label, score, group_cols), group_cols).drop("average_precision")
 
 
 def average_precision(df: DataFrame, label: str, score: str,
                       group_cols: tuple[str, ...] = ()) -> DataFrame:
     """Step-wise average precision per group."""
-    return ap_from_counts(_score_counts(df, label, score, group_cols), group_cols)
+    return ranking_from_counts(_score_counts(df, label, score, group_cols), group_cols).drop("roc_auc")
 
 
 def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = None,
@@ -123,9 +117,6 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     with positive / negative counts, and the confusion matrix, AUC and AP
     are all computed from that collapsed frame.
     """
-    import math
-
-    from riskframe.operators.ordered import MAX_BUCKETS, ROWS_PER_BUCKET
     keys = list(group_cols)
     if score is None:
         out = rates_from_confusion(confusion_counts(df, label, prediction, group_cols),
@@ -149,16 +140,12 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     out = rates_from_confusion(conf, cost_fn, cost_fp)
     counts = (base.where(F.col("score").isNotNull() & ~F.isnan("score"))
               .groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    largest = (counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
-    nb = max(1, min(MAX_BUCKETS, math.ceil(largest / ROWS_PER_BUCKET)))
-    auc = auc_from_counts(counts, group_cols, nb)
-    ap = ap_from_counts(counts, group_cols, nb)
+    ranking = ranking_from_counts(counts, group_cols)
     if group_cols:
-        return out.join(auc, keys, "left").join(ap, keys, "left")
+        return out.join(ranking, keys, "left")
     one = F.lit(1).alias("__one")
-    # one-row frames; AUC / AP rows are absent when no row has a score
-    return (out.select("*", one).join(F.broadcast(auc.select("*", one)), "__one", "left")
-            .join(F.broadcast(ap.select("*", one)), "__one", "left").drop("__one"))
+    # one-row frames; the ranking's row is absent when no row has a score
+    return out.select("*", one).join(F.broadcast(ranking.select("*", one)), "__one", "left").drop("__one")
 
 
 def flatten_metrics(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -180,16 +167,11 @@ def subgroup_audit(df: DataFrame, label: str, prediction: str, subgroups: list[s
     src = (df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
            .select(*[F.col(c).cast("string").alias(c) for c in subgroups],
                    y.alias("__y"), p.alias("__p")))
-    import uuid
-    view = f"__audit_src_{uuid.uuid4().hex[:8]}"
-    src.createOrReplaceTempView(view)
-    sets = ", ".join(f"({c})" for c in subgroups) + ", ()"
-    body = df.sparkSession.sql(
-        f"""SELECT {', '.join(subgroups)},
-                   {', '.join(f'grouping({c}) AS __g_{c}' for c in subgroups)},
-                   count_if(__y AND __p) AS tp, count_if(NOT __y AND __p) AS fp,
-                   count_if(__y AND NOT __p) AS fn, count_if(NOT __y AND NOT __p) AS tn
-            FROM {view} GROUP BY GROUPING SETS ({sets})""")
+    sets = [[F.col(c)] for c in subgroups] + [[]]
+    body = src.groupingSets(sets, *[F.col(c) for c in subgroups]).agg(
+        *[F.grouping(c).alias(f"__g_{c}") for c in subgroups],
+        F.count_if(F.col("__y") & F.col("__p")).alias("tp"), F.count_if(~F.col("__y") & F.col("__p")).alias("fp"),
+        F.count_if(F.col("__y") & ~F.col("__p")).alias("fn"), F.count_if(~F.col("__y") & ~F.col("__p")).alias("tn"))
     dim = F.coalesce(*[F.when(F.col(f"__g_{c}") == 0, F.lit(c)) for c in subgroups],
                      F.lit("overall"))
     level = F.coalesce(*[F.when(F.col(f"__g_{c}") == 0, F.coalesce(F.col(c), F.lit("<null>")))

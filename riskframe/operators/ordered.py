@@ -1,115 +1,120 @@
 """Ordered running sums that never put a whole group into one task.
 
-AUC, average precision, the KS statistic, exact quantiles and exact
-stratified ranks all need "running total of X in order of Y within a
-group". A window ``partitionBy(group).orderBy(y)`` sends each group to a
-single task, and a window with no ``partitionBy`` sends everything to one.
-Here a large group is first cut into value ranges (bucket bounds from
-``percentile_approx``), each range is one window partition, and the
-running total of the ranges before it is added back as an offset from a
-tiny ``groups x buckets`` table.
+AUC, average precision, the KS statistic, exact quantiles and exact stratified ranks all need
+"running total of X in order of Y within a group". A window ``partitionBy(group).orderBy(y)``
+sends each group to a single task. Here the sums have two levels:
+
+1. One range partitioning on (group, order, ties): a partition holds many small groups or a piece of
+   a large one, so its size follows the number of rows and not that of any group. Each partition is
+   read in order, once, and adds up its own rows by group.
+2. A group that goes on from an earlier partition is the first of its partition, so there is at most
+   one such row a partition. Its total from the partitions before is found in the small table of
+   totals by (group, partition) and joined back.
+
+The ordered rows are written once to the shared folder. No bounds, groups or totals reach the driver.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-# Rows one window partition should hold at most before a group is split.
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-# Upper bound on the groups x buckets tables we broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bisect_right(bounds, value, n_bounds: int):
-    """Number of sorted ``bounds`` <= ``value`` by binary search (O(log n))."""
-    steps = max(1, math.ceil(math.log2(n_bounds + 1)))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go = lo < hi
-        le = F.coalesce(F.try_element_at(bounds, mid + 1) <= value, F.lit(False))
-        return F.struct(F.when(go & le, mid + 1).otherwise(lo).alias("lo"),
-                        F.when(go & ~le, mid).otherwise(hi).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).cast("int").alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-
-
-def plan_buckets(df: DataFrame, group_cols: list[str],
-                 rows_per_bucket: int | None = None) -> tuple[int, int]:
-    """(buckets per group, number of groups) from one small aggregate."""
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    stats = (df.groupBy(*group_cols).count()
-             .agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g"))
-             .first())
-    largest, n_groups = (stats["m"] or 0), (stats["g"] or 0)
-    return max(1, min(MAX_BUCKETS, math.ceil(largest / rows_per_bucket))), n_groups
+from pyspark.sql import types as T
+
+from riskframe.session import write_once
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """Numbers that are equal where the values are; null is a value."""
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
+def _sums_by_run(values: np.ndarray, starts: np.ndarray, carry) -> np.ndarray:
+    """Running sums that begin anew at every start; the first run goes on from ``carry``."""
+    if values.dtype.kind == "f":  # each run by itself, so that no other run's size costs digits
+        out = np.concatenate([np.cumsum(part) for part in np.split(values, starts[1:])])
+        out[:starts[1] if len(starts) > 1 else None] += carry
+        return out
+    out = np.cumsum(values)
+    before = out[starts] - values[starts]
+    before[0] -= carry
+    return out - np.repeat(before, np.diff(np.append(starts, len(values))))
+
+
+def _local_sums(group_cols: list[str], value_cols: list[str], names: list[str]):
+    """Adds the running sums of one ordered partition, batch by batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carry = None, [0] * len(value_cols)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for c in group_cols:
+                codes = _codes(batch.column(c))
+                new[1:] |= codes[1:] != codes[:-1]
+            first, end = ([batch.column(c)[i].as_py() for c in group_cols] for i in (0, batch.num_rows - 1))
+            if first != last:
+                carry = [0] * len(value_cols)
+            last = end
+            new[0] = True
+            starts = np.flatnonzero(new)
+            sums = [_sums_by_run(pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False), starts, x) for c, x in zip(value_cols, carry)]
+            carry = [s[-1] for s in sums]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, sums)], [*batch.schema.names, *names])
+    return run
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that the frame does not have yet, one for each of ``names``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def running_sums(df: DataFrame, group_cols: list[str], order_col: str,
                  value_cols: list[str], *, descending: bool = False,
                  tie_cols: tuple[str, ...] = (), prefix: str = "cum_",
-                 n_buckets: int | None = None,
-                 rows_per_bucket: int | None = None) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Add ``{prefix}{v}``: inclusive running sum of ``v`` ordered by
     ``order_col`` (then ``tie_cols``) within ``group_cols``.
 
     Rows that tie on the order columns are summed in an arbitrary but
     fixed order; collapse ties first (``groupBy(group, order).sum``) when
-    they must be counted together, as every caller here does.
+    they must be counted together, as every caller here does. A null group is
+    a group; a null value counts as zero. ``partitions`` is left to Spark's
+    settings unless given.
     """
-    group_cols = list(group_cols)
+    group_cols, value_cols = list(group_cols), list(value_cols)
+    order, part = fresh(df, "__o", "__p")
     key = F.col(order_col).cast("double")
-    x = df.withColumn("__o", -key if descending else key)
-    n_groups = None
-    if n_buckets is None:
-        n_buckets, n_groups = plan_buckets(df, group_cols, rows_per_bucket)
-
-    order = [F.col("__o")] + [F.col(c) for c in tie_cols]
-    if n_buckets <= 1:
-        w = (Window.partitionBy(*group_cols).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        for v in value_cols:
-            x = x.withColumn(f"{prefix}{v}", F.sum(v).over(w))
-        return x.drop("__o")
-
-    # Bucket bounds: n_buckets-1 approximate quantiles per group. They are
-    # collected (groups x buckets doubles, bounded above) so every branch of
-    # the plan sees the same bounds.
-    fractions = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 8 * n_buckets)
-    from pyspark.sql import types as T
-    bounds_rows = (x.groupBy(*group_cols)
-                   .agg(F.percentile_approx("__o", fractions, accuracy).alias("__b"))
-                   .collect())
-    fields = {f.name: f for f in x.schema.fields}
-    schema = T.StructType([fields[c] for c in group_cols]
-                          + [T.StructField("__b", T.ArrayType(T.DoubleType()), True)])
-    bounds = df.sparkSession.createDataFrame(bounds_rows, schema)
-    small = (n_groups or len(bounds_rows)) * n_buckets <= MAX_BROADCAST_ROWS
-    bounds = F.broadcast(bounds) if small else bounds
-    x = (x.join(bounds, group_cols, "left")
-         .withColumn("__k", bisect_right(F.col("__b"), F.col("__o"), n_buckets - 1))
-         .drop("__b"))
-
-    wl = (Window.partitionBy(*group_cols, "__k").orderBy(*order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for v in value_cols:
-        x = x.withColumn(f"__l_{v}", F.sum(v).over(wl))
-
-    totals = x.groupBy(*group_cols, "__k").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    wo = (Window.partitionBy(*group_cols).orderBy("__k")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*group_cols, "__k", *[
-        F.coalesce(F.sum(f"__t_{v}").over(wo), F.lit(0)).alias(f"__off_{v}") for v in value_cols])
-    offsets = F.broadcast(offsets) if small else offsets
-    out = x.join(offsets, group_cols + ["__k"], "left")
-    for v in value_cols:
-        out = out.withColumn(f"{prefix}{v}", F.col(f"__l_{v}") + F.col(f"__off_{v}"))
-    drop = ["__o", "__k"] + [f"__l_{v}" for v in value_cols] + [f"__off_{v}" for v in value_cols]
-    return out.drop(*drop)
+    x = df.withColumn(order, -key if descending else key)
+    fields = {f.name: f.dataType for f in x.schema.fields}
+    whole = [c for c in value_cols if isinstance(fields[c], T.IntegralType)]
+    x = x.select(*[F.col(c).cast("long" if c in whole else "double").alias(c) if c in value_cols else F.col(c) for c in x.columns])
+    by = [*group_cols, order, *tie_cols]
+    x = x.repartitionByRange(*([partitions] if partitions else []), *by).sortWithinPartitions(*by)
+    local = [f"__l_{i}" for i in range(len(value_cols))]
+    x = x.withColumn(part, F.spark_partition_id())
+    schema = T.StructType(list(x.schema.fields) + [T.StructField(n, T.LongType() if v in whole else T.DoubleType()) for n, v in zip(local, value_cols)])
+    written = write_once(x.mapInArrow(_local_sums(group_cols, value_cols, local), schema), "ordered")
+
+    totals = written.groupBy(*group_cols, part).agg(*[F.sum(v).alias(f"__t_{i}") for i, v in enumerate(value_cols)])
+    earlier = Window.partitionBy(*group_cols).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col(part).alias("__q"), *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(group_cols)],
+                           *[F.sum(f"__t_{i}").over(earlier).alias(f"__b_{i}") for i in range(len(value_cols))],
+                           F.row_number().over(Window.partitionBy(*group_cols).orderBy(part)).alias("__nth"))
+    before = before.where("__nth > 1").drop("__nth")  # at most one row a partition
+    same = F.col(part) == F.col("__q")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g_{i}"))
+    out = written.join(F.broadcast(before), same, "left")
+    return out.select(*df.columns, *[(F.col(n) + F.coalesce(F.col(f"__b_{i}"), F.lit(0))).alias(f"{prefix}{v}")
+                                     for i, (n, v) in enumerate(zip(local, value_cols))])

@@ -1,131 +1,85 @@
-"""Exact quantiles by distributed selection: scans, no sort.
-
-For order statistics alone (medians, deciles) a full sort is more than is
-needed. Each round narrows, per wanted rank, the value band that holds it:
-rows of the band are counted in ``GRID`` equal-width cells (with each cell's
-min and max), the cell that holds the rank becomes the next band, and the
-count of rows below it is carried along. Cells are contiguous value ranges
-because the cell index is monotonic in the value, so a cell's [min, max] is
-exactly its rows. Once a band holds at most ``MAX_BAND`` rows its distinct
-values (with counts) are small enough to pick from directly.
-
-Every round is one scan with a broadcast of the bands (at most two per
-wanted rank) and an aggregate of at most bands x GRID rows; what reaches
-the driver is bounded by those sizes. A hot value ends its search early:
-its cell has min == max.
+"""Exact quantiles of many features by splitters: three scans, no sort of the data.
+
+1. Each feature gets up to ``SPLITTERS`` splitting values from a mergeable quantile sketch. They only decide
+   how even the next step is, never the answer.
+2. One counting pass puts every row between its feature's splitters (a binary search in
+   generated code over the feature's own array) and counts rows per (feature, cell), with the least
+   and the largest value. A cell with one value settles the ranks in it.
+3. The wanted ranks are joined to the running counts of the cells. Only rows of cells that hold a wanted
+   rank and several values are looked at again: their distinct values are counted and summed up in
+   order with :func:`running_sums`, and the ranks are joined to those sums.
+
+Nothing is collected. The splitters reach the executors as one row per feature (SPLITTERS doubles each),
+the cells with wanted ranks as at most two rows per feature and fraction.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 4096
-MAX_BAND = 100_000
-# upper bound on the (value, count) rows the final step brings to the driver
-MAX_COLLECT = 1_000_000
+from riskframe.operators.ordered import running_sums
+from riskframe.session import write_once
 
+SPLITTERS = 512
 
-def _log_scale(v):
-    """Monotonic in v: the signed number of e-foldings above the smallest double."""
-    return F.signum(v) * (F.ln(F.greatest(F.abs(v), F.lit(2.3e-308))) + F.lit(709.0))
 
+def with_cell(rows: DataFrame, cuts: str, value: str, out: str, most: int) -> DataFrame:
+    """Add the number of sorted ``cuts`` (at most ``most``) that are <= ``value``, by halving steps."""
+    step = 1 << max(0, math.ceil(math.log2(most + 1)) - 1)
+    x = rows.withColumn(out, F.lit(0))
+    while step:
+        # each step is a projection of its own, so that the position is computed once
+        x = x.withColumn(out, F.col(out) + F.when(F.try_element_at(F.col(cuts), F.col(out) + step) <= F.col(value), F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return x
 
-def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None = None,
-                     grid: int = GRID, max_band: int = MAX_BAND) -> DataFrame:
-    """Exact linearly interpolated quantiles of ``(feature, value[, weight])``
-    rows (weight = row multiplicity, e.g. a collapsed count). Returns
-    ``(feature, i, q, quantile)`` like NumPy's default method."""
-    spark = long.sparkSession
-    w = F.col(weight) if weight else F.lit(1)
-    rows = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    if weight:
-        rows = rows.where(F.col(weight) > 0)
-    stats = {r["feature"]: (int(r["n"]), r["lo"], r["hi"]) for r in
-             rows.groupBy("feature").agg(F.sum(w).alias("n"), F.min("value").alias("lo"),
-                                         F.max("value").alias("hi")).collect()}
-    if any(math.isinf(lo) or math.isinf(hi) for _, lo, hi in stats.values()):
-        # infinite values have no place on an equal-width grid: use exact ranks
-        from riskframe.operators.drift import quantiles_by_ranks
-        counts = rows.groupBy("feature", "value").agg(F.sum(w).alias("cnt"))
-        return quantiles_by_ranks(counts, fractions)
-    # state per wanted (feature, rank): band [a, b], rows below a, rows in band, answer
-    state: dict[tuple, dict] = {}
-    for f, (n, lo, hi) in stats.items():
-        for q in fractions:
-            h = (n - 1) * q
-            for r in {math.floor(h), math.ceil(h)}:
-                state[(f, r)] = {"a": lo, "b": hi, "below": 0, "cnt": n,
-                                 "value": lo if lo == hi else None}
 
-    # many wanted ranks share the collect budget: narrow each band further
-    max_band = min(max_band, max(1_000, MAX_COLLECT // max(1, len(state))))
+def wanted_ranks(sizes: DataFrame, fractions: list[float]) -> DataFrame:
+    """(feature, i, q, t, rank, side): the ranks below and above each fraction of ``(feature, n)`` rows."""
+    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(fractions)])
+    h = (F.col("n") - 1) * F.col("q")
+    x = sizes.select("feature", "n", F.inline(points)).select("feature", "i", "q", h.alias("h"))
+    sides = F.array(F.struct(F.lit("lo").alias("side"), F.floor("h").cast("long").alias("rank")),
+                    F.struct(F.lit("hi").alias("side"), F.ceil("h").cast("long").alias("rank")))
+    return x.select("feature", "i", "q", (F.col("h") - F.floor("h")).alias("t"), F.inline(sides))
 
-    def bands(pred) -> dict:
-        out: dict[tuple, int] = {}
-        for (f, r), s in state.items():
-            if s["value"] is None and pred(s):
-                out.setdefault((f, s["a"], s["b"]), len(out))
-        return out
 
-    def band_rows(bmap: dict) -> DataFrame:
-        bdf = spark.createDataFrame([(f, a, b, i) for (f, a, b), i in bmap.items()],
-                                    "feature string, a double, b double, band int")
-        # a row lies in at most one band per feature (bands are disjoint cells)
-        return (rows.join(F.broadcast(bdf), "feature")
-                .where((F.col("value") >= F.col("a")) & (F.col("value") <= F.col("b"))))
+def interpolated(found: DataFrame) -> DataFrame:
+    """(feature, i, q, quantile) from (feature, i, q, t, side, value)."""
+    both = found.groupBy("feature", "i", "q", "t").agg(F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("lo"),
+                                                       F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("hi"))
+    # equal neighbours (also infinities) are the answer as they are
+    return both.select("feature", "i", "q", F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+                       .otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("t")).alias("quantile"))
 
-    # Cells of equal width and cells of equal ratio take turns: the first settle values that are
-    # spread evenly, the second values spread over many decades. Every round parts a band's
-    # smallest value from its largest, so each band shrinks until it is small enough or one value.
-    turn = 0
-    while bmap := bands(lambda s: s["cnt"] > max_band):
-        scale = _log_scale if turn % 2 else (lambda v: v * F.lit(0.5))  # halves keep b - a finite
-        span = scale(F.col("b")) - scale(F.col("a"))
-        part = F.when(span > 0, (scale(F.col("value")) - scale(F.col("a"))) / span).otherwise(F.lit(0.0))
-        cell = F.least(F.floor(part * grid), F.lit(grid - 1))
-        turn += 1
-        cells: dict[int, list] = {}
-        for r in (band_rows(bmap).groupBy("band", cell.alias("cell"))
-                  .agg(F.sum(w).alias("c"), F.min("value").alias("mn"),
-                       F.max("value").alias("mx")).collect()):
-            cells.setdefault(r["band"], []).append((r["cell"], int(r["c"]), r["mn"], r["mx"]))
-        for (f, r), s in state.items():
-            key = (f, s["a"], s["b"])
-            if s["value"] is not None or key not in bmap:
-                continue
-            seen = s["below"]
-            for _, c, mn, mx in sorted(cells[bmap[key]]):
-                if seen + c > r:
-                    s.update(a=mn, b=mx, below=seen, cnt=c, value=mn if mn == mx else None)
-                    break
-                seen += c
 
-    pending = bands(lambda s: True)
-    if pending:
-        values: dict[int, list] = {}
-        for r in (band_rows(pending).groupBy("band", "value").agg(F.sum(w).alias("c"))
-                  .collect()):
-            values.setdefault(r["band"], []).append((r["value"], int(r["c"])))
-        for (f, r), s in state.items():
-            if s["value"] is not None:
-                continue
-            seen = s["below"]
-            for v, c in sorted(values[pending[(f, s["a"], s["b"])]]):
-                if seen + c > r:
-                    s["value"] = v
-                    break
-                seen += c
-
-    out = []
-    for f, (n, _, _) in stats.items():
-        for i, q in enumerate(fractions):
-            h = (n - 1) * q
-            lo, hi = math.floor(h), math.ceil(h)
-            v_lo, v_hi = state[(f, lo)]["value"], state[(f, hi)]["value"]
-            # equal neighbours (also infinities) are the answer as they are
-            val = v_lo if v_lo == v_hi else v_lo + (v_hi - v_lo) * (h - lo)
-            out.append((f, i, float(q), val))
-    return spark.createDataFrame(out, "feature string, i int, q double, quantile double")
+def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None = None,
+                     splitters: int | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles of ``(feature, value[, weight])``
+    rows (weight = row multiplicity, e.g. a collapsed count). Returns
+    ``(feature, i, q, quantile)`` like NumPy's default method."""
+    most = splitters or SPLITTERS
+    rows = long.select("feature", F.col("value").cast("double").alias("value"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("w"))
+    rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("w") > 0))
+    points = [k / (most + 1) for k in range(1, most + 1)]
+    cuts = rows.groupBy("feature").agg(F.array_distinct(F.percentile_approx("value", points, 4 * most)).alias("cuts"))
+    celled = with_cell(rows.join(F.broadcast(cuts), "feature"), "cuts", "value", "cell", most).drop("cuts")
+    counted = write_once(celled.groupBy("feature", "cell").agg(F.sum("w").alias("c"), F.min("value").alias("mn"), F.max("value").alias("mx")), "cells")
+    upto = F.sum("c").over(Window.partitionBy("feature").orderBy("cell"))  # at most ``most`` + 1 rows a feature
+    cells = counted.withColumn("before", upto - F.col("c"))
+    ranks = wanted_ranks(counted.groupBy("feature").agg(F.sum("c").alias("n")), fractions)
+    at = ranks.join(cells, "feature").where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("c")))
+    at = write_once(at, "ranks")
+    found = at.where("mn = mx").select("feature", "i", "q", "t", "side", F.col("mn").alias("value"))
+    still = at.where("mn <> mx")
+    if not still.isEmpty():
+        open_cells = still.select("feature", "cell").distinct()
+        inside = (celled.join(F.broadcast(open_cells), ["feature", "cell"]).groupBy("feature", "cell", "value").agg(F.sum("w").alias("w")))
+        sums = running_sums(inside, ["feature", "cell"], "value", ["w"])
+        hit = sums.join(still.select("feature", "cell", "i", "q", "t", "side", (F.col("rank") - F.col("before")).alias("r")), ["feature", "cell"])
+        hit = hit.where((F.col("cum_w") - F.col("w") <= F.col("r")) & (F.col("r") < F.col("cum_w")))
+        found = found.union(hit.select("feature", "i", "q", "t", "side", "value"))
+    return interpolated(found)

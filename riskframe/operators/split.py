@@ -39,19 +39,13 @@ def class_quotas(class_counts: list[tuple], test_size: float) -> dict:
     return quota
 
 
-def _class_ranks(df: DataFrame, key: Column, label: str, seed: int,
-                 largest_class: int | None = None) -> DataFrame:
-    """1-based rank of each row inside its class in (u, key) order, computed
-    with bucketed running sums so a dominant class is not one task."""
-    from riskframe.operators import ordered
+def _class_ranks(df: DataFrame, key: Column, label: str, seed: int) -> DataFrame:
+    """1-based rank of each row inside its class in (u, key) order, by two-level running sums, so
+    a dominant class is not one task."""
     x = (df.withColumn("__u", hash_uniform(key, seed))
          .withColumn("__key", key.cast("string"))
          .withColumn("__one", F.lit(1)))
-    nb = None
-    if largest_class is not None:
-        nb = max(1, min(ordered.MAX_BUCKETS, math.ceil(largest_class / ordered.ROWS_PER_BUCKET)))
-    r = running_sums(x, [label], "__u", ["__one"], tie_cols=("__key",), prefix="__rank",
-                     n_buckets=nb)
+    r = running_sums(x, [label], "__u", ["__one"], tie_cols=("__key",), prefix="__rank")
     return r.withColumnRenamed("__rank__one", "__rank").drop("__one")
 
 
@@ -64,7 +58,7 @@ def exact_stratified_split(df: DataFrame, key: Column, label: str, seed: int,
     q = df.sparkSession.createDataFrame(
         [(k, int(v)) for k, v in quotas.items()],
         df.select(label).schema.add("__quota", "long"))
-    ranked = _class_ranks(df, key, label, seed, max((c for _, c in counts), default=0))
+    ranked = _class_ranks(df, key, label, seed)
     return (ranked.join(F.broadcast(q), label, "left")   # one row per class
             .withColumn(out_col, F.when(F.col("__rank") <= F.col("__quota"), F.lit("test"))
                         .otherwise(F.lit("train")))
@@ -84,7 +78,7 @@ def split_with_folds(df: DataFrame, key: Column, label: str, seed: int,
     q = df.sparkSession.createDataFrame(
         [(c, int(v)) for c, v in quotas.items()],
         df.select(label).schema.add("__quota", "long"))
-    ranked = _class_ranks(df, key, label, seed, max((c for _, c in counts), default=0))
+    ranked = _class_ranks(df, key, label, seed)
     test = F.col("__rank") <= F.col("__quota")
     out = (ranked.join(F.broadcast(q), label, "left")   # one row per class
            .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))

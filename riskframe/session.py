@@ -105,6 +105,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(hadoop).exists(where)
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the shared folder, for plans that read it more than once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local checkpoint."""
     checkpoint_dir(df.sparkSession)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.operators.drift import bin_index
 from riskframe.operators.quality import validate
@@ -134,7 +135,8 @@ def run_to_table(df: DataFrame, checkpoint: str, mode: str = "append",
     q.awaitTermination()
     if not path_exists(spark, out):  # no micro-batch ran
         return spark.createDataFrame([], df.schema)
-    rows = spark.read.schema(df.schema.add("batch_id", "long")).parquet(out)
+    # a schema of its own: StructType.add would change the cached schema of ``df``
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out)
     if mode == "update":
         others = [c for c in df.columns if c not in keys]
         rows = (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("x"))

@@ -68,12 +68,12 @@ def test_single_class_gives_null_auc(spark):
     assert m["roc_auc"] is None and m["tp"] == 2 and m["fn"] == 1
 
 
-def test_bucketed_running_sums_equal_single_window(spark):
+def test_running_sums_of_many_partitions_equal_those_of_one(spark):
     # one hot group holding most rows, one small group
     rows = [("hot", float(i % 997), 1) for i in range(20000)] + [("cold", float(i), 2) for i in range(50)]
     df = spark.createDataFrame(rows, "g string, v double, w int").groupBy("g", "v").agg(F.sum("w").alias("w"))
-    a = running_sums(df, ["g"], "v", ["w"], n_buckets=16).orderBy("g", "v").collect()
-    b = running_sums(df, ["g"], "v", ["w"], n_buckets=1).orderBy("g", "v").collect()
+    a = running_sums(df, ["g"], "v", ["w"], partitions=16).orderBy("g", "v").collect()
+    b = running_sums(df, ["g"], "v", ["w"], partitions=1).orderBy("g", "v").collect()
     assert [(r.g, r.v, r.cum_w) for r in a] == [(r.g, r.v, r.cum_w) for r in b]
 
 

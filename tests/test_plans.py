@@ -42,13 +42,14 @@ def test_no_cartesian_products(spark, name):
     assert "CartesianProduct" not in _plan(entry.queries()[name](spark, SF))
 
 
-def test_large_groups_are_windowed_by_value_bucket(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 10)
+def test_ordered_rows_are_not_windowed_by_group(spark):
+    """Windows see totals by group and partition only: one range exchange moves the rows, once."""
     df = spark.range(500).select(F.lit("g").alias("grp"), (F.col("id") % 97).cast("double").alias("v"),
                                  F.lit(1).alias("w"))
-    plan = _plan(ordered.running_sums(df, ["grp"], "v", ["w"]))
-    windows = [l for l in plan.splitlines() if l.startswith("Arguments:") and "specifiedwindowframe" in l]
-    assert windows and all("__k" in l or "grp" not in l for l in windows)
+    plan = _plan(ordered.running_sums(df, ["grp"], "v", ["w"], partitions=4))
+    scans = [l for l in plan.splitlines() if l.startswith("ReadSchema")]
+    assert len(scans) == 2 and any("v:" not in l for l in scans)  # the totals read no order column
+    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_cluster_sizing():
