@@ -4,26 +4,24 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import is_missing
+from riskframe.operators.gram import moments
 
 
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation for every pair, pairwise-complete like pandas,
-    in one aggregate: ``(col_a, col_b, n, corr)``. NaN counts as missing."""
-    clean = df.select(*[F.when(~is_missing(c), F.col(c).cast("double")).alias(c) for c in cols])
-    pairs = list(combinations(cols, 2))
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs += [F.corr(a, b).alias(f"c{i}"), F.count_if(both).alias(f"n{i}")]
-    row = clean.agg(*aggs)
-    items = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                               F.col(f"n{i}").alias("n"), F.col(f"c{i}").alias("corr"))
-                      for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(items))
+    in one pass of block products: ``(col_a, col_b, n, corr)``. NaN counts as missing;
+    a column that does not vary has a null correlation."""
+    clean = F.array(*[F.when(~is_missing(c), F.col(c).cast("double")) for c in cols])
+    m = moments(df, clean, len(cols))[0]
+    corr = m.correlation()
+    rows = [(a, b, int(m.n[i, j]), None if np.isnan(corr[i, j]) else float(corr[i, j]))
+            for (i, a), (j, b) in combinations(enumerate(cols), 2)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, n long, corr double")
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 40) -> DataFrame:

@@ -13,20 +13,18 @@ from __future__ import annotations
 import json
 
 import numpy as np
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, PCA, StandardScaler,
-                                StringIndexer, VectorAssembler, VectorSlicer)
+from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, HasInputCol, HasOutputCol, \
     HasLabelCol, Param, Params, TypeConverters
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import is_missing
 from riskframe.operators.drift import exact_quantiles
+from riskframe.operators.gram import moments
 
 
 class _Surrogates(Params):
@@ -186,31 +184,28 @@ class VariancePCA(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol, k=k, varianceRatio=varianceRatio)
 
-    def _fit(self, df: DataFrame) -> PipelineModel:
+    def _fit(self, df: DataFrame) -> LinearProjectionModel:
         inp, out = self.getInputCol(), self.getOutputCol()
-        centre = StandardScaler(inputCol=inp, outputCol=f"{out}__c", withMean=True,
-                                withStd=False).fit(df)
+        x = vector_to_array(F.col(inp))
         d = len(df.select(inp).first()[0])
-        pca = PCA(k=d, inputCol=f"{out}__c", outputCol=f"{out}__p").fit(centre.transform(df))
-        ev = np.asarray(pca.explainedVariance.toArray())
+        m = moments(df, x, d)[0]
+        values, vectors = np.linalg.eigh(m.covariance())
+        values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
+        ev = values / (values.sum() or 1.0)
         k = self.getOrDefault(self.k)
         if not k:
             k = int(np.searchsorted(np.cumsum(ev), self.getOrDefault(self.varianceRatio) - 1e-12) + 1)
         k = max(1, min(k, d))
-        pc = pca.pc.toArray()[:, :k]
+        pc = vectors[:, :k]
         signs = np.sign(pc[np.abs(pc).argmax(axis=0), range(k)])
         signs[signs == 0] = 1.0
-        model = PipelineModel(stages=[
-            centre, pca,
-            VectorSlicer(inputCol=f"{out}__p", outputCol=f"{out}__s", indices=list(range(k))),
-            ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol=f"{out}__s", outputCol=out),
-        ])
-        model.output_dim = k
+        fit = {"mean": np.diag(m.mean).tolist(), "scalings": (pc * signs).T.tolist()}
+        model = LinearProjectionModel(inp, out, json.dumps(fit))
         model.explained_variance = ev[:k].tolist()
         return model
 
 
-class FisherLDAModel(Model, HasInputCol, HasOutputCol, _Surrogates,
+class LinearProjectionModel(Model, HasInputCol, HasOutputCol, _Surrogates,
                      DefaultParamsReadable, DefaultParamsWritable):
     """Projection ``(x - mean) . W`` as JVM-side dot products."""
 
@@ -251,9 +246,8 @@ class FisherLDAModel(Model, HasInputCol, HasOutputCol, _Surrogates,
 
 class FisherLDA(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
                 DefaultParamsReadable, DefaultParamsWritable):
-    """M7: Fisher discriminant directions (at most classes-1). Class means,
-    counts and within-class covariance are Spark aggregates
-    (``Summarizer``, ``Correlation``); only d x d matrices reach the driver."""
+    """M7: Fisher discriminant directions (at most classes-1). The moments of all classes come from
+    one pass; only d x d matrices reach the driver."""
 
     k = Param(Params._dummy(), "k", "components (0 = classes - 1)", TypeConverters.toInt)
 
@@ -261,30 +255,22 @@ class FisherLDA(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol, labelCol=labelCol, k=k)
 
-    def _fit(self, df: DataFrame) -> FisherLDAModel:
+    def _fit(self, df: DataFrame) -> LinearProjectionModel:
         inp, lab = self.getInputCol(), self.getLabelCol()
         if lab not in df.columns:
             raise ValueError("Fisher LDA is supervised and needs the label column to fit")
-        stats = (df.groupBy(lab).agg(Summarizer.metrics("mean", "variance", "count")
-                                     .summary(F.col(inp)).alias("s")).collect())
-        classes = sorted(r[lab] for r in stats)
+        counts = {r[lab]: r["count"] for r in df.where(F.col(lab).isNotNull()).groupBy(lab).count().collect()}  # one row a class
+        classes = sorted(counts)
         if len(classes) < 2:
             raise ValueError("Fisher LDA needs at least two classes")
-        d = len(stats[0]["s"]["mean"])
-        n_tot = sum(int(r["s"]["count"]) for r in stats)
-        mu = sum(np.asarray(r["s"]["mean"].toArray()) * int(r["s"]["count"]) for r in stats) / n_tot
-        sw, sb = np.zeros((d, d)), np.zeros((d, d))
-        for r in stats:
-            n_c = int(r["s"]["count"])
-            m_c = np.asarray(r["s"]["mean"].toArray())
-            sd = np.sqrt(np.asarray(r["s"]["variance"].toArray()))
-            if n_c > 1:
-                corr = Correlation.corr(df.where(F.col(lab) == r[lab]), inp).first()[0].toArray()
-                corr = np.nan_to_num(corr)
-                sw += (n_c - 1) * corr * np.outer(sd, sd)
-            diff = (m_c - mu)[:, None]
-            sb += n_c * diff @ diff.T
-        sw /= max(n_tot - len(classes), 1)
+        x = vector_to_array(F.col(inp))
+        d = len(df.select(inp).first()[0])
+        by_class = moments(df, x, d, F.col(lab), classes)  # one pass for all classes
+        n_tot = sum(counts.values())
+        means = [np.diag(m.mean) for m in by_class]
+        mu = sum(counts[c] * m for c, m in zip(classes, means)) / n_tot
+        sw = sum(m.cross for m in by_class) / max(n_tot - len(classes), 1)
+        sb = sum(counts[c] * np.outer(m - mu, m - mu) for c, m in zip(classes, means))
         vals, vecs = np.linalg.eig(np.linalg.pinv(sw) @ sb)
         order = np.argsort(-vals.real)
         k = self.getOrDefault(self.k) or (len(classes) - 1)
@@ -296,7 +282,7 @@ class FisherLDA(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
             if w[np.abs(w[:, j]).argmax(), j] < 0:
                 w[:, j] = -w[:, j]
         fit = {"mean": mu.tolist(), "scalings": w.T.tolist()}
-        return FisherLDAModel(inp, self.getOutputCol(), json.dumps(fit))
+        return LinearProjectionModel(inp, self.getOutputCol(), json.dumps(fit))
 
 
 class IdentityModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable,
@@ -313,17 +299,20 @@ class IdentityModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
 class DimReducer(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
                  DefaultParamsReadable, DefaultParamsWritable):
-    """M8: one interface for none / pca / lda."""
+    """M8: one interface for none / pca / lda. ``nComponents`` is a number of components, a share of
+    the variance to keep (between 0 and 1, pca only), or 0 for the default."""
 
     technique = Param(Params._dummy(), "technique", "none | pca | lda", TypeConverters.toString)
-    nComponents = Param(Params._dummy(), "nComponents", "k, 0 = default", TypeConverters.toInt)
+    nComponents = Param(Params._dummy(), "nComponents", "k, share of variance, 0 = default", TypeConverters.toFloat)
 
-    def __init__(self, technique="none", nComponents=0, inputCol="features",
+    def __init__(self, technique="none", nComponents=0.0, inputCol="features",
                  outputCol="reduced", labelCol="label"):
         super().__init__()
         if technique not in ("none", "pca", "lda"):
             raise ValueError(f"unknown technique: {technique!r}")
-        self._set(technique=technique, nComponents=nComponents, inputCol=inputCol,
+        if nComponents < 0 or nComponents % 1 and (nComponents > 1 or technique == "lda"):
+            raise ValueError(f"{nComponents} is neither a number of components nor a share of the variance")
+        self._set(technique=technique, nComponents=float(nComponents), inputCol=inputCol,
                   outputCol=outputCol, labelCol=labelCol)
 
     def _fit(self, df: DataFrame):
@@ -332,5 +321,6 @@ class DimReducer(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
         if t == "none":
             return IdentityModel(self.getInputCol(), self.getOutputCol())
         if t == "pca":
-            return VariancePCA(self.getInputCol(), self.getOutputCol(), k=k).fit(df)
-        return FisherLDA(self.getInputCol(), self.getOutputCol(), self.getLabelCol(), k=k).fit(df)
+            share = {"varianceRatio": k} if 0 < k < 1 else {"k": int(k)}
+            return VariancePCA(self.getInputCol(), self.getOutputCol(), **share).fit(df)
+        return FisherLDA(self.getInputCol(), self.getOutputCol(), self.getLabelCol(), k=int(k)).fit(df)
