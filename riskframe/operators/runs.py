@@ -9,11 +9,15 @@ turns the map form ``tags/params/metrics`` into it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe import schema as S
 from riskframe.functions.columns import is_missing
+from riskframe.session import create_exclusive, file_names, path_exists
 
 ONE = "__one"
 
@@ -204,3 +208,52 @@ def register_winner(spark, events: DataFrame | None, model_name: str, run_id: st
     rows += [(model_name, int(old), "stage_changed", "Archived", run, s + 3 + i)
              for i, (old, run) in enumerate(sorted(current))]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+
+
+class Registry:
+    """K6 / K7 for any number of writers: versions of models in a folder of the shared file system.
+
+    A writer claims the next version number by creating a file that only one writer can create, and
+    takes the number after it when another was faster. Events are added in a folder of their own per
+    write, so writers do not meet there. After its own events are written, a writer archives every lower
+    version that is still in the stage; whichever of two writers looks last sees both, so one version
+    stays. A writer that is lost after its claim leaves a number that no event uses.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def events(self) -> DataFrame:
+        if not path_exists(self.spark, f"{self.path}/events"):
+            return self.spark.createDataFrame([], REGISTRY_SCHEMA)
+        return self.spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{self.path}/events")
+
+    def _add(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, REGISTRY_SCHEMA).coalesce(1).write.parquet(f"{self.path}/events/{uuid.uuid4().hex}")
+
+    def claim(self, model_name: str) -> int:
+        """A version number that no other writer has."""
+        folder = f"{self.path}/claims/{quote(model_name, safe='')}"
+        version = max(map(int, file_names(self.spark, folder)), default=0) + 1
+        while not create_exclusive(self.spark, f"{folder}/{version}"):
+            version += 1
+        return version
+
+    def register(self, model_name: str, run_id: str, promote_to: str = "Production") -> int:
+        """A new version of the model, in ``promote_to``; lower versions there are archived."""
+        version = self.claim(model_name)
+        # the events of a version are counted by themselves, so writers need no common counter
+        self._add([(model_name, version, "registered", "None", run_id, 1), (model_name, version, "stage_changed", promote_to, run_id, 2)])
+        self.settle(model_name, promote_to)
+        return version
+
+    def settle(self, model_name: str, stage: str = "Production") -> None:
+        """Leave the highest version in the stage and archive the others."""
+        mine = self.events().where(F.col("model_name") == model_name)
+        last = mine.groupBy("version").agg(F.max("seq").alias("seq"))
+        held = registry_state(mine).where(F.col("stage") == stage).join(last, "version").orderBy(F.col("version").desc()).collect()  # versions in one stage
+        if held[1:]:
+            self._add([(model_name, r["version"], "stage_changed", "Archived", r["run_id"], r["seq"] + 1) for r in held[1:]])
+
+    def resolve(self, model_name: str, stage: str = "Production") -> DataFrame:
+        return resolve_version(self.events(), model_name, stage)

@@ -32,14 +32,14 @@ def with_cell(rows: DataFrame, cuts: str, value: str, out: str, most: int) -> Da
     x = rows.withColumn(out, F.lit(0))
     while step:
         # each step is a projection of its own, so that the position is computed once
-        x = x.withColumn(out, F.col(out) + F.when(F.try_element_at(F.col(cuts), F.col(out) + step) <= F.col(value), F.lit(step)).otherwise(F.lit(0)))
+        x = x.withColumn(out, F.expr(f"{out} + if(try_element_at({cuts}, {out} + {step}) <= {value}, {step}, 0)"))
         step //= 2
     return x
 
 
 def wanted_ranks(sizes: DataFrame, fractions: list[float]) -> DataFrame:
     """(feature, i, q, t, rank, side): the ranks below and above each fraction of ``(feature, n)`` rows."""
-    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(fractions)])
+    points = F.expr("array(" + ", ".join(f"named_struct('i', {i}, 'q', {float(q)!r}D)" for i, q in enumerate(fractions)) + ")")
     h = (F.col("n") - 1) * F.col("q")
     x = sizes.select("feature", "n", F.inline(points)).select("feature", "i", "q", h.alias("h"))
     sides = F.array(F.struct(F.lit("lo").alias("side"), F.floor("h").cast("long").alias("rank")),
@@ -64,8 +64,8 @@ def select_quantiles(long: DataFrame, fractions: list[float], weight: str | None
     most = splitters or SPLITTERS
     rows = long.select("feature", F.col("value").cast("double").alias("value"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("w"))
     rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("w") > 0))
-    points = [k / (most + 1) for k in range(1, most + 1)]
-    cuts = rows.groupBy("feature").agg(F.array_distinct(F.percentile_approx("value", points, 4 * most)).alias("cuts"))
+    points = ", ".join(f"{k / (most + 1)!r}D" for k in range(1, most + 1))
+    cuts = rows.groupBy("feature").agg(F.expr(f"array_distinct(percentile_approx(value, array({points}), {4 * most}))").alias("cuts"))
     celled = with_cell(rows.join(F.broadcast(cuts), "feature"), "cuts", "value", "cell", most).drop("cuts")
     counted = write_once(celled.groupBy("feature", "cell").agg(F.sum("w").alias("c"), F.min("value").alias("mn"), F.max("value").alias("mx")), "cells")
     upto = F.sum("c").over(Window.partitionBy("feature").orderBy("cell"))  # at most ``most`` + 1 rows a feature

@@ -191,14 +191,14 @@ def q_subgroup_balance(spark, sf):
 # Validation and cleaning
 # ---------------------------------------------------------------------------
 
-def _sql_violations() -> str:
+def _sql_violations(rules: S.ValidationRules = D.LINEITEM_RULES) -> str:
     parts = []
-    for rr in D.LINEITEM_RULES.ranges:
+    for rr in rules.ranges:
         c = rr.column
         parts.append(f"CASE WHEN {sql_missing(c)} THEN '{c}:missing' END")
         parts.append(f"CASE WHEN NOT {sql_missing(c)} AND ({c} < {rr.low} OR {c} > {rr.high}) "
                      f"THEN '{c}:range' END")
-    for c, allowed in D.LINEITEM_RULES.enums:
+    for c, allowed in rules.enums:
         vals = ", ".join(f"'{v}'" for v in allowed)
         parts.append(f"CASE WHEN {c} IS NULL THEN '{c}:missing' END")
         parts.append(f"CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({vals}) THEN '{c}:enum' END")
@@ -568,7 +568,7 @@ def _sql_z(key: str) -> str:
 SQL_EV = """ev AS (
   SELECT event_id, ts, user_id, value,
          CAST((CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 + 3) % 3 + 1 AS INTEGER) AS level,
-         day(ts) AS dom, least(value / 500.0, 1.0) AS prediction
+         datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) + 1 AS dom, least(value / 500.0, 1.0) AS prediction
   FROM events)"""
 SQL_DRIFT_SAMPLES = f"""{SQL_EV},
 ref AS (SELECT * FROM ev WHERE dom <= 20),
@@ -780,6 +780,23 @@ def q_run_ranking(spark, sf):
     return _rounded(ranked, RUN_DOUBLES)
 
 
+@register("registry_winners", f"""
+WITH {SQL_SCORED},
+ranked AS (SELECT run_id, row_number() OVER (ORDER BY score DESC, roc_auc DESC NULLS LAST, run_id) AS rank FROM scored)
+SELECT 'risk' AS model_name, CAST(4 - rank AS INTEGER) AS version, run_id,
+       CASE WHEN rank = 1 THEN 'Production' ELSE 'Archived' END AS stage
+FROM ranked WHERE rank <= 3
+""")
+def q_registry_winners(spark, sf):
+    """K6 / K7 as users call them: the three best runs are registered, the best one last."""
+    from riskframe.session import scratch_path
+    best = runs.rank_runs(runs.composite_score(D.runs_table(spark, sf))).where("rank <= 3").orderBy(F.col("rank").desc())
+    registry = runs.Registry(spark, scratch_path(spark, "registry"))
+    for r in best.select("run_id").collect():  # three rows
+        registry.register("risk", r["run_id"])
+    return runs.registry_state(registry.events()).select("model_name", "version", "run_id", "stage")
+
+
 @register("run_winner", f"""
 WITH {SQL_SCORED}
 SELECT run_id, run_name, round(score, {DIGITS}) AS score, round(roc_auc, {DIGITS}) AS roc_auc
@@ -961,7 +978,7 @@ WITH {SQL_EV},
 lv AS (SELECT 'value' AS feature, value, ts FROM ev UNION ALL
        SELECT 'user_id', CAST(user_id AS DOUBLE), ts FROM ev),
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
-          FROM lv WHERE day(ts) <= 7 GROUP BY feature),
+          FROM lv WHERE datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) < 7 GROUP BY feature),
 bd AS (SELECT lv.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
               CAST(ts AS DATE) AS day, count(*) AS n
        FROM lv JOIN edges e ON lv.feature = e.feature GROUP BY ALL),
@@ -1244,7 +1261,7 @@ def _event_stream(spark, sf):
 WITH {SQL_EV},
 lv AS (SELECT 'value' AS feature, value, ts FROM ev UNION ALL SELECT 'user_id', CAST(user_id AS DOUBLE), ts FROM ev),
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {SQL_FRACS}))) AS edges
-          FROM lv WHERE day(ts) <= 7 GROUP BY feature)
+          FROM lv WHERE datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) < 7 GROUP BY feature)
 SELECT CAST(ts AS DATE) AS day, lv.feature,
        CAST(len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS INTEGER) AS bin,
        CAST(count(*) AS BIGINT) AS n
@@ -1265,6 +1282,18 @@ def q_stream_daily_histogram(spark, sf):
     return out.select(F.to_date("day_start").alias("day"), "feature", "bin", "n")
 
 
+@register("stream_daily_psi", ORACLE["daily_psi"].replace("WHERE ref_total > 0 AND cur_total > 0", "WHERE ref_total > 0 AND cur_total > 0 AND day < (SELECT max(day) FROM days)"))
+def q_stream_daily_psi(spark, sf):
+    """PSI of every closed day from keyed state; the last day is still open."""
+    from riskframe.session import scratch_path
+    from riskframe.streaming.monitor_stream import daily_psi_stream, run_to_table
+    first_week = D.events_frame(spark, sf).where(F.col("day_no") < D.EDGE_DAYS)
+    edges = drift.psi_edges(drift.to_long(first_week, ["value", "user_id"]))
+    frozen = {r["feature"]: r["edges"] for r in edges.collect()}  # one row per feature
+    out = run_to_table(daily_psi_stream(_event_stream(spark, sf), "ts", frozen), scratch_path(spark, "stream-psi"))
+    return _rounded(out, ["psi"])
+
+
 @register("stream_sliding_confusion", """
 WITH ep AS (SELECT ts, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS label,
                    CAST(value > 50 AS INTEGER) AS prediction FROM events),
@@ -1414,26 +1443,63 @@ def q_baseline_training_run(spark, sf):
     return spark.createDataFrame(rows, "run_name string, metric string, value double")
 
 
-@register("stream_scoring")
-def q_stream_scoring(spark, sf):
-    """A model fitted on the lineitem training split scores lineitem read
-    as a file stream; invalid rows are flagged for the quarantine sink."""
+def _line_stream(spark, sf):
+    base = sf.rstrip("/")
+    return (spark.readStream.schema(D.table(spark, sf, "lineitem").schema).option("basePath", base)
+            .parquet(f"{base}/lineitem.parque[t]").select(D.lineitem_key().alias("row_id"), *NUM, "l_linestatus"))
+
+
+def _scored_stream(spark, sf, learner: str) -> str:
+    """A model fitted on the training split of lineitem scores lineitem read as a file stream, into a
+    folder with both outputs and their commit records."""
     from riskframe.operators import models
     from riskframe.session import scratch_path
-    from riskframe.streaming.monitor_stream import run_to_table, score_stream
+    from riskframe.streaming.monitor_stream import run_scoring
     d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
-    pipe, _ = models.build_pipeline(models.learner("logistic_regression"), NUM,
-                                    ["l_linestatus"])
+    pipe, _ = models.build_pipeline(models.learner(learner), NUM, ["l_linestatus"])
     model = models.fit_persisted(pipe, d.where(F.col("split") == "train"))
-    base = sf.rstrip("/")
-    schema = D.table(spark, sf, "lineitem").schema
-    stream = (spark.readStream.schema(schema).option("basePath", base)
-              .parquet(f"{base}/lineitem.parque[t]")
-              .select(D.lineitem_key().alias("row_id"), *NUM, "l_linestatus"))
-    scored = score_stream(stream, model, D.LINEITEM_RULES_NUMERIC, "1")
-    out = run_to_table(scored.select("row_id", "is_valid", "predicted_class", "risk_level"),
-                       scratch_path(spark, "stream-score"), mode="append")
-    return out
+    base = scratch_path(spark, "stream-score")
+    run_scoring(_line_stream(spark, sf), model, D.LINEITEM_RULES_NUMERIC, "1", base)
+    return base
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf):
+    """Z1 by a logistic regression: scored rows, and quarantined rows without a class."""
+    from riskframe.streaming.monitor_stream import read_committed
+    base = _scored_stream(spark, sf, "logistic_regression")
+    scored = read_committed(spark, base, "scored").select("row_id", F.lit(True).alias("is_valid"), "predicted_class", "risk_level")
+    bad = read_committed(spark, base, "quarantine").select("row_id", F.lit(False), F.lit(None).cast("int"), F.lit(None).cast("string"))
+    return scored.union(bad)
+
+
+SQL_STREAM_RULES = f"""v AS (SELECT row_id, concat_ws(',', {_sql_violations(D.LINEITEM_RULES_NUMERIC)}) AS violations FROM qf)"""
+
+
+@register("stream_scored", f"""
+WITH {SQL_QF}, {SQL_STREAM_RULES},
+x AS (SELECT row_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+             {sql_u('row_id', SEED)} AS s, {sql_u('row_id', SEED, 'prior')} AS u FROM qf),
+p AS (SELECT count_if(label = 0) / count(*) AS p0 FROM x WHERE s >= 0.2)
+SELECT row_id, CASE WHEN u < p0 THEN 0 ELSE 1 END AS predicted_class,
+       CASE WHEN u < p0 THEN '{S.RISK_LOW}' ELSE '{S.RISK_HIGH}' END AS risk_level, '1' AS model_version
+FROM x JOIN v USING (row_id), p WHERE violations = ''
+""")
+def q_stream_scored(spark, sf):
+    """What the scoring stream's first output holds, by the prior baseline (drawn by the row's key)."""
+    from riskframe.streaming.monitor_stream import read_committed
+    return read_committed(spark, _scored_stream(spark, sf, "dummy"), "scored").select("row_id", "predicted_class", "risk_level", "model_version")
+
+
+@register("stream_quarantined", f"""
+WITH {SQL_QF}, {SQL_STREAM_RULES}
+SELECT row_id, violations FROM v WHERE violations <> ''
+""")
+def q_stream_quarantined(spark, sf):
+    """What its second output holds, with the reasons."""
+    from riskframe.streaming.monitor_stream import read_committed
+    bad = read_committed(spark, _scored_stream(spark, sf, "dummy"), "quarantine")
+    return bad.select("row_id", F.array_join("violations", ",").alias("violations"))
 
 
 @register("drift_report_kll")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from riskframe import schema as S
 from riskframe.operators import derive, drift, models, quality, runs, split
-from riskframe.session import path_exists
 from riskframe.sources import readers
 
 
@@ -45,17 +44,14 @@ def select_and_register(spark: SparkSession, runs_path: str, registry_path: str,
     best = runs.winner(scored).first()
     if best is None:
         raise ValueError("no finished run with an F1 to select from")
-    # no table before the first registration; any other read error is raised
-    events = spark.read.parquet(registry_path) if path_exists(spark, registry_path) else None
-    new = runs.register_winner(spark, events, model_name, best["run_id"])
-    new.write.mode("append").parquet(registry_path)
+    runs.Registry(spark, registry_path).register(model_name, best["run_id"])
     return ranked
 
 
 def load_production(spark: SparkSession, registry_path: str, models_dir: str,
                     model_name: str, stage: str = "Production"):
     """S9 + K6: the model of ``stage``, else the highest version."""
-    v = runs.resolve_version(spark.read.parquet(registry_path), model_name, stage).first()
+    v = runs.Registry(spark, registry_path).resolve(model_name, stage).first()
     if v is None:
         raise RuntimeError(f"model {model_name!r} is not registered")
     return readers.load_model(f"{models_dir}/{v['run_id']}"), str(v["version"])

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Session defaults. Only applied to sessions we create ourselves; a cluster
@@ -105,6 +106,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(hadoop).exists(where)
 
 
+def create_exclusive(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists. Of any number of writers exactly one succeeds: the file
+    system's own exclusive create decides (on a local disk the operating system's, as Hadoop's local file
+    system looks first and creates afterwards)."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(hadoop)
+    fs.mkdirs(where.getParent())
+    if fs.getScheme() == "file":
+        try:
+            os.close(os.open(where.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            return True
+        except FileExistsError:
+            return False
+    if fs.exists(where):
+        return False
+    try:
+        fs.create(where, False).close()
+        return True
+    except Py4JJavaError:
+        if fs.exists(where):
+            return False
+        raise
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder of any file system; none if it does not exist."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(hadoop)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table below the shared folder, for plans that read it more than once."""
     path = scratch_path(df.sparkSession, name)

@@ -7,6 +7,14 @@ aggregates; feedback is a time-bounded stream-stream join.
 
 from __future__ import annotations
 
+import datetime
+import json
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,21 +30,48 @@ def as_event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def score_stream(stream: DataFrame, model, rules: S.ValidationRules, version: str) -> DataFrame:
-    """Validate then score; ``is_valid`` routes rows to the scored or the
-    quarantine sink inside ``foreachBatch``."""
+def scoring_sink(model, rules: S.ValidationRules, version: str, base: str):
+    """A foreachBatch sink with two outputs. Records are validated first; valid ones are scored
+    to ``base/scored``, the others go to ``base/quarantine`` with their reasons and never meet the model.
+    When both are written, a row in ``base/commits`` says so. A batch that is tried again starts
+    over unless it was committed, and then it is left as it is; readers (:func:`read_committed`) take rows
+    of committed batches only, so they see both outputs of a batch or neither."""
     from riskframe.operators.models import score_table
-    v = validate(stream, rules)
-    return score_table(model, v, version)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, done = batch.sparkSession, f"{base}/commits/batch_id={batch_id}"
+        if path_exists(spark, f"{done}/_SUCCESS"):
+            return
+        checked = validate(batch, rules).persist()
+        try:
+            scored = score_table(model, checked.where("is_valid").drop("violations", "is_valid"), version)
+            scored = scored.select(*batch.columns, "probability_1", "predicted_class", "risk_level", "model_version")
+            counts = {}
+            for name, rows in (("scored", scored), ("quarantine", checked.where("NOT is_valid").select(*batch.columns, "violations"))):
+                rows.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
+                counts[name] = spark.read.schema(rows.schema).parquet(f"{base}/{name}/batch_id={batch_id}").count()
+            spark.createDataFrame([(counts["scored"], counts["quarantine"])], "n_scored long, n_quarantined long").coalesce(1).write.mode("overwrite").parquet(done)
+        finally:
+            checked.unpersist()
+    return sink
+
+
+def run_scoring(stream: DataFrame, model, rules: S.ValidationRules, version: str, base: str, **trigger) -> None:
+    """Score what is available (or as ``trigger`` says) into ``base``; the same ``base`` goes on where it stopped."""
+    q = (stream.writeStream.option("checkpointLocation", f"{base}/state")
+         .foreachBatch(scoring_sink(model, rules, version, base)).trigger(**(trigger or {"availableNow": True})).start())
+    q.awaitTermination()
 
 
-def write_scored(batch: DataFrame, batch_id: int, out: str, quarantine: str) -> None:
-    """foreachBatch sink: both outputs from one cached micro-batch. Each batch has a folder of its
-    own, written over when the batch is tried again, so a retry repeats nothing."""
-    batch.persist()
-    batch.where("is_valid").drop("violations").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-    batch.where("NOT is_valid").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-    batch.unpersist()
+def read_committed(spark, base: str, name: str) -> DataFrame:
+    """Rows of ``scored``, ``quarantine`` or ``commits`` of the committed batches, with their batch_id."""
+    if not path_exists(spark, f"{base}/commits"):
+        raise ValueError(f"no batch has been committed to {base}")
+    commits = spark.read.parquet(f"{base}/commits").withColumn("batch_id", F.col("batch_id").cast("long"))
+    if name == "commits":
+        return commits
+    rows = spark.read.parquet(f"{base}/{name}").withColumn("batch_id", F.col("batch_id").cast("long"))
+    return rows.join(commits.select("batch_id"), "batch_id", "left_semi")
 
 
 def daily_histogram(stream: DataFrame, ts: str, feature_cols: list[str], edges: DataFrame,
@@ -55,6 +90,82 @@ def daily_histogram(stream: DataFrame, ts: str, feature_cols: list[str], edges:
             .select(F.col("w.start").alias("day_start"), "feature", "bin", "n"))
 
 
+PSI_SCHEMA = "feature string, day date, psi double, n_day long, n_reference long"
+
+
+def _bin_counts(edges: dict[str, list[float]]):
+    """Rows of a partition -> counts by feature, bin and day: what a micro-batch sends to the state
+    is a few numbers a partition, however many rows a feature has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            days = batch.column("day").cast(pa.int32()).to_numpy(zero_copy_only=False)
+            ends = batch.column("ends_ms").to_numpy()
+            found = []
+            for name, cuts in edges.items():
+                x = batch.column(name).to_numpy(zero_copy_only=False)
+                here = ~np.isnan(x)
+                bins = np.searchsorted(np.asarray(cuts[1:-1], float), x[here], side="right")
+                keys, first, n = np.unique(np.column_stack([days[here], bins]), axis=0, return_index=True, return_counts=True)
+                found += [(name, int(d), int(b), int(k), int(e)) for (d, b), k, e in zip(keys, n, ends[here][first])]
+            if found:
+                types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["feature", "day", "bin", "n", "ends_ms"])
+    return run
+
+
+def _closed_days(window_days: int, eps: float):
+    """State of a feature: a ring of daily histograms. Gives the PSI of each day that the watermark has
+    closed against the ``window_days`` days before it, and forgets days that no later day needs."""
+    def run(key, frames, state):
+        held = json.loads(state.get[0]) if state.exists else {"days": {}, "closed": None}
+        days = {int(d): v for d, v in held["days"].items()}  # day -> [end in ms, {bin: n}]
+        closed = held["closed"]
+        for f in frames:
+            for d, b, n, end in zip(f["day"], f["bin"], f["n"], f["ends_ms"]):
+                if closed is None or d > closed:
+                    counts = days.setdefault(int(d), [int(end), {}])[1]
+                    counts[str(b)] = counts.get(str(b), 0) + int(n)
+        now, rows = state.getCurrentWatermarkMs(), []
+        for day in sorted(d for d, (end, _) in days.items() if end <= now and (closed is None or d > closed)):
+            cur, ref = days[day][1], {}
+            for d in range(day - window_days, day):
+                for b, n in (days[d][1] if d in days else {}).items():
+                    ref[b] = ref.get(b, 0) + n
+            n_cur, n_ref = sum(cur.values()), sum(ref.values())
+            if n_ref:
+                share = [(cur.get(b, 0) / n_cur + eps, ref.get(b, 0) / n_ref + eps) for b in cur.keys() | ref.keys()]
+                rows.append((key[0], datetime.date(1970, 1, 1) + datetime.timedelta(day), math.fsum((c - r) * math.log(c / r) for c, r in share), n_cur, n_ref))
+            closed = day
+        newest = max(days, default=0)
+        if closed is not None:
+            days = {d: v for d, v in days.items() if d > closed - window_days}
+        open_ends = [end for d, (end, _) in days.items() if closed is None or d > closed]
+        # wait for the end of the first open day, or until the ring is older than any reference
+        wait = min(open_ends) if open_ends else (newest + window_days + 2) * 86_400_000
+        if wait <= now or not days:
+            state.remove()
+        else:
+            state.update((json.dumps({"days": days, "closed": closed}),))
+            state.setTimeoutTimestamp(wait)
+        yield pd.DataFrame(rows, columns=["feature", "day", "psi", "n_day", "n_reference"])
+    return run
+
+
+def daily_psi_stream(stream: DataFrame, ts: str, edges: dict[str, list[float]], late_days: int = 0,
+                     window_days: int = S.REFERENCE_WINDOW_DAYS, eps: float = S.PSI_EPSILON) -> DataFrame:
+    """PSI of each closed day against the ``window_days`` days before it, for every feature of
+    ``edges`` (frozen edges by column name). A day is closed when a row that is ``late_days`` + 1 days
+    younger has come; rows of closed days are dropped. Files and micro-batches may cut the
+    days anywhere. The state is keyed by feature and holds at most ``window_days`` closed days and the
+    open ones; it expires when no day is left that a reference could need."""
+    day = F.to_date(ts)
+    rows = as_event_time(stream, ts).select(day.alias("day"), F.unix_millis(F.date_add(day, 1).cast("timestamp")).alias("ends_ms"),
+                                            *[F.col(c).cast("double").alias(c) for c in edges])
+    counted = rows.where(F.col("day").isNotNull()).mapInArrow(_bin_counts(edges), "feature string, day int, bin int, n long, ends_ms long")
+    timed = counted.withColumn("ends", F.timestamp_millis("ends_ms")).withWatermark("ends", f"{late_days + 1} days")
+    return timed.groupBy("feature").applyInPandasWithState(_closed_days(window_days, eps), PSI_SCHEMA, "held string", "append", "EventTimeTimeout")
+
+
 def sliding_confusion(stream: DataFrame, ts: str, label: str, prediction: str,
                       length: str = "30 days", slide: str = "1 day",
                       watermark: str = "1 day") -> DataFrame:

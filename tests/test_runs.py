@@ -68,3 +68,44 @@ def test_archived_version_keeps_its_run(spark):
     state = {r["version"]: (r["stage"], r["run_id"]) for r in runs.registry_state(events).collect()}
     assert state == {1: ("Archived", "r1"), 2: ("Archived", "r2"), 3: ("Production", "r3")}
     assert runs.resolve_version(events, "m", "Archived").first()["run_id"] == "r2"
+
+
+def test_writers_at_once_get_versions_of_their_own(spark):
+    """Six registrations at the same time: six versions, the highest in production, the others archived."""
+    import tempfile
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+    path, start = tempfile.mkdtemp(prefix="riskframe-registry-"), Barrier(6)
+
+    def writer(i):
+        registry = runs.Registry(spark, path)
+        start.wait()
+        return registry.register("a model/with a slash", f"run{i}")
+
+    with ThreadPoolExecutor(6) as pool:
+        versions = dict(enumerate(pool.map(writer, range(6))))
+    assert sorted(versions.values()) == [1, 2, 3, 4, 5, 6]
+    registry = runs.Registry(spark, path)
+    state = {r["version"]: (r["stage"], r["run_id"]) for r in runs.registry_state(registry.events()).collect()}
+    assert state == {v: ("Production" if v == 6 else "Archived", f"run{i}") for i, v in versions.items()}
+    assert registry.resolve("a model/with a slash").first()["version"] == 6
+    assert registry.resolve("another").first() is None
+
+
+def test_a_lost_writer_leaves_a_gap(spark):
+    import tempfile
+    registry = runs.Registry(spark, tempfile.mkdtemp(prefix="riskframe-registry2-"))
+    assert registry.register("m", "r1") == 1
+    assert registry.claim("m") == 2  # and nothing more
+    assert registry.register("m", "r3", promote_to="Staging") == 3
+    state = {r["version"]: r["stage"] for r in runs.registry_state(registry.events()).collect()}
+    assert state == {1: "Production", 3: "Staging"}
+    assert registry.resolve("m").first()["version"] == 1 and registry.resolve("m", "Staging").first()["version"] == 3
+
+
+def test_exclusive_files(spark):
+    import tempfile
+    from riskframe.session import create_exclusive, file_names
+    folder = tempfile.mkdtemp(prefix="riskframe-claims-")
+    assert create_exclusive(spark, f"{folder}/new/1") and not create_exclusive(spark, f"{folder}/new/1")
+    assert file_names(spark, f"{folder}/new") == ["1"] and file_names(spark, f"{folder}/none") == []
