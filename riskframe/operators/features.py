@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -207,7 +208,8 @@ class VariancePCA(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
 class LinearProjectionModel(Model, HasInputCol, HasOutputCol, _Surrogates,
                      DefaultParamsReadable, DefaultParamsWritable):
-    """Projection ``(x - mean) . W`` as JVM-side dot products."""
+    """Projection ``(x - mean) . W``: a small one as JVM-side dot products, a large one as a matrix
+    product over Arrow batches."""
 
     def __init__(self, inputCol="features", outputCol="reduced", surrogates="{}"):
         super().__init__()
@@ -217,16 +219,16 @@ class LinearProjectionModel(Model, HasInputCol, HasOutputCol, _Surrogates,
     def output_dim(self) -> int:
         return len(json.loads(self.getOrDefault(self.surrogates))["scalings"])
 
-    UNROLL_MAX_DIM = 256
+    #: products up to which a projection is written out; beyond it, whole batches are multiplied
+    UNROLL_MAX = 512
 
     def _transform(self, df: DataFrame) -> DataFrame:
         fit = json.loads(self.getOrDefault(self.surrogates))
         arr = "__lda_x"
         out = df.withColumn(arr, vector_to_array(F.col(self.getInputCol())))
-        d = len(fit["mean"])
-        comps = []
-        for w in fit["scalings"]:
-            if d <= self.UNROLL_MAX_DIM:
+        if len(fit["mean"]) * len(fit["scalings"]) <= self.UNROLL_MAX:
+            comps = []
+            for w in fit["scalings"]:
                 # sum_i (x_i - mean_i) * w_i, written out: stays in generated code
                 terms = [(F.col(arr)[i] - F.lit(float(m))) * F.lit(float(wi))
                          for i, (m, wi) in enumerate(zip(fit["mean"], w))]
@@ -234,14 +236,15 @@ class LinearProjectionModel(Model, HasInputCol, HasOutputCol, _Surrogates,
                 for t in terms[1:]:
                     total = total + t
                 comps.append(total)
-            else:
-                mean = F.array(*[F.lit(float(v)) for v in fit["mean"]])
-                x = F.zip_with(F.col(arr), mean, lambda a, b: a - b)
-                wv = F.array(*[F.lit(float(v)) for v in w])
-                comps.append(F.aggregate(F.zip_with(x, wv, lambda a, b: a * b), F.lit(0.0),
-                                         lambda acc, v: acc + v))
-        return (out.withColumn(self.getOutputCol(), array_to_vector(F.array(*comps)))
-                .drop(arr))
+            projected = F.array(*comps)
+        else:
+            mean, scalings = np.array(fit["mean"]), np.array(fit["scalings"]).T
+
+            def multiply(x: pd.Series) -> pd.Series:
+                return pd.Series(list((np.stack(x.to_list()) - mean) @ scalings) if len(x) else [])
+
+            projected = F.pandas_udf(multiply, "array<double>")(F.col(arr))
+        return out.withColumn(self.getOutputCol(), array_to_vector(projected)).drop(arr)
 
 
 class FisherLDA(Estimator, HasInputCol, HasOutputCol, HasLabelCol,

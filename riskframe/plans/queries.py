@@ -7,6 +7,7 @@ are rounded to ``DIGITS`` decimals on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -780,6 +781,28 @@ def q_run_ranking(spark, sf):
     return _rounded(ranked, RUN_DOUBLES)
 
 
+SQL_SCORED_GAPS = SQL_SCORED.replace("FROM runs WHERE", "FROM gaps WHERE").replace("cand AS (", """gaps AS (SELECT * REPLACE (
+           CASE WHEN n % 7 = 3 THEN NULL ELSE f1 END AS f1, CASE WHEN n % 3 = 0 THEN NULL ELSE expected_cost END AS expected_cost,
+           CASE WHEN n % 4 = 1 THEN NULL ELSE fit_seconds END AS fit_seconds) FROM runs),
+cand AS (""", 1)
+
+
+@register("run_ranking_gaps", f"""
+WITH {SQL_SCORED_GAPS}
+SELECT run_id, run_name, n, {', '.join(f'round({c}, {DIGITS}) AS {c}' for c in ("cost_filled", "fit_filled", "score"))},
+       CAST(row_number() OVER (ORDER BY score DESC, roc_auc DESC NULLS LAST, run_id) AS INTEGER) AS rank
+FROM scored
+""")
+def q_run_ranking_gaps(spark, sf):
+    """Runs that lack F1 are left out, a missing cost or fit time is filled."""
+    gap = lambda c, m, k: F.when(F.col("n") % m != k, F.col(c)).alias(c)
+    gaps = {"f1": gap("f1", 7, 3), "expected_cost": gap("expected_cost", 3, 0), "fit_seconds": gap("fit_seconds", 4, 1)}
+    table = D.runs_table(spark, sf)
+    table = table.select(*[gaps.get(c, F.col(c)) for c in table.columns])
+    ranked = runs.rank_runs(runs.composite_score(table))
+    return _rounded(ranked.select("run_id", "run_name", "n", "cost_filled", "fit_filled", "score", "rank"), ["cost_filled", "fit_filled", "score"])
+
+
 @register("registry_winners", f"""
 WITH {SQL_SCORED},
 ranked AS (SELECT run_id, row_number() OVER (ORDER BY score DESC, roc_auc DESC NULLS LAST, run_id) AS rank FROM scored)
@@ -1019,6 +1042,56 @@ def q_daily_psi(spark, sf):
 # Feature steps (M1-M8)
 # ---------------------------------------------------------------------------
 
+@register("cost_by_week", f"""
+WITH ep AS (SELECT CAST(ts AS DATE) AS day, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS label,
+                   CAST(value > 50 AS INTEGER) AS prediction FROM events),
+c AS (SELECT CAST(date_trunc('week', day) AS DATE) AS period_start, CAST(count(DISTINCT day) AS BIGINT) AS days,
+             CAST(count(*) AS BIGINT) AS n, CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn,
+             CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp FROM ep GROUP BY 1)
+SELECT period_start, days, n, fn, fp,
+       round(({S.COST_FALSE_NEGATIVE} * fn + {S.COST_FALSE_POSITIVE} * fp) / n, {DIGITS}) AS expected_cost_per_case
+FROM c
+""")
+def q_cost_by_week(spark, sf):
+    """Weekly cost from the daily confusion table."""
+    from riskframe.operators import rollup
+    daily = rollup.daily_confusion(D.event_predictions(spark, sf), "ts", "label", "prediction")
+    out = rollup.costs_by(daily, "week").select("period_start", "days", "n", "fn", "fp", "expected_cost_per_case")
+    return _rounded(out, ["expected_cost_per_case"])
+
+
+def _sql_psi_by_week() -> str:
+    from riskframe.operators import rollup
+    step, rest = rollup._base(rollup.ACCURACY), math.ceil(-math.log(rollup.SMALLEST) / rollup._base(rollup.ACCURACY)) + 1
+    return f"""
+WITH lv AS (SELECT 'value' AS feature, CAST(value AS DOUBLE) AS x, CAST(date_trunc('week', ts) AS DATE) AS w FROM events UNION ALL
+            SELECT 'user_id', CAST(user_id AS DOUBLE), CAST(date_trunc('week', ts) AS DATE) FROM events),
+b AS (SELECT feature, w, CASE WHEN abs(x) <= {rollup.SMALLEST!r} THEN 0
+                              ELSE CAST(sign(x) * (ceil(ln(abs(x)) / {step!r}) + {rest}) AS INTEGER) END AS bin, count(*) AS n FROM lv GROUP BY ALL),
+t AS (SELECT feature, w, sum(n) AS total FROM b GROUP BY ALL),
+p AS (SELECT feature, w, total, lag(w) OVER (PARTITION BY feature ORDER BY w) AS r, lag(total) OVER (PARTITION BY feature ORDER BY w) AS rt FROM t),
+cum AS (SELECT b.feature, b.w, bin, n, total, sum(n) OVER (PARTITION BY b.feature, b.w ORDER BY bin) AS upto FROM b JOIN t ON b.feature = t.feature AND b.w = t.w),
+q AS (SELECT unnest(({SQL_FRACS})[2:10]) AS f),
+ends AS (SELECT feature, w, list_sort(list_distinct(list(bin))) AS ends FROM cum, q
+         WHERE upto > floor((total - 1) * f) AND upto - n <= floor((total - 1) * f) GROUP BY ALL),
+both_ AS (SELECT p.feature, p.w, p.r, b.bin, b.n AS n, 0 AS m FROM p JOIN b ON b.feature = p.feature AND b.w = p.w WHERE p.r IS NOT NULL UNION ALL
+          SELECT p.feature, p.w, p.r, b.bin, 0, b.n FROM p JOIN b ON b.feature = p.feature AND b.w = p.r),
+k AS (SELECT x.feature, x.w, len(list_filter(ends, lambda e: e < bin)) AS class, sum(n) AS n, sum(m) AS m
+      FROM both_ x JOIN ends e ON e.feature = x.feature AND e.w = x.r GROUP BY ALL)
+SELECT k.feature, k.w AS period_start, CAST(max(total) AS BIGINT) AS n, CAST(max(rt) AS BIGINT) AS n_reference,
+       round(sum((n / total - m / rt) * ln((n / total + 1e-6) / (m / rt + 1e-6))), {DIGITS}) AS psi
+FROM k JOIN p ON p.feature = k.feature AND p.w = k.w GROUP BY k.feature, k.w"""
+
+
+@register("psi_by_week", _sql_psi_by_week())
+def q_psi_by_week(spark, sf):
+    """PSI of each week against the one before, from the daily value counts."""
+    from riskframe.operators import rollup
+    ev = D.events_frame(spark, sf)
+    out = rollup.psi_by(rollup.daily_values(ev, "ts", ["value", "user_id"]), "week")
+    return _rounded(out.select("feature", "period_start", "n", "n_reference", "psi"), ["psi"])
+
+
 @register("feature_stats", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(quantile_cont({c}, 0.5), {DIGITS}) AS median, "
     f"round(avg({c}), {DIGITS}) AS mean, round(stddev_pop({c}), {DIGITS}) AS std_pop "
@@ -1047,7 +1120,7 @@ def q_mode_values(spark, sf):
 
 @register("one_hot_slots", """
 WITH vocab AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS slot
-               FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 40 AND p_type IS NOT NULL))
+               FROM (SELECT DISTINCT p_type FROM part WHERE p_type < (SELECT max(p_type) FROM part)))
 SELECT p_partkey, coalesce(slot, -1) AS slot, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS width
 FROM part LEFT JOIN vocab USING (p_type)
 """)
@@ -1055,8 +1128,9 @@ def q_one_hot_slots(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     from riskframe.operators.features import one_hot
-    part = D.table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
-    model = Pipeline(stages=one_hot(["p_type"], ["p_type_ohe"])).fit(part.where("p_size <= 40"))
+    part = D.table(spark, sf, "part").select("p_partkey", "p_type")
+    unseen = part.agg(F.max("p_type")).first()[0]  # the encoder never meets the last level while it is fitted
+    model = Pipeline(stages=one_hot(["p_type"], ["p_type_ohe"])).fit(part.where(F.col("p_type") < unseen))
     arr = vector_to_array(F.col("p_type_ohe"))
     return model.transform(part).select(
         "p_partkey", (F.array_position(arr, 1.0) - 1).cast("int").alias("slot"),
@@ -1121,6 +1195,74 @@ def q_model_scoring(spark, sf):
                          "risk_level", "model_version")
 
 
+@register("scoring_calibration", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, round(avg(label), 3) AS mean_probability
+FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label FROM lineitem)
+""")
+def q_scoring_calibration(spark, sf):
+    """K2: a logistic regression with a free intercept gives its training rows their prevalence as the
+    mean probability."""
+    from riskframe.operators import models
+    rows = _model_frame(spark, sf)
+    pipe, _ = models.build_pipeline(models.learner("logistic_regression"), NUM, ["l_linestatus"])
+    scored = models.score_table(models.fit_persisted(pipe, rows), rows, "1")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("probability_1"), 3).alias("mean_probability"))
+
+
+#: small settings of the tree learners, for a query over the whole table
+SMALL_TREES = {"decision_tree": {"maxDepth": 5}, "random_forest": {"numTrees": 10, "maxDepth": 5}, "xgboost": {"maxIter": 5, "maxDepth": 3}}
+
+
+@register("learner_scoring", " UNION ALL ".join(f"""
+SELECT '{name}' AS learner, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_consistent
+FROM (SELECT {SQL_KEY} AS row_id FROM lineitem) WHERE {sql_u('row_id', SEED)} < 0.2""" for name in SMALL_TREES))
+def q_learner_scoring(spark, sf):
+    """K3-K5: tree, forest and boosted trees, fitted on the training split and applied to the test
+    split: every row once, and class and risk level follow from the probability."""
+    from functools import reduce
+    from riskframe.operators import models
+    d = split.hash_split(_model_frame(spark, sf), F.col("row_id"), SEED, 0.2)
+    train, test = d.where(F.col("split") == "train").persist(), d.where(F.col("split") == "test")
+    out = []
+    for name, settings in SMALL_TREES.items():
+        pipe, clf = models.build_pipeline(models.learner(name), NUM, ["l_linestatus"])
+        model = pipe.fit(train, {clf.getParam(k): v for k, v in settings.items()})
+        p = F.col("probability_1")
+        follows = (F.col("predicted_class") == (p > S.CLASS_THRESHOLD).cast("int")) & (F.col("risk_level") == bands.risk_band(p)) & p.between(0, 1)
+        scored = models.score_table(model, test, "1").groupBy("row_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(follows).alias("ok"))
+        out.append(scored.agg(F.lit(name).alias("learner"), F.sum("n").alias("n_rows"), F.count_if(F.col("ok") & (F.col("n") == 1)).alias("n_consistent")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("pca_total_variance", f"""
+SELECT CAST(64 AS INTEGER) AS n_components, round(sum(v), 6) AS total_variance FROM (
+  SELECT var_samp(x) AS v FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i)
+""")
+def q_pca_total_variance(spark, sf):
+    """M6: all components together have the variance of all columns together."""
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import VariancePCA
+    e = _embeddings(spark, sf)
+    model = VariancePCA("features", "reduced", k=64).fit(e)
+    z = model.transform(e).select(F.posexplode(vector_to_array("reduced")).alias("i", "z"))
+    return (z.groupBy("i").agg(F.var_samp("z").alias("v"))
+            .agg(F.count(F.lit(1)).cast("int").alias("n_components"), F.round(F.sum("v"), 6).alias("total_variance")))
+
+
+@register("lda_within_variance", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT label < 5) AS BIGINT) AS n_classes, CAST(1.0 AS DOUBLE) AS within_variance FROM embeddings
+""")
+def q_lda_within_variance(spark, sf):
+    """M7: the discriminant has unit variance within the classes."""
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import FisherLDA
+    e = _embeddings(spark, sf)
+    z = FisherLDA("features", "reduced", "label").fit(e).transform(e).select("label", vector_to_array("reduced")[0].alias("z"))
+    by = z.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.var_pop("z").alias("v"))
+    return by.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_classes"),
+                  F.round(F.sum(F.col("n") * F.col("v")) / (F.sum("n") - F.count(F.lit(1))), 6).alias("within_variance"))
+
+
 @register("baseline_scoring", f"""
 WITH {SQL_QF},
 x AS (SELECT row_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,

@@ -30,30 +30,79 @@ def _np_ks(x, y):
                                - np.searchsorted(y, allv, "right") / len(y))))
 
 
-def test_psi_identical_is_zero(spark):
-    x = np.random.default_rng(42).normal(0, 1, 5000)
-    ref = _sample(spark, {"x": x})
-    rep = drift.drift_report(ref, ref, ["x"]).first()
-    assert rep["psi"] < 1e-6 and rep["verdict"] == "estavel"
-
-
-def test_psi_shift_and_ks_match_numpy(spark):
-    rng = np.random.default_rng(42)
-    r, c = rng.normal(0, 1, 5000), rng.normal(1.5, 1, 5000)
+def _levels(spark, **columns):
+    """Rows with given numbers of each value; None is missing."""
+    long = {c: [v for v, n in counts.items() for _ in range(n)] for c, counts in columns.items()}
+    rows = zip(*long.values(), strict=True)
+    return spark.createDataFrame(list(rows), ", ".join(f"{c} double" for c in long))
+
+
+def test_order_and_missing_values_do_not_matter(spark):
+    """Eight skewed levels; the current sample has them backwards, twice over, and gaps."""
+    counts = {float(2 ** k): 64 // 2 ** k + 3 for k in range(8)}
+    ref = _levels(spark, wait=counts)
+    twice = {v: 2 * n for v, n in reversed(counts.items())}
+    cur = _levels(spark, wait={None: 31, float("nan"): 9, **twice})
+    rep = drift.drift_report(ref, cur, ["wait"]).first()
+    assert abs(rep["psi"]) < 1e-12 and rep["ks_statistic"] == 0.0 and rep["verdict"] == "estavel"
+    assert rep["n_cur"] == 2 * rep["n_ref"] == sum(twice.values())
+
+
+def test_psi_and_ks_of_counted_levels(spark):
+    """Shares 4:3:2:1 against 1:2:3:4: PSI = 2 (.3 ln 4 + .1 ln 1.5), and the distributions are furthest
+    apart after the second level: .7 against .3."""
+    ref = _levels(spark, kind={1.0: 40, 2.0: 30, 3.0: 20, 4.0: 10})
+    cur = _levels(spark, kind={1.0: 30, 2.0: 60, 3.0: 90, 4.0: 120})
+    rep = drift.drift_report(ref, cur, ["kind"]).first()
+    assert abs(rep["psi"] - 2 * (0.3 * math.log(4) + 0.1 * math.log(1.5))) < 1e-4
+    assert abs(rep["ks_statistic"] - 0.4) < 1e-12 and rep["verdict"] == "drift" and rep["ks_pvalue"] < 1e-6
+
+
+def test_statistics_of_a_heavy_tail(spark):
+    rng = np.random.default_rng(17)
+    r, c = rng.pareto(1.5, 3000), rng.pareto(1.2, 2100) * 1.3
     rep = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"]).first()
-    assert rep["psi"] > 0.25 and rep["verdict"] == "drift"
-    assert abs(rep["psi"] - _counted_psi(r, c)) < 1e-9
-    assert abs(rep["ks_statistic"] - _np_ks(r, c)) < 1e-12
-    assert rep["ks_pvalue"] < 1e-6
-
-
-def test_only_shifted_column_flagged(spark):
-    rng = np.random.default_rng(1)
-    ref = _sample(spark, {"stable": rng.normal(0, 1, 2000), "drifted": rng.normal(0, 1, 2000)})
-    cur = _sample(spark, {"stable": rng.normal(0, 1, 2000), "drifted": rng.normal(3, 1, 2000)})
-    rep = {r["feature"]: r for r in drift.drift_report(ref, cur, ["stable", "drifted"]).collect()}
-    assert rep["stable"]["verdict"] == "estavel" and rep["drifted"]["verdict"] == "drift"
-    assert drift.any_drift(drift.drift_report(ref, cur, ["stable", "drifted"])).first()[0]
+    assert abs(rep["psi"] - _counted_psi(r, c)) < 1e-9 and abs(rep["ks_statistic"] - _np_ks(r, c)) < 1e-12
+
+
+def test_verdicts_follow_the_shares_that_moved(spark):
+    """Of 100 rows, 2, 17 and 40 move from the first of two levels to the second: PSI .0016, .1204 and
+    .8789 for shares of one half; three verdicts in one report."""
+    half = {0.0: 50, 1.0: 50}
+    moved = lambda k: {0.0: 50 - k, 1.0: 50 + k}
+    ref = _levels(spark, little=half, some=half, much=half, same=half)
+    cur = _levels(spark, little=moved(2), some=moved(17), much=moved(40), same=half)
+    rep = {r["feature"]: r for r in drift.drift_report(ref, cur, ["little", "some", "much", "same"]).collect()}
+    for name, k in (("little", 2), ("some", 17), ("much", 40), ("same", 0)):
+        a, b = 0.5 - k / 100, 0.5 + k / 100
+        assert abs(rep[name]["psi"] - ((a - 0.5) * math.log(a / 0.5) + (b - 0.5) * math.log(b / 0.5))) < 1e-4
+    assert [rep[c]["verdict"] for c in ("same", "little", "much")] == ["estavel", "estavel", "drift"]
+    assert rep["some"]["verdict"] not in ("estavel", "drift")
+    assert drift.any_drift(drift.drift_report(ref, cur, ["little", "much"])).first()[0]
+    assert not drift.any_drift(drift.drift_report(ref, cur, ["little", "same"])).first()[0]
+
+
+def test_exact_ks_pvalue_by_enumeration():
+    """All orders of small samples, and the digits of a small p-value."""
+    from itertools import combinations
+    for m, n in ((3, 4), (5, 5), (2, 7)):
+        gaps = []
+        for where in combinations(range(m + n), m):
+            i = j = gap = 0
+            for k in range(m + n):
+                i, j = (i + 1, j) if k in where else (i, j + 1)
+                gap = max(gap, abs(i * n - j * m))
+            gaps.append(gap)
+        for d in sorted(set(gaps)):
+            want = sum(g >= d for g in gaps) / len(gaps)
+            assert abs(drift.ks_exact_pvalue(m, n, d / (m * n)) - want) < 1e-12
+    assert abs(drift.ks_exact_pvalue(60, 60, 1.0) / (2 / math.comb(120, 60)) - 1) < 1e-9
+    try:
+        drift.ks_exact_pvalue(10**9, 10**9, 0.5)
+    except ValueError as e:
+        assert "asymptotic" in str(e)
+    else:
+        raise AssertionError("sizes beyond the exact method must be refused")
 
 
 def test_low_cardinality_and_empty_sample(spark):
@@ -123,7 +172,7 @@ def test_exact_ks_pvalue_matches_enumeration():
             assert abs(drift.ks_exact_pvalue(m, n, d) - want) < 1e-12
 
 
-def test_auto_pvalue_in_report(spark):
+def test_pvalue_methods_in_report(spark):
     rng = np.random.default_rng(2)
     r, c = rng.normal(0, 1, 300), rng.normal(0.3, 1, 200)
     rep = drift.drift_report(_sample(spark, {"x": r}), _sample(spark, {"x": c}), ["x"],

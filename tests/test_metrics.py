@@ -15,24 +15,29 @@ def _frame(spark, y, p, s=None):
     return spark.createDataFrame(rows, "label int, prediction int, score double")
 
 
-def test_perfect_prediction(spark):
-    y = [0, 1, 0, 1, 1, 0]
-    m = metrics.evaluate(_frame(spark, y, y, y), "label", "prediction", "score").first()
-    for k in ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"):
-        assert m[k] == 1.0
-
-
-def test_cost_weights(spark):
-    fn = metrics.evaluate(_frame(spark, [1, 0, 1, 0], [0, 0, 1, 0]), "label", "prediction").first()
-    fp = metrics.evaluate(_frame(spark, [1, 0, 1, 0], [1, 1, 1, 0]), "label", "prediction").first()
-    assert fn["expected_cost_per_case"] == 5 / 4 and fp["expected_cost_per_case"] == 1 / 4
-    assert fn["expected_cost_per_case"] / fp["expected_cost_per_case"] == 5
-
-
-def test_uplift_and_capture(spark):
-    m = metrics.evaluate(_frame(spark, [1, 1, 0, 0, 1, 1], [1, 1, 0, 0, 1, 0]),
-                         "label", "prediction").first()
-    assert m["positives_caught_over_random"] > 0 and 0 <= m["capture_rate"] <= 1
+def test_scores_that_part_the_classes(spark):
+    """Three positives above four negatives: every ranking and class metric is at its best; with one
+    class turned over, the ranking stays and the class metrics follow by hand."""
+    s = [0.9, 0.2, 0.8, 0.1, 0.3, 0.7, 0.25]
+    y = [1, 0, 1, 0, 0, 1, 0]
+    best = metrics.evaluate(_frame(spark, y, y, s), "label", "prediction", "score").first()
+    assert all(best[k] == 1.0 for k in ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"))
+    one_off = metrics.evaluate(_frame(spark, y, [1, 0, 1, 0, 1, 1, 0], s), "label", "prediction", "score").first()
+    assert (one_off["roc_auc"], one_off["recall"], one_off["precision"]) == (1.0, 1.0, 3 / 4)
+    assert one_off["accuracy"] == 6 / 7 and one_off["f1"] == 6 / 7
+
+
+def test_costs_by_hand(spark):
+    """Eleven cases: two missed, three false alarms, four caught, two rightly passed over."""
+    y = [1] * 6 + [0] * 5
+    p = [0, 0, 1, 1, 1, 1, 1, 1, 1, 0, 0]
+    m = metrics.evaluate(_frame(spark, y, p), "label", "prediction").first()
+    assert (m["fn"], m["fp"], m["tp"], m["tn"]) == (2, 3, 4, 2)
+    assert m["expected_cost_per_case"] == (2 * 5 + 3 * 1) / 11
+    assert m["capture_rate"] == 4 / 6 and m["false_alarm_rate"] == 3 / 5
+    assert abs(m["positives_caught_over_random"] - (4 - 6 * 6 / 11)) < 1e-12
+    dear = metrics.evaluate(_frame(spark, y, p), "label", "prediction", cost_fn=2.0, cost_fp=7.0).first()
+    assert dear["expected_cost_per_case"] == (2 * 2 + 3 * 7) / 11
 
 
 def _brute_auc(y, s):
