@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -23,23 +25,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: paths of the tables written while :func:`noted` is open
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of all tables that :func:`materialize` writes inside."""
+    paths: list[str] = []
+    token = _NOTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.reset(token)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: cuts
     lineage, and survives the loss of any executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _NOTED.get() is not None:
+        _NOTED.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Drop a table below the shared checkpoint folder; any other path is left alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    base = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark)).toUri().getPath().rstrip("/")
+    if folder.toUri().getPath().startswith(base + "/"):
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(written: DataFrame) -> None:
     """Drop the table of a :func:`materialize` result that is no longer read."""
-    spark = written.sparkSession
     for file in written.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        base = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark)).toUri().getPath().rstrip("/")
-        if folder.toUri().getPath().startswith(base + "/"):
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_table(written.sparkSession, file.rpartition("/")[0])
 
 
 def prepare(spark: SparkSession) -> None:
@@ -53,6 +76,15 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
 
 
+def shielded(docs: DataFrame, known: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs``, with names that no helper column of an operator has for all columns but
+    ``known``; the result has the columns of ``docs`` (and those that ``work`` adds) under their names."""
+    names = {c: f"passed_{i}" for i, c in enumerate(docs.columns) if c not in known}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in docs.columns]))
+    back = {v: c for c, v in names.items()}
+    return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns])
+
+
 def lower_az(col: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(col, UPPER, UPPER.lower())
@@ -79,6 +111,14 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(int(a), int(b - a))
 
 
+def spaceless(texts: pa.Array) -> list[str]:
+    """A column of texts without spaces as a list, by one long text: much faster than ``to_pylist``."""
+    if not len(texts):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of every run, concatenated."""
     total = int(lengths.sum())

@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm.common import materialize, text_slices
-from riskframe.llm.units import encode_dropped, library_encoder, worker_memo
+from riskframe.llm.units import encode_dropped, library_encoder, word_encoder, worker_memo
 
-#: pieces ranked by one task
-BLOCK_ROWS = 100_000
+#: pieces ranked by one task, text bytes encoded at once
+BLOCK_ROWS, SLICE = 100_000, 2 << 20
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int,
@@ -42,8 +42,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int,
         T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo("word" + hashlib.md5(model.value.encode()).hexdigest(), lambda: library_encoder(model.value))
-        for batch in text_slices(batches):
+        memo = worker_memo("word" + hashlib.md5(model.value.encode()).hexdigest(), lambda: library_encoder(model.value),
+                           make_words=lambda: word_encoder(model.value, lower=True, spaced=False))
+        for batch in text_slices(batches, limit=SLICE):
             ids, ends = encode_dropped(memo, batch.column("text"))
             rows, out = [], []
             for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from riskframe.llm.common import expand
+from riskframe.llm.common import expand, spaceless
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -27,16 +27,24 @@ _UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _SPACE_RE2 = "[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
 
 #: units handed to the library at once, and units remembered by a worker
-CALL_BYTES, MEMO_UNITS = 256 << 10, 700_000
+CALL_BYTES, MEMO_UNITS, MEMO_BYTES = 256 << 10, 700_000, 192 << 20
+
+
+#: marks that stand alone behind a word of Latin letters
+MARKS = [".", ",", ";", ":", "!", "?"]
+_MARKED = "^[A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{ff}]+[.,;:!?]$"
 
 
 class UnitMemo:
-    """Ids of the units seen so far. Bounded: it starts anew when it holds ``limit`` units."""
+    """Ids of the units seen so far. Bounded: it starts anew when it holds ``limit`` units or
+    about ``MEMO_BYTES`` bytes of them."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = MEMO_UNITS, joined: Callable | None = None):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = MEMO_UNITS, joined: Callable | None = None,
+                 words: Callable | None = None):
         """``joined``, where the tokenizer allows it, encodes units that begin with a space as one
-        text and tells them apart again: (ids, ids of each unit)."""
-        self.encode, self.limit, self.joined = encode, limit, joined
+        text and tells them apart again: (ids, ids of each unit). ``words`` gives the ids of the
+        units that are words with at most one mark behind (:func:`word_encoder`)."""
+        self.encode, self.limit, self.joined, self.words = encode, limit, joined, words
         self.clear()
 
     def clear(self) -> None:
@@ -44,12 +52,24 @@ class UnitMemo:
         self.flat = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
+        self.size = 0
+
+    def _known(self, unit: str) -> list[int] | None:
+        row = self.rows.get(unit)
+        return None if row is None else self.flat[self.starts[row]:self.starts[row] + self.lengths[row]].tolist()
 
     def lookup(self, units: list[str]) -> np.ndarray:
         """Row of every unit; new ones are encoded in calls of about CALL_BYTES."""
         rows = self.rows
         new = list(dict.fromkeys([u for u in units if u not in rows]))
         at, flats, lengths = 0, [self.flat], [self.lengths]
+        named: list[str] = []
+        if self.words and new:
+            found = self.words(new, self._known)
+            named, new = list(found), [u for u in new if u not in found]
+            n = np.fromiter(map(len, found.values()), np.int64, len(found))
+            flats.append(np.fromiter(chain.from_iterable(found.values()), np.int32, int(n.sum())))
+            lengths.append(n)
         if self.joined and new:
             whole = [u[:1] == " " and not u[-1].isspace() for u in new]
             runs = [u for u, ok in zip(new, whole) if ok]
@@ -68,9 +88,11 @@ class UnitMemo:
             flats.append(np.fromiter(chain.from_iterable(got), np.int32, int(n.sum())))
             lengths.append(n)
             at = end
+        new = named + new
         if new:
             base = len(rows)
             rows.update(zip(new, range(base, base + len(new))))
+            self.size += sum(map(len, new)) + 100 * len(new)
             self.flat, self.lengths = np.concatenate(flats), np.concatenate(lengths)
             self.starts = np.cumsum(self.lengths) - self.lengths
         return np.fromiter(map(rows.__getitem__, units), np.int64, len(units))
@@ -79,31 +101,58 @@ class UnitMemo:
         return self.flat[expand(self.starts[rows], self.lengths[rows])]
 
     def start_slice(self) -> None:
-        if len(self.rows) > self.limit:
+        if len(self.rows) > self.limit or self.size > MEMO_BYTES:
             self.clear()
 
 
-def split_spaces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def split_spaces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Pieces between single spaces: offsets by text, dictionary codes, dictionary."""
     parts = pc.split_pattern(texts, " ")
     offsets = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary
+
+
+def _without_marks(words: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words without the one mark behind them; by word, its place there and its mark (an
+    index into MARKS, or -1)."""
+    marked = pc.match_substring_regex(words, _MARKED)
+    plain = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+    mark = pc.index_in(pc.if_else(marked, pc.utf8_slice_codeunits(words, -1), None), pa.array(MARKS))
+    return spaceless(plain.dictionary), plain.indices.to_numpy(), pc.fill_null(mark, -1).to_numpy()
 
 
 def _rows_by_text(memo: UnitMemo, texts: pa.Array, lead: str, odd: np.ndarray,
-                  cut: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+                  cut: Callable[[str], list[str]], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Memo rows of all units in text order, and the number of units of every text.
 
-    ``lead`` stands before every piece but a text's first; ``odd`` texts are cut by ``cut``.
+    ``lead`` stands before every piece but a text's first; ``odd`` texts are cut by ``cut``. With
+    ``marks``, for tokenizers that part letters from marks, a mark behind a word is a unit of its own.
     """
     memo.start_slice()
     plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
     offsets, codes, words = split_spaces(plain)
-    rows = memo.lookup([lead + w for w in words] if lead else words)[codes]
     firsts = offsets[:-1]
+    if marks and len(words):
+        names, place, mark = _without_marks(words)
+        rows = memo.lookup([lead + w for w in names])[place][codes]
+        mark_rows = memo.lookup(list(MARKS))
+        behind = mark[codes]
+    else:
+        names = spaceless(words)
+        rows = memo.lookup([lead + w for w in names] if lead else names)[codes]
+        behind = None
     if lead:
-        rows[firsts] = memo.lookup([words[c] for c in codes[firsts]])
+        rows[firsts] = memo.lookup([words[int(c)].as_py() for c in codes[firsts]])
+        if behind is not None:
+            behind[firsts] = -1  # whole units
+    if behind is not None:
+        extra = np.concatenate([[0], np.cumsum(behind >= 0)])
+        spread = np.empty(len(rows) + int(extra[-1]), np.int64)
+        at = np.arange(len(rows)) + extra[:-1]
+        spread[at] = rows
+        spread[at[behind >= 0] + 1] = mark_rows[behind[behind >= 0]]
+        rows, offsets = spread, offsets + extra[offsets]
     counts = np.diff(offsets)
     if not odd.any():
         return rows, counts
@@ -120,12 +169,13 @@ def split_ids(memo: UnitMemo, rows: np.ndarray, counts: np.ndarray) -> tuple[np.
     return memo.ids(rows), before[ends]
 
 
-def encode_spaced(memo: UnitMemo, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def encode_spaced(memo: UnitMemo, texts: pa.Array, marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """For tokenizers that keep white space and join one space to the word behind it: units begin
-    at a run of white space, which no match of the pattern crosses from the left."""
+    at a run of white space, which no match of the pattern crosses from the left. ``marks``: its pattern
+    also parts a run of letters from the mark behind it."""
     texts = pc.fill_null(texts, "")
     odd = pc.match_substring_regex(texts, _SPACE_RE2).to_numpy(zero_copy_only=False)
-    return split_ids(memo, *_rows_by_text(memo, texts, " ", odd, _UNITS.findall))
+    return split_ids(memo, *_rows_by_text(memo, texts, " ", odd, _UNITS.findall, marks))
 
 
 def encode_dropped(memo: UnitMemo, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +194,52 @@ def library_encoder(json_text: str) -> Callable[[list[str]], list[list[int]]]:
     return lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)]
 
 
+#: a word of Latin letters, with the space before it where units have one, and one mark behind
+_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)").fullmatch
+
+
+def word_encoder(json_text: str, lower: bool, spaced: bool) -> Callable:
+    """Ids of words by the library's model alone. A pre-tokenizer that takes runs of letters and runs
+    of marks apart leaves a word as one piece and the mark behind it as another, and such words are
+    the same under NFC, so nothing else of the library would act on them but lower-casing (``lower``).
+
+    The result maps every unit that is a word, and the word of every unit that has a mark behind it, to
+    its ids; a word with a mark takes the ids that its word has already."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model = Tokenizer.from_str(json_text).model
+    byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letter = {b: byte_level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+    letter |= {b: byte_level.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1] for b in range(128, 192)}
+    letter[0xC3] = byte_level.pre_tokenize_str("\u00e9")[0][0][0]
+    written = str.maketrans(letter)  # of UTF-8 read as Latin-1
+    tokenize = model.tokenize
+
+    def ids(word: str) -> list[int]:
+        word = word.lower() if lower else word
+        return [t.id for t in tokenize(word if word.isascii() and word[0] != " " else word.encode().decode("latin-1").translate(written))]
+
+    marks = {m: ids(m) for m in ".,;:!?"}
+
+    def words(units: list[str], known: Callable[[str], list[int] | None]) -> dict[str, list[int]]:
+        out: dict[str, list[int]] = {}
+        for unit in units:
+            m = _WORD(unit)
+            if m and (spaced or unit[0] != " "):
+                word, mark = m.groups()
+                if not mark:
+                    if unit not in out:
+                        out[unit] = ids(unit)
+                    continue
+                first = out.get(word) or known(word)
+                if first is None:
+                    first = out[word] = ids(word)
+                out[unit] = first + marks[mark]
+        return out
+
+    return words
+
+
 def byte_level_joiner(json_text: str, piece_bytes: int = 8 << 10) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """Encodes units as joined texts, for byte-level models: a token's name has a character for each
     of its bytes, so the bytes before each token say which unit it belongs to."""
@@ -176,9 +272,9 @@ _MEMOS: dict[str, UnitMemo] = {}
 
 
 def worker_memo(key: str, make: Callable[[], Callable[[list[str]], list[list[int]]]], make_joined: Callable[[], Callable] | None = None,
-                limit: int = MEMO_UNITS) -> UnitMemo:
+                limit: int = MEMO_UNITS, make_words: Callable[[], Callable] | None = None) -> UnitMemo:
     """One memo per tokenizer and Python worker; workers are reused from task to task."""
     if key not in _MEMOS:
         _MEMOS.clear()
-        _MEMOS[key] = UnitMemo(make(), limit, make_joined and make_joined())
+        _MEMOS[key] = UnitMemo(make(), limit, make_joined and make_joined(), make_words and make_words())
     return _MEMOS[key]
