@@ -1,14 +1,18 @@
 """Operator 5: token ids in shard files, compressed by a Re-Pair grammar.
 
 A shard holds the ids of whole documents in ascending id order. Frequent pairs of neighbouring
-symbols are replaced by new symbols, again and again; each round replaces many pairs at once, the
-most frequent first. A shard stores its rules with the length of what each expands to, so any
+symbols are replaced by new symbols, again and again, until no pair is left with LEAST_USES uses; each
+round replaces all pairs that are frequent at its start, where they overlap the more frequent one,
+and the next one looks anew only around the symbols that are new. A shard stores its rules with the length of what each expands to, so any
 document, or any range of its ids, is decoded without the rest of the shard. No rule crosses the
 end of a document.
 
 Shards are rows of a Parquet table (first document, ids before the shard in its part, payload), so
 they are written by Spark's committer to shared storage and a lost task leaves nothing behind.
 
+A shard is closed at the end of the document with which it holds ``shard_ids`` ids or more; only a single
+document can make it longer than that by more than its own length.
+
 Payload, little-endian: b"RPR1", then five uint32 (documents, rules, symbols, first rule symbol,
 width of a symbol in bytes), then arrays: doc ids int64, null flags uint8, symbols before each
 document uint32 (one more than documents), ids of each document uint32, rule left and right
@@ -38,62 +42,85 @@ from riskframe.llm.common import expand, materialize, text_slices
 from riskframe.llm.units import byte_level_joiner, encode_spaced, library_encoder, worker_memo
 
 MAGIC = b"RPR1"
-#: ids after which a shard is closed, rounds of replacement, rules added by a round, least uses of a pair
-SHARD_IDS, ROUNDS, ROUND_RULES, LEAST_USES = 1 << 19, 6, 2048, 8
+#: ids after which a shard is closed, least uses of a pair that is replaced
+SHARD_IDS, LEAST_USES = 1 << 19, 8
 #: units a worker remembers
-MEMO_UNITS = 1_200_000
+MEMO_UNITS = 1_500_000
 SHARD_SCHEMA = "part int, seq int, first_doc long, n_docs long, n_ids long, ids_before long, payload binary"
 
 
-def _frequent_pairs(left: np.ndarray, right: np.ndarray, ok: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (left << 32 | right) of the most frequent pairs, where they are, and which of them is
-    there. Hashed counts rule most places out; the rest is counted exactly."""
-    slot = ((left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(12)).astype(np.int32)
-    slot = slot[ok]
-    heavy = (np.bincount(slot, minlength=1 << 20) >= least)[slot]
-    at = np.flatnonzero(ok)[heavy]
+def _frequent_pairs(left: np.ndarray, right: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (left << 32 | right) of the pairs at ``places`` that occur ``least`` times there, their uses,
+    where they are, and which of them is there. Hashed counts rule most places out; the rest is counted exactly."""
+    slot = ((left[places] * np.uint32(2654435761) ^ right[places] * np.uint32(2246822519)) >> np.uint32(12)).astype(np.int32)
+    at = places[(np.bincount(slot, minlength=1 << 20) >= least)[slot]]
     coded = pa.array(left[at].astype(np.uint64) << np.uint64(32) | right[at]).dictionary_encode()
     keys, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
     uses = np.bincount(which, minlength=len(keys))
     chosen = np.flatnonzero(uses >= least)
-    if len(chosen) > most:
-        chosen = np.sort(chosen[np.argsort(-uses[chosen], kind="stable")[:most]])
     number = np.full(len(keys), -1)
     number[chosen] = np.arange(len(chosen))
     which = number[which]
-    return keys[chosen], at[which >= 0], which[which >= 0]
-
-
-def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = ROUNDS,
-             round_rules: int = ROUND_RULES, least: int = LEAST_USES):
+    return keys[chosen], uses[chosen], at[which >= 0], which[which >= 0]
+
+
+def _apart(hits: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """Which hits are replaced: of overlapping ones those of the more frequent pair, and of equally
+    frequent ones in a row the first, third, ...; then the same among the hits that overlap none of
+    these, until every hit is replaced or overlaps one that is."""
+    taken, open_hits = [], np.arange(len(hits), dtype=np.int32)
+    while len(open_hits):
+        at, often = hits[open_hits], uses[open_hits]
+        keep = np.ones(len(at), bool)
+        after = np.flatnonzero(np.diff(at) == 1)  # i and i + 1 overlap
+        keep[after[often[after] < often[after + 1]]] = False
+        keep[after[often[after] > often[after + 1]] + 1] = False
+        rest = np.flatnonzero(keep)
+        run = np.concatenate([[True], np.diff(at[rest]) > 1])
+        begin = np.maximum.accumulate(np.where(run, np.arange(len(rest)), 0))
+        rest = rest[(np.arange(len(rest)) - begin) % 2 == 0]
+        taken.append(open_hits[rest])
+        gone = np.zeros(len(at), bool)
+        gone[rest] = True
+        gone[after[gone[after + 1]]] = True
+        picked = np.zeros(len(at), bool)
+        picked[rest] = True
+        gone[after[picked[after]] + 1] = True
+        open_hits = open_hits[~gone]
+    return np.sort(np.concatenate(taken)) if taken else np.empty(0, np.int64)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, least: int = LEAST_USES):
     """Symbols, document ends in symbols, rules (left, right) and the lengths they expand to."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)  # symbols at which a document ends
     last[ends[1:][np.diff(ends) > 0] - 1] = True
     rules, lengths = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    fresh = np.arange(max(len(symbols) - 1, 0), dtype=np.int32)  # places of pairs that may have become frequent
+    while len(fresh):
         left, right = symbols[:-1], symbols[1:]
-        ok = ~last[:-1]
-        room = min(round_rules, (1 << 16) - first_rule - len(rules)) if first_rule < 1 << 16 else round_rules
-        keys, hits, which = _frequent_pairs(left, right, ok, room, least)
+        keys, uses, hits, which = _frequent_pairs(left, right, fresh[~last[fresh]], least)
         if not len(keys):
             break
-        # of overlapping pairs in a row, the first, third, ... are replaced
-        run = np.concatenate([[True], np.diff(hits) > 1])
-        begin = np.maximum.accumulate(np.where(run, np.arange(len(hits)), 0))
-        odd = (np.arange(len(hits)) - begin) % 2 == 0
-        hits, which = hits[odd], which[odd]
-        new = np.column_stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
+        picked = _apart(hits, uses.astype(np.int32)[which])
+        hits, which = hits[picked], which[picked]
+        done = np.bincount(which, minlength=len(keys)) > 0  # a pair may lose all its places to others
+        new = np.column_stack([keys[done] >> np.uint64(32), keys[done] & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
+        number = (np.cumsum(done) - 1)[which]
         old = lambda s: np.where(s < first_rule, 1, lengths[np.maximum(s.astype(np.int64) - first_rule, 0)] if len(lengths) else 1)
         lengths_new = old(new[:, 0]) + old(new[:, 1])
-        symbols[hits] = first_rule + len(rules) + which
+        symbols[hits] = first_rule + len(rules) + number
         last[hits] |= last[hits + 1]
         keep = np.ones(len(symbols), bool)
         keep[hits + 1] = False
+        # every pair that was frequent is gone: its places were replaced, or lost a symbol to an overlap.
+        # A pair that is frequent now has a symbol of this round, so it begins at one or just before it
+        at = hits - np.arange(len(hits), dtype=np.int32)  # where the new symbols will be
         symbols, last = symbols[keep], last[keep]
         rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, lengths_new])
+        near = np.zeros(len(symbols) + 1, bool)
+        near[at], near[at - 1] = True, True  # at - 1 may be -1: the slot behind the last
+        fresh = np.flatnonzero(near[:max(len(symbols) - 1, 0)]).astype(np.int32)
     doc_ends = np.zeros(len(ends), np.int64)
     stops = np.flatnonzero(last) + 1
     doc_ends[1:] = np.concatenate([[0], stops])[np.cumsum(np.diff(ends) > 0)]
@@ -132,20 +159,25 @@ class Shard:
         self._flat: np.ndarray | None = None
 
     def _expansions(self) -> None:
-        """What every rule expands to: rules refer to earlier rounds only, so one pass in order."""
+        """What every rule expands to. Rules refer to earlier ones, so they are filled in runs of
+        rules that refer to none of their own run."""
         self._starts = np.cumsum(self.lengths) - self.lengths
         self._flat = np.empty(int(self.lengths.sum()), np.int32)
-        for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist())):
-            s = self._starts[i]
-            for x in (a, b):
-                if x < self.first_rule:
-                    self._flat[s] = x
-                    s += 1
-                else:
-                    r = x - self.first_rule
-                    n = self.lengths[r]
-                    self._flat[s:s + n] = self._flat[self._starts[r]:self._starts[r] + n]
-                    s += n
+        parts = [x.astype(np.int64) - self.first_rule for x in (self.left, self.right)]
+        refers = np.maximum(*parts)
+        done = 0
+        while done < len(refers):
+            inner = np.flatnonzero(refers[done:] >= done)
+            upto = done + int(inner[0]) if len(inner) else len(refers)
+            to = self._starts[done:upto].copy()
+            for part in parts:
+                part = part[done:upto]
+                rule = part >= 0
+                n = np.where(rule, self.lengths[np.maximum(part, 0)], 1)
+                self._flat[to[~rule]] = part[~rule] + self.first_rule
+                self._flat[expand(to[rule], n[rule])] = self._flat[expand(self._starts[part[rule]], n[rule])]
+                to += n
+            done = upto
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         if self._flat is None:
@@ -199,13 +231,22 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_id
             return out
 
         for batch in text_slices(batches, limit=2 << 20):
-            ids, ends = encode_spaced(memo, batch.column("text"))
-            n = np.diff(ends)
-            held.append(np.insert(ids, ends[1:], end_id))
-            lengths.extend((n + 1).tolist())
-            doc_ids.extend(batch.column("id").to_pylist())
-            if sum(map(len, held)) >= shard_ids:
-                yield close()
+            ids, ends = encode_spaced(memo, batch.column("text"), marks=True)
+            ids = np.insert(ids, ends[1:], end_id)
+            ends, names = ends + np.arange(len(ends)), batch.column("id").to_pylist()
+            done, have = 0, sum(map(len, held))
+            while done < len(names):
+                # documents up to the one with which the shard has its ids
+                upto = min(len(names), int(np.searchsorted(ends, ends[done] + shard_ids - have)))
+                upto = max(upto, done + 1)
+                held.append(ids[ends[done]:ends[upto]])
+                lengths.extend(np.diff(ends[done:upto + 1]).tolist())
+                doc_ids.extend(names[done:upto])
+                have += int(ends[upto] - ends[done])
+                done = upto
+                if have >= shard_ids:
+                    yield close()
+                    have = 0
         if doc_ids:
             yield close()
 

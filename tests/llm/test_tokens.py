@@ -132,6 +132,8 @@ def test_repair_store(spark, make_docs, odd_texts, library, which):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), crc(ids))
         start += len(ids)
     assert len(got) == docs.count() and shards.count() > 1
+    longest = max(len(library["byte"](d["text"] or "")) + 1 for d in docs.collect())
+    assert all(r["n_ids"] < 5000 + longest for r in shards.collect())
 
 
 def test_grammar_round_trip_and_random_access():
@@ -147,6 +149,47 @@ def test_grammar_round_trip_and_random_access():
             assert shard.document(i, a, b).tolist() == d[a:b].tolist()
 
 
+def grammars():
+    rng = np.random.default_rng(6)
+    copy = rng.integers(0, 4000, 3000)
+    return {"one run": [np.full(1 << 17, 7)], "100 copies": [copy] * 100, "random": [rng.integers(0, 300, 40_000)],
+            "words": [np.concatenate([[1, 2, 3], rng.integers(0, 40, 5), [1, 2, 3, 4]]) for _ in range(3000)], "two": [np.array([1, 1])], "none": [np.array([], int)]}
+
+
+@pytest.mark.parametrize("name", list(grammars()))
+def test_grammar_is_followed_to_its_end(name):
+    """No pair is left with LEAST_USES uses that do not overlap, and everything decodes."""
+    docs = grammars()[name]
+    ids, ends = np.concatenate(docs).astype(np.int32), np.concatenate([[0], np.cumsum([len(d) for d in docs])]).astype(np.int64)
+    symbols, doc_ends, rules, lengths = repair_store.compress(ids, ends, 5000)
+    left = {}
+    for a, b in zip(doc_ends[:-1], doc_ends[1:]):
+        at = {}
+        for i, pair in enumerate(zip(symbols[a:b], symbols[a + 1:b])):
+            if at.get(pair, -2) < i - 1:  # not over the last one counted
+                left[pair] = left.get(pair, 0) + 1
+                at[pair] = i
+    assert max(left.values(), default=0) < repair_store.LEAST_USES
+    if name == "one run":
+        assert len(symbols) <= 8 and lengths.max() >= 1 << 14
+    if name == "100 copies":
+        assert len(symbols) <= 150
+    shard = repair_store.Shard(repair_store.write_payload(list(range(len(docs))), ids, ends, 5000))
+    assert shard.ids().tolist() == ids.tolist()
+    for i in range(0, len(docs), 37):
+        n = len(docs[i])
+        for a, b in ((0, None), (n // 3, n // 2), (max(n - 1, 0), n)):
+            assert shard.document(i, a, b).tolist() == docs[i][a:b].tolist()
+
+
+def test_symbols_grow_wider_when_sixteen_bits_run_out():
+    rng = np.random.default_rng(7)
+    ids = np.tile(rng.integers(0, 60_000, 9000), 9).astype(np.int32)
+    payload = repair_store.write_payload([1], ids, np.array([0, len(ids)]), 65_000)
+    assert repair_store.Shard(payload).symbols.dtype.itemsize == 4
+    assert repair_store.Shard(payload).ids().tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("which", ["table", "odd"])
 def test_token_counts(spark, make_docs, odd_texts, library, which):
     docs = documents(spark) if which == "table" else clashing(make_docs(odd_texts))
