@@ -27,6 +27,10 @@ from riskframe.llm.common import expand, text_slices
 from riskframe.llm.units import encode_spaced, library_encoder, worker_memo
 
 
+#: text bytes encoded at once
+SLICE = 1 << 20
+
+
 def byte_characters() -> list[str]:
     """The character that stands for every byte: bytes that print as Latin-1 stand for
     themselves, the others get the code points from 256 on, in order."""
@@ -96,30 +100,62 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         fields += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("byte_starts", "char_starts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = "bpe" + hashlib.md5(model.value.encode()).hexdigest()
-        memo = worker_memo(key, lambda: library_encoder(model.value))
-        table = byte_table(model.value) if offsets else None
+        coder = _coder(model.value)
         for batch in text_slices(batches):
-            ids, ends = encode_spaced(memo, batch.column("text"))
-            columns = [batch.column("id"), _list_array(ids, ends)]
-            if offsets:
-                flat, starts, lengths = table
-                n = lengths[ids]
-                at = np.cumsum(n) - n
-                data = flat[expand(starts[ids], n)]
-                heads = np.cumsum((data & 0xC0) != 0x80)  # characters begun up to each byte
-                by_doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-                total = np.concatenate([at, [len(data)]])
-                doc_byte = total[ends[:-1]]
-                chars = np.concatenate([[0], heads])
-                columns += [_list_array((at - doc_byte[by_doc]).astype(np.int32), ends),
-                            _list_array((heads[at] - 1 - chars[doc_byte][by_doc]).astype(np.int32), ends)]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *coder.encode(batch.column("text"), offsets)], [f.name for f in fields])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, T.StructType(fields))
 
 
+class Coder:
+    """Encoding and decoding of Arrow columns by one model."""
+
+    def __init__(self, model: str):
+        self.model = model
+        self.flat, self.starts, self.lengths = byte_table(model)
+
+    def encode(self, texts: pa.Array, offsets: bool) -> list[pa.Array]:
+        """ids, and with ``offsets`` byte_starts and char_starts."""
+        key = "bpe" + hashlib.md5(self.model.encode()).hexdigest()
+        memo = worker_memo(key, lambda: library_encoder(self.model))
+        ids, ends = encode_spaced(memo, texts)
+        columns = [_list_array(ids, ends)]
+        if offsets:
+            n = self.lengths[ids]
+            at = np.cumsum(n) - n
+            data = self.flat[expand(self.starts[ids], n)]
+            heads = np.cumsum((data & 0xC0) != 0x80)  # characters begun up to each byte
+            by_doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            total = np.concatenate([at, [len(data)]])
+            doc_byte = total[ends[:-1]]
+            chars = np.concatenate([[0], heads])
+            columns += [_list_array((at - doc_byte[by_doc]).astype(np.int32), ends),
+                        _list_array((heads[at] - 1 - chars[doc_byte][by_doc]).astype(np.int32), ends)]
+        return columns
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of one document's ids."""
+        return self.flat[expand(self.starts[ids], self.lengths[ids])].tobytes() if len(ids) else b""
+
+
+_CODERS: dict[str, Coder] = {}
+
+
+def _coder(model: str) -> Coder:
+    """One for a Python worker; workers are reused from task to task."""
+    if model not in _CODERS:
+        _CODERS.clear()
+        _CODERS[model] = Coder(model)
+    return _CODERS[model]
+
+
+def _rows(lists: pa.Array) -> Iterator[np.ndarray]:
+    values, ends = pc.list_flatten(lists).to_numpy(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+    for a, b in zip(ends[:-1], ends[1:]):
+        yield values[a:b]
+
+
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded binary): the bytes of every row's ids."""
     model = encoded.sparkSession.sparkContext.broadcast(tokenizer_json(ranks_path, pattern))
@@ -127,19 +163,11 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
                            T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, lengths = byte_table(model.value)
+        coder = _coder(model.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                column = batch.column(1)
-                ids = pc.list_flatten(column).to_numpy()
-                ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
-                size = np.concatenate([[0], np.cumsum(lengths[ids])])
-                out = []
-                for a, b in zip(ends[:-1], ends[1:]):  # a document at a time bounds the index arrays
-                    x = ids[a:b]
-                    out.append(flat[expand(starts[x], lengths[x])].tobytes() if size[b] > size[a] else b"")
-                yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(out, pa.binary())], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(coder.decode, _rows(batch.column(1))), pa.binary())], schema.names)
 
     return encoded.select(id_col, "ids").mapInArrow(run, schema)
 
@@ -155,8 +183,27 @@ def decode_text(pieces: Iterator[bytes]) -> Iterator[str]:
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """The digest columns of operator 3, from its encoded and decoded rows."""
-    back = decode(encode(docs, ranks_path, pattern), ranks_path, pattern)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The digest columns of operator 3: every text is encoded with offsets and its ids are decoded
+    again. Beside them n_inside, the tokens that begin inside a character, and offsets_hold: each token
+    lies in the decoded bytes where its offsets say, and split characters join to the text that was read."""
+    model = spark.sparkContext.broadcast(tokenizer_json(ranks_path, pattern))  # size of the vocabulary
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+                           T.StructField("decoded_sha256", T.StringType()), T.StructField("n_inside", T.LongType()), T.StructField("offsets_hold", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(model.value)
+        for batch in text_slices(batches, limit=SLICE):
+            texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+            rows = []
+            for text, ids, starts, chars in zip(texts, *map(_rows, coder.encode(batch.column("text"), True))):
+                back = coder.decode(ids)
+                data = np.frombuffer(back, np.uint8)
+                heads = (data & 0xC0) != 0x80
+                inside = ~heads[starts]
+                holds = (starts == np.cumsum(coder.lengths[ids]) - coder.lengths[ids]).all() and \
+                    (chars == np.cumsum(heads)[starts] - 1).all() and back == text.as_py()
+                rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest(), hashlib.sha256(back).hexdigest(), int(inside.sum()), bool(holds)))
+            columns = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in columns)], schema.names)
+
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
