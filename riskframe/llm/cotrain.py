@@ -7,14 +7,17 @@ is confident of, and these join the other's training rows. Then each view is cal
 labelled documents that took no part in training, a last regression over the two calibrated views
 combines them, and its cutoff is put where few labelled good documents fall below it.
 
-Fitting happens on the driver on bounded samples, chosen by a hash of the id: at most ``Settings.labelled`` labelled
-rows and ``Settings.pseudo`` pseudo-labels per class, view and round. Pseudo-labels are looked for
-among all unlabelled documents, and all documents are scored.
+Fitting happens on the driver on bounded samples, chosen by a hash of the id: about ``Settings.labelled`` labelled
+rows at most, half of them of each class (a class with fewer comes whole), and ``Settings.pseudo`` pseudo-labels per
+class, view and round. Pseudo-labels are looked for among all unlabelled documents, and all documents
+are scored.
 
 Results: null or empty text is scored by its metadata and zero content; null metadata is empty;
-null or doubled labels: a document whose labels disagree or are null counts as unlabelled. If the
+null or doubled labels: a document whose labels disagree or are null counts as unlabelled. Repeated
+rows are rows of their own, in training as in the result. A score equal to the cutoff is kept. If the
 labels lack a class nothing can be learned: the score is the share of good labels (1 without any)
-and everything is kept. An empty table gives no rows. Other columns pass through :func:`keep_good`.
+and everything is kept. An empty table gives no rows. Other columns pass through :func:`keep_good`, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import materialize, text_slices
+from riskframe.llm.common import materialize, shielded, text_slices
 from riskframe.llm.quality_rules import count_texts
 
 
@@ -46,6 +49,8 @@ class Settings:
     lost_good: float = 0.005
 
 
+#: text bytes that features are made of at once
+SLICE = 1 << 20
 CLASSES = 8
 SOURCES, LANGS = 32, 16
 TEXT_DIM, META_DIM = CLASSES * CLASSES + 8, SOURCES + LANGS + 5
@@ -94,16 +99,22 @@ def _lists(m: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(m, np.float32).ravel()), m.shape[1]).cast(pa.list_(pa.float32()))
 
 
-def feature_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, content array<float>, meta array<float>)."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("content", T.ArrayType(T.FloatType())), T.StructField("meta", T.ArrayType(T.FloatType()))])
+def with_features(docs: DataFrame) -> DataFrame:
+    """``docs`` with content array<float> and meta array<float>."""
+    docs = docs.drop("content", "meta")
+    schema = T.StructType([*docs.schema.fields, T.StructField("content", T.ArrayType(T.FloatType())), T.StructField("meta", T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             content, meta = features(*(batch.column(c) for c in ("text", "lang", "source")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(content), _lists(meta)], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(content), _lists(meta)], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
-    return docs.select("doc_id", "text", "lang", "source").mapInArrow(run, schema)
+
+def feature_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, content array<float>, meta array<float>)."""
+    return with_features(docs.select("doc_id", "text", "lang", "source")).select("doc_id", "content", "meta")
 
 
 @dataclass
@@ -170,12 +181,14 @@ def _scored(table: DataFrame, column: str, weights: np.ndarray, out: str) -> Dat
 
 
 def _one_in(n: int, most: int, salt: int) -> Column:
-    """True for about ``most`` of ``n`` rows, by a hash of the id."""
-    return F.lit(True) if n <= most else F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / n)
+    """True for about ``most`` of ``n`` rows, by a hash of the id, in steps of 2**-63."""
+    share = min(2**63 - 1, 2**63 * most // max(n, 1))
+    return F.lit(True) if n <= most else F.shiftrightunsigned(F.xxhash64(F.lit(salt), "doc_id"), 1) < F.lit(share)
 
 
 def train(table: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """``table``: features of all documents; ``labels``: (doc_id, quality 0 or 1)."""
+    table = table.select("doc_id", "content", "meta")
     known = (labels.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("y2"))
              .where("y = y2 and y in (0, 1)").select("doc_id", "y"))
     marked = table.join(known, "doc_id", "left")
@@ -184,9 +197,13 @@ def train(table: DataFrame, labels: DataFrame, settings: Settings = Settings())
     if len(share) < 2:
         return Model(none, none, none, none, none, 0.0, share.get(1, 0) / n if n else 1.0)
     part = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1000)) < int(1000 * settings.holdout)
-    # the labelled sample and all unlabelled rows, in one table
-    base = materialize(marked.where("y is not null").where(_one_in(n, settings.labelled, 3)).withColumn("held", part)
-                       .withColumn("weight", F.when(F.col("y") == 1, F.lit(n / 2 / share[1])).otherwise(F.lit(n / 2 / share[0]))), "labelled")
+    # the labelled sample, bounded for each class; both classes weigh the same
+    half = settings.labelled // 2
+    drawn = {c: min(share[c], half) for c in (0, 1)}
+    picked = ((F.col("y") == 1) & _one_in(share[1], half, 3)) | ((F.col("y") == 0) & _one_in(share[0], half, 3))
+    weight = {c: sum(drawn.values()) / 2 / drawn[c] for c in (0, 1)}
+    base = materialize(marked.where(picked).withColumn("held", part)
+                       .withColumn("weight", F.when(F.col("y") == 1, F.lit(weight[1])).otherwise(F.lit(weight[0]))), "labelled")
     open_rows = table.join(known, "doc_id", "left_anti")
     views = ("content", "meta")
     sample = base.select("content", "meta", "y", "weight", "held")
@@ -201,13 +218,16 @@ def train(table: DataFrame, labels: DataFrame, settings: Settings = Settings())
     for k in range(settings.rounds):
         pool = _scored(_scored(open_rows, "content", weights["content"], "p_content"), "meta", weights["meta"], "p_meta")
         by = {v: (F.col(f"p_{v}") >= settings.confident, F.col(f"p_{v}") <= 1 - settings.confident) for v in views}
+        sure = by["content"][0] | by["content"][1] | by["meta"][0] | by["meta"][1]
+        # scored once a round: what comes after reads the confident ids only
+        pool = materialize(pool.where(sure & F.col("doc_id").isNotNull()).select("doc_id", "p_content", "p_meta"), "confident")
         found = pool.agg(*(F.count_if(by[v][c]).alias(f"{v}{c}") for v in views for c in (0, 1))).first()
+        take = {v: [by[v][c] & _one_in(found[f"{v}{c}"], settings.pseudo, 11 + k) for c in (0, 1)] for v in views}
+        said = {v: F.when(take[v][0], F.lit(1)).when(take[v][1], F.lit(0)).alias(f"y_{v}") for v in views}
+        chosen = pool.select("doc_id", *said.values()).where("y_content is not null or y_meta is not null").distinct()
+        new = materialize(open_rows.join(F.broadcast(chosen), "doc_id"), "pseudo")  # about 8 x settings.pseudo rows at most
         for v in views:
-            picked = F.lit(False)
-            for c in (0, 1):
-                picked = picked | (by[v][c] & _one_in(found[f"{v}{c}"], settings.pseudo, 11 + k))
-            new = pool.where(picked).select("content", "meta", by[v][0].cast("int").alias("y"), F.lit(0.5).alias("weight"))
-            rows[other[v]] = rows[other[v]] + Rows.of(new)
+            rows[other[v]] = rows[other[v]] + Rows.of(new.where(F.col(f"y_{v}").isNotNull()).select("content", "meta", F.col(f"y_{v}").alias("y"), F.lit(0.5).alias("weight")))
         weights = {v: rows[v].fit(v, settings) for v in views}
     odds = {v: Model._line(getattr(held, v), weights[v]) for v in views}
     y = held.y
@@ -270,13 +290,19 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` without the rejected documents; scored where the text is, so none is shuffled."""
-    model = train(materialize(feature_table(docs), "features"), labels, settings)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            kept = shared.value.score(*features(*(batch.column(c) for c in ("text", "lang", "source")))) >= shared.value.cutoff
-            yield batch.filter(pa.array(kept))
-
-    return docs.mapInArrow(run, docs.schema)
+    """``docs`` without the rejected documents. Texts and features are written once; the scores filter
+    what was written, so no feature is made twice and no text is shuffled."""
+    def work(docs: DataFrame) -> DataFrame:
+        table = materialize(with_features(docs), "features")
+        shared = docs.sparkSession.sparkContext.broadcast(train(table, labels, settings))
+        names, schema = docs.columns, docs.schema
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in text_slices(batches):
+                content, meta = (pc.list_flatten(batch.column(c)).to_numpy().reshape(batch.num_rows, -1) for c in ("content", "meta"))
+                kept = shared.value.score(content, meta) >= shared.value.cutoff
+                yield batch.select(names).filter(pa.array(kept))
+
+        return table.mapInArrow(run, schema)
+
+    return shielded(docs, ["doc_id", "text", "lang", "source"], work)

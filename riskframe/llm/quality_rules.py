@@ -2,7 +2,8 @@
 
 Fixed base rules come first. Each of the other rules walks its own strictness steps, whose cutoffs,
 from loose to strict, are fixed before any data is seen. In each stratum (language) the labelled good
-documents that pass the base rules are split by a hash of the id. One in CHOOSE of them only choose
+documents that pass the base rules are split by a hash of the text, after equal texts of a stratum
+have been reduced to one, so that the rows are independent draws. One in CHOOSE of them only choose
 the order in which the steps of all rules are tried: the next step of whichever rule costs the fewest
 good documents, so a rule that is wrong for the language comes last and holds up no other. The rest
 are a holdout: if k of n of them would go by any rule after j steps of that order, the exact binomial
@@ -14,8 +15,9 @@ certify anything keeps everything.
 
 Results: null or empty text has no words and fails the base rules; a null language is a stratum of
 its own; a label without a document, or a null label, counts for nothing; repeated rows are judged
-each, and count each in the holdout. An empty table gives no rows. Other columns pass through
-:func:`annotate` untouched; added columns begin with two underscores.
+each, and count once in the holdout. A value equal to a cutoff passes it. An empty table gives no
+rows. Added columns begin with two underscores; :func:`annotate` replaces columns of their names, under
+:func:`keep_good` all other columns pass untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import materialize, text_slices
+from riskframe.llm.common import materialize, shielded, text_slices
 
 ALPHA, DELTA = 0.03, 0.05
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
@@ -49,6 +51,8 @@ STEPS = {
 }
 N_STEPS = 8
 RULES = list(STEPS)
+#: text bytes counted at once
+SLICE = 1 << 20
 #: one in so many labelled good documents chooses the order of the steps, the others certify
 CHOOSE = 4
 
@@ -104,12 +108,13 @@ def count_texts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with its counts as columns named __<count>."""
+    """``docs`` with its counts as columns named __<count>, and a hash of the text as __text."""
     names = [f"__{c}" for c in COUNTS]
+    docs = docs.drop(*names, "__text").withColumn("__text", F.xxhash64(text_col))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_col):
+        for batch in text_slices(batches, text_col, SLICE):
             found = count_texts(batch.column(text_col).cast(pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[c]) for c in COUNTS)], schema.names)
 
@@ -178,9 +183,10 @@ def certify(annotated: DataFrame, labels: DataFrame, stratum_col: str = "lang",
     """(stratum, holdout, steps) of the strata that have labelled good documents; ``steps`` has the
     number certified for each of RULES."""
     good = labels.where(F.col("quality") == 1).select(F.col(id_col).alias("__id")).distinct()
-    held = (annotated.where(~base_failed()).select(id_col, F.col(stratum_col).alias("stratum"), F.array(*rule_steps()).alias("step"))
+    held = (annotated.where(~base_failed()).select(id_col, F.col(stratum_col).alias("stratum"), F.array(*rule_steps()).alias("step"), "__text")
             .join(good, F.col(id_col) == F.col("__id"))
-            .select("stratum", "step", (F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(CHOOSE)) == 0).alias("chooses")))
+            .groupBy("stratum", "__text").agg(F.min("step").alias("step"))  # equal texts have equal steps
+            .select("stratum", "step", (F.pmod(F.xxhash64(F.col("__text")), F.lit(CHOOSE)) == 0).alias("chooses")))
     held = materialize(held, "holdout")
     rules, places = range(len(RULES)), range(len(RULES) * N_STEPS)
     cost = [F.count_if(F.col("chooses") & (F.col("step")[i] == t)).alias(f"c{i * N_STEPS + t}") for i in rules for t in range(N_STEPS)]
@@ -238,8 +244,10 @@ def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are rejected. Verdicts are made where the text is, so no
-    text is shuffled."""
-    counted = materialize(annotate(docs.select("doc_id", "text", "lang")).drop("text"), "counts")
-    strata = certify(counted, labels)
-    return judge(annotate(docs), strata).where("__kept").select(*docs.columns)
+    """``docs`` without the documents that are rejected. Texts and counts are written once; the
+    verdicts filter what was written, so no text is counted twice or shuffled."""
+    def work(docs: DataFrame) -> DataFrame:
+        counted = materialize(annotate(docs), "counts")
+        return judge(counted, certify(counted, labels)).where("__kept").select(*docs.columns)
+
+    return shielded(docs, ["doc_id", "text", "lang"], work)
