@@ -12,14 +12,16 @@ it may link with lie there.
    sets gives one candidate per set: with the smallest set of the key. Slices of the input do the
    same before the shuffle, so a key that very many sets share sends one row a slice.
 2. Candidates pass a filter on sizes and parity sketches (the sketches' difference can't exceed the
-   sets'), the rest is verified on the whole sets, and links are joined to components.
+   sets'), the rest is verified on the words of the whole texts, and links are joined to components.
 3. Keys whose sets lie in one component are settled. For the others, each set gets a cost by key:
    the sets of other components behind it. It may leave out as many keys as it has weight to spare
    above its own H + 1, and leaves out the costliest (cost-based allocation). The rest is compared
    in blocks of bounded size, again only across components, and verified.
 
-So no pair that links can be missed, and pairs inside a group are not enumerated. Sets are named by
-64-bit hashes that are checked against a second hash (other hashes are taken if two sets share one).
+So no pair that links can be missed, and pairs inside a group are not enumerated. Shingles have 64-bit
+hashes in keys, sizes and sketches; whether a pair links is decided on the words themselves. Sets are
+named by 64-bit hashes that are checked against a second hash (other hashes are taken if two sets
+share one).
 
 Words of a shingle and threshold are a :class:`Rule`; op10 takes CONTRACT, the pipeline its own.
 
@@ -41,14 +43,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import hash_bitmap, in_bitmap, materialize, text_slices
+from riskframe.llm.common import hash_bitmap, in_bitmap, materialize, shielded, spaceless, text_slices
 from riskframe.llm.components import components
 
 BAND_RATIO, SPARE = 1.5, 2
 BLOCK_SETS = 2048
 SKETCH_BITS = 4
 BUCKETS_PER_PARTITION = 4
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: words of a folded sketch, asking rows and pairs looked at at once
+FOLD_WORDS, ASK_ROWS, PAIR_ROWS = 128, 512, 1 << 15
 U = np.uint64
 
 
@@ -111,7 +115,7 @@ def shingle_sets(texts: pa.Array, salt: int, rule: Rule = CONTRACT) -> list[np.n
     counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), counts)
     coded = pc.list_flatten(words).dictionary_encode()
-    names = coded.dictionary.to_pylist()
+    names = spaceless(coded.dictionary)
     codes = coded.indices.to_numpy().astype(np.int64)
     if "" in names:  # white space at the ends
         real = codes != names.index("")
@@ -304,8 +308,23 @@ def filtered(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return near.mapInArrow(run, "a long, b long")
 
 
+def exact_common(a: bytes, b: bytes, words: int) -> tuple[int, int, int]:
+    """Shingles of two normalised texts, and those that both have, by their words: each word has a
+    number of its own in the pair, and a shingle is named by numbering its parts step by step."""
+    number: dict[bytes, int] = {}
+    texts = [np.fromiter((number.setdefault(w, len(number)) for w in t.split()), np.int64) for t in (a, b)]
+    span = [min(words, len(t)) for t in texts]  # a text with fewer words is one shorter sequence
+    code = list(texts)
+    for k in range(1, max(span)):
+        code = [c[:-1] * len(number) + t[k:] if s > k else c for c, t, s in zip(code, texts, span)]
+        names = np.unique(np.concatenate(code), return_inverse=True)[1]
+        code = [names[:len(code[0])], names[len(code[0]):]]
+    x, y = (np.unique(c) for c in code)
+    return len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)) if span[0] == span[1] else 0
+
+
 def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int, rule: Rule) -> DataFrame:
-    """The pairs whose whole sets link. Only sets that a pair names are sent."""
+    """The pairs whose whole sets link, by their words. Only texts that a pair names are sent."""
     named = materialize(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
                         .join(sets.select("sid", "rep"), "sid"), "named")
     lowest = -(1 << 63)
@@ -317,19 +336,22 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, salt: int, ru
             ids = pc.fill_null(whole.column("doc_id"), lowest).to_numpy()
             batch = whole.filter(pa.array(in_bitmap(bitmap.value, ids)))
             if batch.num_rows:
-                found, ids = _distinct(batch, salt, rule)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "tokens"])
+                sids, texts = [], []
+                for text, tokens in zip(batch.column("text").cast(pa.binary()), shingle_sets(batch.column("text"), salt, rule)):
+                    if len(tokens):
+                        sids.append(set_id(tokens, 1))
+                        texts.append(b" ".join(text.as_py().lower().split()))
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(texts, pa.binary())], ["sid", "words"])
 
-    tokens = materialize(source.mapInArrow(run, "sid long, tokens binary").join(named.select("sid"), "sid").dropDuplicates(["sid"]), "tokens")
-    side = lambda x: tokens.select(F.col("sid").alias(x), F.col("tokens").alias(f"t_{x}"))
+    texts = materialize(source.mapInArrow(run, "sid long, words binary").join(named.select("sid"), "sid").dropDuplicates(["sid"]), "words")
+    side = lambda x: texts.select(F.col("sid").alias(x), F.col("words").alias(f"t_{x}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
-                common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-                keep.append(rule.den * common >= rule.num * (len(a) + len(b) - common))
+                n, m, common = exact_common(x.as_py(), y.as_py(), rule.words)
+                keep.append(rule.den * common >= rule.num * (n + m - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b").mapInArrow(compare, "a long, b long")
@@ -375,41 +397,40 @@ def across(live: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     dealt = rows.repartition("key", "block").sortWithinPartitions("key", "block", "asks", "n", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, seen, out = None, [], set(), []
-        sizes = labels = None
+        at, held, out = None, [], []
         for batch in batches:
-            for key, block, sid, label, asks, n, bits in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, block) != at:
-                    at, held, sizes = (key, block), [], None
-                if not asks:
-                    held.append((sid, label, n, bits))
+            key, block, sid, label, n = (batch.column(c).to_numpy() for c in ("key", "block", "sid", "label", "n"))
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(key)]):
+                if a == b:
                     continue
-                if sizes is None:
-                    sizes, labels = np.array([h[2] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
-                    ids = np.array([h[0] for h in held], np.int64)
-                    stacked = _stack(held)
-                if not len(sizes):
+                if (key[a], block[a]) != at:
+                    at, held, members = (key[a], block[a]), [], None
+                if not asks[a]:
+                    held.append((sid[a:b], label[a:b], n[a:b], _folded(batch.column("sketch").slice(a, b - a))))
                     continue
-                fits = (labels != label) & (rule.num * n <= rule.den * sizes) & ((sizes < n) | ((sizes == n) & (ids < sid)))
-                near = np.flatnonzero(fits)
-                if len(near):
-                    near = near[_distances(stacked, near, bits) * (rule.den + rule.num) <= rule.loss * (n + sizes[near])]
-                for i in near:
-                    pair = (min(sid, int(ids[i])), max(sid, int(ids[i])))
-                    if pair not in seen:
-                        seen.add(pair)
-                        out.append(pair)
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                if len(out) >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+                if not held:
+                    continue
+                if members is None:
+                    members = _members(held)
+                for lo in range(int(a), int(b), ASK_ROWS):
+                    hi = min(lo + ASK_ROWS, int(b))
+                    out.append(_candidates(members, (sid[lo:hi], label[lo:hi], n[lo:hi], _folded(batch.column("sketch").slice(lo, hi - lo))), rule))
+                if sum(map(len, out)) >= 50_000:
+                    yield _pair_batch(out)
                     out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            yield _pair_batch(out)
 
     return dealt.select("key", "block", "sid", "label", "asks", "n", "sketch").mapInArrow(run, "a long, b long").distinct()
 
 
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k].copy()) for k in (0, 1)], ["a", "b"])
+
+
 def _fold(rows: np.ndarray, words: int) -> np.ndarray:
     while rows.shape[-1] > words:
         half = rows.shape[-1] // 2
@@ -417,16 +438,40 @@ def _fold(rows: np.ndarray, words: int) -> np.ndarray:
     return rows
 
 
-def _stack(held: list[tuple]) -> np.ndarray:
-    """Sketches of a block, folded to the shortest."""
-    words = min((len(h[3]) for h in held), default=8) // 8
-    return np.array([_fold(np.frombuffer(h[3], U), words) for h in held]).reshape(len(held), -1)
+def _folded(sketches: pa.Array) -> np.ndarray:
+    """Sketches as rows of as many words as the shortest has, FOLD_WORDS at most: folding can only
+    bring two sketches closer, so no pair that links is ruled out by it."""
+    size = pc.binary_length(sketches).to_numpy() // 8
+    words = int(min(size.min(), FOLD_WORDS))
+    out = np.empty((len(size), words), U)
+    for w in np.unique(size):
+        rows = np.flatnonzero(size == w)
+        data = b"".join(sketches.take(pa.array(rows)).to_pylist())
+        out[rows] = _fold(np.frombuffer(data, U).reshape(len(rows), -1), words)
+    return out
+
+
+def _members(held: list[tuple]) -> tuple[np.ndarray, ...]:
+    words = min(h[3].shape[1] for h in held)
+    return (*(np.concatenate([h[i] for h in held]) for i in range(3)), np.concatenate([_fold(h[3], words) for h in held]))
 
 
-def _distances(stacked: np.ndarray, near: np.ndarray, bits: bytes) -> np.ndarray:
-    one = np.frombuffer(bits, U)
-    words = min(len(one), stacked.shape[1])
-    return np.bitwise_count(_fold(stacked[near], words) ^ _fold(one, words)).sum(axis=1).astype(np.int64)
+def _candidates(members: tuple[np.ndarray, ...], asking: tuple[np.ndarray, ...], rule: Rule) -> np.ndarray:
+    """Pairs of different components whose sizes and sketches may link, smaller id first."""
+    (ids, labels, sizes, bits), (sid, label, n, own) = members, asking
+    fits = (labels != label[:, None]) & (rule.num * n[:, None] <= rule.den * sizes)
+    fits &= (sizes < n[:, None]) | ((sizes == n[:, None]) & (ids < sid[:, None]))
+    i, j = np.nonzero(fits)
+    words = min(bits.shape[1], own.shape[1])
+    bits, own = _fold(bits, words), _fold(own, words)
+    near = [np.empty(0, np.int64)]
+    for lo in range(0, len(i), PAIR_ROWS):  # bounded, however many sizes fit
+        p, q = i[lo:lo + PAIR_ROWS], j[lo:lo + PAIR_ROWS]
+        apart = np.bitwise_count(own[p] ^ bits[q]).sum(axis=1).astype(np.int64)
+        near.append(lo + np.flatnonzero(apart * (rule.den + rule.num) <= rule.loss * (n[p] + sizes[q])))
+    near = np.concatenate(near)
+    a, b = sid[i[near]], ids[j[near]]
+    return np.column_stack([np.minimum(a, b), np.maximum(a, b)])
 
 
 def _labelled(rows: DataFrame, found: DataFrame, sid: str, label: str) -> DataFrame:
@@ -465,6 +510,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
-    """``docs`` with the smallest id of each component only; rows that repeat an id all stay."""
+    """``docs`` with the smallest id of each component only; rows that repeat an id all stay, and all
+    columns pass, whatever their names."""
     kept = link_components(docs, rule=rule).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return shielded(docs, ["doc_id"], lambda rows: rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi"))

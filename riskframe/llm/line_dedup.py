@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import lower_az, materialize, strip_ascii
+from riskframe.llm.common import lower_az, materialize, shielded, strip_ascii
 
 MIN_CHARS, MIN_DOCS, BLOCKS = 20, 3, 1024
 
@@ -74,7 +74,13 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def deduplicate(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its text cut to the kept lines, and __n_lines and __n_dropped."""
+    """``docs`` with its text cut to the kept lines, and __n_lines and __n_dropped (which replace
+    columns of these names; any other column passes, whatever its name)."""
+    return shielded(docs.drop("__n_lines", "__n_dropped"), [id_col, text_col],
+                    lambda rows: _deduplicate(rows, min_chars, min_docs, id_col, text_col))
+
+
+def _deduplicate(docs: DataFrame, min_chars: int, min_docs: int, id_col: str, text_col: str) -> DataFrame:
     maps = keep_bitmaps(docs, min_chars, min_docs, id_col, text_col)
     last = F.array_max(F.map_keys("words"))
     dense = maps.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("n_dropped").alias("__n_dropped"),

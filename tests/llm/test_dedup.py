@@ -64,7 +64,13 @@ def test_line_dedup(spark, make_docs, odd_texts, which):
 
 def test_line_dedup_keeps_columns_rows_and_null_ids(make_docs):
     texts = [f"{LONG}\na", f"{LONG}\nb", f"{LONG}\nc", f"{LONG}\nc", f"{LONG}\nd", None]
-    out = line_dedup.deduplicate(clash(make_docs(texts, [1, 2, 3, 3, None, None]))).collect()
+    docs = clash(make_docs(texts, [1, 2, 3, 3, None, None]))
+    for name in ("__keep", "__doc", "__ver", "__version", "passed_1", "odd name.x"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = line_dedup.deduplicate(docs)
+    assert out.columns == [*docs.columns, "__n_lines", "__n_dropped"]
+    out = out.collect()
+    assert {r["__keep"] for r in out} == {"__keep"}
     # the largest id keeps its line in both of its rows; the null id is below all others
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out) == [(0, ""), (0, "d"), (1, "a"), (2, "b"), (3, texts[2]), (3, texts[2])]
     assert {r["sid"] for r in out} == {2}
@@ -202,6 +208,26 @@ def test_jaccard_nulls_and_empty_tables(make_docs):
     assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in rows) == [(-1, 2, None)] + [(4, 2, None)] * 2 + [(7, 0, 7), (8, 0, 8)]
 
 
+def test_keep_one_passes_columns_of_any_name(make_docs):
+    docs = make_docs(["a b c d e f", "a b c d e f", "x y z u v w", None], [4, 2, 9, None]).withColumn("__id", F.lit("mine")).withColumn("component_id", F.lit(1))
+    out = jaccard_join.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["__id"]) for r in out.collect()) == [(0, "mine"), (2, "mine"), (9, "mine")]
+
+
+@pytest.mark.parametrize("words", [1, 4, 5])
+def test_pairs_are_compared_by_their_words(words):
+    rng = random.Random(words)
+    for _ in range(300):
+        a = rng.choices("abcd", k=rng.randrange(1, 30))
+        b = list(a) if rng.random() < 0.5 else rng.choices("abcd", k=rng.randrange(1, 30))
+        if rng.random() < 0.5:
+            b[rng.randrange(len(b))] = "e"
+        sets = [{tuple(t[i:i + words]) for i in range(len(t) - words + 1)} if len(t) >= words else {tuple(t)} for t in (a, b)]
+        got = jaccard_join.exact_common(" ".join(a).encode(), " ".join(b).encode(), words)
+        assert got == (len(sets[0]), len(sets[1]), len(sets[0] & sets[1]))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r["vertex"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
