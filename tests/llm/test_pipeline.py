@@ -62,7 +62,7 @@ def test_packing_covers_what_is_left(steps):
 def test_registered(spark):
     assert "pipeline" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.oracle_sql()
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_near_copies_by_five_words(spark, make_docs):
@@ -88,3 +88,24 @@ def test_near_copies_by_five_words(spark, make_docs):
 def brute_shingles(text, words=5):
     w = (text or "").lower().split()
     return {tuple(w[i:i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} - {()}
+
+
+def test_stages_drop_the_tables_of_the_stage_before(spark, make_docs):
+    """Once a stage's result is written, the next stage drops what the first had written on its way; a
+    result that is still read from such tables keeps them."""
+    import os
+
+    from riskframe.session import checkpoint_dir
+    docs = make_docs([f"text number {i} of many with words enough {i % 7}" for i in range(60)])
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {f for f in os.listdir(folder) if f.startswith(("lines-", "repeated-", "sets-"))}
+    before = tables()
+    lazy = corpus_pipeline.lines_once(spark, docs, SF)
+    made = tables() - before
+    assert made
+    kept = materialize(lazy, "kept")
+    out = corpus_pipeline.one_of_near_copies(spark, kept, SF)
+    assert not made & tables()
+    assert kept.count() == 60 and out.count() >= 1
+    counted = corpus_pipeline.ruled(spark, docs, SF)  # read lazily by the next stage
+    assert corpus_pipeline.lines_once(spark, counted, SF).count() == counted.count()
