@@ -280,10 +280,10 @@ FROM d
 def q_derived_columns(spark, sf):
     from riskframe.operators import derive
     c = D.clinical_like(spark, sf)
-    d = derive.augment(c, age_days="age", weight="weight", height="height")
+    d = derive.fill_bmi(derive.augment(c, age_days="age", weight="weight", height="height"), "bmi_reported")
     return d.select(
         "row_id", "age_years", "bmi",
-        round_half_even(F.coalesce(F.col("bmi_reported"), F.col("bmi")), 2).alias("bmi_filled"),
+        round_half_even(F.col("bmi_reported"), 2).alias("bmi_filled"),
         derive.pulse_pressure("ap_hi", "ap_lo").alias("pulse_pressure"),
         bands.bmi_class("bmi").alias("bmi_class"),
         bands.decade("age_band_years").alias("age_decade"),
@@ -1171,6 +1171,15 @@ def _model_frame(spark, sf):
     return D.labelled_frame(spark, sf).select("row_id", *NUM, "l_linestatus", "label")
 
 
+@register("selected_features", """
+SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem
+""")
+def q_selected_features(spark, sf):
+    """The feature columns and the label, everything else dropped (and never read)."""
+    from riskframe.operators import derive
+    return derive.select_features(D.labelled_frame(spark, sf), S.FeatureSpec(tuple(NUM), ("l_linestatus",), "label"))
+
+
 @register("cv_tuning")
 def q_cv_tuning(spark, sf):
     from riskframe.operators import models

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe import schema as S
+from riskframe.functions.bands import run_name
 from riskframe.functions.columns import hash_uniform, row_key, safe_div
 
 SEED = 42
@@ -146,8 +147,7 @@ def runs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("n") >= 5, F.lit(S.RUN_FINISHED)).otherwise(F.lit("FAILED"))
                     .alias("status"),
                     fam.alias("model_family"), tech.alias("dim_technique"),
-                    F.concat_ws("__", fam, F.when(tech == "none", "raw").otherwise(tech),
-                                F.col("lang")).alias("run_name"),
+                    F.concat_ws("__", run_name(fam, tech), F.col("lang")).alias("run_name"),
                     "n", "f1", "roc_auc", "precision", "recall",
                     F.col("expected_cost_per_case").alias("expected_cost"), "fit_seconds"))
     # the runs table is a stored artifact: every ranking query reads it several times
