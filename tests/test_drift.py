@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskframe.operators import drift
@@ -172,6 +173,23 @@ def test_exact_ks_pvalue_matches_enumeration():
             assert abs(drift.ks_exact_pvalue(m, n, d) - want) < 1e-12
 
 
+def test_exact_pvalues_of_large_samples_are_worked_out():
+    """The report's tasks refuse no size: here more cells than a call by itself follows."""
+    d = 5 / math.sqrt(400_000 * 200_000 / 600_000)
+    batch = pa.RecordBatch.from_pylist([{"feature": f, "tot_r": 400_000, "tot_c": 200_000, "ks_statistic": x} for f, x in (("a", d), ("b", 0.06), ("c", None))])
+    out, = drift._exact_pvalues(iter([batch]))
+    got = out.column("ks_pvalue").to_pylist()
+    assert abs(got[0] / (2 * math.exp(-50)) - 1) < 0.03 and got[1:] == [0.0, None]  # b: exp(-950) is no double
+
+
+def test_small_exact_pvalues_keep_their_digits():
+    """D = 1 - 1/60 of 60 and 60 rows: few paths, each of probability 1 / C(120, 60)."""
+    total = math.comb(120, 60)
+    # by reflection: paths that reach a lead of 59 at either side
+    want = 2 * math.comb(120, 1) / total
+    assert abs(drift.ks_exact_pvalue(60, 60, 59 / 60) / want - 1) < 1e-12
+
+
 def test_pvalue_methods_in_report(spark):
     rng = np.random.default_rng(2)
     r, c = rng.normal(0, 1, 300), rng.normal(0.3, 1, 200)
