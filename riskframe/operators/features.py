@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import is_missing
-from riskframe.operators.drift import exact_quantiles
 from riskframe.operators.gram import moments
+from riskframe.operators.selection import column_quantiles
 
 
 class _Surrogates(Params):
@@ -70,10 +70,7 @@ class ExactMedianImputer(Estimator, HasInputCols, HasOutputCols,
 
     def _fit(self, df: DataFrame) -> FillValuesModel:
         cols = self.getInputCols()
-        long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-                .unpivot([], cols, "feature", "value")
-                .where(F.col("value").isNotNull() & ~F.isnan("value")))
-        med = {r["feature"]: r["quantile"] for r in exact_quantiles(long, [0.5]).collect()}
+        med = {c: found[0] for c, found in column_quantiles(df, cols, [0.5]).items()}
         return FillValuesModel(cols, self.getOutputCols(), json.dumps(med), asDouble=True)
 
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import hash_uniform
-from riskframe.operators.ordered import running_sums
+from riskframe.session import write_once
 
 
 def hash_split(df: DataFrame, key: Column, seed: int, test_size: float = 0.2,
@@ -40,13 +40,22 @@ def class_quotas(class_counts: list[tuple], test_size: float) -> dict:
 
 
 def _class_ranks(df: DataFrame, key: Column, label: str, seed: int) -> DataFrame:
-    """1-based rank of each row inside its class in (u, key) order, by two-level running sums, so
-    a dominant class is not one task."""
-    x = (df.withColumn("__u", hash_uniform(key, seed))
-         .withColumn("__key", key.cast("string"))
-         .withColumn("__one", F.lit(1)))
-    r = running_sums(x, [label], "__u", ["__one"], tie_cols=("__key",), prefix="__rank")
-    return r.withColumnRenamed("__rank__one", "__rank").drop("__one")
+    """1-based rank (``__rank``) of each row inside its class in (u, key) order, so that a dominant class
+    is not one task: the rows are range partitioned and sorted, a row's place in its partition is taken
+    from Spark's row ids, and the rows of a class in earlier partitions are added from a table of one
+    row per class and partition. The ordered rows are written once, without the keys they are sorted by."""
+    by = [label, "__u", "__key"]
+    x = df.withColumn("__u", hash_uniform(key, seed)).withColumn("__key", key.cast("string"))
+    x = x.repartitionByRange(*by).sortWithinPartitions(*by).drop("__u", "__key")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's number in its partition
+    written = write_once(x.withColumn("__p", F.spark_partition_id()).withColumn("__i", place), "ranked")
+    held = written.groupBy(label, "__p").agg(F.min("__i").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(label).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    shift = held.select(F.col(label).alias("__c"), F.col("__p").alias("__q"),
+                        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("__shift"))
+    same = F.col(label).eqNullSafe(F.col("__c")) & (F.col("__p") == F.col("__q"))
+    return (written.join(F.broadcast(shift), same)
+            .withColumn("__rank", F.col("__i") + F.col("__shift")).drop("__c", "__q", "__p", "__i", "__shift"))
 
 
 def exact_stratified_split(df: DataFrame, key: Column, label: str, seed: int,
@@ -62,7 +71,7 @@ def exact_stratified_split(df: DataFrame, key: Column, label: str, seed: int,
     return (ranked.join(F.broadcast(q), label, "left")   # one row per class
             .withColumn(out_col, F.when(F.col("__rank") <= F.col("__quota"), F.lit("test"))
                         .otherwise(F.lit("train")))
-            .drop("__u", "__key", "__rank", "__quota"))
+            .drop("__rank", "__quota"))
 
 
 def split_with_folds(df: DataFrame, key: Column, label: str, seed: int,
@@ -84,7 +93,7 @@ def split_with_folds(df: DataFrame, key: Column, label: str, seed: int,
            .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
            .withColumn(fold_col, F.when(~test, F.pmod(F.col("__rank") - F.col("__quota") - 1,
                                                       F.lit(k)).cast("int")))
-           .drop("__u", "__key", "__rank", "__quota"))
+           .drop("__rank", "__quota"))
     train_counts = {c: n - quotas[c] for c, n in counts}
     return out, train_counts
 
@@ -95,7 +104,7 @@ def stratified_folds(df: DataFrame, key: Column, label: str, k: int, seed: int,
     by at most one per class."""
     ranked = _class_ranks(df, key, label, seed)
     return (ranked.withColumn(out_col, F.pmod(F.col("__rank") - 1, F.lit(k)).cast("int"))
-            .drop("__u", "__key", "__rank"))
+            .drop("__rank"))
 
 
 def hash_sample(df: DataFrame, key: Column, fraction: float, seed: int) -> DataFrame:

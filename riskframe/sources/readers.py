@@ -34,12 +34,18 @@ def headers_by_file(spark: SparkSession, path: str, sep: str, required: tuple[st
     """Files by their header: the first line of a file that names every required column. A file
     without one fails. What is collected is one line a file."""
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), "value")
+        F.col("_metadata.file_path").alias("file"), "value")
     names = F.transform(F.split("value", F.lit(_literal(sep)), -1), lambda x: F.trim(x))
     named = F.size(F.array_intersect(names, F.array(*(F.lit(c) for c in required)))) == len(required)
+    # a line without every name is no header and is not split. Distinct pairs, so that a task holds one row
+    # a file and header (a least line per file would sort all lines of the task)
+    maybe = F.lit(True)
+    for c in required:
+        maybe = maybe & F.contains("value", F.lit(c))
+    pairs = lines.select("file", F.when(maybe, F.when(named, F.col("value"))).alias("header")).distinct()
     found: dict[tuple[str, ...], list[str]] = {}
     bare = []
-    for r in lines.groupBy("file").agg(F.min(F.when(named, F.col("value"))).alias("header")).collect():
+    for r in pairs.groupBy("file").agg(F.min("header").alias("header")).collect():
         if r["header"] is None:
             bare.append(r["file"])
         else:

@@ -42,17 +42,15 @@ def scoring_sink(model, rules: S.ValidationRules, version: str, base: str):
         spark, done = batch.sparkSession, f"{base}/commits/batch_id={batch_id}"
         if path_exists(spark, f"{done}/_SUCCESS"):
             return
-        checked = validate(batch, rules).persist()
-        try:
-            scored = score_table(model, checked.where("is_valid").drop("violations", "is_valid"), version)
-            scored = scored.select(*batch.columns, "probability_1", "predicted_class", "risk_level", "model_version")
-            counts = {}
-            for name, rows in (("scored", scored), ("quarantine", checked.where("NOT is_valid").select(*batch.columns, "violations"))):
-                rows.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
-                counts[name] = spark.read.schema(rows.schema).parquet(f"{base}/{name}/batch_id={batch_id}").count()
-            spark.createDataFrame([(counts["scored"], counts["quarantine"])], "n_scored long, n_quarantined long").coalesce(1).write.mode("overwrite").parquet(done)
-        finally:
-            checked.unpersist()
+        # both outputs read the batch by themselves: its checks are cheap, a copy of all its rows is not
+        checked = validate(batch, rules)
+        scored = score_table(model, checked.where("is_valid").drop("violations", "is_valid"), version)
+        scored = scored.select(*batch.columns, "probability_1", "predicted_class", "risk_level", "model_version")
+        counts = {}
+        for name, rows in (("scored", scored), ("quarantine", checked.where("NOT is_valid").select(*batch.columns, "violations"))):
+            rows.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
+            counts[name] = spark.read.schema(rows.schema).parquet(f"{base}/{name}/batch_id={batch_id}").count()
+        spark.createDataFrame([(counts["scored"], counts["quarantine"])], "n_scored long, n_quarantined long").coalesce(1).write.mode("overwrite").parquet(done)
     return sink
 
 
