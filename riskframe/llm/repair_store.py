@@ -44,50 +44,57 @@ from riskframe.llm.units import byte_level_joiner, encode_spaced, library_encode
 MAGIC = b"RPR1"
 #: ids after which a shard is closed, least uses of a pair that is replaced
 SHARD_IDS, LEAST_USES = 1 << 19, 8
-#: units a worker remembers
-MEMO_UNITS = 1_500_000
+#: units a worker remembers; parts of units repeat so often that more gain nothing
+MEMO_UNITS = 650_000
 SHARD_SCHEMA = "part int, seq int, first_doc long, n_docs long, n_ids long, ids_before long, payload binary"
 
 
-def _frequent_pairs(left: np.ndarray, right: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _frequent_pairs(symbols: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys (left << 32 | right) of the pairs at ``places`` that occur ``least`` times there, their uses,
     where they are, and which of them is there. Hashed counts rule most places out; the rest is counted exactly."""
-    slot = ((left[places] * np.uint32(2654435761) ^ right[places] * np.uint32(2246822519)) >> np.uint32(12)).astype(np.int32)
-    at = places[(np.bincount(slot, minlength=1 << 20) >= least)[slot]]
-    coded = pa.array(left[at].astype(np.uint64) << np.uint64(32) | right[at]).dictionary_encode()
+    # masks are slow to index with where they are neither nearly full nor nearly empty, so places are listed
+    if 2 * len(places) > len(symbols):
+        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:])[places]
+    else:
+        pairs = symbols[places].astype(np.uint64) << np.uint64(32) | symbols[places + 1]
+    bits = min(20, max(8, len(places).bit_length() + 1))
+    slot = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).view(np.int64)
+    some = np.flatnonzero((np.bincount(slot, minlength=1 << bits) >= least)[slot])
+    coded = pa.array(pairs[some]).dictionary_encode()
     keys, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
     uses = np.bincount(which, minlength=len(keys))
     chosen = np.flatnonzero(uses >= least)
-    number = np.full(len(keys), -1)
+    number = np.full(len(keys), -1, np.int32)
     number[chosen] = np.arange(len(chosen))
     which = number[which]
-    return keys[chosen], uses[chosen], at[which >= 0], which[which >= 0]
+    exact = np.flatnonzero(which >= 0)
+    return keys[chosen], uses[chosen], places[some[exact]], which[exact]
 
 
 def _apart(hits: np.ndarray, uses: np.ndarray) -> np.ndarray:
     """Which hits are replaced: of overlapping ones those of the more frequent pair, and of equally
     frequent ones in a row the first, third, ...; then the same among the hits that overlap none of
     these, until every hit is replaced or overlaps one that is."""
-    taken, open_hits = [], np.arange(len(hits), dtype=np.int32)
-    while len(open_hits):
-        at, often = hits[open_hits], uses[open_hits]
+    taken = np.zeros(len(hits), bool)
+    index, at, often = np.arange(len(hits)), hits, uses
+    while len(at):
+        linked = at[1:] - at[:-1] == 1  # i and i + 1 overlap
         keep = np.ones(len(at), bool)
-        after = np.flatnonzero(np.diff(at) == 1)  # i and i + 1 overlap
-        keep[after[often[after] < often[after + 1]]] = False
-        keep[after[often[after] > often[after + 1]] + 1] = False
-        rest = np.flatnonzero(keep)
-        run = np.concatenate([[True], np.diff(at[rest]) > 1])
-        begin = np.maximum.accumulate(np.where(run, np.arange(len(rest)), 0))
-        rest = rest[(np.arange(len(rest)) - begin) % 2 == 0]
-        taken.append(open_hits[rest])
-        gone = np.zeros(len(at), bool)
-        gone[rest] = True
-        gone[after[gone[after + 1]]] = True
-        picked = np.zeros(len(at), bool)
-        picked[rest] = True
-        gone[after[picked[after]] + 1] = True
-        open_hits = open_hits[~gone]
-    return np.sort(np.concatenate(taken)) if taken else np.empty(0, np.int64)
+        keep[:-1] &= ~(linked & (often[:-1] < often[1:]))
+        keep[1:] &= ~(linked & (often[:-1] > often[1:]))
+        second = np.flatnonzero(linked & keep[:-1] & keep[1:]) + 1  # as frequent as the one before
+        if len(second):
+            run = np.ones(len(second), bool)
+            run[1:] = second[1:] - second[:-1] > 1
+            begin = np.maximum.accumulate(np.where(run, second, 0))
+            keep[second[(second - begin) % 2 == 0]] = False
+        taken[index[keep]] = True
+        still = ~keep
+        still[:-1] &= ~(linked & keep[1:])
+        still[1:] &= ~(linked & keep[:-1])
+        still = np.flatnonzero(still)
+        index, at, often = index[still], at[still], often[still]
+    return np.flatnonzero(taken)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, least: int = LEAST_USES):
@@ -96,10 +103,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, least: int = LE
     last = np.zeros(len(symbols), bool)  # symbols at which a document ends
     last[ends[1:][np.diff(ends) > 0] - 1] = True
     rules, lengths = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
-    fresh = np.arange(max(len(symbols) - 1, 0), dtype=np.int32)  # places of pairs that may have become frequent
+    fresh = np.flatnonzero(~last[:-1])  # places of pairs that may have become frequent
     while len(fresh):
-        left, right = symbols[:-1], symbols[1:]
-        keys, uses, hits, which = _frequent_pairs(left, right, fresh[~last[fresh]], least)
+        keys, uses, hits, which = _frequent_pairs(symbols, fresh, least)
         if not len(keys):
             break
         picked = _apart(hits, uses.astype(np.int32)[which])
@@ -113,14 +119,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, least: int = LE
         last[hits] |= last[hits + 1]
         keep = np.ones(len(symbols), bool)
         keep[hits + 1] = False
+        kept = np.flatnonzero(keep)
         # every pair that was frequent is gone: its places were replaced, or lost a symbol to an overlap.
         # A pair that is frequent now has a symbol of this round, so it begins at one or just before it
-        at = hits - np.arange(len(hits), dtype=np.int32)  # where the new symbols will be
-        symbols, last = symbols[keep], last[keep]
+        at = hits - np.arange(len(hits))  # where the new symbols will be
+        symbols, last = symbols[kept], last[kept]
         rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, lengths_new])
         near = np.zeros(len(symbols) + 1, bool)
         near[at], near[at - 1] = True, True  # at - 1 may be -1: the slot behind the last
-        fresh = np.flatnonzero(near[:max(len(symbols) - 1, 0)]).astype(np.int32)
+        fresh = np.flatnonzero(near[:len(symbols) - 1] & ~last[:-1])
     doc_ends = np.zeros(len(ends), np.int64)
     stops = np.flatnonzero(last) + 1
     doc_ends[1:] = np.concatenate([[0], stops])[np.cumsum(np.diff(ends) > 0)]
@@ -182,16 +189,11 @@ class Shard:
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         if self._flat is None:
             self._expansions()
-        symbols = symbols.astype(np.int64)
-        rule = symbols >= self.first_rule
-        n = np.ones(len(symbols), np.int64)
-        n[rule] = self.lengths[symbols[rule] - self.first_rule]
-        ends = np.cumsum(n)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
-        out[(ends - n)[~rule]] = symbols[~rule]
-        r = symbols[rule] - self.first_rule
-        out[expand((ends - n)[rule], n[rule])] = self._flat[expand(self._starts[r], n[rule])]
-        return out
+            # ids expand to themselves: they stand before the rules in the table
+            self._flat = np.concatenate([np.arange(self.first_rule, dtype=np.int32), self._flat])
+            self._starts = np.concatenate([np.arange(self.first_rule), self._starts + self.first_rule])
+            self._spans = np.concatenate([np.ones(self.first_rule, np.int64), self.lengths])
+        return self._flat[expand(self._starts[symbols], self._spans[symbols])]
 
     def ids(self) -> np.ndarray:
         return self._expand(self.symbols)
@@ -213,10 +215,12 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_id
     model = Path(tokenizer_path).read_text(encoding="utf8")
     parsed = json.loads(model)
     first_rule = 1 + max([end_id, *parsed["model"]["vocab"].values(), *(t["id"] for t in parsed["added_tokens"])])
+    added = [t["content"] for t in parsed["added_tokens"]]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo("bytes" + hashlib.md5(shared.value.encode()).hexdigest(), lambda: library_encoder(shared.value), lambda: byte_level_joiner(shared.value), MEMO_UNITS)
+        memo = worker_memo("bytes" + hashlib.md5(shared.value.encode()).hexdigest(), lambda: library_encoder(shared.value),
+                           lambda encode: byte_level_joiner(shared.value, encode=encode), MEMO_UNITS)
         part = TaskContext.get().partitionId()
         seq, before, held, doc_ids, lengths = 0, 0, [], [], []
 
@@ -231,7 +235,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_id
             return out
 
         for batch in text_slices(batches, limit=2 << 20):
-            ids, ends = encode_spaced(memo, batch.column("text"), marks=True)
+            ids, ends = encode_spaced(memo, batch.column("text"), added)
             ids = np.insert(ids, ends[1:], end_id)
             ends, names = ends + np.arange(len(ends)), batch.column("id").to_pylist()
             done, have = 0, sum(map(len, held))

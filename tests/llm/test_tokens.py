@@ -1,13 +1,16 @@
 """Operators 3, 4, 5 and 8 against their libraries, text by text."""
 import hashlib
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, packing, repair_store, token_counts
+from riskframe.llm import byte_bpe, packing, repair_store, token_counts, units
 from riskframe.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -136,6 +139,59 @@ def test_repair_store(spark, make_docs, odd_texts, library, which):
     assert all(r["n_ids"] < 5000 + longest for r in shards.collect())
 
 
+def byte_memo(seen=None):
+    """A memo as op5 has it; the units that the library gets are added to ``seen``."""
+    model = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf8")
+    encode, joined = units.library_encoder(model), units.byte_level_joiner(model)
+    keep = (lambda us: seen.extend(us) or us) if seen is not None else (lambda us: us)
+    return units.UnitMemo(lambda us: encode(keep(us)), joined=lambda us: joined(keep(us)))
+
+
+def test_parts_of_units_are_encoded_once(library):
+    """Words behind or before marks, digits and line feeds are no new units for the library."""
+    words = ["alpha", "beta", "caf\u00e9", "d\u00e9j\u00e0"]
+    texts = [f"x {a}{m}\n{b}-{c}42 ({a}) {b}{m}{m} {c}'s\n\n{a}" for a in words for b in words for c in words for m in ".!&"]
+    seen = []
+    ids, ends = units.encode_spaced(byte_memo(seen), pa.array(texts), ["<|endoftext|>"])
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library["byte"](t) for t in texts]
+    assert len(seen) == len(set(seen)) < 40
+
+
+def test_units_are_cut_only_where_the_pattern_ends(library):
+    bits = [" ", " ", "\n", "\n\n", "\n\n\n", "\r\n", "\t", "'", "'s", "'re", "'ll", "don't", "'S", "a", "foo", "Bar", "\u00e9", "\u00c9", "\u00df", "\u00d7",
+            "\u00f7", "\u00ff", "\u0301", "\u4e2d", "1", "42", "\u00b2", "\u0663", ".", ",", "!", "-", "\u2014", "\u201c", "(", "_", "<|endoftext|>", "<|", "|>",
+            "\x00", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "\u180e", "\U0001f600", "\u00b5", "\x0b", "\x0c", "\x7f"]
+    rng = random.Random(8)
+    memo = byte_memo()
+    for _ in range(40):
+        some = rng.sample(bits, rng.randint(2, len(bits))) + [" ", "foo"]
+        texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(60)] + [None, "", " ", "\n", "\n\n"]
+        ids, ends = units.encode_spaced(memo, pa.array(texts, pa.string()), ["<|endoftext|>"])
+        for t, a, b in zip(texts, ends, ends[1:]):
+            assert ids[a:b].tolist() == library["byte"](t or ""), t
+
+
+def test_overlapping_pairs_are_parted_by_use():
+    def plain(hits, uses):
+        left, taken = list(range(len(hits))), []
+        while left:
+            near = {i: [j for j in left if abs(hits[j] - hits[i]) == 1] for i in left}
+            best = [i for i in left if all(uses[j] <= uses[i] for j in near[i])]
+            now = []
+            for i in best:
+                if not now or hits[i] - hits[now[-1]] != 1:
+                    now.append(i)
+            taken += now
+            left = [i for i in left if i not in now and not set(near[i]) & set(now)]
+        return sorted(taken)
+
+    rng = np.random.default_rng(9)
+    for n in [0, 1, *rng.integers(2, 60, 200)]:
+        hits = np.flatnonzero(rng.random(n) < 0.8)
+        uses = rng.integers(1, 4, len(hits))
+        assert repair_store._apart(hits, uses).tolist() == plain(hits, uses)
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(5)
     docs = [np.tile(rng.integers(0, 9, 7), 60), np.array([], int), np.full(501, 3), rng.integers(0, 50, 900), np.tile([1, 2], 300)]
