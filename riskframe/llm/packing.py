@@ -9,6 +9,9 @@
    spread over many tasks, and the rank names pattern, pack and place.
 
 A pack of ``size`` ids or of a power of two needs no padding; others are padded to ``size``.
+The table of pieces and the result are small beside the texts. Both are written by few tasks, whatever the
+partitions of the input and of the shuffles: each Parquet file takes a writer's buffers, and on a local disk
+Hadoop has the executor start several processes to set a file's permissions.
 Results: null or empty text is a document of its end id alone; repeated rows are packed each;
 an empty table gives no rows; other columns are not read.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from pathlib import Path
 
 import hashlib
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm.common import materialize, text_slices
-from riskframe.llm.units import encode_dropped, library_encoder, word_encoder, worker_memo
+from riskframe.llm.units import encode_dropped, library_encoder, load_tokenizer, word_encoder, worker_memo
 
 #: pieces ranked by one task, text bytes encoded at once
 BLOCK_ROWS, SLICE = 100_000, 2 << 20
@@ -42,8 +46,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int,
         T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo("word" + hashlib.md5(model.value.encode()).hexdigest(), lambda: library_encoder(model.value),
-                           make_words=lambda: word_encoder(model.value, lower=True, spaced=False))
+        tokenizer = cache(lambda: load_tokenizer(model.value))  # one object for both, when a worker needs them
+        memo = worker_memo("word" + hashlib.md5(model.value.encode()).hexdigest(), lambda: library_encoder(tokenizer()),
+                           make_words=lambda: word_encoder(tokenizer(), lower=True, spaced=False))
         for batch in text_slices(batches, limit=SLICE):
             ids, ends = encode_dropped(memo, batch.column("text"))
             rows, out = [], []
@@ -145,7 +150,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 2048
          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every piece with its sequence and place in it."""
     spark = docs.sparkSession
-    pieces = materialize(cut_pieces(docs, tokenizer_path, end_id, size), "pieces")
+    tasks = spark.sparkContext.defaultParallelism
+    pieces = materialize(cut_pieces(docs, tokenizer_path, end_id, size).repartition(tasks), "pieces")
     counts = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}  # at most `size` rows
     places = spark.sparkContext.broadcast(Places(pack_histogram(counts, size), size))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
@@ -156,7 +162,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 2048
                 pack_of, offset = places.value.find(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pack_of), pa.array(offset)], schema.names)
 
-    return ranked(pieces, block_rows).select(*pieces.columns, "rank").mapInArrow(run, schema)
+    tasks = max(tasks, -(-sum(counts.values()) // block_rows))
+    return ranked(pieces, block_rows).select(*pieces.columns, "rank").coalesce(tasks).mapInArrow(run, schema)
 
 
 def read_sequences(spark, pieces: DataFrame, size: int) -> DataFrame:

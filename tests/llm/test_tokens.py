@@ -103,6 +103,32 @@ def test_packing(spark, make_docs, odd_texts, library, which):
         assert padded < 1.03 * used
 
 
+def test_packing_writes_few_files(spark, make_docs):
+    """One for each core, not one for each partition of the input or of a shuffle, with the same rows."""
+    docs = make_docs([f"word{i} " * (i * 37 % 900) for i in range(400)])
+    tokenizer, tasks = public_tokenizers.path("word_bpe_49k.json"), spark.sparkContext.defaultParallelism
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    expected = sorted(packing.pack(docs.coalesce(1), tokenizer).collect())
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = packing.pack(docs.repartition(50), tokenizer)
+        assert len(out.inputFiles()) <= tasks and out.rdd.getNumPartitions() <= tasks
+        assert sorted(out.collect()) == expected
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_one_tokenizer_serves_both_encoders():
+    text = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf8")
+    tokenizer, words = units.load_tokenizer(text), ["Word", "Naïve,", "two words", "x1", "Ünit."]
+    assert units.library_encoder(tokenizer)(words) == units.library_encoder(text)(words)
+    assert [units.word_encoder(t, lower=True, spaced=False)(words, lambda w: None) for t in (tokenizer, text)] == [
+        {w: ids for w, ids in zip(["Word", "Naïve", "Naïve,", "Ünit", "Ünit."], units.library_encoder(text)(["Word", "Naïve", "Naïve,", "Ünit", "Ünit."]))}] * 2
+
+
 def test_packing_patterns_use_every_piece_once():
     counts = {2048: 3, 1500: 7, 700: 11, 548: 2, 300: 1, 20: 1000, 1: 5}
     patterns = packing.pack_histogram(counts, 2048)
