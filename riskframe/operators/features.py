@@ -11,11 +11,13 @@ aggregates. Statistics reach the driver only as one value per column
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import (OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, HasInputCol, HasOutputCol, \
     HasLabelCol, Param, Params, TypeConverters
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import is_missing
 from riskframe.operators.gram import moments
-from riskframe.operators.selection import column_quantiles
+from riskframe.operators.selection import column_quantiles, column_quantiles_without
 
 
 class _Surrogates(Params):
@@ -69,9 +71,16 @@ class ExactMedianImputer(Estimator, HasInputCols, HasOutputCols,
         self._set(inputCols=inputCols or [], outputCols=outputCols or inputCols or [])
 
     def _fit(self, df: DataFrame) -> FillValuesModel:
-        cols = self.getInputCols()
-        med = {c: found[0] for c, found in column_quantiles(df, cols, [0.5]).items()}
-        return FillValuesModel(cols, self.getOutputCols(), json.dumps(med), asDouble=True)
+        return self._with(column_quantiles(df, self.getInputCols(), [0.5]))
+
+    def _with(self, quantiles: dict[str, list[float]]) -> FillValuesModel:
+        med = {c: found[0] for c, found in quantiles.items()}
+        return FillValuesModel(self.getInputCols(), self.getOutputCols(), json.dumps(med), asDouble=True)
+
+    def fit_without(self, df: DataFrame, fold_col: str, folds: tuple[int, ...]) -> dict[int | None, FillValuesModel]:
+        """Fitted on all rows (None) and, for each fold, on the rows of the others, in shared passes."""
+        found = column_quantiles_without(df, self.getInputCols(), [0.5], fold_col, folds)
+        return {k: self._with(quantiles) for k, quantiles in found.items()}
 
 
 class ModeImputer(Estimator, HasInputCols, HasOutputCols,
@@ -324,3 +333,78 @@ class DimReducer(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
             share = {"varianceRatio": k} if 0 < k < 1 else {"k": int(k)}
             return VariancePCA(self.getInputCol(), self.getOutputCol(), **share).fit(df)
         return FisherLDA(self.getInputCol(), self.getOutputCol(), self.getLabelCol(), k=int(k)).fit(df)
+
+
+@dataclass(frozen=True)
+class ArrayPreparation:
+    """What a fitted preprocessor and reducer make of rows, for whole columns in a worker: the same fill values,
+    means, levels and projection that ``transform`` applies, so that prepared rows need not be stored."""
+
+    numbers: list[tuple[str, float, float, float]]         # column, fill value, mean, std
+    levels: list[tuple[str, str | None, dict[str, int]]]   # column, fill value, slot of each level
+    projection: tuple[np.ndarray, np.ndarray] | None       # mean, scalings
+
+    @property
+    def width(self) -> int:
+        if self.projection is not None:
+            return len(self.projection[1])
+        return len(self.numbers) + sum(len(slots) for _, _, slots in self.levels)
+
+    def __call__(self, numbers: list[np.ndarray], levels: list[tuple[np.ndarray, list]], rows: int | None = None) -> np.ndarray:
+        """(width, n) from the columns of n rows: ``numbers`` (NaN is missing) and, for ``levels``, each row's place
+        in a list of names (None is missing). With ``rows``, an array of so many rows whose others are zero."""
+        n = len(numbers[0] if numbers else levels[0][0])
+        unprojected = len(self.numbers) + sum(len(slots) for _, _, slots in self.levels)
+        x = np.zeros((max(rows or 0, unprojected) if self.projection is None else unprojected, n))
+        for row, v, (_, fill, mean, std) in zip(x, numbers, self.numbers):
+            np.subtract(v, mean, out=row)
+            row /= std
+            gaps = np.isnan(row)
+            if gaps.any():
+                row[gaps & np.isnan(v)] = (fill - mean) / std
+        at = len(self.numbers)
+        for (codes, names), (_, fill, slots) in zip(levels, self.levels):
+            hot = np.zeros((len(slots), len(names)))
+            for j, name in enumerate(names):
+                slot = slots.get(fill if name is None else name)
+                if slot is not None:  # unknown levels are all zeros
+                    hot[slot, j] = 1.0
+            for values in hot:
+                if values.any():
+                    np.take(values, codes, out=x[at], mode="clip")
+                at += 1
+        if np.isnan(x.sum()) and np.isnan(x).any():  # as the assembler does
+            raise ValueError("a prepared value is missing: its column has no value to fill it with, or is not finite")
+        if self.projection is not None:
+            mean, scalings = self.projection
+            out = np.zeros((max(rows or 0, len(scalings)), n))
+            np.matmul(scalings, x - mean[:, None], out=out[:len(scalings)])
+            return out
+        return x
+
+
+def in_arrays(model: PipelineModel) -> ArrayPreparation | None:
+    """The array form of a fitted ``build_preprocessor`` and :class:`DimReducer`; None for other stages."""
+    stages = [s for part in model.stages for s in (part.stages if isinstance(part, PipelineModel) else [part])]
+    number = lambda v: float("nan") if v is None else float(v)
+    fills, scaled, indexed, hot, inputs, projection = {}, {}, {}, {}, [], None
+    for s in stages:
+        if isinstance(s, FillValuesModel):
+            fills |= {o: (c, s.values().get(c)) for c, o in zip(s.getInputCols(), s.getOutputCols())}
+        elif isinstance(s, ScalerValuesModel):
+            scaled |= {o: (fills[c][0], *map(number, (fills[c][1], *s.stats()[c]))) for c, o in zip(s.getInputCols(), s.getOutputCols())}
+        elif isinstance(s, StringIndexerModel):
+            indexed |= {o: (*fills[c], {name: i for i, name in enumerate(names)})
+                        for c, o, names in zip(s.getInputCols(), s.getOutputCols(), s.labelsArray)}
+        elif isinstance(s, OneHotEncoderModel):
+            hot |= {o: indexed[c] for c, o in zip(s.getInputCols(), s.getOutputCols())}
+        elif isinstance(s, VectorAssembler):
+            inputs = s.getInputCols()
+        elif isinstance(s, LinearProjectionModel):
+            fit = json.loads(s.getOrDefault(s.surrogates))
+            projection = np.array(fit["mean"], float), np.array(fit["scalings"], float)
+        elif not isinstance(s, IdentityModel):
+            return None
+    if inputs != [*scaled, *hot]:  # numbers first, as build_preprocessor has them
+        return None
+    return ArrayPreparation(list(scaled.values()), list(hot.values()), projection)

@@ -39,16 +39,17 @@ def class_quotas(class_counts: list[tuple], test_size: float) -> dict:
     return quota
 
 
-def _class_ranks(df: DataFrame, key: Column, label: str, seed: int) -> DataFrame:
+def _class_ranks(df: DataFrame, key: Column, label: str, seed: int, drop: tuple[str, ...] = ()) -> DataFrame:
     """1-based rank (``__rank``) of each row inside its class in (u, key) order, so that a dominant class
     is not one task: the rows are range partitioned and sorted, a row's place in its partition is taken
     from Spark's row ids, and the rows of a class in earlier partitions are added from a table of one
-    row per class and partition. The ordered rows are written once, without the keys they are sorted by."""
+    row per class and partition. The ordered rows are written once, without the keys they are sorted by.
+    Columns to ``drop`` serve the key alone and are not moved."""
     by = [label, "__u", "__key"]
-    x = df.withColumn("__u", hash_uniform(key, seed)).withColumn("__key", key.cast("string"))
+    x = df.withColumn("__u", hash_uniform(key, seed)).withColumn("__key", key.cast("string")).drop(*drop)
     x = x.repartitionByRange(*by).sortWithinPartitions(*by).drop("__u", "__key")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's number in its partition
-    written = write_once(x.withColumn("__p", F.spark_partition_id()).withColumn("__i", place), "ranked")
+    written = write_once(x.withColumn("__p", F.spark_partition_id()).withColumn("__i", place), "ranked", few=True)
     held = written.groupBy(label, "__p").agg(F.min("__i").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(label).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     shift = held.select(F.col(label).alias("__c"), F.col("__p").alias("__q"),
@@ -76,18 +77,18 @@ def exact_stratified_split(df: DataFrame, key: Column, label: str, seed: int,
 
 def split_with_folds(df: DataFrame, key: Column, label: str, seed: int,
                      test_size: float = 0.2, k: int = 5, split_col: str = "split",
-                     fold_col: str = "fold") -> tuple[DataFrame, dict]:
+                     fold_col: str = "fold", drop: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """W4 + W5 from one ranking pass. The test rows of a class are its first
     ``quota`` rows in (u, key) order, so a training row's rank among the
     training rows is ``rank - quota``: folds come out exactly as
     :func:`stratified_folds` on the training rows would give them, without
-    ranking twice. Returns the frame and the training rows per class."""
+    ranking twice. Returns the frame, without the columns to ``drop``, and the training rows per class."""
     counts = [(r[label], r["count"]) for r in df.groupBy(label).count().collect()]
     quotas = class_quotas(counts, test_size)
     q = df.sparkSession.createDataFrame(
         [(c, int(v)) for c, v in quotas.items()],
         df.select(label).schema.add("__quota", "long"))
-    ranked = _class_ranks(df, key, label, seed)
+    ranked = _class_ranks(df, key, label, seed, drop)
     test = F.col("__rank") <= F.col("__quota")
     out = (ranked.join(F.broadcast(q), label, "left")   # one row per class
            .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))

@@ -86,3 +86,47 @@ def test_headers_are_found_without_sorting_the_lines(spark, tmp_path):
     (tmp_path / "c.csv").write_text("k;w\n1;2\n")
     with pytest.raises(ValueError, match="missing columns"):
         readers.headers_by_file(spark, str(tmp_path), ";", ("k", "v"))
+
+
+def _gappy(spark, n=400):
+    """Rows with missing numbers and levels, and a level that only fold 1 has."""
+    rng = np.random.default_rng(11)
+    rows = [(None if i % 13 == 0 else float("nan") if i % 17 == 0 else float(v), int(w), None if i % 19 == 0 else "z" if i % 31 == 1 and i % 5 == 1 else "ab"[i % 2],
+             int(v + w / 9 + rng.normal() > 0), i % 5) for i, (v, w) in enumerate(zip(rng.normal(0, 2, n), rng.integers(-9, 10, n)))]
+    return spark.createDataFrame(rows, "v double, w int, c string, label int, fold int").repartition(3)
+
+
+@pytest.mark.parametrize("technique", ["none", "pca", "lda"])
+def test_array_preparation_is_the_transform(spark, technique):
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.features import in_arrays
+    df = _gappy(spark)
+    pipe, _ = models.build_pipeline(models.learner("logistic_regression"), ["v", "w"], ["c"], technique)
+    fitted = models.Pipeline(stages=pipe.getStages()[:-1]).fit(df.where("fold <> 1"))  # level z is unknown then
+    arrays = in_arrays(fitted)
+    got = fitted.transform(df).select("v", "w", "c", vector_to_array("reduced").alias("x")).collect()
+    names = [None, "a", "b", "z"]
+    x = arrays([np.array([float("nan") if r[c] is None else r[c] for r in got]) for c in ("v", "w")], [(np.array([names.index(r["c"]) for r in got]), names)], 9)
+    assert x.shape == (9, len(got)) and arrays.width == len(got[0]["x"]) and not x[arrays.width:].any()
+    assert np.allclose(x[:arrays.width].T, [r["x"] for r in got], rtol=1e-12, atol=1e-12)
+
+
+def test_search_keeps_no_training_row_in_memory(spark, monkeypatch):
+    """The executors' heap holds no copy of the training rows while the search runs, and no fold's prepared rows are stored."""
+    held, tables = [], []
+    fit, write = logistic.fit_stack, models.write_once
+    monkeypatch.setattr(logistic, "fit_stack", lambda *a: held.append(spark._jsc.sc().getPersistentRDDs().size()) or fit(*a))
+    monkeypatch.setattr(models, "write_once", lambda *a, **k: tables.append(write(*a, **k)) or tables[-1])
+    before = spark._jsc.sc().getPersistentRDDs().size()
+    found = models.tune_with_cv(models.learner("logistic_regression"), _gappy(spark), ["v", "w"], ["c"])
+    assert held == [before] and len(found.all_metrics) == 8 and found.cv_mean > 0.5
+    from riskframe.session import path_exists
+    assert len(tables) == 1 and not any(path_exists(spark, f) for f in tables[0].inputFiles())
+
+
+def test_medians_without_each_fold_share_their_passes(spark):
+    df = _gappy(spark).withColumn("fold", F.expr("if(w = 3, null, fold)"))
+    got = selection.column_quantiles_without(df, ["v", "w"], [0.5, 0.9], "fold", (0, 3))
+    assert sorted(got, key=str) == [0, 3, None]
+    for k, found in got.items():
+        assert found == selection.column_quantiles(df if k is None else df.where(F.col("fold") != k), ["v", "w"], [0.5, 0.9])
